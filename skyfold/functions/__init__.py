@@ -8,3 +8,4 @@ from skyfold.functions.scalar import (  # noqa: F401
 from skyfold.functions.labels import (  # noqa: F401
     bucketize, code_label, equals_label, first_match,
 )
+from skyfold.functions.aggregates import avg_2dp  # noqa: F401

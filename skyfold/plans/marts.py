@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.functions.aggregates import avg_2dp
 from skyfold.functions.scalar import utc_date
 from skyfold.plans.preset import DOMESTIC, INTERNATIONAL, flight_type, speed_category
 from skyfold.schema import FACT_COLUMNS
@@ -24,7 +25,7 @@ def fact_flights(history: DataFrame) -> DataFrame:
 
 
 def _avg2(c: str):
-    return F.round(F.avg(F.col(c)), 2)
+    return avg_2dp(c)
 
 
 def dim_countries(history: DataFrame) -> DataFrame:

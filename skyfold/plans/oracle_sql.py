@@ -3,7 +3,8 @@ registered query must return. Used by the driver's correctness check and by
 the tests; nothing here runs on Spark.
 
 Rounding: Spark rounds the decimal text of a double, so the SQL rounds
-``CAST(CAST(x AS VARCHAR) AS DECIMAL(38,20))`` (applied to averages too).
+``CAST(CAST(x AS VARCHAR) AS DECIMAL(38,20))``. Averages of two-decimal values
+are exact (whole cents), as in ``skyfold.functions.aggregates.avg_2dp``.
 """
 
 from __future__ import annotations
@@ -29,6 +30,15 @@ def r2(x: str) -> str:
     return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE)"
 
 
+def avg2(x: str) -> str:
+    """Exact ``ROUND(AVG(x), 2)`` for two-decimal values: whole cents summed,
+    quotient rounded half away from zero."""
+    cents = f"CAST(round(({x}) * 100) AS HUGEINT)"
+    s, n = f"sum({cents})", f"count({cents})"
+    return (f"CASE WHEN {n} > 0 THEN CAST(sign({s}) * ((2 * abs({s}) + {n}) // (2 * {n})) AS DOUBLE)"
+            " / 100 END")
+
+
 SNAP = "CAST(epoch(date_trunc('hour', ts)) AS BIGINT)"
 
 FX = f"""fx AS (
@@ -132,16 +142,16 @@ def daily_select(fact: str) -> str:
     COUNT(*) FILTER (WHERE on_ground = TRUE) AS flights_on_ground,
     COUNT(*) FILTER (WHERE flight_type = 'Domestic') AS domestic_flights,
     COUNT(*) FILTER (WHERE flight_type = 'International') AS international_flights,
-    {r2('avg(speed_kmh)')} AS avg_speed_kmh,
-    {r2('avg(altitude_feet)')} AS avg_altitude_feet
+    {avg2('speed_kmh')} AS avg_speed_kmh,
+    {avg2('altitude_feet')} AS avg_altitude_feet
   FROM ({fact}) f WHERE ingested_at IS NOT NULL GROUP BY 1"""
 
 
 COUNTRY_MART = f"""SELECT origin_country,
     COUNT(DISTINCT icao24) AS unique_aircraft,
     COUNT(*) AS total_flights,
-    {r2('avg(speed_kmh)')} AS avg_speed_kmh,
-    {r2('avg(altitude_feet)')} AS avg_altitude_feet,
+    {avg2('speed_kmh')} AS avg_speed_kmh,
+    {avg2('altitude_feet')} AS avg_altitude_feet,
     COUNT(*) FILTER (WHERE on_ground = FALSE) AS flights_airborne,
     COUNT(*) FILTER (WHERE on_ground = TRUE) AS flights_on_ground
   FROM hx WHERE origin_country IS NOT NULL
@@ -149,9 +159,9 @@ COUNTRY_MART = f"""SELECT origin_country,
 
 PHASE_MART = f"""SELECT flight_phase, flight_category,
     COUNT(*) AS total_flights,
-    {r2('avg(speed_kmh)')} AS avg_speed_kmh,
-    {r2('avg(altitude_feet)')} AS avg_altitude_feet,
-    {r2('avg(vertical_rate_ftpm)')} AS avg_vertical_rate_ftpm
+    {avg2('speed_kmh')} AS avg_speed_kmh,
+    {avg2('altitude_feet')} AS avg_altitude_feet,
+    {avg2('vertical_rate_ftpm')} AS avg_vertical_rate_ftpm
   FROM hx WHERE flight_phase IS NOT NULL
   GROUP BY flight_phase, flight_category
   ORDER BY total_flights DESC, flight_phase, flight_category"""

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from skyfold.functions.scalar import utc_date_of_epoch
 from skyfold.operators.upsert import unique_source, upsert
 from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
-from skyfold.sources.parquet import path_exists, write_partitions
+from skyfold.sources.parquet import hadoop_fs, path_exists, write_partitions
 
 HISTORY_PARTITION = "snapshot_date"
 # Upper bound on source rows for the broadcast merge plan (keys only are
@@ -127,10 +127,7 @@ def expire_partitions(spark: SparkSession, path: str, partition_col: str, days:
     file is read or rewritten. Returns the deleted partition folders.
     """
     cutoff = retention_cutoff(as_of, days)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    fs, root = hadoop_fs(spark, path)
     removed = []
     prefix = f"{partition_col}="
     for status in fs.listStatus(root):

@@ -34,8 +34,19 @@ def drop_staging(spark: SparkSession, view: str) -> bool:
     return spark.catalog.dropTempView(view)
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path object (driver side,
+    metadata calls only)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet dataset."""
+    """True when ``path`` holds a Parquet dataset (a folder with data files)."""
+    fs, jpath = hadoop_fs(spark, path)
+    if not fs.exists(jpath):
+        return False
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
         return True
