@@ -62,15 +62,38 @@ def unique_source(source: DataFrame, keys: Sequence[str],
     return source
 
 
+def source_stats(source: DataFrame, keys: Sequence[str], partition_col: str | None = None) -> dict:
+    """One job over the source: row count, the largest number of rows sharing
+    one non-null key, and (optionally) the distinct values of a partition
+    column that is a function of the key."""
+    keys = list(keys)
+    group = keys + ([partition_col] if partition_col and partition_col not in keys else [])
+    per_key = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_c"),
+                                         all_present(keys).alias("_keyed"))
+    aggs = [F.sum("_c").alias("rows"),
+            F.max(F.when(F.col("_keyed"), F.col("_c"))).alias("max_copies")]
+    if partition_col:
+        # one value per partition (days): a short list
+        aggs += [F.collect_set(partition_col).alias("touched"),
+                 F.max(F.col(partition_col).isNull()).alias("null_partition")]
+    row = per_key.agg(*aggs).first()
+    out = {"rows": int(row["rows"] or 0), "max_copies": int(row["max_copies"] or 0)}
+    if partition_col:
+        out["touched"] = list(row["touched"]) + ([None] if row["null_partition"] else [])
+    return out
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update: Sequence[str] | None = None, *,
            dedup_order: str | Sequence[str] | None = None,
            check_unique: bool = True,
-           broadcast_max_rows: int = 0) -> DataFrame:
+           broadcast_max_rows: int = 0,
+           source_rows: int | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``; see the module notes.
 
     ``update`` defaults to every non-key column. The result has the target's
-    columns in the target's order.
+    columns in the target's order. ``source_rows``, when the caller already
+    counted the source, saves the count that decides the plan.
     """
     keys = list(keys)
     columns = target.columns
@@ -80,7 +103,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     update = [c for c in columns if c not in keys] if update is None else list(update)
     keep = [c for c in columns if c not in keys and c not in update]
     source = unique_source(source.select(*columns), keys, dedup_order, check_unique)
-    if broadcast_max_rows > 0 and source.count() <= broadcast_max_rows:
+    if broadcast_max_rows > 0 and (
+            source.count() if source_rows is None else source_rows) <= broadcast_max_rows:
         return _merge_small_source(target, source, keys, keep, columns)
     return _merge_full_outer(target, source, keys, update, columns)
 

@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.functions.scalar import utc_date_of_epoch
-from skyfold.operators.upsert import unique_source, upsert
+from skyfold.operators.upsert import (
+    DuplicateSourceKeyError, source_stats, unique_source, upsert,
+)
 from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
 from skyfold.sources.parquet import hadoop_fs, path_exists, write_partitions
 
@@ -60,21 +62,32 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
     """Create the table from ``source`` on first use, else merge into it.
 
     ``source`` must carry ``partition_col`` (see ``with_history_partition``).
+    One aggregate job checks the source (rows, duplicate keys, touched
+    partitions); the merge then reads only the touched partitions and
+    replaces exactly those. Dynamic partition overwrite stages the output and
+    swaps each partition only after every task has read its input, so reading
+    and replacing the same partitions in one job is safe, and a lost executor
+    recomputes from files that are still there.
+
     Returns ``{"created": bool, "rows_written": n, "partitions": k}``.
     """
     if not table_exists(spark, path):
         # First run: the batch is copied as it is.
         written = write_partitions(source, path, partition_col)
         return {"created": True, "rows_written": written, "partitions": None}
-    source = unique_source(source, list(keys), dedup_order)
-    # The touched partitions: one value per day in the batch, a short list.
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
-    target = spark.read.parquet(path).filter(_partition_filter(partition_col, touched))
+    keys = list(keys)
+    if dedup_order is not None:
+        source = unique_source(source, keys, dedup_order)
+    stats = source_stats(source, keys, partition_col)
+    if dedup_order is None and stats["max_copies"] > 1:
+        raise DuplicateSourceKeyError(
+            f"source has {stats['max_copies']} rows for one key of {keys}")
+    target = spark.read.parquet(path)
+    touched = stats["touched"]
+    target = target.filter(_partition_filter(partition_col, touched))
     merged = upsert(target, source.select(*target.columns), keys, update,
-                    check_unique=False, broadcast_max_rows=broadcast_max_rows)
-    # The merge reads the partitions it replaces: materialise it in the shared
-    # checkpoint folder first, which also cuts the lineage for retries.
-    merged = merged.checkpoint(eager=True)
+                    check_unique=False, broadcast_max_rows=broadcast_max_rows,
+                    source_rows=stats["rows"])
     written = write_partitions(merged, path, partition_col)
     return {"created": False, "rows_written": written, "partitions": len(touched)}
 
