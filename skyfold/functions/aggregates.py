@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skyfold.functions.sqltext import ident
+
 
 def avg_2dp(c: str | Column) -> Column:
     """``ROUND(AVG(c), 2)`` computed exactly, for values with at most two
@@ -17,6 +19,13 @@ def avg_2dp(c: str | Column) -> Column:
     arithmetic, so the result is the same on any cluster layout. Nulls are
     skipped; no value gives null.
     """
+    if isinstance(c, str):
+        cents = f"CAST(round({ident(c)} * 100.0D) AS DECIMAL(38,0))"
+        total, n = f"sum({cents})", f"CAST(count({cents}) AS DECIMAL(38,0))"
+        num, den = f"(abs({total}) * 2 + {n})", f"({n} * 2)"
+        quotient = f"CAST(({num} - {num} % {den}) / {den} AS DOUBLE)"
+        return F.expr(f"CASE WHEN {n} > 0 THEN (CASE WHEN {total} < 0 THEN -{quotient} "
+                      f"ELSE {quotient} END) / 100.0D END")
     col = F.col(c) if isinstance(c, str) else c
     cents = F.round(col * F.lit(100.0)).cast("decimal(38,0)")
     total = F.sum(cents)

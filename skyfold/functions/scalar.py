@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skyfold.functions.sqltext import ident, literal
+
 ColumnOrName = Column | str
 
 
@@ -19,6 +21,13 @@ def slot(array: ColumnOrName, position: int, type_name: str = "string") -> Colum
     not parse, as Spark 3.5 did without ANSI mode. An integer slot is read
     through double, so ``'5.0'`` gives 5 as before.
     """
+    if isinstance(array, str):
+        value = f"get({ident(array)}, {position})"
+        if type_name == "string":
+            return F.expr(value)
+        if type_name in ("int", "integer", "bigint", "long", "smallint", "tinyint"):
+            return F.expr(f"try_cast(try_cast({value} AS double) AS {type_name})")
+        return F.expr(f"try_cast({value} AS {type_name})")
     value = F.get(_col(array), F.lit(position))
     if type_name == "string":
         return value
@@ -29,11 +38,15 @@ def slot(array: ColumnOrName, position: int, type_name: str = "string") -> Colum
 
 def trim_upper(c: ColumnOrName) -> Column:
     """``upper(trim(c))``; trims spaces only."""
+    if isinstance(c, str):
+        return F.expr(f"upper(trim({ident(c)}))")
     return F.upper(F.trim(_col(c)))
 
 
 def scale_round(c: ColumnOrName, factor: float, digits: int = 2) -> Column:
     """Unit conversion: ``round(c * factor, digits)``, half away from zero."""
+    if isinstance(c, str):
+        return F.expr(f"round({ident(c)} * {literal(float(factor))}, {int(digits)})")
     return F.round(_col(c) * F.lit(float(factor)), digits)
 
 
@@ -43,12 +56,16 @@ def epoch_hour(ts: ColumnOrName) -> Column:
     For ``timestamp_ntz`` the value is read as UTC wall time, whatever the
     session zone is.
     """
+    if isinstance(ts, str):
+        return F.expr(f"unix_timestamp({ident(ts)}) - pmod(unix_timestamp({ident(ts)}), 3600)")
     seconds = F.unix_timestamp(_col(ts))
     return seconds - F.pmod(seconds, F.lit(3600))
 
 
 def local_date(ts: ColumnOrName, zone: str) -> Column:
     """Calendar day of a UTC ``timestamp_ntz`` in the named zone."""
+    if isinstance(ts, str):
+        return F.expr(f"to_date(convert_timezone('UTC', {literal(zone)}, {ident(ts)}))")
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts)))
 
 
@@ -59,4 +76,6 @@ def utc_date(ts: ColumnOrName) -> Column:
 
 def utc_date_of_epoch(seconds: ColumnOrName) -> Column:
     """UTC day of epoch seconds, independent of the session zone."""
+    if isinstance(seconds, str):
+        return F.expr(f"date_from_unix_date(CAST(floor({ident(seconds)} / 86400) AS INT))")
     return F.date_from_unix_date(F.floor(_col(seconds) / F.lit(86400)).cast("int"))

@@ -8,9 +8,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyfold.functions.sqltext import ident
+
 
 def all_present(columns: Iterable[str]) -> Column:
     """True when none of ``columns`` is null."""
+    columns = list(columns)
+    if columns:
+        return F.expr(" AND ".join(f"{ident(c)} IS NOT NULL" for c in columns))
     cond = None
     for c in columns:
         term = F.col(c).isNotNull()

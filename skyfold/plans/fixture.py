@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.functions.scalar import epoch_hour, utc_date_of_epoch
+from skyfold.functions.scalar import utc_date_of_epoch
 from skyfold.operators.dedup import dedup_by
 from skyfold.plans.preset import clean
 from skyfold.schema import HISTORY_KEYS, STATE_SLOTS
@@ -27,40 +27,41 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _null_when(eid: Column, modulus: int, value: Column) -> Column:
-    return F.when(eid % F.lit(modulus) == 0, F.lit(None)).otherwise(value)
+def _null_when(modulus: int, value: str) -> str:
+    return f"CASE WHEN event_id % {modulus} = 0 THEN NULL ELSE {value} END"
+
+
+SNAPSHOT_TIME = "(unix_timestamp(ts) - pmod(unix_timestamp(ts), 3600))"
+
+# One SQL expression per output column, in output order.
+FIXTURE_COLUMNS = (
+    (f"{SNAPSHOT_TIME}", "snapshot_time"),
+    ("concat('u', lpad(CAST(user_id AS STRING), 5, '0'))", "icao24"),
+    ("CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN '   ' "
+     "ELSE concat(' cal', CAST(user_id AS STRING), '  ') END", "callsign"),
+    ("CASE WHEN user_id % 25 = 0 THEN 'India' "
+     "ELSE concat('NATION_', CAST(user_id % 25 AS STRING)) END", "origin_country"),
+    (f"CAST({SNAPSHOT_TIME} + event_id % 60 AS DOUBLE)", "time_position"),
+    (f"CAST({SNAPSHOT_TIME} + event_id % 120 AS DOUBLE)", "last_contact"),
+    (_null_when(23, "CAST(660 + (event_id % 41) * 8 AS DOUBLE) / 10"), "longitude"),
+    (_null_when(19, "CAST(60 + (event_id % 40) * 8 AS DOUBLE) / 10"), "latitude"),
+    (_null_when(13, "value * 25"), "baro_altitude"),
+    (_null_when(29, "event_type = 'signup'"), "on_ground"),
+    (_null_when(17, "value"), "velocity"),
+    (_null_when(31, "CAST(event_id % 360 AS DOUBLE)"), "true_track"),
+    (_null_when(5, "(value - 250) / 20"), "vertical_rate"),
+    (_null_when(37, "value * 25 + 120"), "geo_altitude"),
+    ("lpad(CAST(event_id % 7777 AS STRING), 4, '0')", "squawk"),
+    ("CAST(event_id % 20 AS INT)", "category"),
+    ("ts", "ingested_at"),
+    ("event_id", "event_id"),
+)
 
 
 def flight_fixture(events: DataFrame) -> DataFrame:
     """Mapped-row shape (``snapshot_time`` + 15 slots) plus ``ingested_at`` and
     ``event_id``; one output row per event."""
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    value = F.col("value")
-    snap = epoch_hour("ts")
-    return events.select(
-        snap.alias("snapshot_time"),
-        F.concat(F.lit("u"), F.lpad(uid.cast("string"), 5, "0")).alias("icao24"),
-        F.when(eid % 7 == 0, F.lit(None))
-         .when(eid % 11 == 0, F.lit("   "))
-         .otherwise(F.concat(F.lit(" cal"), uid.cast("string"), F.lit("  "))).alias("callsign"),
-        F.when(uid % 25 == 0, F.lit("India"))
-         .otherwise(F.concat(F.lit("NATION_"), (uid % 25).cast("string"))).alias("origin_country"),
-        (snap + eid % 60).cast("double").alias("time_position"),
-        (snap + eid % 120).cast("double").alias("last_contact"),
-        _null_when(eid, 23, (F.lit(660) + (eid % 41) * 8).cast("double") / 10).alias("longitude"),
-        _null_when(eid, 19, (F.lit(60) + (eid % 40) * 8).cast("double") / 10).alias("latitude"),
-        _null_when(eid, 13, value * 25).alias("baro_altitude"),
-        _null_when(eid, 29, F.col("event_type") == F.lit("signup")).alias("on_ground"),
-        _null_when(eid, 17, value).alias("velocity"),
-        _null_when(eid, 31, (eid % 360).cast("double")).alias("true_track"),
-        _null_when(eid, 5, (value - 250) / 20).alias("vertical_rate"),
-        _null_when(eid, 37, value * 25 + 120).alias("geo_altitude"),
-        F.lpad((eid % 7777).cast("string"), 4, "0").alias("squawk"),
-        (eid % 20).cast("int").alias("category"),
-        F.col("ts").alias("ingested_at"),
-        eid.alias("event_id"),
-    )
+    return events.selectExpr(*[f"{sql} AS {name}" for sql, name in FIXTURE_COLUMNS])
 
 
 def state_vector(df: DataFrame) -> list[Column]:

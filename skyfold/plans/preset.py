@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skyfold.functions.labels import bucketize, code_label, equals_label, first_match
 from skyfold.functions.scalar import scale_round, trim_upper
+from skyfold.functions.sqltext import ident
 from skyfold.operators.filters import all_present, require_non_null
 from skyfold.operators.shape import drop_columns, explode_states, map_slots, rename
 from skyfold.schema import HISTORY_COLUMNS
@@ -67,11 +68,13 @@ def category_label(c: str | Column = "category") -> Column:
 
 
 def flight_phase(on_ground: str = "on_ground", altitude_m: str = "baro_altitude") -> Column:
-    alt = F.col(altitude_m)
+    """First match: on the ground; below the low bound; between the bounds
+    (inclusive); else cruising (a null altitude included)."""
+    alt = ident(altitude_m)
     return first_match([
-        (F.col(on_ground) == F.lit(True), PHASE_ON_GROUND),
-        (alt < F.lit(PHASE_LOW_BELOW_M), PHASE_LOW),
-        (alt.between(F.lit(PHASE_LOW_BELOW_M), F.lit(PHASE_MID_UP_TO_M)), PHASE_MID),
+        (f"{ident(on_ground)} = TRUE", PHASE_ON_GROUND),
+        (f"{alt} < {PHASE_LOW_BELOW_M}", PHASE_LOW),
+        (f"{alt} BETWEEN {PHASE_LOW_BELOW_M} AND {PHASE_MID_UP_TO_M}", PHASE_MID),
     ], PHASE_HIGH)
 
 
