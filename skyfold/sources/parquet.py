@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
+def rebalance(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Group rows of one output partition into few tasks before a partitioned
+    write, so each task writes few files. AQE sizes the result: a partition
+    value that holds a large share of the rows is split over several tasks,
+    small ones are merged."""
+    return df.hint("rebalance", *columns)
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: str | list[str]) -> int:
     """Replace only the partitions present in ``df`` (dynamic overwrite).
 
@@ -14,7 +22,7 @@ def write_partitions(df: DataFrame, path: str, partition_by: str | list[str]) ->
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     seen = Observation("written")
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    (rebalance(df, cols).observe(seen, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*cols)

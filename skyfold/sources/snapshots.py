@@ -83,6 +83,7 @@ def land_snapshots(docs: DataFrame, path: str, zone: str, *, mode: str = "append
     seen = Observation("landed")
     out = (non_empty(docs)
            .withColumn(DATE_PARTITION, snapshot_day("time", zone))
+           .hint("rebalance", DATE_PARTITION)
            .observe(seen, F.count(F.lit(1)).alias("docs")))
     out.write.mode(mode).partitionBy(DATE_PARTITION).json(path)
     return int(seen.get["docs"])
