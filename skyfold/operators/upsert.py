@@ -102,9 +102,20 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         raise ValueError(f"source lacks target columns {missing}")
     update = [c for c in columns if c not in keys] if update is None else list(update)
     keep = [c for c in columns if c not in keys and c not in update]
-    source = unique_source(source.select(*columns), keys, dedup_order, check_unique)
-    if broadcast_max_rows > 0 and (
-            source.count() if source_rows is None else source_rows) <= broadcast_max_rows:
+    source = source.select(*columns)
+    if dedup_order is not None:
+        source = unique_source(source, keys, dedup_order)
+    need_check = dedup_order is None and check_unique
+    need_count = broadcast_max_rows > 0 and source_rows is None
+    if need_check or need_count:
+        # One job answers both questions: duplicate keys and source size.
+        stats = source_stats(source, keys)
+        if need_check and stats["max_copies"] > 1:
+            raise DuplicateSourceKeyError(
+                f"source has {stats['max_copies']} rows for one key of {keys}")
+        if source_rows is None:
+            source_rows = stats["rows"]
+    if broadcast_max_rows > 0 and source_rows <= broadcast_max_rows:
         return _merge_small_source(target, source, keys, keep, columns)
     return _merge_full_outer(target, source, keys, update, columns)
 

@@ -44,6 +44,12 @@ def _partition_filter(column: str, values: list) -> Column:
     return cond
 
 
+def touched_partitions(spark: SparkSession, path: str, partition_col: str, values: list) -> DataFrame:
+    """The table restricted to some partition values (``None`` for the null
+    partition); a partition filter, so other folders are not even listed."""
+    return spark.read.parquet(path).filter(_partition_filter(partition_col, values))
+
+
 def with_history_partition(df: DataFrame) -> DataFrame:
     return df.withColumn(HISTORY_PARTITION, utc_date_of_epoch("snapshot_time"))
 
@@ -82,9 +88,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
     if dedup_order is None and stats["max_copies"] > 1:
         raise DuplicateSourceKeyError(
             f"source has {stats['max_copies']} rows for one key of {keys}")
-    target = spark.read.parquet(path)
     touched = stats["touched"]
-    target = target.filter(_partition_filter(partition_col, touched))
+    target = touched_partitions(spark, path, partition_col, touched)
     merged = upsert(target, source.select(*target.columns), keys, update,
                     check_unique=False, broadcast_max_rows=broadcast_max_rows,
                     source_rows=stats["rows"])
