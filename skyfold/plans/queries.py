@@ -28,7 +28,7 @@ from skyfold.plans.marts import (
 )
 from skyfold.plans.preset import (
     BOUNDING_BOX, LOCAL_ZONE, REQUIRED_COLUMNS, RETENTION_DAYS, category_label,
-    flight_phase, flight_type, required_present, snapshot_rows, speed_category,
+    flight_phase, flight_type, required_present, speed_category,
 )
 from skyfold.plans.tables import (
     merge_into, read_history, retain_recent, table_exists, upsert_table,
@@ -37,6 +37,7 @@ from skyfold.plans.tables import (
 from skyfold.schema import (
     DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS,
 )
+from skyfold.plans.steps import build_mart_tables, load_history, process_day, read_mart
 from skyfold.session import ensure_checkpoint_dir, work_path
 from skyfold.sources.parquet import drop_staging, load_staging, write_partitions
 from skyfold.sources.snapshots import (
@@ -265,30 +266,16 @@ def upsert_daily(spark, sf_dir):
 # -- end to end and incremental ------------------------------------------------
 
 def end_to_end_country_mart(spark, sf_dir):
-    """Land snapshots, read them back, dedup, clean, write the day outputs,
-    create the history from staging, build the marts; return the country mart
-    as stored."""
+    """Land snapshots, process them (dedup, clean, write), load the history
+    through staging, build the marts; return the country mart as stored."""
     fixture = _fixture(spark, sf_dir)
     landing = work_path(spark, "landing")
     land_snapshots(_docs(fixture), landing, LOCAL_ZONE)
-    docs = dedup_by(read_snapshots(spark, landing), ["time", "part"])
-    rows = snapshot_rows(docs.drop(DATE_PARTITION), _processing_time())
-    processed = work_path(spark, "processed")
-    write_partitions(with_history_partition(rows), processed, "snapshot_date")
-    history = work_path(spark, "history")
-    merge_into(spark, history, spark.read.parquet(processed))
-    marts_dir = work_path(spark, "marts")
-    stored = {}
-    from skyfold.plans.marts import build_marts
-    from skyfold.plans.tables import replace_table
-
-    def persist(name, df):
-        replace_table(df, f"{marts_dir}/{name}")
-        stored[name] = spark.read.parquet(f"{marts_dir}/{name}")
-        return stored[name]
-
-    build_marts(read_history(spark, history), persist)
-    return stored["dim_countries"]
+    processed, history, marts = (work_path(spark, p) for p in ("processed", "history", "marts"))
+    process_day(spark, landing, processed, ingested_at=_processing_time())
+    load_history(spark, processed, history)
+    build_mart_tables(spark, history, marts)
+    return read_mart(spark, marts, "dim_countries")
 
 
 def incremental_accumulate(spark, sf_dir):
