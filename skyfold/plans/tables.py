@@ -106,7 +106,11 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         rows = replace_table(source, path)
         return {"created": True, "rows_written": rows}
     target = spark.read.parquet(path)
-    merged = upsert(target, source.select(*target.columns), keys, update,
+    # The source (an aggregate, one row per key) is read twice: by the check
+    # job and by the merge. Materialise it once in the shared checkpoint
+    # folder instead of recomputing it from the raw tables.
+    source = source.select(*target.columns).checkpoint(eager=True)
+    merged = upsert(target, source, keys, update,
                     broadcast_max_rows=broadcast_max_rows).checkpoint(eager=True)
     return {"created": False, "rows_written": replace_table(merged, path)}
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from skyfold.operators.dedup import dedup_by
@@ -44,7 +45,14 @@ def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str,
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         docs = dedup_by(batch.select(*[f.name for f in RAW_SCHEMA.fields]), list(doc_keys))
         rows = with_history_partition(snapshot_rows(docs, ingested_at))
-        result = merge_into(spark, history, rows)
+        # The merge reads its source twice (check job, then the write); keep
+        # the parsed batch instead of parsing the JSON again. A lost block is
+        # recomputed from the batch's files.
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            result = merge_into(spark, history, rows)
+        finally:
+            rows.unpersist()
         stats["batches"] += 1
         stats["rows_merged"] += result["rows_written"]
 
