@@ -201,6 +201,12 @@ def _incremental() -> str:
     return f"WITH {FX},\n{keyed_fx},\n{hist}\nSELECT * FROM hk"
 
 
+def _one_day() -> str:
+    hist = history_cte("hp", "fx", f"TIMESTAMP '{PROCESSING_TIME}'", carry="")
+    local_day = "(DATE '1970-01-01' + CAST(floor((snapshot_time + 19800) / 86400) AS INTEGER))"
+    return f"WITH {FX},\n{hist}\nSELECT * FROM hp WHERE {local_day} = DATE '{SELECTED_DAY}'"
+
+
 def _null_profile() -> str:
     cols = ",\n  ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in HISTORY_COLUMNS)
     return f"{BASE}\nSELECT\n  {cols}\nFROM hx"
@@ -262,5 +268,6 @@ ORACLES: dict[str, str] = {
     "daily_mart": f"{BASE}\n{daily_select(fact_select('hx'))}",
     "mart_registry": _mart_registry(),
     "end_to_end_country_mart": f"{BASE}\n{COUNTRY_MART}",
+    "process_one_day": _one_day(),
     "incremental_accumulate": _incremental(),
 }

@@ -278,6 +278,18 @@ def end_to_end_country_mart(spark, sf_dir):
     return read_mart(spark, marts, "dim_countries")
 
 
+def process_one_day(spark, sf_dir):
+    """Land every snapshot, then process and load one local day only: the day
+    is chosen by partition pruning on the landing and on the processed output."""
+    fixture = _fixture(spark, sf_dir)
+    landing = work_path(spark, "landing")
+    land_snapshots(_docs(fixture), landing, LOCAL_ZONE)
+    processed, history = work_path(spark, "processed"), work_path(spark, "history")
+    process_day(spark, landing, processed, SELECTED_DAY, ingested_at=_processing_time())
+    load_history(spark, processed, history, SELECTED_DAY)
+    return read_history(spark, history)
+
+
 def incremental_accumulate(spark, sf_dir):
     """Three landings (days 1-10, 11-20 plus a re-fetch of day 10, 21-30), each
     followed by an incremental run; the end state equals one full load."""
@@ -328,5 +340,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_mart": daily_mart,
     "mart_registry": mart_registry,
     "end_to_end_country_mart": end_to_end_country_mart,
+    "process_one_day": process_one_day,
     "incremental_accumulate": incremental_accumulate,
 }

@@ -24,10 +24,10 @@ from skyfold.plans.tables import (
     merge_into, read_history, replace_table, upsert_table, with_history_partition,
 )
 from skyfold.schema import DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS
+from skyfold.plans.preset import LOCAL_ZONE
 from skyfold.sources.parquet import drop_staging, load_staging, write_partitions
-from skyfold.sources.snapshots import DATE_PARTITION, read_snapshots
+from skyfold.sources.snapshots import DATE_PARTITION, read_snapshots, select_day, snapshot_day
 
-HISTORY_PARTITION = "snapshot_date"
 STAGING_VIEW = "history_staging"
 # Marts replaced as a whole each run; the daily summary is merged instead.
 REPLACED_MARTS = ("fct_flights", "dim_countries", "dim_flight_phases")
@@ -47,28 +47,32 @@ def quality_report(rows: DataFrame) -> dict[str, DataFrame]:
 
 
 def process_day(spark: SparkSession, landing: str, processed: str, day: str | None = None, *,
-                ingested_at: Column | None = None, multi_line: bool = False) -> dict:
-    """Read one day's documents (every day when ``day`` is None), keep one per
-    snapshot, clean the vectors and replace the day's output partitions.
-
-    The report is computed from the written Parquet, so the lineage runs once.
+                zone: str = LOCAL_ZONE, ingested_at: Column | None = None,
+                multi_line: bool = False) -> dict:
+    """Read one local day's documents (every day when ``day`` is None), keep
+    one per snapshot, clean the vectors and replace that day's output.
+
+    The output is partitioned by the same local ``ingest_date`` as the
+    landing, so re-processing a day replaces exactly that day. The report is
+    computed from the written Parquet, so the lineage runs once.
     """
     docs = read_snapshots(spark, landing, multi_line=multi_line, day=day)
     docs = dedup_by(docs.drop(DATE_PARTITION), ["time", "part"])
-    rows = with_history_partition(snapshot_rows(docs, ingested_at))
-    written = write_partitions(rows, processed, HISTORY_PARTITION)
+    rows = snapshot_rows(docs, ingested_at).withColumn(
+        DATE_PARTITION, snapshot_day("snapshot_time", zone))
+    written = write_partitions(rows, processed, DATE_PARTITION)
     stored = spark.read.parquet(processed)
     if day is not None:
-        touched = rows.select(HISTORY_PARTITION).distinct()
-        stored = stored.join(touched, HISTORY_PARTITION, "left_semi")
+        stored = select_day(stored, day)
     return {"rows_written": written, "report": quality_report(stored.select(*HISTORY_COLUMNS))}
 
 
-def load_history(spark: SparkSession, processed: str, history: str) -> dict:
-    """Processed rows → staging view → history (create or merge) → drop view."""
-    staging = load_staging(spark, processed, STAGING_VIEW)
+def load_history(spark: SparkSession, processed: str, history: str, day: str | None = None) -> dict:
+    """Processed rows of one day (all days when ``day`` is None) → staging
+    view → history (create or merge) → drop the view."""
+    load_staging(spark, processed, STAGING_VIEW, day=day, columns=HISTORY_COLUMNS)
     try:
-        result = merge_into(spark, history, spark.table(STAGING_VIEW).select(*staging.columns))
+        result = merge_into(spark, history, with_history_partition(spark.table(STAGING_VIEW)))
     finally:
         drop_staging(spark, STAGING_VIEW)
     return result

@@ -30,9 +30,16 @@ def write_partitions(df: DataFrame, path: str, partition_by: str | list[str]) ->
     return int(seen.get["rows"])
 
 
-def load_staging(spark: SparkSession, path: str, view: str) -> DataFrame:
-    """Parquet output as a temporary view; the schema comes from the files."""
+def load_staging(spark: SparkSession, path: str, view: str, *, day: str | None = None,
+                 day_column: str = "ingest_date", columns: list[str] | None = None) -> DataFrame:
+    """Parquet output as a temporary view; the schema comes from the files.
+
+    With ``day`` only that date partition is read (a partition filter)."""
     df = spark.read.parquet(path)
+    if day is not None:
+        df = df.filter(F.col(day_column) == F.lit(day).cast("date"))
+    if columns is not None:
+        df = df.select(*columns)
     df.createOrReplaceTempView(view)
     return df
 

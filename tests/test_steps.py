@@ -26,13 +26,19 @@ def test_day_by_day_equals_one_load(spark, tmp_dir):
     stamp = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     p = {k: os.path.join(tmp_dir, k) for k in ("proc1", "hist1", "marts1", "proc2", "hist2", "marts2")}
 
+    per_day = 0
     for day in ("2024-01-01", "2024-01-02"):
         out = process_day(spark, landing, p["proc1"], day, ingested_at=stamp)
         report = out["report"]
         assert report["row_count"].first()[0] == out["rows_written"] > 0
-        load_history(spark, p["proc1"], p["hist1"])
-        load_history(spark, p["proc1"], p["hist1"])     # a re-run changes nothing
+        per_day += out["rows_written"]
+        # processing a day again replaces that day only
+        assert process_day(spark, landing, p["proc1"], day, ingested_at=stamp)["rows_written"] == out["rows_written"]
+        load_history(spark, p["proc1"], p["hist1"], day)
+        load_history(spark, p["proc1"], p["hist1"], day)     # a re-run changes nothing
         build_mart_tables(spark, p["hist1"], p["marts1"])
+    # both days' outputs are still whole after the second day was written
+    assert spark.read.parquet(p["proc1"]).count() == per_day
 
     process_day(spark, landing, p["proc2"], ingested_at=stamp)
     first = load_history(spark, p["proc2"], p["hist2"])
