@@ -96,3 +96,18 @@ def test_null_plus_present_equals_rows(spark):
     prof = null_profile(hist).first().asDict()
     present = hist.agg(*[F.count(c).alias(c) for c in hist.columns]).first().asDict()
     assert all(prof[c] + present[c] == n for c in hist.columns)
+
+
+def test_many_null_keys_spread_and_kept(spark):
+    rows = [(None if i % 3 == 0 else i, "x", f"t{i}", float(i), 0.0) for i in range(300)]
+    target = spark.createDataFrame(rows, DDL)
+    source = spark.createDataFrame(
+        [(None, "x", f"s{i}", 1.0, 1.0) for i in range(200)] + [(1, "x", "upd", 9.0, 9.0)], DDL)
+    merged = upsert(target, source, ["k1", "k2"], ["a", "b"])
+    assert merged.count() == 300 + 200
+    assert merged.filter(F.col("k1").isNull()).count() == 100 + 200
+    assert merged.filter(F.col("k1") == 1).first().a == "upd"
+    # the null-key rows land in more than one shuffle partition
+    t = target.withColumn("_salt", F.when(F.col("k1").isNull(), F.xxhash64("a")).otherwise(F.lit(0)))
+    parts = t.repartition(8, "k1", "k2", "_salt").filter(F.col("k1").isNull()).rdd.glom().map(len).collect()
+    assert sum(1 for n in parts if n) > 1
