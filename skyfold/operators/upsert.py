@@ -10,8 +10,8 @@ Semantics, per target row and source row on equal, non-null keys:
 Two plans give the same rows:
 
 * ``full_outer``: one shuffle join of target and source with presence flags.
-  General; the target is shuffled once. Rows with a null key are spread by a
-  salt so that many of them do not pile up in one task.
+  General; the target is shuffled once. Rows with a null key (which never
+  match) bypass the join, so many of them cannot pile up in one task.
 * ``small_source``: used only when the source row count is checked to be at
   most ``broadcast_max_rows``. The source keys are broadcast, so the target is
   scanned (twice, with a left-anti and a left-semi join) but never shuffled;
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.operators.dedup import dedup_by, duplicate_keys
+from skyfold.functions.sqltext import ident
 from skyfold.operators.filters import all_present
 
 
@@ -35,6 +36,8 @@ class DuplicateSourceKeyError(ValueError):
 
 
 def _any_null(keys: Sequence[str]) -> Column:
+    if keys:
+        return F.expr(" OR ".join(f"{ident(k)} IS NULL" for k in keys))
     cond = None
     for k in keys:
         term = F.col(k).isNull()
@@ -121,23 +124,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return _merge_full_outer(target, source, keys, update, columns)
 
 
-def _null_key_salt(keys: list[str], columns: list[str]) -> Column:
-    """0 for a row with all keys present; for a row with a null key, a hash of
-    the whole row. Rows with a null key never match, so the salt does not
-    change the result; as an extra join key it spreads them over the shuffle
-    partitions instead of sending them all to the partition of the null
-    hash. The hash is deterministic, so a retried task sees the same values."""
-    return F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in columns])).otherwise(F.lit(0))
-
-
 def _merge_full_outer(target: DataFrame, source: DataFrame, keys: list[str],
                       update: list[str], columns: list[str]) -> DataFrame:
-    t = target.withColumns({"_in_t": F.lit(True),
-                            "_salt": _null_key_salt(keys, columns)}).alias("t")
-    s = source.withColumns({"_in_s": F.lit(True),
-                            "_salt": _null_key_salt(keys, columns)}).alias("s")
+    # Rows with a null key never match: they bypass the join (a union, no
+    # shuffle) instead of all hashing to one shuffle partition. On Parquet
+    # the null test is pushed to the scan, and row groups without nulls in
+    # the keys are skipped by their statistics.
+    present, absent = all_present(keys), _any_null(keys)
+    t = target.filter(present).withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.filter(present).withColumn("_in_s", F.lit(True)).alias("s")
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    cond.append(F.col("t._salt") == F.col("s._salt"))
     joined = t.join(s, on=cond, how="full_outer")
     in_s = F.col("s._in_s").isNotNull()
     in_t = F.col("t._in_t").isNotNull()
@@ -147,7 +143,9 @@ def _merge_full_outer(target: DataFrame, source: DataFrame, keys: list[str],
             out.append(F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    return joined.select(*out)
+    return (joined.select(*out)
+            .unionByName(target.filter(absent).select(*columns))
+            .unionByName(source.filter(absent).select(*columns)))
 
 
 def _merge_small_source(target: DataFrame, source: DataFrame, keys: list[str],
