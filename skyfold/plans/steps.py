@@ -14,7 +14,8 @@ re-run on its own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from skyfold.operators.dedup import dedup_by
 from skyfold.operators.profile import null_profile, row_count, top_k, value_counts
@@ -57,14 +58,20 @@ def process_day(spark: SparkSession, landing: str, processed: str, day: str | No
     computed from the written Parquet, so the lineage runs once.
     """
     docs = read_snapshots(spark, landing, multi_line=multi_line, day=day)
-    docs = dedup_by(docs.drop(DATE_PARTITION), ["time", "part"])
+    kept = Observation("snapshots")
+    docs = (dedup_by(docs.drop(DATE_PARTITION), ["time", "part"])
+            .observe(kept, F.count(F.lit(1)).alias("documents")))
     rows = snapshot_rows(docs, ingested_at).withColumn(
         DATE_PARTITION, snapshot_day("snapshot_time", zone))
     written = write_partitions(rows, processed, DATE_PARTITION)
     stored = spark.read.parquet(processed)
     if day is not None:
         stored = select_day(stored, day)
-    return {"rows_written": written, "report": quality_report(stored.select(*HISTORY_COLUMNS))}
+    seen = kept.get
+    # documents kept after the dedup: one per snapshot (per part, when a
+    # snapshot was split at landing)
+    return {"rows_written": written, "documents": int(seen["documents"]),
+            "report": quality_report(stored.select(*HISTORY_COLUMNS))}
 
 
 def load_history(spark: SparkSession, processed: str, history: str, day: str | None = None) -> dict:

@@ -50,7 +50,7 @@ def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str,
         # recomputed from the batch's files.
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = merge_into(spark, history, rows)
+            result = merge_into(batch.sparkSession, history, rows)
         finally:
             rows.unpersist()
         stats["batches"] += 1

@@ -31,6 +31,7 @@ def test_day_by_day_equals_one_load(spark, tmp_dir):
         out = process_day(spark, landing, p["proc1"], day, ingested_at=stamp)
         report = out["report"]
         assert report["row_count"].first()[0] == out["rows_written"] > 0
+        assert 0 < out["documents"] <= 24      # one document per hourly snapshot
         per_day += out["rows_written"]
         # processing a day again replaces that day only
         assert process_day(spark, landing, p["proc1"], day, ingested_at=stamp)["rows_written"] == out["rows_written"]
