@@ -69,8 +69,18 @@ def local_date(ts: ColumnOrName, zone: str) -> Column:
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts)))
 
 
+def utc_day(name: str, type_name: str) -> Column:
+    """UTC calendar day of a timestamp column, whatever the session zone:
+    an instant (``timestamp``) through its epoch seconds, a wall-clock
+    ``timestamp_ntz`` (already UTC wall time) by its own date."""
+    if type_name == "timestamp_ntz":
+        return F.expr(f"to_date({ident(name)})")
+    return F.expr(f"date_from_unix_date(CAST(floor(unix_seconds({ident(name)}) / 86400) AS INT))")
+
+
 def utc_date(ts: ColumnOrName) -> Column:
-    """Day of a timestamp (``DATE(ts)``); the session zone is UTC."""
+    """Day of a timestamp (``DATE(ts)``) in the session zone; see ``utc_day``
+    for a zone-independent form."""
     return F.to_date(_col(ts))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions.aggregates import avg_2dp
-from skyfold.functions.scalar import utc_date
+from skyfold.functions.scalar import utc_day
 from skyfold.functions.sqltext import string_literal
 from skyfold.plans.preset import DOMESTIC, INTERNATIONAL, flight_type, speed_category
 from skyfold.schema import FACT_COLUMNS
@@ -52,9 +52,10 @@ def dim_flight_phases(history: DataFrame) -> DataFrame:
 
 
 def daily_summary(fact: DataFrame) -> DataFrame:
-    """Per day of ``ingested_at``. Two distinct counts plan as one Expand."""
+    """Per UTC day of ``ingested_at``. Two distinct counts plan as one Expand."""
+    stamp_type = fact.schema["ingested_at"].dataType.simpleString()
     return (fact.filter(F.col("ingested_at").isNotNull())
-            .groupBy(utc_date("ingested_at").alias("flight_date"))
+            .groupBy(utc_day("ingested_at", stamp_type).alias("flight_date"))
             .agg(F.expr("count(1)").alias("total_flights"),
                  F.countDistinct("icao24").alias("unique_aircraft"),
                  F.countDistinct("origin_country").alias("countries_represented"),

@@ -109,3 +109,20 @@ def test_avg_2dp_exact_ties(spark):
         "g string, x double")
     got = {r.g: r.a for r in df.repartition(3).groupBy("g").agg(avg_2dp("x").alias("a")).collect()}
     assert got == {"tie": 163.02, "neg": -0.02, "none": None, "big": 4745.18}
+
+
+def test_daily_key_independent_of_session_zone(spark):
+    from skyfold.plans.marts import daily_summary
+
+    fact = spark.createDataFrame(
+        [(dt.datetime(2026, 3, 8, 20, 0), "a", "India", True, "Domestic", 100.0, 1000.0)],
+        "ingested_at timestamp_ntz, icao24 string, origin_country string, on_ground boolean, "
+        "flight_type string, speed_kmh double, altitude_feet double")
+    # the same moment as an instant: 2026-03-08 20:00 UTC, already 9 March in Kolkata
+    ltz = fact.withColumn("ingested_at", F.timestamp_seconds(F.lit(1773000000)))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        days = {daily_summary(df).first().flight_date for df in (fact, ltz)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == {dt.date(2026, 3, 8)}
