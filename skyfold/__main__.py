@@ -35,11 +35,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--day", default=None)
     p.add_argument("--all-days", action="store_true")
     p.add_argument("--multi-line", action="store_true")
+    p.add_argument("--as-of", default=None, help="processing time to stamp, e.g. 2026-03-08T12:00:00")
     p = sub.add_parser("load")
     p.add_argument("--processed", required=True)
     p.add_argument("--history", required=True)
     p.add_argument("--day", default=None)
     p.add_argument("--all-days", action="store_true")
+    p.add_argument("--count-total", action="store_true")
     p = sub.add_parser("marts")
     p.add_argument("--history", required=True)
     p.add_argument("--marts", required=True)
@@ -82,11 +84,16 @@ def run(spark, args) -> dict:
 
     day = None if getattr(args, "all_days", False) else (getattr(args, "day", None) or today_local())
     if args.command == "process":
-        res = steps.process_day(spark, args.landing, args.processed, day, multi_line=args.multi_line)
+        from pyspark.sql import functions as F
+
+        stamp = F.lit(args.as_of).cast("timestamp") if args.as_of else None
+        res = steps.process_day(spark, args.landing, args.processed, day,
+                                ingested_at=stamp, multi_line=args.multi_line)
         report = {name: [r.asDict() for r in df.collect()] for name, df in res.pop("report").items()}
         return {**res, "day": day, "report": report}
     if args.command == "load":
-        return {**steps.load_history(spark, args.processed, args.history, day), "day": day}
+        return {**steps.load_history(spark, args.processed, args.history, day,
+                                     count_total=args.count_total), "day": day}
     if args.command == "marts":
         return steps.build_mart_tables(spark, args.history, args.marts)
     if args.command == "accumulate":

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from skyfold.operators.dedup import dedup_by
 from skyfold.operators.profile import null_profile, row_count, top_k, value_counts
 from skyfold.plans.marts import MART_BUILDERS
-from skyfold.plans.preset import snapshot_rows
+from skyfold.operators.shape import explode_states, map_slots
+from skyfold.plans.preset import clean
 from skyfold.plans.tables import (
     merge_into, read_history, replace_table, upsert_table, with_history_partition,
 )
@@ -58,30 +59,40 @@ def process_day(spark: SparkSession, landing: str, processed: str, day: str | No
     computed from the written Parquet, so the lineage runs once.
     """
     docs = read_snapshots(spark, landing, multi_line=multi_line, day=day)
-    kept = Observation("snapshots")
+    kept, mapped_seen = Observation("documents"), Observation("vectors")
     docs = (dedup_by(docs.drop(DATE_PARTITION), ["time", "part"])
             .observe(kept, F.count(F.lit(1)).alias("documents")))
-    rows = snapshot_rows(docs, ingested_at).withColumn(
+    mapped = (map_slots(explode_states(docs))
+              .observe(mapped_seen, F.count(F.lit(1)).alias("vectors")))
+    rows = clean(mapped, ingested_at).withColumn(
         DATE_PARTITION, snapshot_day("snapshot_time", zone))
     written = write_partitions(rows, processed, DATE_PARTITION)
     stored = spark.read.parquet(processed)
     if day is not None:
         stored = select_day(stored, day)
-    seen = kept.get
-    # documents kept after the dedup: one per snapshot (per part, when a
-    # snapshot was split at landing)
-    return {"rows_written": written, "documents": int(seen["documents"]),
+    vectors = int(mapped_seen.get["vectors"])
+    # Counted during the write, no extra pass: documents kept after the dedup
+    # (one per snapshot, or per part when a snapshot was split at landing),
+    # vectors before the required-columns filter, and the rows it dropped.
+    return {"rows_written": written, "documents": int(kept.get["documents"]),
+            "vectors": vectors, "rows_lost": vectors - written,
             "report": quality_report(stored.select(*HISTORY_COLUMNS))}
 
 
-def load_history(spark: SparkSession, processed: str, history: str, day: str | None = None) -> dict:
+def load_history(spark: SparkSession, processed: str, history: str, day: str | None = None,
+                 *, count_total: bool = False) -> dict:
     """Processed rows of one day (all days when ``day`` is None) → staging
-    view → history (create or merge) → drop the view."""
+    view → history (create or merge) → drop the view.
+
+    ``count_total`` adds the history's total row count (answered from the
+    Parquet footers, but it lists every file of the table)."""
     load_staging(spark, processed, STAGING_VIEW, day=day, columns=HISTORY_COLUMNS)
     try:
         result = merge_into(spark, history, with_history_partition(spark.table(STAGING_VIEW)))
     finally:
         drop_staging(spark, STAGING_VIEW)
+    if count_total:
+        result["total_rows"] = spark.read.parquet(history).count()
     return result
 
 

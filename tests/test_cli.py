@@ -27,10 +27,12 @@ def test_cli_steps(tmp_path):
                                                               indent=2))
     proc, hist, marts = (str(tmp_path / p) for p in ("processed", "history", "marts"))
     res = _run("process", "--landing", str(tmp_path / "raw"), "--processed", proc,
-               "--day", "2026-02-27", "--multi-line")
+               "--day", "2026-02-27", "--multi-line", "--as-of", "2026-02-27T12:00:00")
     assert res["rows_written"] == 3 and res["documents"] == 2
+    assert res["vectors"] == 3 and res["rows_lost"] == 0
     assert res["report"]["row_count"][0]["row_count"] == 3
     assert _run("load", "--processed", proc, "--history", hist, "--day", "2026-02-27")["created"] is True
-    assert _run("load", "--processed", proc, "--history", hist, "--day", "2026-02-27")["created"] is False
+    again = _run("load", "--processed", proc, "--history", hist, "--day", "2026-02-27", "--count-total")
+    assert again["created"] is False and again["total_rows"] == 3
     written = _run("marts", "--history", hist, "--marts", marts)
     assert written == {"fct_flights": 3, "dim_countries": 1, "dim_flight_phases": 1, "agg_flights_daily": 1}

@@ -32,6 +32,7 @@ def test_day_by_day_equals_one_load(spark, tmp_dir):
         report = out["report"]
         assert report["row_count"].first()[0] == out["rows_written"] > 0
         assert 0 < out["documents"] <= 24      # one document per hourly snapshot
+        assert out["vectors"] - out["rows_lost"] == out["rows_written"] and out["rows_lost"] > 0
         per_day += out["rows_written"]
         # processing a day again replaces that day only
         assert process_day(spark, landing, p["proc1"], day, ingested_at=stamp)["rows_written"] == out["rows_written"]
