@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--all-days", action="store_true")
     p.add_argument("--multi-line", action="store_true")
     p.add_argument("--as-of", default=None, help="processing time to stamp, e.g. 2026-03-08T12:00:00")
+    p.add_argument("--dated-folders", action="store_true", help="landing uses <root>/<yyyy-MM-dd>/ folders")
     p = sub.add_parser("load")
     p.add_argument("--processed", required=True)
     p.add_argument("--history", required=True)
@@ -88,7 +89,8 @@ def run(spark, args) -> dict:
 
         stamp = F.lit(args.as_of).cast("timestamp") if args.as_of else None
         res = steps.process_day(spark, args.landing, args.processed, day,
-                                ingested_at=stamp, multi_line=args.multi_line)
+                                ingested_at=stamp, multi_line=args.multi_line,
+                                dated_folders=args.dated_folders)
         report = {name: [r.asDict() for r in df.collect()] for name, df in res.pop("report").items()}
         return {**res, "day": day, "report": report}
     if args.command == "load":

@@ -50,7 +50,7 @@ def quality_report(rows: DataFrame) -> dict[str, DataFrame]:
 
 def process_day(spark: SparkSession, landing: str, processed: str, day: str | None = None, *,
                 zone: str = LOCAL_ZONE, ingested_at: Column | None = None,
-                multi_line: bool = False) -> dict:
+                multi_line: bool = False, dated_folders: bool = False) -> dict:
     """Read one local day's documents (every day when ``day`` is None), keep
     one per snapshot, clean the vectors and replace that day's output.
 
@@ -58,7 +58,8 @@ def process_day(spark: SparkSession, landing: str, processed: str, day: str | No
     landing, so re-processing a day replaces exactly that day. The report is
     computed from the written Parquet, so the lineage runs once.
     """
-    docs = read_snapshots(spark, landing, multi_line=multi_line, day=day)
+    docs = read_snapshots(spark, landing, multi_line=multi_line, day=day,
+                          dated_folders=dated_folders)
     kept, mapped_seen = Observation("documents"), Observation("vectors")
     docs = (dedup_by(docs.drop(DATE_PARTITION), ["time", "part"])
             .observe(kept, F.count(F.lit(1)).alias("documents")))

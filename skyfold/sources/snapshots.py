@@ -20,15 +20,22 @@ DATE_PARTITION = "ingest_date"
 
 
 def read_snapshots(spark: SparkSession, path: str, *, multi_line: bool = False,
-                   day: str | None = None) -> DataFrame:
+                   day: str | None = None, dated_folders: bool = False) -> DataFrame:
     """Every document under ``path`` as one row ``(time, part, states[, ingest_date])``.
 
     The schema is explicit, so no inference pass reads the files first. With
-    ``day`` only that ``ingest_date`` folder is listed and read.
+    ``day`` only that day's folder is listed and read: an ``ingest_date=``
+    partition (our landing), or, with ``dated_folders``, a plain
+    ``<path>/<yyyy-MM-dd>/`` folder as other landings write it.
     """
     reader = spark.read.schema(RAW_SCHEMA)
     if multi_line:
         reader = reader.option("multiLine", True)
+    if dated_folders:
+        if day is None:
+            raise ValueError("dated_folders needs a day")
+        return (reader.json(f"{path.rstrip('/')}/{day}")
+                .withColumn(DATE_PARTITION, F.lit(day).cast("date")))
     docs = reader.json(path)
     if day is not None:
         docs = select_day(docs, day)

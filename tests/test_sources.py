@@ -81,3 +81,12 @@ def test_day_selection_prunes_partitions(spark, tmp_dir):
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "ingest_date" in plan
     assert select_day(read_snapshots(spark, path), "2026-03-08").count() == 0
+
+
+def test_dated_folder_layout(spark, tmp_dir):
+    _write_docs(os.path.join(tmp_dir, "raw", "2026-03-08"), [{"time": 1772938472, "states": [SAMPLE]}])
+    _write_docs(os.path.join(tmp_dir, "raw", "2026-03-09"), [{"time": 1773038472, "states": [SAMPLE, SAMPLE]}])
+    docs = read_snapshots(spark, os.path.join(tmp_dir, "raw"), multi_line=True, day="2026-03-09",
+                          dated_folders=True)
+    rows = docs.collect()
+    assert [(r.time, len(r.states), str(r.ingest_date)) for r in rows] == [(1773038472, 2, "2026-03-09")]
