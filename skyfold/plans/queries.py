@@ -9,6 +9,7 @@ return what they read back.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -248,7 +249,7 @@ def table_first_run_then_upsert(spark, sf_dir):
     assert not table_exists(spark, history)
     merge_into(spark, history, with_history_partition(a))
     write_partitions(with_history_partition(b), staged, "snapshot_date")
-    view = "history_staging"
+    view = f"history_staging_{uuid.uuid4().hex[:12]}"
     staging = load_staging(spark, staged, view)
     merge_into(spark, history, spark.table(view).select(*staging.columns))
     drop_staging(spark, view)

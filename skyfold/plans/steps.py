@@ -14,6 +14,8 @@ re-run on its own.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,11 +89,12 @@ def load_history(spark: SparkSession, processed: str, history: str, day: str | N
 
     ``count_total`` adds the history's total row count (answered from the
     Parquet footers, but it lists every file of the table)."""
-    load_staging(spark, processed, STAGING_VIEW, day=day, columns=HISTORY_COLUMNS)
+    view = f"{STAGING_VIEW}_{uuid.uuid4().hex[:12]}"   # one per load: loads may run side by side
+    load_staging(spark, processed, view, day=day, columns=HISTORY_COLUMNS)
     try:
-        result = merge_into(spark, history, with_history_partition(spark.table(STAGING_VIEW)))
+        result = merge_into(spark, history, with_history_partition(spark.table(view)))
     finally:
-        drop_staging(spark, STAGING_VIEW)
+        drop_staging(spark, view)
     if count_total:
         result["total_rows"] = spark.read.parquet(history).count()
     return result
