@@ -7,7 +7,6 @@ ANSI mode as shipped with Spark 4, adaptive execution on.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,17 +64,3 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     run = f"work-{uuid.uuid4().hex[:12]}"
     return "/".join([base, run, *parts])
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few places that need an OS path."""
-    if path.startswith("file:"):
-        return "/" + path[len("file:"):].lstrip("/")
-    return path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
