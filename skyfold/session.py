@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     # One day of snapshots arrives as many small JSON files; pack several
     # files into one read task instead of one task per file.
     "spark.sql.files.openCostInBytes": str(1 << 20),
+    # Checkpoint files (merge inputs materialised once) are removed when no
+    # DataFrame refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
