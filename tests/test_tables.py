@@ -70,3 +70,15 @@ def test_retention(spark, tmp_dir):
     assert removed and all(r < "d=2001-05-03" for r in removed)
     left = spark.read.parquet(path)
     assert left.count() == kept.count()
+
+
+def test_exists_and_drop_staging(spark, tmp_dir):
+    from skyfold.sources import drop_staging, load_staging
+
+    assert drop_staging(spark, "no_such_view") is False          # missing: not an error
+    path = os.path.join(tmp_dir, "t")
+    spark.range(3).write.parquet(path)
+    assert table_exists(spark, path) and not table_exists(spark, os.path.join(tmp_dir, "missing"))
+    load_staging(spark, path, "stage_x")
+    assert table_exists(spark, "stage_x")
+    assert drop_staging(spark, "stage_x") is True and not table_exists(spark, "stage_x")
