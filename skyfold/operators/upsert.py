@@ -12,8 +12,8 @@ Two plans give the same rows:
 * ``full_outer``: one shuffle join of target and source with presence flags.
   General; the target is shuffled once. Rows with a null key (which never
   match) bypass the join, so many of them cannot pile up in one task.
-* ``small_source``: used only when the source row count is checked to be at
-  most ``broadcast_max_rows``. The source keys are broadcast, so the target is
+* ``small_source``: used only when the source is checked to have at most
+  ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of key text. The source keys are broadcast, so the target is
   scanned (twice, with a left-anti and a left-semi join) but never shuffled;
   the matched part of the target is no larger than the source and is broadcast
   back to the source.
@@ -68,20 +68,27 @@ def unique_source(source: DataFrame, keys: Sequence[str],
 
 def source_stats(source: DataFrame, keys: Sequence[str], partition_col: str | None = None) -> dict:
     """One job over the source: row count, the largest number of rows sharing
-    one non-null key, and (optionally) the distinct values of a partition
-    column that is a function of the key."""
+    one non-null key, the size of the distinct keys as text (an upper bound
+    on what the broadcast plan ships), and (optionally) the distinct values
+    of a partition column that is a function of the key."""
     keys = list(keys)
     group = keys + ([partition_col] if partition_col and partition_col not in keys else [])
     per_key = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_c"),
                                          all_present(keys).alias("_keyed"))
+    key_bytes = None
+    for k in keys:
+        term = F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
+        key_bytes = term if key_bytes is None else key_bytes + term
     aggs = [F.sum("_c").alias("rows"),
-            F.max(F.when(F.col("_keyed"), F.col("_c"))).alias("max_copies")]
+            F.max(F.when(F.col("_keyed"), F.col("_c"))).alias("max_copies"),
+            F.sum(key_bytes).alias("key_bytes")]
     if partition_col:
         # one value per partition (days): a short list
         aggs += [F.collect_set(partition_col).alias("touched"),
                  F.max(F.col(partition_col).isNull()).alias("null_partition")]
     row = per_key.agg(*aggs).first()
-    out = {"rows": int(row["rows"] or 0), "max_copies": int(row["max_copies"] or 0)}
+    out = {"rows": int(row["rows"] or 0), "max_copies": int(row["max_copies"] or 0),
+           "key_bytes": int(row["key_bytes"] or 0)}
     if partition_col:
         out["touched"] = list(row["touched"]) + ([None] if row["null_partition"] else [])
     return out
@@ -92,7 +99,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            dedup_order: str | Sequence[str] | None = None,
            check_unique: bool = True,
            broadcast_max_rows: int = 0,
-           source_rows: int | None = None) -> DataFrame:
+           broadcast_max_bytes: int = 256 << 20,
+           source_rows: int | None = None,
+           source_key_bytes: int | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``; see the module notes.
 
     ``update`` defaults to every non-key column. The result has the target's
@@ -110,16 +119,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if dedup_order is not None:
         source = unique_source(source, keys, dedup_order)
     need_check = dedup_order is None and check_unique
-    need_count = broadcast_max_rows > 0 and source_rows is None
-    if need_check or need_count:
+    need_size = broadcast_max_rows > 0 and (source_rows is None or source_key_bytes is None)
+    if need_check or need_size:
         # One job answers both questions: duplicate keys and source size.
         stats = source_stats(source, keys)
         if need_check and stats["max_copies"] > 1:
             raise DuplicateSourceKeyError(
                 f"source has {stats['max_copies']} rows for one key of {keys}")
-        if source_rows is None:
-            source_rows = stats["rows"]
-    if broadcast_max_rows > 0 and source_rows <= broadcast_max_rows:
+        source_rows = stats["rows"] if source_rows is None else source_rows
+        source_key_bytes = stats["key_bytes"] if source_key_bytes is None else source_key_bytes
+    if (broadcast_max_rows > 0 and source_rows <= broadcast_max_rows
+            and source_key_bytes <= broadcast_max_bytes):
         return _merge_small_source(target, source, keys, keep, columns)
     return _merge_full_outer(target, source, keys, update, columns)
 

@@ -92,7 +92,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
     target = touched_partitions(spark, path, partition_col, touched)
     merged = upsert(target, source.select(*target.columns), keys, update,
                     check_unique=False, broadcast_max_rows=broadcast_max_rows,
-                    source_rows=stats["rows"])
+                    source_rows=stats["rows"], source_key_bytes=stats["key_bytes"])
     written = write_partitions(merged, path, partition_col)
     return {"created": False, "rows_written": written, "partitions": len(touched)}
 

@@ -111,3 +111,14 @@ def test_many_null_keys_spread_and_kept(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     join_part = plan[plan.index("SortMergeJoin"):] if "SortMergeJoin" in plan else plan
     assert "isnotnull(k1" in join_part
+
+
+def test_broadcast_plan_needs_both_bounds(spark):
+    target = spark.createDataFrame([(1, "x", "t", 1.0, 1.0)], DDL)
+    source = spark.createDataFrame([(1, "x", "s", 2.0, 2.0), (2, "y" * 100, "i", 3.0, 3.0)], DDL)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small = upsert(target, source, ["k1", "k2"], ["a", "b"], broadcast_max_rows=10)
+    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" not in plan(small)
+    wide = upsert(target, source, ["k1", "k2"], ["a", "b"], broadcast_max_rows=10, broadcast_max_bytes=50)
+    assert "SortMergeJoin" in plan(wide) or "ShuffledHashJoin" in plan(wide)
+    assert _rows(small) == _rows(wide)
