@@ -70,9 +70,10 @@ def pack_snapshots(rows: DataFrame, time: str, vector: Sequence[Column], spread:
     else splits a skewed key).
     """
     vec = F.array(*[c.cast("string") for c in vector])
-    sized = rows.groupBy(time).agg(F.count(F.lit(1)).alias("_n"))
+    sized = rows.groupBy(F.col(time).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_per_doc))).cast("int")
-    tagged = (rows.join(sized, on=time, how="inner")
+    # null-safe: rows without a time form one document of their own, none is lost
+    tagged = (rows.join(sized, on=rows[time].eqNullSafe(sized["_t"]), how="inner")
                   .select(F.col(time).alias("time"),
                           F.pmod(F.xxhash64(F.col(spread)), parts).cast("int").alias("part"),
                           vec.alias("_v")))

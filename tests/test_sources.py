@@ -90,3 +90,9 @@ def test_dated_folder_layout(spark, tmp_dir):
                           dated_folders=True)
     rows = docs.collect()
     assert [(r.time, len(r.states), str(r.ingest_date)) for r in rows] == [(1773038472, 2, "2026-03-09")]
+
+
+def test_pack_keeps_rows_without_time(spark):
+    rows = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (3600, 3, "c")], "t bigint, rid bigint, v string")
+    docs = pack_snapshots(rows, "t", [F.col("v")], spread="rid").collect()
+    assert sorted((d.time is None, len(d.states)) for d in docs) == [(False, 1), (True, 2)]
