@@ -21,20 +21,18 @@ from pyspark.sql import functions as F
 
 from skyfold.operators.dedup import dedup_by
 from skyfold.operators.profile import null_profile, row_count, top_k, value_counts
-from skyfold.plans.marts import MART_BUILDERS
 from skyfold.operators.shape import explode_states, map_slots
-from skyfold.plans.preset import clean
+from skyfold.plans.marts import MART_BUILDERS
+from skyfold.plans.preset import LOCAL_ZONE, clean
 from skyfold.plans.tables import (
     merge_into, read_history, replace_table, upsert_table, with_history_partition,
 )
 from skyfold.schema import DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS
-from skyfold.plans.preset import LOCAL_ZONE
 from skyfold.sources.parquet import drop_staging, load_staging, write_partitions
 from skyfold.sources.snapshots import DATE_PARTITION, read_snapshots, select_day, snapshot_day
 
 STAGING_VIEW = "history_staging"
-# Marts replaced as a whole each run; the daily summary is merged instead.
-REPLACED_MARTS = ("fct_flights", "dim_countries", "dim_flight_phases")
+# The daily summary is merged by day; every other mart is replaced whole.
 MERGED_MART = "agg_flights_daily"
 
 
