@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,22 +19,23 @@ def _names(cols: str | Sequence[str]) -> list[str]:
 
 
 def dedup_by(df: DataFrame, keys: str | Sequence[str],
-             order: str | Sequence[str] | None = None) -> DataFrame:
+             order: str | Column | Sequence[str | Column] | None = None) -> DataFrame:
     """One row per key.
 
     Without ``order`` any row of the key may survive (``dropDuplicates``).
-    With ``order`` the row with the smallest order value is kept; give a
+    With ``order`` (column names or expressions, e.g. ``-F.col("t")`` for the
+    largest ``t``) the row with the smallest order value is kept; give a
     unique tie-break column for a repeatable result. Null keys form one group,
     as in ``dropDuplicates``.
     """
     keys = _names(keys)
     if order is None:
         return df.dropDuplicates(keys)
-    order = _names(order)
+    order = [order] if isinstance(order, (str, Column)) else list(order)
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(keys)
-    ranked = F.struct(*[F.col(c) for c in order])
+    ranked = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
     kept = (df.groupBy(*keys)
               .agg(F.min_by(F.struct(*[F.col(c) for c in others]), ranked).alias("_kept")))
     return kept.select(*keys, "_kept.*").select(*df.columns)

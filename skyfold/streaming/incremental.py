@@ -29,9 +29,13 @@ from skyfold.schema import RAW_SCHEMA
 def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str, *,
                ingested_at: Column | None = None, multi_line: bool = False,
                doc_keys: Sequence[str] = ("time", "part"),
+               key_order: str | Column | Sequence[str | Column] | None = None,
                max_files_per_trigger: int | None = None) -> dict:
     """Process every landed file not yet seen, then stop (``availableNow``).
 
+    Two rows with one key in a batch stop the run, as a MERGE would, unless
+    ``key_order`` gives the columns or expressions that pick one (smallest
+    first; ``-F.col("last_contact")`` keeps the newest report).
     Returns a summary of the run: batches and rows merged.
     """
     reader = spark.readStream.schema(RAW_SCHEMA)
@@ -50,7 +54,7 @@ def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str,
         # recomputed from the batch's files.
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = merge_into(batch.sparkSession, history, rows)
+            result = merge_into(batch.sparkSession, history, rows, dedup_order=key_order)
         finally:
             rows.unpersist()
         stats["batches"] += 1

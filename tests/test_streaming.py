@@ -49,3 +49,27 @@ def test_catch_up_equals_full_load(spark, tmp_dir):
 
     a, b = _rows(read_history(spark, hist1)), _rows(read_history(spark, hist2))
     assert a == b and len(a) > 0
+
+
+def test_duplicate_keys_in_a_batch(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    vec = ["a1", "OLDER", "India", "1.0", "2.0", "77.0", "20.0", "100.0", "false", "10.0", "0.0", "0.0",
+           None, "100.0", "0001", None, "1"]
+    newer = list(vec)
+    newer[1], newer[3], newer[4] = "NEWER", "5.0", "3.0"   # a later report of the same aircraft
+    docs = spark.createDataFrame([(7200, 0, [vec]), (7200, 1, [newer])],
+                                 "time bigint, part int, states array<array<string>>")
+    first, both = os.path.join(tmp_dir, "l0"), os.path.join(tmp_dir, "l1")
+    land_snapshots(docs.filter("part = 0"), first, "Asia/Kolkata")
+    land_snapshots(docs, both, "Asia/Kolkata")
+    hist = os.path.join(tmp_dir, "h")
+    accumulate(spark, first, hist, os.path.join(tmp_dir, "c0"), ingested_at=stamp())
+    with pytest.raises(StreamingQueryException):       # two rows for one key: a MERGE error
+        accumulate(spark, both, hist, os.path.join(tmp_dir, "c1"), ingested_at=stamp())
+    accumulate(spark, both, hist, os.path.join(tmp_dir, "c2"), ingested_at=stamp(),
+               key_order=[-F.col("last_contact")])      # the newest report wins
+    rows = read_history(spark, hist).collect()
+    assert len(rows) == 1 and rows[0].callsign == "NEWER"
+    assert (rows[0].time_position, rows[0].last_contact) == (1.0, 2.0)   # kept from the stored row
