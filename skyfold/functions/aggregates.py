@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from skyfold.functions.sqltext import ident
 
+# Low bits per partial sum (see avg_2dp).
+_SPLIT_BITS = 16
+
 
 def avg_2dp(c: str | Column) -> Column:
     """``ROUND(AVG(c), 2)`` computed exactly, for values with at most two
@@ -14,24 +17,27 @@ def avg_2dp(c: str | Column) -> Column:
 
     A floating-point average depends on the order of summation, which changes
     with the partitioning; near a tie (x.xx5) it then rounds either way. Here
-    the values are summed as whole cents in ``decimal(38,0)`` (exact, no
-    overflow) and the quotient is rounded half away from zero in integer
-    arithmetic, so the result is the same on any cluster layout. Nulls are
+    every value becomes whole cents (a ``bigint``) and the cents are summed
+    exactly; the quotient is rounded half away from zero in integer
+    arithmetic, so the result is the same on any cluster layout.
+
+    The per-row work stays in ``bigint``: the cents are split into a high part
+    (``cents >> 16``) and a low part (``cents & 0xFFFF``) summed separately,
+    which cannot overflow below about 10^14 rows per group, and the two sums
+    are recombined in ``decimal(38,0)`` once per group. (A ``decimal`` sum
+    buffer wider than 18 digits would cost an allocation per row.) Nulls are
     skipped; no value gives null.
     """
-    if isinstance(c, str):
-        cents = f"CAST(round({ident(c)} * 100.0D) AS DECIMAL(38,0))"
-        total, n = f"sum({cents})", f"CAST(count({cents}) AS DECIMAL(38,0))"
-        num, den = f"(abs({total}) * 2 + {n})", f"({n} * 2)"
-        quotient = f"CAST(({num} - {num} % {den}) / {den} AS DOUBLE)"
-        return F.expr(f"CASE WHEN {n} > 0 THEN (CASE WHEN {total} < 0 THEN -{quotient} "
-                      f"ELSE {quotient} END) / 100.0D END")
-    col = F.col(c) if isinstance(c, str) else c
-    cents = F.round(col * F.lit(100.0)).cast("decimal(38,0)")
-    total = F.sum(cents)
-    n = F.count(cents).cast("decimal(38,0)")
-    num = F.abs(total) * 2 + n
-    den = n * 2
-    quotient = ((num - num % den) / den).cast("double")
-    signed = F.when(total < 0, -quotient).otherwise(quotient)
-    return F.when(n > 0, signed / F.lit(100.0))
+    if not isinstance(c, str):
+        raise TypeError("avg_2dp takes a column name")
+    # x * 100 lies within rounding error of a whole number, so rint (no
+    # BigDecimal, unlike round) gives the same integer.
+    cents = f"CAST(rint({ident(c)} * 100.0D) AS BIGINT)"
+    hi = f"sum(shiftright({cents}, {_SPLIT_BITS}))"
+    lo = f"sum({cents} & {(1 << _SPLIT_BITS) - 1})"
+    n = f"CAST(count({cents}) AS DECIMAL(38,0))"
+    total = f"(CAST({hi} AS DECIMAL(38,0)) * {1 << _SPLIT_BITS} + {lo})"
+    num, den = f"(abs({total}) * 2 + {n})", f"({n} * 2)"
+    quotient = f"CAST(({num} - {num} % {den}) / {den} AS DOUBLE)"
+    return F.expr(f"CASE WHEN {n} > 0 THEN (CASE WHEN {total} < 0 THEN -{quotient} "
+                  f"ELSE {quotient} END) / 100.0D END")

@@ -105,10 +105,12 @@ def test_avg_2dp_exact_ties(spark):
 
     df = spark.createDataFrame(
         [("tie", 163.01), ("tie", 163.02), ("neg", -0.01), ("neg", -0.02), ("none", None),
-         ("big", 4745.17), ("big", 4745.18), ("big", 4745.18), ("big", 4745.17)],
+         ("big", 4745.17), ("big", 4745.18), ("big", 4745.18), ("big", 4745.17),
+         ("negbig", -1000.05), ("negbig", -1000.06), ("mixed", -700.01), ("mixed", 1400.04)],
         "g string, x double")
     got = {r.g: r.a for r in df.repartition(3).groupBy("g").agg(avg_2dp("x").alias("a")).collect()}
-    assert got == {"tie": 163.02, "neg": -0.02, "none": None, "big": 4745.18}
+    assert got == {"tie": 163.02, "neg": -0.02, "none": None, "big": 4745.18,
+                   "negbig": -1000.06, "mixed": 350.02}
 
 
 def test_daily_key_independent_of_session_zone(spark):
