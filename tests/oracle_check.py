@@ -105,7 +105,12 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = build_session("local[8]")
+    if os.environ.get("PLAIN_SESSION"):
+        # A session with Spark's defaults only, as a caller might bring.
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session("local[8]")
     con = duck_connection(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
