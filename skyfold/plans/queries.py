@@ -224,8 +224,13 @@ def retention_90d(spark, sf_dir):
 
 # -- upserts -----------------------------------------------------------------
 
-def _batches(spark, sf_dir):
+def _batches(spark, sf_dir, materialize: bool = False):
+    """Batches A and B of the keyed rows. Flows that run several jobs over
+    them materialise the keyed rows once (shared checkpoint folder) instead of
+    repeating the dedup over all events in every job."""
     keyed = fx.keyed_history(_events(spark, sf_dir)).drop("event_id")
+    if materialize:
+        keyed = keyed.checkpoint(eager=True)
     return fx.batch_a(keyed), fx.batch_b(keyed)
 
 
@@ -243,7 +248,7 @@ def upsert_small_source(spark, sf_dir):
 def table_first_run_then_upsert(spark, sf_dir):
     """Batch A creates the table (it does not exist yet), batch B is loaded
     through a staging view and merged into the touched partitions only."""
-    a, b = _batches(spark, sf_dir)
+    a, b = _batches(spark, sf_dir, materialize=True)
     history = work_path(spark, "history")
     staged = work_path(spark, "staging")
     assert not table_exists(spark, history)
@@ -257,7 +262,7 @@ def table_first_run_then_upsert(spark, sf_dir):
 
 
 def upsert_daily(spark, sf_dir):
-    a, b = _batches(spark, sf_dir)
+    a, b = _batches(spark, sf_dir, materialize=True)
     path = work_path(spark, "agg_flights_daily")
     upsert_table(spark, path, daily_summary(fact_flights(a)), DAILY_KEYS)
     upsert_table(spark, path, daily_summary(fact_flights(b)), DAILY_KEYS, DAILY_MEASURES)
