@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.functions.scalar import local_date
+from skyfold.functions.sqltext import ident, literal
 from skyfold.schema import RAW_SCHEMA
 
 DATE_PARTITION = "ingest_date"
@@ -52,10 +52,11 @@ def non_empty(docs: DataFrame, states: str = "states") -> DataFrame:
     return docs.filter(F.coalesce(F.size(F.col(states)) > 0, F.lit(False)))
 
 
-def snapshot_day(time: str | Column, zone: str) -> Column:
-    """Local calendar day, in ``zone``, of epoch seconds."""
-    t = F.col(time) if isinstance(time, str) else time
-    return local_date(F.timestamp_seconds(t).cast("timestamp_ntz"), zone)
+def snapshot_day(time: str, zone: str) -> Column:
+    """Local calendar day, in ``zone``, of epoch seconds, whatever the session
+    zone (the UTC wall time is built by arithmetic, not by a zone cast)."""
+    utc_wall = f"timestampadd(SECOND, {ident(time)}, TIMESTAMP_NTZ '1970-01-01 00:00:00')"
+    return F.expr(f"to_date(convert_timezone('UTC', {literal(zone)}, {utc_wall}))")
 
 
 def pack_snapshots(rows: DataFrame, time: str, vector: Sequence[Column], spread: str,

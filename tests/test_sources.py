@@ -96,3 +96,16 @@ def test_pack_keeps_rows_without_time(spark):
     rows = spark.createDataFrame([(None, 1, "a"), (None, 2, "b"), (3600, 3, "c")], "t bigint, rid bigint, v string")
     docs = pack_snapshots(rows, "t", [F.col("v")], spread="rid").collect()
     assert sorted((d.time is None, len(d.states)) for d in docs) == [(False, 1), (True, 2)]
+
+
+def test_snapshot_day_independent_of_session_zone(spark):
+    from skyfold.sources import snapshot_day
+
+    df = spark.createDataFrame([(1772998200,), (1773000000,), (1772937000,)], "t bigint")
+    expect = ["2026-03-09", "2026-03-09", "2026-03-08"]   # 19:30 and 20:00 UTC; 02:30 UTC
+    for zone in ("UTC", "America/Los_Angeles"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert [str(r.d) for r in df.select(snapshot_day("t", "Asia/Kolkata").alias("d")).collect()] == expect
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
