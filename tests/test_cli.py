@@ -36,3 +36,8 @@ def test_cli_steps(tmp_path):
     assert again["created"] is False and again["total_rows"] == 3
     written = _run("marts", "--history", hist, "--marts", marts)
     assert written == {"fct_flights": 3, "dim_countries": 1, "dim_flight_phases": 1, "agg_flights_daily": 1}
+    # retention: every processed day older than 90 days before the as-of date goes
+    removed = _run("expire", "--table", proc, "--column", "ingest_date", "--days", "90", "--as-of", "2026-06-30")
+    assert removed == {"removed": ["ingest_date=2026-02-27"]}
+    kept = _run("expire", "--table", proc, "--column", "ingest_date", "--days", "90", "--as-of", "2026-06-30")
+    assert kept == {"removed": []}
