@@ -13,10 +13,10 @@ Two plans give the same rows:
   General; the target is shuffled once. Rows with a null key (which never
   match) bypass the join, so many of them cannot pile up in one task.
 * ``small_source``: used only when the source is checked to have at most
-  ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of key text. The source keys are broadcast, so the target is
-  scanned (twice, with a left-anti and a left-semi join) but never shuffled;
-  the matched part of the target is no larger than the source and is broadcast
-  back to the source.
+  ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of key text. The
+  source keys are broadcast, so the target is scanned (twice, with a
+  left-anti and a left-semi join) but never shuffled; the matched part of the
+  target then meets the source in a join that AQE plans from measured sizes.
 """
 
 from __future__ import annotations
@@ -164,7 +164,11 @@ def _merge_small_source(target: DataFrame, source: DataFrame, keys: list[str],
     untouched = target.join(source_keys, on=keys, how="left_anti")
     matched = (target.join(source_keys, on=keys, how="left_semi")
                      .select(*keys, *keep, F.lit(True).alias("_in_t")))
-    t = F.broadcast(matched).alias("t")
+    # No broadcast hint: the matched rows are as many as the source only while
+    # the target keys are unique, which nothing here proves. AQE broadcasts
+    # them when their measured size is small; the target itself is never
+    # shuffled either way (it only meets the broadcast source keys).
+    t = matched.alias("t")
     s = source.alias("s")
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     in_t = F.col("t._in_t").isNotNull()

@@ -24,8 +24,8 @@ from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
 from skyfold.sources.parquet import hadoop_fs, path_exists, write_partitions
 
 HISTORY_PARTITION = "snapshot_date"
-# Upper bound on source rows for the broadcast merge plan (keys only are
-# broadcast, plus the matched target rows, which are no more than these).
+# Upper bound on source rows for the broadcast merge plan (only the source
+# keys are broadcast; see skyfold.operators.upsert).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 

@@ -118,7 +118,7 @@ def test_broadcast_plan_needs_both_bounds(spark):
     source = spark.createDataFrame([(1, "x", "s", 2.0, 2.0), (2, "y" * 100, "i", 3.0, 3.0)], DDL)
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     small = upsert(target, source, ["k1", "k2"], ["a", "b"], broadcast_max_rows=10)
-    assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" not in plan(small)
+    assert "LeftAnti, BuildRight" in plan(small) and "FullOuter" not in plan(small)
     wide = upsert(target, source, ["k1", "k2"], ["a", "b"], broadcast_max_rows=10, broadcast_max_bytes=50)
-    assert "SortMergeJoin" in plan(wide) or "ShuffledHashJoin" in plan(wide)
+    assert "FullOuter" in plan(wide) and "LeftAnti" not in plan(wide)
     assert _rows(small) == _rows(wide)
