@@ -72,11 +72,14 @@ def _close(a, b):
 def compare(spark, con, name, build, sql, sf_dir):
     t0 = time.time()
     df = build(spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    python_udf = any(op in plan for op in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython"))
     s_cols, s_rows = spark_rows(df)
     t1 = time.time()
     d_cols, d_rows = duck_rows(con, sql)
     res = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows),
-           "columns_match": s_cols == d_cols, "spark_sec": round(t1 - t0, 2)}
+           "columns_match": s_cols == d_cols, "spark_sec": round(t1 - t0, 2),
+           "python_udf": python_udf}
     if s_cols != d_cols:
         res["spark_cols"], res["oracle_cols"] = s_cols, d_cols
         res["exact"] = res["close"] = False
