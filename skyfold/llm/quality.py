@@ -24,6 +24,7 @@ BITS = 18
 SHARD_ROWS = 2_500
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _MASK = (1 << BITS) - 1
+_AGAIN = np.uint64(crc32(b"<again>"))
 
 
 class _Hashes(dict):
@@ -40,13 +41,15 @@ _hashes = _Hashes()
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words, punctuation marks and their bigrams: (slots, values), values of length one."""
+    """Hashed words, punctuation marks, their bigrams and repeats: (slots, values), values of length one."""
     tokens = _TOKEN.findall(text) if text else []
     if not tokens:
         return np.empty(0, dtype=np.int64), np.empty(0)
     h = np.fromiter(map(_hashes.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     pairs = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    slots = np.concatenate([h, pairs >> np.uint64(20)]) & np.uint64(_MASK)
+    # A word twice running counts as its own bigram and as "some word again".
+    again = np.full(int((h[:-1] == h[1:]).sum()), _AGAIN, dtype=np.uint64)
+    slots = np.concatenate([h, pairs >> np.uint64(20), again]) & np.uint64(_MASK)
     slots, counts = np.unique(slots.astype(np.int64), return_counts=True)
     return slots, counts / np.sqrt((counts.astype(float) ** 2).sum())
 
