@@ -280,11 +280,16 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """``docs`` without the documents in which :func:`contaminated` finds an item; columns as they are."""
     out = docs
     for index in _indexes(benchmark, item_col, item_text_col, shingle_words, threshold, radius, block_chars):
+        out = out.filter(_holds_none(index)(F.col(text_col)))
+    return out
 
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series([not index.value.search(t) for t in texts], dtype=bool)
 
-        out = out.filter(clean(F.col(text_col)))
-    return out
+def _holds_none(index):
+    """Column function: whether no item of an index is in a text."""
+
+    @F.pandas_udf("boolean")
+    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([not index.value.search(t) for t in texts], dtype=bool)
+
+    return udf

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -40,81 +41,101 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
+class _Rows(dict):
+    """Row of each word's scores; an unseen word gets the next row on its first use."""
+
+    def __init__(self, model: LanguageModel):
+        super().__init__(model.words)
+        self.model, self.known = model, len(model.words)
+        self.scores = np.empty((self.known + _CACHE, len(model.languages)))
+        self.scores[:self.known] = model.word_scores
+        self.next = self.known
+
+    def reserve(self, n: int) -> None:
+        """Room for n unseen words; the remembered ones go when there is none."""
+        if self.next + n > len(self.scores):
+            self.clear()
+            self.update(self.model.words)
+            self.next = self.known
+            if self.known + n > len(self.scores):
+                self.scores = np.resize(self.scores, (self.known + n, self.scores.shape[1]))
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = self.next
+        self.scores[row] = self.model.backoff(word)
+        self.next += 1
+        return row
+
+
 @dataclass
 class LanguageModel:
     """Log frequencies per language of known words and character n-grams."""
 
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]             # row in word_scores
+    word_scores: np.ndarray
+    grams: dict[str, int]             # row in gram_scores
+    gram_scores: np.ndarray
     max_n: int
-    floor: float                      # log frequency of a letter no language has
-    cache: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
-
-    def word_score(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        known = self.cache.get(word)
-        if known is None:
-            if len(self.cache) >= _CACHE:
-                self.cache.clear()
-            known = self.cache[word] = self._backoff(word)
-        return known
-
-    def _backoff(self, word: str) -> np.ndarray:
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "rows"}
+
+    @cached_property
+    def rows(self) -> _Rows:
+        return _Rows(self)
+
+    def backoff(self, word: str) -> np.ndarray:
         """Mean over the places of a word of the longest known n-gram that starts there."""
-        padded = f"^{word}$"
-        total = np.zeros(len(self.languages))
+        padded, known, found = f"^{word}$", self.grams.get, []
         for i in range(len(padded) - 1):
-            for n in range(min(self.max_n, len(padded) - i), 0, -1):
-                hit = self.grams.get(padded[i:i + n])
-                if hit is not None:
-                    total += hit
+            for n in range(self.max_n, 0, -1):
+                row = known(padded[i:i + n])
+                if row is not None:
+                    found.append(row)
                     break
             else:
-                total += self.floor
-        return total / (len(padded) - 1)
+                found.append(-1)  # the last row: a letter no language has
+        return np.add.reduce(self.gram_scores[found], axis=0) / len(found)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its posterior; UNDETERMINED and 0 without a letter or a model."""
-        counts = Counter(words_of(text))
-        if not counts or not self.languages:
+        words = words_of(text)
+        if not words or not self.languages:
             return UNDETERMINED, 0.0
-        total = np.zeros(len(self.languages))
-        for word, n in counts.items():
-            total += n * self.word_score(word)
-        total -= total.max()
-        p = np.exp(total)
+        rows = self.rows
+        rows.reserve(len(words))
+        at = np.fromiter(map(rows.__getitem__, words), dtype=np.int64, count=len(words))
+        total = rows.scores[at].sum(axis=0)
+        p = np.exp(total - total.max())
         best = int(np.argmax(p))
         return self.languages[best], float(p[best] / p.sum())
 
 
-def _count_batches(max_n: int):
-    """Partial counts per language: words (n = 0) and character n-grams of distinct words."""
+def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for lang, part in pdf.groupby("lang"):
+            words: Counter = Counter()
+            for text in part["text"]:
+                words.update(words_of(text))
+            yield pd.DataFrame({"lang": lang, "gram": list(words), "c": list(words.values())})
+
 
+def _count_grams(max_n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
             for lang, part in pdf.groupby("lang"):
-                words: Counter = Counter()
-                for text in part["text"]:
-                    words.update(words_of(text))
-                grams: list[Counter] = [Counter() for _ in range(max_n + 1)]
-                for word, n in words.items():
-                    for size in range(1, max_n + 1):
+                for size in range(1, max_n + 1):
+                    grams: dict[str, int] = defaultdict(int)
+                    for word, c in zip(part["gram"], part["c"]):
                         for g in grams_of(word, size):
-                            grams[size][g] += n
-                grams[0] = words
-                for size, c in enumerate(grams):
-                    out.append(pd.DataFrame({"lang": lang, "n": size, "gram": list(c), "c": list(c.values())}))
-            if out:
-                yield pd.concat(out)
+                            grams[g] += c
+                    yield pd.DataFrame({"n": size, "lang": lang, "gram": list(grams), "c": list(grams.values())})
 
     return run
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 50_000,
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_words: int = 100_000,
           max_grams: int = 50_000, max_n: int = 4) -> LanguageModel:
     """Count all of ``docs`` (null languages and texts aside) and keep the typical entries.
 
@@ -124,14 +145,17 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_w
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter(
         "lang IS NOT NULL AND text IS NOT NULL")
-    counts = (rows.mapInPandas(_count_batches(max_n), "lang string, n int, gram string, c long")
-              .groupBy("n", "gram", "lang").agg(F.sum("c").alias("c")))
-    counts = materialise(counts, "language_counts")
+    words = materialise(rows.mapInPandas(_count_words, "lang string, gram string, c long")
+                        .groupBy("lang", "gram").agg(F.sum("c").alias("c")), "language_words")
+    # N-grams of a word count as often as the word; each word is cut up once.
+    grams = (words.mapInPandas(_count_grams(max_n), "n int, lang string, gram string, c long")
+             .groupBy("n", "lang", "gram").agg(F.sum("c").alias("c")))
+    counts = materialise(words.select(F.lit(0).alias("n"), "lang", "gram", "c").unionByName(grams), "language_counts")
     totals = {(r["n"], r["lang"]): (r["c"], r["v"]) for r in
               counts.groupBy("n", "lang").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}
     languages = sorted({lang for _, lang in totals})
     if not languages:
-        return LanguageModel([], {}, {}, max_n, 0.0)
+        return LanguageModel([], {}, np.empty((0, 0)), {}, np.empty((0, 0)), max_n)
     sizes = counts.sparkSession.createDataFrame(
         [(n, lang, float(c)) for (n, lang), (c, _) in totals.items()], "n int, lang string, total double")
     per_entry = (counts.join(F.broadcast(sizes), ["n", "lang"])
@@ -141,22 +165,26 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_w
     per_entry = materialise(per_entry, "language_entries")
 
     def best(where: str, limit: int):
-        return heaviest(per_entry.filter(where), "top", limit).collect()
+        return heaviest(per_entry.filter(where), "top", limit).select("n", "gram", "by_lang").collect()
 
     index = {lang: i for i, lang in enumerate(languages)}
-
-    def log_frequency(n: int, by_lang: dict[str, int]) -> np.ndarray:
-        c = np.zeros(len(languages))
-        for lang, k in by_lang.items():
-            c[index[lang]] = k
-        size = np.array([totals.get((n, lang), (0, 0))[0] for lang in languages], dtype=float)
-        kinds = max(v for (m, _), (_, v) in totals.items() if m == n)
-        return np.log((c + 0.5) / (size + 0.5 * kinds))
-
-    words = {r["gram"]: log_frequency(0, r["by_lang"]) for r in best("n = 0", max_words)}
-    grams = {r["gram"]: log_frequency(r["n"], r["by_lang"]) for r in best("n > 0", max_grams)}
+    size = np.array([[totals.get((n, lang), (0, 0))[0] for lang in languages] for n in range(max_n + 1)], dtype=float)
+    kinds = np.array([max([v for (m, _), (_, v) in totals.items() if m == n], default=0) for n in range(max_n + 1)])
+
+    def scored(entries) -> tuple[dict[str, int], np.ndarray]:
+        rows, c, order = {}, np.zeros((len(entries), len(languages))), np.zeros(len(entries), dtype=int)
+        for i, (n, gram, by_lang) in enumerate(entries):
+            rows[gram], order[i] = i, n
+            for lang, k in by_lang.items():
+                c[i, index[lang]] = k
+        half = 0.5 * kinds[order][:, None]
+        return rows, np.log((c + 0.5) / (size[order] + half))
+
+    words, word_scores = scored(best("n = 0", max_words))
+    grams, gram_scores = scored(best("n > 0", max_grams))
     floor = math.log(0.5 / max(c for c, _ in totals.values()))
-    return LanguageModel(languages, words, grams, max_n, floor)
+    gram_scores = np.vstack([gram_scores, np.full((1, len(languages)), floor)])
+    return LanguageModel(languages, words, word_scores, grams, gram_scores, max_n)
 
 
 def predict(model: LanguageModel, docs: DataFrame, text_col: str = "text") -> Column:
