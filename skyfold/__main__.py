@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--multi-line", action="store_true")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--dated-folders", action="store_true", help="landing uses <root>/<yyyy-MM-dd>/ folders")
     p = sub.add_parser("expire")
     p.add_argument("--table", required=True)
     p.add_argument("--column", default="ingest_date")
@@ -100,6 +101,7 @@ def run(spark, args) -> dict:
         return steps.build_mart_tables(spark, args.history, args.marts)
     if args.command == "accumulate":
         return accumulate(spark, args.landing, args.history, args.checkpoint,
+                          dated_folders=args.dated_folders,
                           multi_line=args.multi_line,
                           max_files_per_trigger=args.max_files_per_trigger)
     if args.command == "expire":

@@ -26,13 +26,15 @@ def avg_2dp(c: str | Column) -> Column:
     which cannot overflow below about 10^14 rows per group, and the two sums
     are recombined in ``decimal(38,0)`` once per group. (A ``decimal`` sum
     buffer wider than 18 digits would cost an allocation per row.) Nulls are
-    skipped; no value gives null.
+    skipped, and so are NaN, infinities and values beyond the bigint range of
+    cents, which are no measurements; values with more decimals count rounded
+    to cents. No value gives null.
     """
     if not isinstance(c, str):
         raise TypeError("avg_2dp takes a column name")
     # x * 100 lies within rounding error of a whole number, so rint (no
     # BigDecimal, unlike round) gives the same integer.
-    cents = f"CAST(rint({ident(c)} * 100.0D) AS BIGINT)"
+    cents = f"TRY_CAST(rint({ident(c)} * 100.0D) AS BIGINT)"
     hi = f"sum(shiftright({cents}, {_SPLIT_BITS}))"
     lo = f"sum({cents} & {(1 << _SPLIT_BITS) - 1})"
     n = f"CAST(count({cents}) AS DECIMAL(38,0))"

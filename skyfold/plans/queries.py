@@ -42,7 +42,7 @@ from skyfold.plans.steps import build_mart_tables, load_history, process_day, re
 from skyfold.session import ensure_checkpoint_dir, work_path
 from skyfold.sources.parquet import drop_staging, load_staging, write_partitions
 from skyfold.sources.snapshots import (
-    DATE_PARTITION, land_snapshots, pack_snapshots, read_snapshots, select_day,
+    DATE_PARTITION, land_snapshots, one_copy, pack_snapshots, read_snapshots, select_day,
 )
 from skyfold.streaming.incremental import accumulate
 
@@ -78,9 +78,9 @@ def _processing_time():
     return F.lit(PROCESSING_TIME).cast("timestamp_ntz")
 
 
-def _docs(fixture: DataFrame) -> DataFrame:
+def _docs(fixture: DataFrame, max_per_doc: int = MAX_VECTORS_PER_DOC) -> DataFrame:
     return pack_snapshots(fixture, "snapshot_time", fx.state_vector(fixture),
-                          spread="event_id", max_per_doc=MAX_VECTORS_PER_DOC)
+                          spread="event_id", max_per_doc=max_per_doc)
 
 
 def _events_by_day(spark, sf_dir) -> str:
@@ -186,14 +186,19 @@ def snapshot_json_roundtrip(spark, sf_dir):
 
 
 def snapshot_dedup(spark, sf_dir):
-    """All snapshots landed once, the first ten days landed again (re-fetched
-    copies); one document per (time, part) survives."""
+    """Every snapshot landed, then landed again with other vectors: some
+    copies have grown (a marked vector more per vector) and some have shrunk.
+    Documents are small enough to be split into parts; the first copy of each
+    snapshot comes back whole."""
     fixture = _fixture(spark, sf_dir)
     landing = work_path(spark, "landing")
-    docs = _docs(fixture)
-    land_snapshots(docs, landing, LOCAL_ZONE)
-    land_snapshots(docs.filter(F.col("time") < F.lit(1704067200 + 10 * 86400)), landing, LOCAL_ZONE)
-    kept = dedup_by(read_snapshots(spark, landing).drop(DATE_PARTITION), ["time", "part"])
+    land_snapshots(_docs(fixture, 7), landing, LOCAL_ZONE)
+    odd = F.col("snapshot_time") / 3600 % 2 >= 1
+    again = fixture.withColumn("callsign", F.lit("AGAIN"))
+    grown = again.filter(odd).withColumn("copies", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("copies")
+    shrunk = again.filter(~odd).filter(F.col("event_id") % 2 == 0)
+    land_snapshots(_docs(grown.unionByName(shrunk), 7), landing, LOCAL_ZONE)
+    kept = one_copy(read_snapshots(spark, landing).drop(DATE_PARTITION))
     return map_slots(explode_states(kept))
 
 

@@ -19,7 +19,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.operators.dedup import dedup_by
 from skyfold.operators.profile import null_profile, row_count, top_k, value_counts
 from skyfold.operators.shape import explode_states, map_slots
 from skyfold.plans.marts import MART_BUILDERS
@@ -28,8 +27,8 @@ from skyfold.plans.tables import (
     merge_into, read_history, replace_table, upsert_table, with_history_partition,
 )
 from skyfold.schema import DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS
-from skyfold.sources.parquet import drop_staging, load_staging, write_partitions
-from skyfold.sources.snapshots import DATE_PARTITION, read_snapshots, select_day, snapshot_day
+from skyfold.sources.parquet import drop_partition, drop_staging, load_staging, write_partitions
+from skyfold.sources.snapshots import DATE_PARTITION, one_copy, read_snapshots, select_day, snapshot_day
 
 STAGING_VIEW = "history_staging"
 # The daily summary is merged by day; every other mart is replaced whole.
@@ -54,21 +53,25 @@ def process_day(spark: SparkSession, landing: str, processed: str, day: str | No
     """Read one local day's documents (every day when ``day`` is None), keep
     one per snapshot, clean the vectors and replace that day's output.
 
-    The output is partitioned by the same local ``ingest_date`` as the
-    landing, so re-processing a day replaces exactly that day. The report is
+    The output of a ``day`` is that ``ingest_date`` partition whatever zone
+    the landing's days follow, replaced even when no row is left; without a
+    day, rows go to their local day in ``zone``. The report is
     computed from the written Parquet, so the lineage runs once.
     """
     docs = read_snapshots(spark, landing, multi_line=multi_line, day=day,
                           dated_folders=dated_folders)
     kept, mapped_seen = Observation("documents"), Observation("vectors")
-    docs = (dedup_by(docs.drop(DATE_PARTITION), ["time", "part"])
+    docs = (one_copy(docs.drop(DATE_PARTITION))
             .observe(kept, F.count(F.lit(1)).alias("documents")))
     mapped = (map_slots(explode_states(docs))
               .observe(mapped_seen, F.count(F.lit(1)).alias("vectors")))
-    rows = clean(mapped, ingested_at).withColumn(
-        DATE_PARTITION, snapshot_day("snapshot_time", zone))
+    # One day in, the same day out: the landing's day is not computed again.
+    out_day = F.lit(day).cast("date") if day is not None else snapshot_day("snapshot_time", zone)
+    rows = clean(mapped, ingested_at).withColumn(DATE_PARTITION, out_day)
     written = write_partitions(rows, processed, DATE_PARTITION)
-    stored = spark.read.parquet(processed)
+    if day is not None and written == 0:
+        drop_partition(spark, processed, DATE_PARTITION, day)   # a day that yields nothing is empty
+    stored = spark.read.schema(rows.schema).parquet(processed)
     if day is not None:
         stored = select_day(stored, day)
     vectors = int(mapped_seen.get["vectors"])

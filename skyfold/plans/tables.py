@@ -11,6 +11,7 @@ the table is never scanned.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -116,9 +117,32 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
 
 
 def replace_table(df: DataFrame, path: str) -> int:
-    """Create or replace a whole table from a query; returns its row count."""
+    """Create or replace a whole table from a query; returns its row count.
+
+    The new table is written beside the old one and takes its place by renames
+    once it is complete: a write that fails leaves the old table as it was.
+    """
+    spark = df.sparkSession
     seen = Observation("replaced")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    path = path.rstrip("/")
+    new, old = (f"{path}__{kind}_{uuid.uuid4().hex[:8]}" for kind in ("new", "old"))
+    fs, target = hadoop_fs(spark, path)
+    staged, former = hadoop_fs(spark, new)[1], hadoop_fs(spark, old)[1]
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(new)
+    except Exception:
+        fs.delete(staged, True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, former):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(staged, target):
+        if had:
+            fs.rename(former, target)
+        raise OSError(f"cannot move the new table to {path}")
+    if had:
+        fs.delete(former, True)
+    spark.catalog.refreshByPath(path)
     return int(seen.get["rows"])
 
 

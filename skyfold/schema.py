@@ -13,13 +13,15 @@ from pyspark.sql import types as T
 # ``part`` is optional: a document that is a whole snapshot has none (read as
 # null). Our own landing splits a very large snapshot into numbered parts so
 # that no single document, and so no single task, holds an unbounded list.
+# ``copy`` names the landing run: the parts of one copy of a snapshot share it.
 RAW_SCHEMA = T.StructType([
     T.StructField("time", T.LongType(), True),
     T.StructField("part", T.IntegerType(), True),
+    T.StructField("copy", T.StringType(), True),
     T.StructField("states", T.ArrayType(T.ArrayType(T.StringType(), True), True), True),
 ])
 
-RAW_DDL = "time bigint, part int, states array<array<string>>"
+RAW_DDL = "time bigint, part int, copy string, states array<array<string>>"
 
 # The slot table of a state vector (position, column, type).
 # Slots 12 (sensors) and 15 are not mapped.

@@ -5,5 +5,5 @@ from skyfold.sources.parquet import (  # noqa: F401
 )
 from skyfold.sources.snapshots import (  # noqa: F401
     DATE_PARTITION, land_snapshots, non_empty, pack_snapshots, read_snapshots,
-    select_day, snapshot_day,
+    one_copy, select_day, snapshot_day, with_copy,
 )

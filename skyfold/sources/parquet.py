@@ -57,6 +57,12 @@ def hadoop_fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Remove one partition folder; a missing one is not an error."""
+    fs, jpath = hadoop_fs(spark, f"{path.rstrip('/')}/{column}={value}")
+    fs.delete(jpath, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a Parquet dataset (a folder with data files)."""
     fs, jpath = hadoop_fs(spark, path)
@@ -65,5 +71,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as exc:
+        if exc.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            return False
+        raise

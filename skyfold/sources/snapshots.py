@@ -8,7 +8,9 @@ one pretty-printed document per file are read with ``multi_line=True``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from time import time_ns
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,27 +23,51 @@ DATE_PARTITION = "ingest_date"
 
 def read_snapshots(spark: SparkSession, path: str, *, multi_line: bool = False,
                    day: str | None = None, dated_folders: bool = False) -> DataFrame:
-    """Every document under ``path`` as one row ``(time, part, states[, ingest_date])``.
+    """Every document under ``path`` as one row ``(time, part, copy, states[, ingest_date])``.
+
+    A document that is no valid JSON for the schema (a broken file, or a
+    pretty-printed one read without ``multi_line``) fails the read.
 
     The schema is explicit, so no inference pass reads the files first. With
     ``day`` only that day's folder is listed and read: an ``ingest_date=``
     partition (our landing), or, with ``dated_folders``, a plain
     ``<path>/<yyyy-MM-dd>/`` folder as other landings write it.
     """
-    reader = spark.read.schema(RAW_SCHEMA)
+    reader = spark.read.schema(RAW_SCHEMA).option("mode", "FAILFAST")
     if multi_line:
         reader = reader.option("multiLine", True)
     if dated_folders:
         if day is None:
             raise ValueError("dated_folders needs a day")
-        return (reader.json(f"{path.rstrip('/')}/{day}")
+        return (with_copy(reader.json(f"{path.rstrip('/')}/{day}"))
                 .withColumn(DATE_PARTITION, F.lit(day).cast("date")))
-    docs = reader.json(path)
+    docs = with_copy(reader.json(path))
     if day is not None:
         docs = select_day(docs, day)
     return docs
 
 
+def with_copy(docs: DataFrame) -> DataFrame:
+    """Names the copy each document belongs to: its landing run or, for a
+    document other tools landed (a whole snapshot), its file and content.
+    ``docs`` comes straight from a file source."""
+    own = F.concat_ws(":", F.lit("file"), F.col("_metadata.file_path"), F.xxhash64("states").cast("string"))
+    return docs.withColumn("copy", F.coalesce("copy", own))
+
+
+def one_copy(docs: DataFrame) -> DataFrame:
+    """One whole copy of each snapshot ``time``: that landed first.
+
+    Copies may differ in size and so in their number of parts; parts of two
+    copies are never mixed. The choice aggregates (time, copy) only, without
+    ``states``. A null time is a snapshot of its own.
+    """
+    first = docs.groupBy(F.col("time").alias("_t")).agg(F.min("copy").alias("_c"))
+    kept = docs.join(first, docs["time"].eqNullSafe(first["_t"]) & (docs["copy"] == first["_c"]), "left_semi")
+    # A foreign file may hold the very same document twice.
+    return kept.dropDuplicates(["time", "part"])
+
+
 def select_day(df: DataFrame, day: str, column: str = DATE_PARTITION) -> DataFrame:
     """Rows of one day; on a partitioned source this is a partition filter."""
     return df.filter(F.col(column) == F.lit(day).cast("date"))
@@ -88,7 +114,9 @@ def land_snapshots(docs: DataFrame, path: str, zone: str, *, mode: str = "append
     written (counted during the write, not by a second pass).
     """
     seen = Observation("landed")
+    run = f"{time_ns():020d}-{uuid.uuid4().hex[:8]}"   # sorts by landing time
     out = (non_empty(docs)
+           .withColumn("copy", F.lit(run))
            .withColumn(DATE_PARTITION, snapshot_day("time", zone))
            .hint("rebalance", DATE_PARTITION)
            .observe(seen, F.count(F.lit(1)).alias("docs")))

@@ -3,7 +3,7 @@
 A file-source stream over the landing folder sees only files it has not
 processed before (the checkpoint records them). Each micro-batch:
 
-1. keeps one document per ``(time, part)`` (re-fetched copies of a snapshot);
+1. keeps one whole copy of each snapshot (others are re-fetched copies);
 2. explodes, maps, filters and transforms the vectors;
 3. merges the rows into the history by key.
 
@@ -20,34 +20,36 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from skyfold.operators.dedup import dedup_by
 from skyfold.plans.preset import snapshot_rows
 from skyfold.plans.tables import merge_into, with_history_partition
 from skyfold.schema import RAW_SCHEMA
+from skyfold.sources.snapshots import one_copy, with_copy
 
 
 def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str, *,
                ingested_at: Column | None = None, multi_line: bool = False,
-               doc_keys: Sequence[str] = ("time", "part"),
                key_order: str | Column | Sequence[str | Column] | None = None,
-               max_files_per_trigger: int | None = None) -> dict:
+               max_files_per_trigger: int | None = None, dated_folders: bool = False) -> dict:
     """Process every landed file not yet seen, then stop (``availableNow``).
 
+    ``dated_folders`` reads ``<landing>/<yyyy-MM-dd>/`` folders, which a file
+    stream does not find below a plain path.
+
     Two rows with one key in a batch stop the run, as a MERGE would, unless
     ``key_order`` gives the columns or expressions that pick one (smallest
     first; ``-F.col("last_contact")`` keeps the newest report).
     Returns a summary of the run: batches and rows merged.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA)
+    reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "FAILFAST")
     if multi_line:
         reader = reader.option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing)
+    stream = with_copy(reader.json(f"{landing.rstrip('/')}/*-*-*" if dated_folders else landing))
     stats = {"batches": 0, "rows_merged": 0}
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        docs = dedup_by(batch.select(*[f.name for f in RAW_SCHEMA.fields]), list(doc_keys))
+        docs = one_copy(batch.select(*[f.name for f in RAW_SCHEMA.fields]))
         rows = with_history_partition(snapshot_rows(docs, ingested_at))
         # The merge reads its source twice (check job, then the write); keep
         # the parsed batch instead of parsing the JSON again. A lost block is

@@ -32,7 +32,7 @@ MAPPED_DDL = ("row string, snapshot_time bigint, icao24 string, callsign string,
 
 
 def _mapped(spark):
-    rows = [(r[0], 1772138472, "89916c", "CAL073  ", "Taiwan", 1.0, 2.0, 79.4676, 27.7534, r[1], r[4],
+    rows = [(r[0], 1772138472, "4b1c2d", "XYZ42  ", "Norway", 1.0, 2.0, 77.125, 21.5, r[1], r[4],
              r[2], 288.73, r[3], 12070.08, "0447", r[5]) for r in EDGE]
     return spark.createDataFrame(rows, MAPPED_DDL)
 
@@ -47,7 +47,7 @@ def test_edge_rows(spark):
         assert (r.altitude_feet, r.speed_kmh, r.vertical_rate_ftpm) == (e[6], e[7], e[8]), e[0]
         assert (r.flight_phase, r.flight_category, r.speed_category) == (e[9], e[10], e[11]), e[0]
         assert r.geo_altitude_feet == 39594.69
-        assert r.callsign == "CAL073"
+        assert r.callsign == "XYZ42"
 
 
 def test_slot_casts(spark):
@@ -128,3 +128,9 @@ def test_daily_key_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert days == {dt.date(2026, 3, 8)}
+
+
+def test_average_skips_what_is_no_number(spark):
+    from skyfold.functions.aggregates import avg_2dp
+    df = spark.sql("SELECT CAST(x AS double) x FROM VALUES ('NaN'), ('Infinity'), ('1.00'), ('2.01'), (NULL) t(x)")
+    assert df.agg(avg_2dp("x")).first()[0] == 1.51

@@ -3,15 +3,16 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from skyfold.operators import dedup_by, explode_states, map_slots
+from skyfold.operators import explode_states, map_slots
 from skyfold.plans.preset import snapshot_rows
-from skyfold.sources import land_snapshots, non_empty, pack_snapshots, read_snapshots, select_day
+from skyfold.sources import land_snapshots, non_empty, one_copy, pack_snapshots, read_snapshots, select_day
 
-# The sample vector: 17 mixed JSON values, as the snapshot API sends them.
-SAMPLE = ["89916c", "CAL073  ", "Taiwan", 1772138472, 1772138472, 79.4676, 27.7534, 11582.4,
-          False, 219.46, 288.73, 0, None, 12070.08, "0447", False, 0]
+# An invented vector: 17 mixed JSON values.
+SAMPLE = ["4b1c2d", "XYZ42   ", "Norway", 1772138460, 1772138461, 77.125, 21.5, 9144.0,
+          False, 201.5, 145.25, 0, None, 9450.5, "2107", False, 0]
 
 
 def _write_docs(folder, docs):
@@ -34,18 +35,18 @@ def test_reference_style_files(spark, tmp_dir):
     ])
     docs = read_snapshots(spark, os.path.join(tmp_dir, "raw"), multi_line=True, day="2026-03-08")
     assert docs.count() == 4
-    kept = dedup_by(docs.drop("ingest_date"), ["time", "part"])
+    kept = one_copy(docs.drop("ingest_date"))
     mapped = map_slots(explode_states(kept)).collect()
     assert len(mapped) == 3
-    full = [r for r in mapped if r.icao24 == "89916c" and r.category is not None][0]
-    assert (full.snapshot_time, full.longitude, full.latitude, full.on_ground) == (1772138472, 79.4676, 27.7534, False)
-    assert (full.time_position, full.vertical_rate, full.squawk, full.category) == (1772138472.0, 0.0, "0447", 0)
-    assert [r.category for r in mapped if r.icao24 == "89916c" and r.category is None] == [None]
+    full = [r for r in mapped if r.icao24 == "4b1c2d" and r.category is not None][0]
+    assert (full.snapshot_time, full.longitude, full.latitude, full.on_ground) == (1772138472, 77.125, 21.5, False)
+    assert (full.time_position, full.vertical_rate, full.squawk, full.category) == (1772138460.0, 0.0, "2107", 0)
+    assert [r.category for r in mapped if r.icao24 == "4b1c2d" and r.category is None] == [None]
     assert [r.longitude for r in mapped if r.icao24 == "abcdef"] == [None]
     rows = snapshot_rows(kept, F.lit(None).cast("timestamp_ntz")).collect()
-    sample = [r for r in rows if r.icao24 == "89916c" and r.flight_category == "No Info"][0]
-    assert (sample.callsign, sample.altitude_feet, sample.geo_altitude_feet) == ("CAL073", 37994.9, 39594.69)
-    assert {r.flight_category for r in rows if r.icao24 == "89916c"} == {"No Info", "Unknown"}
+    sample = [r for r in rows if r.icao24 == "4b1c2d" and r.flight_category == "No Info"][0]
+    assert (sample.callsign, sample.altitude_feet, sample.geo_altitude_feet) == ("XYZ42", 29995.98, 31001.42)
+    assert {r.flight_category for r in rows if r.icao24 == "4b1c2d"} == {"No Info", "Unknown"}
 
 
 def test_non_empty_guard(spark):
@@ -109,3 +110,35 @@ def test_snapshot_day_independent_of_session_zone(spark):
             assert [str(r.d) for r in df.select(snapshot_day("t", "Asia/Kolkata").alias("d")).collect()] == expect
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_whole_copies_win(spark, tmp_dir):
+    """Copies of one snapshot with different numbers of parts are never mixed."""
+    def copy(n, mark):
+        return spark.range(n).select(
+            F.lit(7200).alias("t"), F.col("id").alias("rid"), F.concat(F.lit(mark), F.col("id").cast("string")).alias("icao"))
+
+    for sizes in ((25, 18), (18, 35), (35, 18, 25)):
+        path = os.path.join(tmp_dir, "_".join(map(str, sizes)))
+        for i, n in enumerate(sizes):
+            docs = pack_snapshots(copy(n, "abc"[i]), "t", [F.col("icao")], spread="rid", max_per_doc=10)
+            land_snapshots(docs, path, "UTC")
+        got = [r[0][0] for r in one_copy(read_snapshots(spark, path)).select(F.explode("states")).collect()]
+        assert sorted(got) == sorted(f"a{i}" for i in range(sizes[0]))
+
+
+def test_foreign_document_beside_a_landed_one(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "raw")
+    docs = spark.createDataFrame([(0, 0, [["landed"]])], "time bigint, part int, states array<array<string>>")
+    land_snapshots(docs, path, "UTC")
+    with open(os.path.join(path, "ingest_date=1970-01-01", "foreign.json"), "w") as fh:
+        fh.write(json.dumps({"time": 0, "states": [["foreign"]]}) + "\n")
+    kept = one_copy(read_snapshots(spark, path)).collect()
+    assert [r.states for r in kept] == [[["landed"]]]
+
+
+def test_broken_documents_fail_the_read(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.json"), "w") as fh:
+        fh.write(json.dumps({"time": 1, "states": [["x"]]}) + "\n{\"time\": 2, \"sta\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        read_snapshots(spark, tmp_dir).collect()

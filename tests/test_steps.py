@@ -51,3 +51,20 @@ def test_day_by_day_equals_one_load(spark, tmp_dir):
     for mart in ("dim_countries", "dim_flight_phases", "agg_flights_daily"):
         assert _rows(read_mart(spark, p["marts1"], mart)) == _rows(read_mart(spark, p["marts2"], mart)), mart
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("history_staging")]
+
+
+def test_day_of_the_landing_is_the_day_of_the_output(spark, tmp_dir):
+    """Landed by UTC day, processed day by day: every row is kept, and a day that yields nothing empties."""
+    from skyfold.plans.fixture import flight_fixture, state_vector
+    fx = dedup_by(flight_fixture(events_small(spark)), HISTORY_KEYS, "event_id")
+    fx = fx.filter(F.col("snapshot_time") < 1704067200 + 2 * 86400)
+    landing, proc = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "proc")
+    land_snapshots(pack_snapshots(fx, "snapshot_time", state_vector(fx), "event_id"), landing, "UTC")
+    written = [process_day(spark, landing, proc, d)["rows_written"] for d in ("2024-01-01", "2024-01-02")]
+    assert spark.read.parquet(proc).count() == sum(written) and min(written) > 0
+    empty = os.path.join(tmp_dir, "empty")
+    land_snapshots(spark.createDataFrame([(1704067200, 0, [[None] * 17])], "time bigint, part int, states array<array<string>>"),
+                   empty, "UTC")
+    assert process_day(spark, empty, proc, "2024-01-01")["rows_written"] == 0
+    assert spark.read.parquet(proc).count() == written[1]
+    assert process_day(spark, empty, os.path.join(tmp_dir, "fresh"), "2024-01-01")["rows_written"] == 0

@@ -3,10 +3,12 @@ replace, retention."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyfold.plans.fixture import batch_a, batch_b, keyed_history
 from skyfold.plans.tables import (
+    replace_table,
     HISTORY_PARTITION, expire_partitions, merge_into, read_history, retain_recent,
     table_exists, upsert_table, with_history_partition,
 )
@@ -82,3 +84,15 @@ def test_exists_and_drop_staging(spark, tmp_dir):
     load_staging(spark, path, "stage_x")
     assert table_exists(spark, "stage_x")
     assert drop_staging(spark, "stage_x") is True and not table_exists(spark, "stage_x")
+
+
+def test_failed_replace_keeps_the_old_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    replace_table(spark.range(5), path)
+    bad = spark.range(3).select(F.expr("raise_error('no') ").cast("bigint").alias("id"))
+    with pytest.raises(Exception):
+        replace_table(bad, path)
+    assert spark.read.parquet(path).count() == 5
+    assert replace_table(spark.read.parquet(path).limit(2), path) == 2
+    assert spark.read.parquet(path).count() == 2
+    assert sorted(os.listdir(tmp_dir)) == ["t"]
