@@ -118,7 +118,8 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words: Counter = Counter()
             for text in part["text"]:
                 words.update(words_of(text))
-            yield pd.DataFrame({"lang": lang, "gram": list(words), "c": list(words.values())})
+            if words:
+                yield pd.DataFrame({"lang": lang, "gram": list(words), "c": list(words.values())})
 
 
 def _count_grams(max_n: int):
@@ -130,7 +131,8 @@ def _count_grams(max_n: int):
                     for word, c in zip(part["gram"], part["c"]):
                         for g in grams_of(word, size):
                             grams[g] += c
-                    yield pd.DataFrame({"n": size, "lang": lang, "gram": list(grams), "c": list(grams.values())})
+                    if grams:
+                        yield pd.DataFrame({"n": size, "lang": lang, "gram": list(grams), "c": list(grams.values())})
 
     return run
 
