@@ -37,6 +37,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column name as an expression may hold it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def packed_row(names: list[str], alias: str) -> Column:
+    """The named columns as one struct, so that an operator's own names cannot clash with them."""
+    return F.struct(*map(quoted, names)).alias(alias)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 

@@ -100,9 +100,9 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its posterior; UNDETERMINED and 0 without a letter or a model."""
-        words = words_of(text)
-        if not words or not self.languages:
+        if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
+        words = words_of(text)
         rows = self.rows
         rows.reserve(len(words))
         at = np.fromiter(map(rows.__getitem__, words), dtype=np.int64, count=len(words))

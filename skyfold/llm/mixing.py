@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import cut
+from skyfold.llm.common import cut, packed_row
 
 BROADCAST_SOURCES = 50_000
 SHORT = 16.0  # rates beyond this are drawn as a sum of independent parts
@@ -73,7 +73,7 @@ def mix(docs: DataFrame, weights: dict[str, float], other: float = 1.0, epochs:
     rates = source_rates(docs, source_col, weights, other, epochs).select(
         F.col("source").alias("rate_source"), "rate")
     kept = [c for c in docs.columns if c not in ("replica", "mix_rank")]
-    rows = docs.select(F.struct(*kept).alias("doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+    rows = docs.select(packed_row(kept, "doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
     rows = rows.join(rates, rows["source"].eqNullSafe(F.col("rate_source")))
     rows = rows.withColumns({"u": uniform(seed, F.lit("n"), F.col("id")),
                              "parts": F.greatest(F.lit(1), F.ceil(F.col("rate") / SHORT)).cast("int")})

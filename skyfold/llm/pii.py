@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import cut, materialise
+from skyfold.llm.common import cut, materialise, packed_row, quoted
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = {k: f"[{k.upper()}]" for k in KINDS}
@@ -211,7 +211,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     found = found.filter("size(_spans) > 0").dropDuplicates(["_pid", "_pth"])
     columns = docs.columns
     may = F.coalesce(F.col(text_col).rlike(ANY), F.lit(False))
-    rows = docs.filter(may).select(F.struct(*columns).alias("doc"), F.col(id_col).alias("id"),
+    rows = docs.filter(may).select(packed_row(columns, "doc"), F.col(id_col).alias("id"),
                                    F.col(text_col).alias("old"), F.xxhash64(text_col).alias("th"))
     rows = rows.join(found, F.col("id").eqNullSafe(F.col("_pid")) & (F.col("th") == F.col("_pth")), "left")
     tag = "map(" + ", ".join(f"'{k}', '{v}'" for k, v in TAGS.items()) + ")"
@@ -227,7 +227,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
             return F.col("new").alias(name)
         if name == length_col:
             return F.when(changed, F.length("new").cast(docs.schema[name].dataType)).otherwise(
-                F.col(f"doc.`{name}`")).alias(name)
-        return F.col(f"doc.`{name}`").alias(name)
+                F.col(f"doc.{quoted(name)}")).alias(name)
+        return F.col(f"doc.{quoted(name)}").alias(name)
 
     return docs.filter(~may).unionByName(rows.select(*map(column, columns)))

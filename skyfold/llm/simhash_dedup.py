@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import materialise
+from skyfold.llm.common import materialise, packed_row
 from skyfold.llm.components import connected_components
 
 SEGMENT_BITS = 32
@@ -136,7 +136,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     again = docs.join(repeated, docs[id_col].eqNullSafe(repeated["sid"]), "left_semi")
     # The fingerprint tells which rows of a repeated id belong to which kept group.
     roots = groups.filter(is_kept).select(F.col(id_col).alias("sid"), F.col("fp").alias("sfp"), "root").distinct()
-    again = again.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"),
+    again = again.select(packed_row(docs.columns, "doc"), F.col(id_col).alias("id"),
                          F.col(text_col).alias("txt"), fingerprint(text_col, shingle_words).alias("fp"))
     order = Window.partitionBy("id", "root").orderBy(F.col("txt").asc_nulls_last())
     again = (again.join(roots, F.col("id").eqNullSafe(F.col("sid")) & (F.col("fp") == F.col("sfp")))

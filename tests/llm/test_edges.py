@@ -1,0 +1,102 @@
+"""Nulls in any column, empty tables, repeated rows and extra columns with clashing names, for every operator and stage."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from skyfold.llm import (brown_lm, decontamination, embedding_dedup, langid, mixing, pii, quality, simhash_dedup,
+                         toxicity, warc)
+
+# Names that operators use for their own columns.
+CLASHING = ["id", "fp", "root", "component_id", "low", "key", "sid", "kept", "n", "u", "parts", "part_rate", "rate",
+            "rate_source", "replica", "mix_rank", "doc", "_t", "th", "tokens", "added", "email", "_spans", "new", "old",
+            "_pid", "label", "mix", "shard", "features", "_text", "raw", "score", "lang_pred", "t", "words", "row",
+            "item_id", "similarity", "dim", "slab", "tile", "copies", "v", "ok", "payload", "digest", "record_type",
+            "url_key", "run", "_captured", "_target", "with.dot"]
+ROWS = [
+    (1, "the sea and the wind, mail a.b@c.org", "en", "src0", 36), (1, "the sea and the wind, mail a.b@c.org", "en", "src0", 36),
+    (2, "le chat et le chien sont amis", "fr", None, 29), (3, None, "fr", "src1", None), (4, "", None, "src1", 0),
+    (None, "some text without any id at all", "en", "src1", 31), (None, None, None, None, None),
+    (5, "word " * 30_000, "en", "src2", 150_000), (6, "²½ 123 !?", "en", "src2", 9)]
+
+
+def crowded(df):
+    return df.select("*", *(F.lit(None).cast("string").alias(c) for c in CLASHING if c not in df.columns))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return crowded(spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, n_chars long"))
+
+
+@pytest.fixture(scope="module")
+def bench(spark):
+    rows = [(1, "some text without any id at all"), (1, None), (None, "word word word word word"), (2, ""), (None, None)]
+    return crowded(spark.createDataFrame(rows, "item_id long, text string"))
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return crowded(spark.createDataFrame([(1, 1, 0), (2, 0, 1), (2, 0, 1), (3, None, None), (None, 1, 1), (5, 0, 0), (99, 1, 1)],
+                                         "doc_id long, quality int, toxic int"))
+
+
+def results(docs, bench, labels):
+    """Every document operator over ``docs``: name to rows."""
+    return {
+        "simhash": simhash_dedup.simhash_groups(docs), "simhash_drop": simhash_dedup.drop_near_duplicates(docs),
+        "quality": docs.select("doc_id", quality.score(quality.train(docs, labels), docs).alias("s")),
+        "langid": docs.select("doc_id", langid.predict(langid.train(docs), docs).alias("p")),
+        "decontamination": decontamination.contaminated(docs, bench),
+        "decontamination_drop": decontamination.drop_contaminated(docs, bench),
+        "toxicity": toxicity.train(docs, labels).score(docs, "doc_id", "text"),
+        "pii": pii.find(docs), "pii_redact": pii.redact(docs),
+        "mixing": mixing.mix(docs, {"src0": 2.0}), "brown": brown_lm.score(brown_lm.train(docs), docs)}
+
+
+def test_every_document_operator(docs, bench, labels):
+    found = {k: v.collect() for k, v in results(docs, bench, labels).items()}
+    for name in ("simhash", "quality", "langid", "toxicity", "pii", "pii_redact", "brown"):
+        assert len(found[name]) == len(ROWS), name
+    ids = sorted(r[0] for r in ROWS if r[0] is not None)
+    for name in ("simhash", "quality", "langid", "toxicity", "pii_redact", "brown"):
+        assert sorted(r.doc_id for r in found[name] if r.doc_id is not None) == ids, name
+    assert all(0 <= r.score <= 1 for r in found["toxicity"]) and all(0 <= r.s <= 1 for r in found["quality"])
+    assert {r.doc_id: r.p.lang_pred for r in found["langid"] if r.doc_id in (3, 4, 6)} == {3: "und", 4: "und", 6: "und"}
+    # Null, empty and wordless texts share fingerprint zero, so one of them stays.
+    assert sorted(r.doc_id for r in found["simhash_drop"] if r.doc_id is not None) == [1, 2, 3, 5, 6]
+    assert [r.item_id for r in found["decontamination"]] == [1]
+    assert len(found["decontamination_drop"]) == len(ROWS) - 1
+    assert {r.text for r in found["pii_redact"] if r.doc_id == 1} == {"the sea and the wind, mail [EMAIL]"}
+
+
+def test_every_document_operator_on_empty_tables(docs, bench, labels):
+    for name, rows in results(docs.limit(0), bench.limit(0), labels.limit(0)).items():
+        assert rows.count() == 0, name
+
+
+def test_stages(spark, docs, bench, tmp_dir):
+    bench.write.parquet(tmp_dir + "/benchmark.parquet")
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, tmp_dir)
+        extra = ["replica", "mix_rank"]
+        want = docs.columns if name != "source_mixing" else [c for c in docs.columns if c not in extra] + extra
+        assert out.columns == want, name
+        out.collect()
+        assert stage(spark, docs.limit(0), tmp_dir).count() == 0, name
+
+
+def test_vectors_and_pages(spark):
+    vectors = crowded(spark.createDataFrame(
+        [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [None, 1.0]),
+         (7, [float("nan"), 1.0]), (None, [1.0, 0.0]), (8, [float("inf"), 1.0]), (9, [1.0]), (10, [1e300, 1e290])],
+        "vec_id long, embedding array<double>"))
+    got = [(r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.embedding_links(vectors).collect()]
+    linked = {1: (2, 1), 2: (2, 1), 10: (2, 1)}
+    assert sorted(got, key=str) == sorted([(i, *linked.get(i, (0, i))) for i in [1, 1, 2, 3, 4, 5, 6, 7, None, 8, 9, 10]], key=str)
+    assert embedding_dedup.embedding_links(vectors.limit(0)).count() == 0
+    pages = crowded(spark.createDataFrame([(1, None, None), (None, None, None), (2, "http://a", ""), (2, "http://a", "")],
+                                          "page_id long, url string, html string"))
+    typed = warc.with_record_types(pages, "page_id", "url", "html").collect()
+    assert sorted((str(r.id), r.record_type, r.refers_to) for r in typed) == [
+        ("1", "response", None), ("2", "revisit", 1), ("2", "revisit", 1), ("None", "revisit", 1)]
