@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--day", default=None)
     p.add_argument("--all-days", action="store_true")
     p.add_argument("--count-total", action="store_true")
+    p.add_argument("--order-by", action="append", metavar="EXPR",
+                   help="where a key repeats keep the row with the smallest value, e.g. --order-by=-last_contact")
     p = sub.add_parser("marts")
     p.add_argument("--history", required=True)
     p.add_argument("--marts", required=True)
@@ -52,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--multi-line", action="store_true")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
+    p.add_argument("--order-by", action="append", metavar="EXPR", help="as in load")
     p.add_argument("--dated-folders", action="store_true", help="landing uses <root>/<yyyy-MM-dd>/ folders")
     p = sub.add_parser("expire")
     p.add_argument("--table", required=True)
@@ -83,7 +86,13 @@ def run(spark, args) -> dict:
     from skyfold.plans import steps
     from skyfold.plans.tables import expire_partitions
     from skyfold.streaming import accumulate
+    from skyfold.streaming.incremental import MAX_FILES_PER_TRIGGER
 
+    order = None
+    if getattr(args, "order_by", None):
+        from pyspark.sql import functions as F
+
+        order = [F.expr(e) for e in args.order_by]
     day = None if getattr(args, "all_days", False) else (getattr(args, "day", None) or today_local())
     if args.command == "process":
         from pyspark.sql import functions as F
@@ -96,14 +105,15 @@ def run(spark, args) -> dict:
         return {**res, "day": day, "report": report}
     if args.command == "load":
         return {**steps.load_history(spark, args.processed, args.history, day,
-                                     count_total=args.count_total), "day": day}
+                                     count_total=args.count_total, dedup_order=order), "day": day}
     if args.command == "marts":
         return steps.build_mart_tables(spark, args.history, args.marts)
     if args.command == "accumulate":
         return accumulate(spark, args.landing, args.history, args.checkpoint,
                           dated_folders=args.dated_folders,
                           multi_line=args.multi_line,
-                          max_files_per_trigger=args.max_files_per_trigger)
+                          key_order=order,
+                          max_files_per_trigger=args.max_files_per_trigger or MAX_FILES_PER_TRIGGER)
     if args.command == "expire":
         removed = expire_partitions(spark, args.table, args.column, args.days,
                                     args.as_of or today_local())

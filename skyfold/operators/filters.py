@@ -13,14 +13,8 @@ from skyfold.functions.sqltext import ident
 
 def all_present(columns: Iterable[str]) -> Column:
     """True when none of ``columns`` is null."""
-    columns = list(columns)
-    if columns:
-        return F.expr(" AND ".join(f"{ident(c)} IS NOT NULL" for c in columns))
-    cond = None
-    for c in columns:
-        term = F.col(c).isNotNull()
-        cond = term if cond is None else cond & term
-    return cond if cond is not None else F.lit(True)
+    terms = [f"{ident(c)} IS NOT NULL" for c in columns]
+    return F.expr(" AND ".join(terms)) if terms else F.lit(True)
 
 
 def require_non_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:

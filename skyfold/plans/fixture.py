@@ -36,10 +36,10 @@ SNAPSHOT_TIME = "(unix_timestamp(ts) - pmod(unix_timestamp(ts), 3600))"
 # One SQL expression per output column, in output order.
 FIXTURE_COLUMNS = (
     (f"{SNAPSHOT_TIME}", "snapshot_time"),
-    ("concat('u', lpad(CAST(user_id AS STRING), 5, '0'))", "icao24"),
+    (_null_when(47, "concat('u', lpad(CAST(user_id AS STRING), 5, '0'))"), "icao24"),
     ("CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN '   ' "
      "ELSE concat(' cal', CAST(user_id AS STRING), '  ') END", "callsign"),
-    ("CASE WHEN user_id % 25 = 0 THEN 'India' "
+    ("CASE WHEN event_id % 43 = 0 THEN NULL WHEN user_id % 25 = 0 THEN 'India' "
      "ELSE concat('NATION_', CAST(user_id % 25 AS STRING)) END", "origin_country"),
     (f"CAST({SNAPSHOT_TIME} + event_id % 60 AS DOUBLE)", "time_position"),
     (f"CAST({SNAPSHOT_TIME} + event_id % 120 AS DOUBLE)", "last_contact"),

@@ -1,8 +1,8 @@
 """Fact, dimension and daily summary tables, and their registry.
 
 Each builder is a lazy DataFrame over the history; Catalyst prunes the scan to
-the columns the mart uses. Sorting is for readers: a table write does not keep
-it, so it is applied by ``sorted_view`` only where a caller wants the order.
+the columns the mart uses. The dimension builders sort for readers of the
+returned rows; a table write does not keep that order.
 """
 
 from __future__ import annotations

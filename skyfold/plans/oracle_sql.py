@@ -10,10 +10,6 @@ are exact (whole cents), as in ``skyfold.functions.aggregates.avg_2dp``.
 from __future__ import annotations
 
 from skyfold.plans.fixture import BATCH_A_LAST_DAY, BATCH_B_FIRST_DAY
-from skyfold.plans.preset import (
-    BOUNDING_BOX, CATEGORY_LABELS, HOME_COUNTRY, LOCAL_ZONE, METRES_TO_FEET,
-    MPS_TO_FEET_PER_MINUTE, MPS_TO_KMH, RETENTION_DAYS, SPEED_BANDS, SPEED_TOP,
-)
 from skyfold.schema import (
     DAILY_MEASURES, FACT_COLUMNS, HISTORY_COLUMNS, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS,
     MAPPED_COLUMNS,
@@ -21,7 +17,8 @@ from skyfold.schema import (
 
 from skyfold.plans.queries import PROCESSING_TIME, RETENTION_AS_OF, SELECTED_DAY  # noqa: E402
 
-assert LOCAL_ZONE == "Asia/Kolkata"  # fixed +05:30, written as 330 minutes below
+# Labels, factors, bounds and the local zone (+05:30) are written out here, not
+# taken from the code under test: a wrong constant there must not pass.
 LOCAL_DAY = "CAST(ts + INTERVAL 330 MINUTE AS DATE)"
 SNAPSHOT_DAY = "(DATE '1970-01-01' + CAST(floor(snapshot_time / 86400) AS INTEGER))"
 
@@ -43,10 +40,10 @@ SNAP = "CAST(epoch(date_trunc('hour', ts)) AS BIGINT)"
 
 FX = f"""fx AS (
   SELECT {SNAP} AS snapshot_time,
-    'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS icao24,
+    CASE WHEN event_id % 47 = 0 THEN NULL ELSE 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') END AS icao24,
     CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN '   '
          ELSE ' cal' || CAST(user_id AS VARCHAR) || '  ' END AS callsign,
-    CASE WHEN user_id % 25 = 0 THEN 'India'
+    CASE WHEN event_id % 43 = 0 THEN NULL WHEN user_id % 25 = 0 THEN 'India'
          ELSE 'NATION_' || CAST(user_id % 25 AS VARCHAR) END AS origin_country,
     CAST({SNAP} + event_id % 60 AS DOUBLE) AS time_position,
     CAST({SNAP} + event_id % 120 AS DOUBLE) AS last_contact,
@@ -64,19 +61,27 @@ FX = f"""fx AS (
     event_id
   FROM events)"""
 
-CATEGORY_CASE = ("CASE category " + " ".join(
-    f"WHEN {code} THEN '{label}'" for code, label in CATEGORY_LABELS.items()) + " ELSE 'Unknown' END")
+# Fixed values.
+CATEGORY_CASE = """CASE category
+    WHEN 0 THEN 'No Info' WHEN 1 THEN 'No ADS-B Emitter' WHEN 2 THEN 'Light Aircraft'
+    WHEN 3 THEN 'Small Aircraft' WHEN 4 THEN 'Large Aircraft' WHEN 5 THEN 'High Vortex Large Aircraft'
+    WHEN 6 THEN 'Heavy Aircraft' WHEN 7 THEN 'High Performance Aircraft' WHEN 8 THEN 'Rotorcraft'
+    WHEN 9 THEN 'Glider' WHEN 10 THEN 'lighter Than Air' WHEN 11 THEN 'Parachutist'
+    WHEN 12 THEN 'Ultralight' WHEN 15 THEN 'UAV' WHEN 16 THEN 'Surface Vehicle - Emergency'
+    WHEN 17 THEN 'Surface Vehicle - Service' ELSE 'Unknown' END"""
 
 PHASE_CASE = """CASE WHEN on_ground = TRUE THEN 'On Ground'
     WHEN baro_altitude < 1000 THEN 'Takeoff / Landing'
     WHEN baro_altitude BETWEEN 1000 AND 6000 THEN 'Climbing / Descending'
     ELSE 'Cruising' END"""
 
-SPEED_CASE = ("CASE WHEN speed_kmh IS NULL THEN 'Unknown' " + " ".join(
-    f"WHEN speed_kmh < {upper} THEN '{label}'" for upper, label in SPEED_BANDS)
-    + f" ELSE '{SPEED_TOP}' END")
+SPEED_CASE = """CASE WHEN speed_kmh IS NULL THEN 'Unknown'
+    WHEN speed_kmh < 300 THEN 'Slow (<300 km/h)'
+    WHEN speed_kmh < 600 THEN 'Medium (300-600 km/h)'
+    WHEN speed_kmh < 900 THEN 'Fast (600-900 km/h)'
+    ELSE 'Very Fast (>900 km/h)' END"""
 
-TYPE_CASE = f"CASE WHEN origin_country = '{HOME_COUNTRY}' THEN 'Domestic' ELSE 'International' END"
+TYPE_CASE = "CASE WHEN origin_country = 'India' THEN 'Domestic' ELSE 'International' END"
 
 REQUIRED = ("icao24 IS NOT NULL AND callsign IS NOT NULL AND latitude IS NOT NULL"
             " AND longitude IS NOT NULL")
@@ -88,10 +93,10 @@ def history_cte(name: str, source: str, ingested: str = "ingested_at",
   SELECT snapshot_time, icao24, upper(trim(callsign)) AS callsign, origin_country,
     time_position, last_contact, longitude, latitude, on_ground,
     true_track AS heading_degrees, squawk,
-    {r2(f'baro_altitude * CAST({METRES_TO_FEET} AS DOUBLE)')} AS altitude_feet,
-    {r2(f'geo_altitude * CAST({METRES_TO_FEET} AS DOUBLE)')} AS geo_altitude_feet,
-    {r2(f'velocity * CAST({MPS_TO_KMH} AS DOUBLE)')} AS speed_kmh,
-    {r2(f'vertical_rate * CAST({MPS_TO_FEET_PER_MINUTE} AS DOUBLE)')} AS vertical_rate_ftpm,
+    {r2(f'baro_altitude * CAST(3.2804 AS DOUBLE)')} AS altitude_feet,
+    {r2(f'geo_altitude * CAST(3.2804 AS DOUBLE)')} AS geo_altitude_feet,
+    {r2(f'velocity * CAST(3.6 AS DOUBLE)')} AS speed_kmh,
+    {r2(f'vertical_rate * CAST(196.85 AS DOUBLE)')} AS vertical_rate_ftpm,
     {ingested} AS ingested_at,
     {CATEGORY_CASE} AS flight_category,
     {PHASE_CASE} AS flight_phase{carry}
@@ -168,7 +173,6 @@ PHASE_MART = f"""SELECT flight_phase, flight_category,
 
 MAPPED = ", ".join(MAPPED_COLUMNS)
 EVENTS_BY_DAY = f"SELECT *, {LOCAL_DAY} AS d FROM events"
-MIN_LAT, MAX_LAT, MIN_LON, MAX_LON = BOUNDING_BOX
 
 
 def _distribution(col: str, limit: str = "") -> str:
@@ -234,14 +238,17 @@ ORACLES: dict[str, str] = {
         f"CASE WHEN d = DATE '{SELECTED_DAY}' THEN value * 2.0 ELSE value END AS value, "
         f"d AS ingest_date FROM ({EVENTS_BY_DAY})"),
     "table_first_run_then_upsert": _upsert_history(),
+    "table_merge_by_shuffle": _upsert_history(),
     "retention_90d": (
         "SELECT * FROM orders WHERE o_orderdate >= "
-        f"CAST(DATE '{RETENTION_AS_OF}' - INTERVAL {RETENTION_DAYS} DAY AS TIMESTAMP)"),
+        f"CAST(DATE '{RETENTION_AS_OF}' - INTERVAL 90 DAY AS TIMESTAMP)"),
     "required_columns_filter": f"WITH {FX}\nSELECT * FROM fx WHERE {REQUIRED}",
     "bbox_filter": (
-        f"WITH {FX}\nSELECT * FROM fx WHERE latitude BETWEEN {MIN_LAT} AND {MAX_LAT} "
-        f"AND longitude BETWEEN {MIN_LON} AND {MAX_LON}"),
+        f"WITH {FX}\nSELECT * FROM fx WHERE latitude BETWEEN 6.0 AND 37.0 "
+        "AND longitude BETWEEN 68.0 AND 97.0"),
     "clean_units": f"{BASE}\nSELECT * FROM hx",
+    "processing_time_default": (
+        f"WITH {FX}\nSELECT event_id, TRUE AS stamped, TRUE AS one_time, TRUE AS after_event FROM fx WHERE {REQUIRED}"),
     "category_label": f"WITH {FX}\nSELECT event_id, category, {CATEGORY_CASE} AS flight_category FROM fx",
     "flight_phase": (
         f"WITH {FX}\nSELECT event_id, on_ground, baro_altitude, {PHASE_CASE} AS flight_phase FROM fx"),

@@ -28,7 +28,7 @@ from skyfold.plans.marts import (
     daily_summary, dim_countries, dim_flight_phases, fact_flights, mart_row_counts,
 )
 from skyfold.plans.preset import (
-    BOUNDING_BOX, LOCAL_ZONE, REQUIRED_COLUMNS, RETENTION_DAYS, category_label,
+    BOUNDING_BOX, LOCAL_ZONE, REQUIRED_COLUMNS, RETENTION_DAYS, category_label, clean,
     flight_phase, flight_type, required_present, speed_category,
 )
 from skyfold.plans.tables import (
@@ -128,6 +128,16 @@ def clean_units(spark, sf_dir):
     return _history(spark, sf_dir)
 
 
+def processing_time_default(spark, sf_dir):
+    """The processing time stamped by default: present, one for the whole run,
+    and later than every event."""
+    now = F.current_timestamp()
+    rows = clean(_fixture(spark, sf_dir).withColumnRenamed("ingested_at", "event_time"), carry=("event_id", "event_time"))
+    return rows.select(
+        "event_id", F.col("ingested_at").isNotNull().alias("stamped"), (F.col("ingested_at") == now).alias("one_time"),
+        (F.col("ingested_at") > F.col("event_time")).alias("after_event"))
+
+
 def category_label_query(spark, sf_dir):
     return _fixture(spark, sf_dir).select(
         "event_id", "category", category_label("category").alias("flight_category"))
@@ -250,7 +260,13 @@ def upsert_small_source(spark, sf_dir):
     return upsert(a, b, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS, broadcast_max_rows=10_000_000)
 
 
-def table_first_run_then_upsert(spark, sf_dir):
+def table_merge_by_shuffle(spark, sf_dir):
+    """The same table flow with no source small enough to broadcast: the plan
+    of a large merge, and the one every size can take."""
+    return table_first_run_then_upsert(spark, sf_dir, broadcast_max_rows=0)
+
+
+def table_first_run_then_upsert(spark, sf_dir, **merge_settings):
     """Batch A creates the table (it does not exist yet), batch B is loaded
     through a staging view and merged into the touched partitions only."""
     a, b = _batches(spark, sf_dir, materialize=True)
@@ -261,7 +277,7 @@ def table_first_run_then_upsert(spark, sf_dir):
     write_partitions(with_history_partition(b), staged, "snapshot_date")
     view = f"history_staging_{uuid.uuid4().hex[:12]}"
     staging = load_staging(spark, staged, view)
-    merge_into(spark, history, spark.table(view).select(*staging.columns))
+    merge_into(spark, history, spark.table(view).select(*staging.columns), **merge_settings)
     drop_staging(spark, view)
     return read_history(spark, history)
 
@@ -327,10 +343,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "date_partition_select": date_partition_select,
     "parquet_day_overwrite": parquet_day_overwrite,
     "table_first_run_then_upsert": table_first_run_then_upsert,
+    "table_merge_by_shuffle": table_merge_by_shuffle,
     "retention_90d": retention_90d,
     "required_columns_filter": required_columns_filter,
     "bbox_filter": bbox_filter,
     "clean_units": clean_units,
+    "processing_time_default": processing_time_default,
     "category_label": category_label_query,
     "flight_phase": flight_phase_query,
     "flight_type": flight_type_query,

@@ -15,6 +15,7 @@ re-run on its own.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -84,16 +85,21 @@ def process_day(spark: SparkSession, landing: str, processed: str, day: str | No
 
 
 def load_history(spark: SparkSession, processed: str, history: str, day: str | None = None,
-                 *, count_total: bool = False) -> dict:
+                 *, count_total: bool = False,
+                 dedup_order: str | Sequence[str] | None = None) -> dict:
     """Processed rows of one day (all days when ``day`` is None) → staging
     view → history (create or merge) → drop the view.
 
+    ``dedup_order`` names the expressions that pick one row where a key repeats
+    (smallest first); without it repeated keys stop a merge.
+
     ``count_total`` adds the history's total row count (answered from the
     Parquet footers, but it lists every file of the table)."""
     view = f"{STAGING_VIEW}_{uuid.uuid4().hex[:12]}"   # one per load: loads may run side by side
     load_staging(spark, processed, view, day=day, columns=HISTORY_COLUMNS)
     try:
-        result = merge_into(spark, history, with_history_partition(spark.table(view)))
+        result = merge_into(spark, history, with_history_partition(spark.table(view)),
+                            dedup_order=dedup_order)
     finally:
         drop_staging(spark, view)
     if count_total:

@@ -47,7 +47,8 @@ def _partition_filter(column: str, values: list) -> Column:
 
 def touched_partitions(spark: SparkSession, path: str, partition_col: str, values: list) -> DataFrame:
     """The table restricted to some partition values (``None`` for the null
-    partition); a partition filter, so other folders are not even listed."""
+    partition). It is a partition filter: other folders are listed, but none of
+    their files is read."""
     return spark.read.parquet(path).filter(_partition_filter(partition_col, values))
 
 
@@ -76,15 +77,18 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
     and replacing the same partitions in one job is safe, and a lost executor
     recomputes from files that are still there.
 
+    ``dedup_order`` picks one row of each source key (smallest first), on the
+    first run too; without it a first batch is copied as it is, and repeated
+    keys in a later one raise.
+
     Returns ``{"created": bool, "rows_written": n, "partitions": k}``.
     """
+    if dedup_order is not None:
+        source = unique_source(source, list(keys), dedup_order)
     if not table_exists(spark, path):
-        # First run: the batch is copied as it is.
         written = write_partitions(source, path, partition_col)
         return {"created": True, "rows_written": written, "partitions": None}
     keys = list(keys)
-    if dedup_order is not None:
-        source = unique_source(source, keys, dedup_order)
     stats = source_stats(source, keys, partition_col)
     if dedup_order is None and stats["max_copies"] > 1:
         raise DuplicateSourceKeyError(

@@ -17,19 +17,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from skyfold.plans.preset import snapshot_rows
 from skyfold.plans.tables import merge_into, with_history_partition
 from skyfold.schema import RAW_SCHEMA
+from skyfold.session import ensure_checkpoint_dir
 from skyfold.sources.snapshots import one_copy, with_copy
 
+#: Files per micro-batch: a backlog is worked off in bounded batches, none is left out.
+MAX_FILES_PER_TRIGGER = 10_000
+
 
 def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str, *,
                ingested_at: Column | None = None, multi_line: bool = False,
                key_order: str | Column | Sequence[str | Column] | None = None,
-               max_files_per_trigger: int | None = None, dated_folders: bool = False) -> dict:
+               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, dated_folders: bool = False) -> dict:
     """Process every landed file not yet seen, then stop (``availableNow``).
 
     ``dated_folders`` reads ``<landing>/<yyyy-MM-dd>/`` folders, which a file
@@ -43,22 +46,18 @@ def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str,
     reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "FAILFAST")
     if multi_line:
         reader = reader.option("multiLine", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    ensure_checkpoint_dir(spark)
     stream = with_copy(reader.json(f"{landing.rstrip('/')}/*-*-*" if dated_folders else landing))
     stats = {"batches": 0, "rows_merged": 0}
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         docs = one_copy(batch.select(*[f.name for f in RAW_SCHEMA.fields]))
         rows = with_history_partition(snapshot_rows(docs, ingested_at))
-        # The merge reads its source twice (check job, then the write); keep
-        # the parsed batch instead of parsing the JSON again. A lost block is
-        # recomputed from the batch's files.
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            result = merge_into(batch.sparkSession, history, rows, dedup_order=key_order)
-        finally:
-            rows.unpersist()
+        # The merge reads its source twice (check job, then the write), so the
+        # parsed batch is written once to the shared checkpoint folder.
+        rows = rows.checkpoint(eager=True)
+        result = merge_into(batch.sparkSession, history, rows, dedup_order=key_order)
         stats["batches"] += 1
         stats["rows_merged"] += result["rows_written"]
 

@@ -33,7 +33,7 @@ MAPPED_DDL = ("row string, snapshot_time bigint, icao24 string, callsign string,
 
 def _mapped(spark):
     rows = [(r[0], 1772138472, "4b1c2d", "XYZ42  ", "Norway", 1.0, 2.0, 77.125, 21.5, r[1], r[4],
-             r[2], 288.73, r[3], 12070.08, "0447", r[5]) for r in EDGE]
+             r[2], 145.25, r[3], 9450.5, "2107", r[5]) for r in EDGE]
     return spark.createDataFrame(rows, MAPPED_DDL)
 
 
@@ -46,7 +46,7 @@ def test_edge_rows(spark):
         r = by_row[e[0]]
         assert (r.altitude_feet, r.speed_kmh, r.vertical_rate_ftpm) == (e[6], e[7], e[8]), e[0]
         assert (r.flight_phase, r.flight_category, r.speed_category) == (e[9], e[10], e[11]), e[0]
-        assert r.geo_altitude_feet == 39594.69
+        assert r.geo_altitude_feet == 31001.42
         assert r.callsign == "XYZ42"
 
 

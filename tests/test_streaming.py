@@ -73,3 +73,16 @@ def test_duplicate_keys_in_a_batch(spark, tmp_dir):
     rows = read_history(spark, hist).collect()
     assert len(rows) == 1 and rows[0].callsign == "NEWER"
     assert (rows[0].time_position, rows[0].last_contact) == (1.0, 2.0)   # kept from the stored row
+
+
+def test_a_backlog_in_bounded_batches(spark, tmp_dir):
+    vec = ["a1", "CALL", "India", "1.0", "2.0", "77.0", "20.0", "100.0", "false", "10.0", "0.0", "0.0",
+           None, "100.0", "0001", None, "1"]
+    landing = os.path.join(tmp_dir, "l")
+    for hour in range(3):
+        docs = spark.createDataFrame([(7200 + 3600 * hour, 0, [vec])], "time bigint, part int, states array<array<string>>")
+        land_snapshots(docs, landing, "Asia/Kolkata")
+    one, whole = os.path.join(tmp_dir, "h1"), os.path.join(tmp_dir, "h2")
+    done = accumulate(spark, landing, one, os.path.join(tmp_dir, "c1"), ingested_at=stamp(), max_files_per_trigger=1)
+    accumulate(spark, landing, whole, os.path.join(tmp_dir, "c2"), ingested_at=stamp())
+    assert done["batches"] == 3 and _rows(read_history(spark, one)) == _rows(read_history(spark, whole))

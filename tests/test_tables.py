@@ -96,3 +96,15 @@ def test_failed_replace_keeps_the_old_table(spark, tmp_dir):
     assert replace_table(spark.read.parquet(path).limit(2), path) == 2
     assert spark.read.parquet(path).count() == 2
     assert sorted(os.listdir(tmp_dir)) == ["t"]
+
+
+def test_order_picks_one_row_per_key_on_every_run(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "h")
+    rows = spark.createDataFrame([(7200, "a", 1.0, "x"), (7200, "a", 2.0, "y"), (7200, None, 1.0, "z"), (7200, None, 1.0, "z")],
+                                 "snapshot_time bigint, icao24 string, last_contact double, callsign string")
+    rows = with_history_partition(rows)
+    for _ in range(2):
+        merge_into(spark, path, rows, update=["callsign"], dedup_order=[-F.col("last_contact")])
+        keyed = read_history(spark, path).filter("icao24 IS NOT NULL").collect()
+        assert [r.callsign for r in keyed] == ["y"]
+    assert read_history(spark, path).filter("icao24 IS NULL").count() == 4   # null keys never match
