@@ -31,6 +31,10 @@ from skyfold.functions.sqltext import ident
 from skyfold.operators.filters import all_present
 
 
+# Upper bound on the text of the source keys that the broadcast plan ships.
+BROADCAST_MAX_BYTES = 256 << 20
+
+
 class DuplicateSourceKeyError(ValueError):
     """Two source rows share one key; a MERGE would be ambiguous."""
 
@@ -93,7 +97,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            dedup_order: str | Sequence[str] | None = None,
            check_unique: bool = True,
            broadcast_max_rows: int = 0,
-           broadcast_max_bytes: int = 256 << 20,
+           broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
            source_rows: int | None = None,
            source_key_bytes: int | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``; see the module notes.

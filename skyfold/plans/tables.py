@@ -3,9 +3,10 @@ retention.
 
 The history table is Parquet partitioned by ``snapshot_date``, a function of
 the key ``snapshot_time``, so every key lives in exactly one partition. A
-merge therefore reads and rewrites only the partitions the batch touches
-(partition pruning on read, dynamic partition overwrite on write); the rest of
-the table is never scanned.
+merge lists and reads only the partitions its batch touches. Of these it
+rewrites those that hold a key of the batch (dynamic partition overwrite); to
+the others the batch's rows are appended, so a batch of new snapshots costs
+its own size, not that of the day it falls on.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.functions.scalar import utc_date_of_epoch
+from skyfold.operators.filters import all_present
 from skyfold.operators.upsert import (
-    DuplicateSourceKeyError, source_stats, unique_source, upsert,
+    BROADCAST_MAX_BYTES, DuplicateSourceKeyError, source_stats, unique_source, upsert,
 )
 from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
-from skyfold.sources.parquet import hadoop_fs, path_exists, write_partitions
+from skyfold.session import ensure_checkpoint_dir
+from skyfold.sources.parquet import folder_exists, hadoop_fs, partition_folder, path_exists, write_partitions
 
 HISTORY_PARTITION = "snapshot_date"
 # Upper bound on source rows for the broadcast merge plan (only the source
@@ -45,11 +48,28 @@ def _partition_filter(column: str, values: list) -> Column:
     return cond
 
 
-def touched_partitions(spark: SparkSession, path: str, partition_col: str, values: list) -> DataFrame:
+def touched_partitions(spark: SparkSession, path: str, partition_col: str, values: list) -> DataFrame | None:
     """The table restricted to some partition values (``None`` for the null
-    partition). It is a partition filter: other folders are listed, but none of
-    their files is read."""
-    return spark.read.parquet(path).filter(_partition_filter(partition_col, values))
+    partition), or None if it has none of them. Only their folders are listed."""
+    base = path.rstrip("/")
+    folders = [f"{base}/{partition_folder(partition_col, v)}" for v in values]
+    there = [f for f in folders if folder_exists(spark, f)]
+    if not there:
+        return None
+    return (spark.read.option("basePath", base).parquet(*there)
+            .filter(_partition_filter(partition_col, values)))
+
+
+def _partitions_with_keys(target: DataFrame, source: DataFrame, keys: list[str], partition_col: str,
+                          broadcast_keys: bool) -> list:
+    """Values of the partitions of ``target`` that hold a key of ``source``;
+    reads the key columns only."""
+    wanted = source.select(*keys).filter(all_present(keys))
+    if broadcast_keys:
+        wanted = F.broadcast(wanted)
+    columns = list(dict.fromkeys([*keys, partition_col]))
+    found = target.select(*columns).join(wanted, on=keys, how="left_semi").select(partition_col).distinct()
+    return [r[0] for r in found.collect()]   # at most the touched partitions
 
 
 def with_history_partition(df: DataFrame) -> DataFrame:
@@ -71,35 +91,49 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
 
     ``source`` must carry ``partition_col`` (see ``with_history_partition``).
     One aggregate job checks the source (rows, duplicate keys, touched
-    partitions); the merge then reads only the touched partitions and
-    replaces exactly those. Dynamic partition overwrite stages the output and
-    swaps each partition only after every task has read its input, so reading
-    and replacing the same partitions in one job is safe, and a lost executor
-    recomputes from files that are still there.
+    partitions), a second one reads the keys of the touched partitions. Those
+    that hold a key of the source are replaced whole: dynamic partition
+    overwrite stages the output and swaps each partition only after every task
+    has read its input, so reading and replacing the same partitions in one job
+    is safe, and a lost executor recomputes from files that are still there.
+    The other source rows, which match nothing, are appended. A run that stops
+    between the two writes is completed by running it again: keyed rows already
+    there match themselves.
 
     ``dedup_order`` picks one row of each source key (smallest first), on the
     first run too; without it a first batch is copied as it is, and repeated
     keys in a later one raise.
 
-    Returns ``{"created": bool, "rows_written": n, "partitions": k}``.
+    Returns ``{"created": bool, "rows_written": n, "partitions": k,
+    "rewritten": r}``: rows written, partitions touched and those rewritten.
     """
+    keys = list(keys)
     if dedup_order is not None:
-        source = unique_source(source, list(keys), dedup_order)
+        # Used by every job below: picked once, not once per job.
+        ensure_checkpoint_dir(spark)
+        source = unique_source(source, keys, dedup_order).checkpoint(eager=True)
     if not table_exists(spark, path):
         written = write_partitions(source, path, partition_col)
-        return {"created": True, "rows_written": written, "partitions": None}
-    keys = list(keys)
+        return {"created": True, "rows_written": written, "partitions": None, "rewritten": 0}
     stats = source_stats(source, keys, partition_col)
     if dedup_order is None and stats["max_copies"] > 1:
         raise DuplicateSourceKeyError(
             f"source has {stats['max_copies']} rows for one key of {keys}")
     touched = stats["touched"]
     target = touched_partitions(spark, path, partition_col, touched)
-    merged = upsert(target, source.select(*target.columns), keys, update,
-                    check_unique=False, broadcast_max_rows=broadcast_max_rows,
-                    source_rows=stats["rows"], source_key_bytes=stats["key_bytes"])
-    written = write_partitions(merged, path, partition_col)
-    return {"created": False, "rows_written": written, "partitions": len(touched)}
+    small = stats["rows"] <= broadcast_max_rows and stats["key_bytes"] <= BROADCAST_MAX_BYTES
+    matched = [] if target is None else _partitions_with_keys(target, source, keys, partition_col, small)
+    written = 0
+    in_matched = F.coalesce(_partition_filter(partition_col, matched), F.lit(False))
+    if matched:
+        target = touched_partitions(spark, path, partition_col, matched)
+        merged = upsert(target, source.filter(in_matched).select(*target.columns), keys, update,
+                        check_unique=False, broadcast_max_rows=broadcast_max_rows,
+                        source_rows=stats["rows"], source_key_bytes=stats["key_bytes"])
+        written += write_partitions(merged, path, partition_col)
+    if len(matched) < len(touched):
+        written += write_partitions(source.filter(~in_matched), path, partition_col, append=True)
+    return {"created": False, "rows_written": written, "partitions": len(touched), "rewritten": len(matched)}
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def rebalance(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -15,15 +14,16 @@ def rebalance(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: str | list[str]) -> int:
-    """Replace only the partitions present in ``df`` (dynamic overwrite).
+def write_partitions(df: DataFrame, path: str, partition_by: str | list[str], *, append: bool = False) -> int:
+    """Replace only the partitions present in ``df`` (dynamic overwrite), or
+    add to them with ``append``.
 
     Returns the rows written, counted while writing.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     seen = Observation("written")
     (rebalance(df, cols).observe(seen, F.count(F.lit(1)).alias("rows"))
-       .write.mode("overwrite")
+       .write.mode("append" if append else "overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*cols)
        .parquet(path))
@@ -63,15 +63,27 @@ def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> N
     fs.delete(jpath, True)
 
 
+def partition_folder(column: str, value) -> str:
+    """Folder name of one partition value (a date, a number or plain text; None
+    for the null partition)."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = hadoop_fs(spark, path)
+    return fs.exists(jpath)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a Parquet dataset (a folder with data files)."""
+    """True when ``path`` holds a data file, at any depth. The listing is lazy
+    and stops at the first one; a folder that cannot be listed is an error."""
     fs, jpath = hadoop_fs(spark, path)
     if not fs.exists(jpath):
         return False
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the listing only
-        return True
-    except AnalysisException as exc:
-        if exc.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
-            return False
-        raise
+    root = fs.resolvePath(jpath).toString()
+    files = fs.listFiles(jpath, True)
+    while files.hasNext():
+        below = files.next().getPath().toString()[len(root):]
+        if not any(part.startswith(("_", ".")) for part in below.split("/")):
+            return True
+    return False

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.functions.sqltext import ident, literal
-from skyfold.schema import RAW_SCHEMA
+from skyfold.schema import RAW_DDL, RAW_SCHEMA
 
 DATE_PARTITION = "ingest_date"
 
@@ -26,27 +26,40 @@ def read_snapshots(spark: SparkSession, path: str, *, multi_line: bool = False,
     """Every document under ``path`` as one row ``(time, part, copy, states[, ingest_date])``.
 
     A document that is no valid JSON for the schema (a broken file, or a
-    pretty-printed one read without ``multi_line``) fails the read.
+    pretty-printed one read without ``multi_line``) fails the read, and so does
+    a file of several documents read with ``multi_line``.
 
     The schema is explicit, so no inference pass reads the files first. With
     ``day`` only that day's folder is listed and read: an ``ingest_date=``
     partition (our landing), or, with ``dated_folders``, a plain
     ``<path>/<yyyy-MM-dd>/`` folder as other landings write it.
     """
-    reader = spark.read.schema(RAW_SCHEMA).option("mode", "FAILFAST")
-    if multi_line:
-        reader = reader.option("multiLine", True)
     if dated_folders:
         if day is None:
             raise ValueError("dated_folders needs a day")
-        return (with_copy(reader.json(f"{path.rstrip('/')}/{day}"))
+        return (read_documents(spark.read, f"{path.rstrip('/')}/{day}", multi_line)
                 .withColumn(DATE_PARTITION, F.lit(day).cast("date")))
-    docs = with_copy(reader.json(path))
+    docs = read_documents(spark.read, path, multi_line)
     if day is not None:
         docs = select_day(docs, day)
     return docs
 
 
+def read_documents(reader, path: str, multi_line: bool) -> DataFrame:
+    """Documents of a batch or stream reader, with their copy: one per line, or
+    with ``multi_line`` one per file."""
+    if not multi_line:
+        return with_copy(reader.schema(RAW_SCHEMA).option("mode", "FAILFAST").json(path))
+    files = reader.text(path, wholetext=True)
+    # A parser stops at the end of the first document. No object follows an
+    # object within a snapshot, so a second document shows in the text.
+    several = F.raise_error(F.concat(F.lit("several documents in one file: "), F.col("_metadata.file_path")))
+    text = F.when(F.col("value").rlike(r"\}\s*\{"), several).otherwise(F.col("value"))
+    parsed = files.withColumn("_doc", F.from_json(text, RAW_DDL, {"mode": "FAILFAST"}))
+    rest = [c for c in files.columns if c != "value"]   # partition columns
+    return with_copy(parsed.filter("trim(value) != ''").select("_doc.*", "_metadata", *rest)).drop("_metadata")
+
+
 def with_copy(docs: DataFrame) -> DataFrame:
     """Names the copy each document belongs to: its landing run or, for a
     document other tools landed (a whole snapshot), its file and content.

@@ -23,7 +23,7 @@ from skyfold.plans.preset import snapshot_rows
 from skyfold.plans.tables import merge_into, with_history_partition
 from skyfold.schema import RAW_SCHEMA
 from skyfold.session import ensure_checkpoint_dir
-from skyfold.sources.snapshots import one_copy, with_copy
+from skyfold.sources.snapshots import one_copy, read_documents
 
 #: Files per micro-batch: a backlog is worked off in bounded batches, none is left out.
 MAX_FILES_PER_TRIGGER = 10_000
@@ -43,12 +43,9 @@ def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str,
     first; ``-F.col("last_contact")`` keeps the newest report).
     Returns a summary of the run: batches and rows merged.
     """
-    reader = spark.readStream.schema(RAW_SCHEMA).option("mode", "FAILFAST")
-    if multi_line:
-        reader = reader.option("multiLine", True)
-    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     ensure_checkpoint_dir(spark)
-    stream = with_copy(reader.json(f"{landing.rstrip('/')}/*-*-*" if dated_folders else landing))
+    stream = read_documents(reader, f"{landing.rstrip('/')}/*-*-*" if dated_folders else landing, multi_line)
     stats = {"batches": 0, "rows_merged": 0}
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:

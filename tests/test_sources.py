@@ -142,3 +142,20 @@ def test_broken_documents_fail_the_read(spark, tmp_dir):
         fh.write(json.dumps({"time": 1, "states": [["x"]]}) + "\n{\"time\": 2, \"sta\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
         read_snapshots(spark, tmp_dir).collect()
+
+
+def test_wrong_mode_fails_the_read(spark, tmp_dir):
+    """A file of one document per line read as one document, and the other way round."""
+    lines, pretty = os.path.join(tmp_dir, "lines"), os.path.join(tmp_dir, "pretty")
+    _write_docs(pretty, [{"time": 1, "states": [["x", None, 2.5, True]]}])
+    os.makedirs(lines)
+    with open(os.path.join(lines, "a.json"), "w") as fh:
+        fh.write("\n".join(json.dumps({"time": t, "states": [["{x}"]]}) for t in (1, 2)) + "\n")
+    assert [r.states for r in read_snapshots(spark, pretty, multi_line=True).collect()] == [[["x", None, "2.5", "true"]]]
+    assert read_snapshots(spark, lines).count() == 2
+    with pytest.raises(Exception, match="several documents"):
+        read_snapshots(spark, lines, multi_line=True).collect()
+    with open(os.path.join(pretty, "broken.json"), "w") as fh:
+        fh.write('{"time": 2,\n "sta')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        read_snapshots(spark, pretty, multi_line=True).collect()

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from skyfold.plans.fixture import batch_a, batch_b, keyed_history
 from skyfold.plans.tables import (
-    replace_table,
-    HISTORY_PARTITION, expire_partitions, merge_into, read_history, retain_recent,
-    table_exists, upsert_table, with_history_partition,
+    HISTORY_PARTITION, expire_partitions, merge_into, read_history, replace_table, retain_recent,
+    table_exists, touched_partitions, upsert_table, with_history_partition,
 )
 from skyfold.operators import upsert
 from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
@@ -108,3 +107,59 @@ def test_order_picks_one_row_per_key_on_every_run(spark, tmp_dir):
         keyed = read_history(spark, path).filter("icao24 IS NOT NULL").collect()
         assert [r.callsign for r in keyed] == ["y"]
     assert read_history(spark, path).filter("icao24 IS NULL").count() == 4   # null keys never match
+
+
+def test_merge_appends_where_nothing_matches(spark, tmp_dir):
+    """A batch of new keys adds files to its day and leaves the day's own as they are."""
+    path = os.path.join(tmp_dir, "h")
+    schema = "snapshot_time bigint, icao24 string, callsign string"
+    batch = lambda *rows: with_history_partition(spark.createDataFrame(list(rows), schema))
+    day = 86400
+    merge_into(spark, path, batch((0, "a", "x"), (day, "a", "x"), (None, "n", "x")), update=["callsign"])
+    before = _mtimes(path)
+    out = merge_into(spark, path, batch((3600, "a", "y"), (day, "a", "y"), (2 * day, "a", "y"), (None, "n", "y")),
+                     update=["callsign"])
+    assert (out["rows_written"], out["partitions"], out["rewritten"]) == (4, 4, 1)
+    after = _mtimes(path)
+    first = f"{HISTORY_PARTITION}=1970-01-01"
+    assert set(before[first]) < set(after[first])
+    assert not set(before[f"{HISTORY_PARTITION}=1970-01-02"]) & set(after[f"{HISTORY_PARTITION}=1970-01-02"])
+    assert _rows(read_history(spark, path)) == sorted(
+        [(0, "a", "x"), (3600, "a", "y"), (day, "a", "y"), (2 * day, "a", "y"), (None, "n", "x"), (None, "n", "y")],
+        key=lambda t: tuple((x is None, str(x)) for x in t))
+    # by the shuffle plan too, and again without a change
+    again = batch((3600, "a", "y"), (day, "a", "y"), (2 * day, "a", "y"))
+    assert merge_into(spark, path, again, update=["callsign"], broadcast_max_rows=0)["rewritten"] == 3
+    assert read_history(spark, path).count() == 6
+
+
+def test_only_touched_folders_are_listed(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "h")
+    rows = spark.createDataFrame([(0, "a"), (86400, "a"), (None, "a")], "snapshot_time bigint, icao24 string")
+    merge_into(spark, path, with_history_partition(rows), update=[])
+    import datetime as dt
+
+    part = touched_partitions(spark, path, HISTORY_PARTITION, [dt.date(1970, 1, 2), dt.date(1999, 1, 1), None])
+    assert {os.path.basename(os.path.dirname(f)) for f in part.inputFiles()} == {
+        f"{HISTORY_PARTITION}=1970-01-02", f"{HISTORY_PARTITION}=__HIVE_DEFAULT_PARTITION__"}
+    assert part.count() == 2
+    assert touched_partitions(spark, path, HISTORY_PARTITION, [dt.date(1999, 1, 1)]) is None
+
+
+@pytest.mark.parametrize("time", [3600, 0])
+def test_failed_merge_keeps_the_old_table(spark, tmp_dir, time):
+    """Whether the failing row would be appended or merged."""
+    path = os.path.join(tmp_dir, "h")
+    schema = "snapshot_time bigint, icao24 string, callsign string"
+    merge_into(spark, path, with_history_partition(spark.createDataFrame([(0, "a", "x")], schema)), update=["callsign"])
+    bad = with_history_partition(spark.createDataFrame([(time, "a", "y")], schema)).withColumn(
+        "callsign", F.expr("raise_error('no')").cast("string"))
+    with pytest.raises(Exception, match="no"):
+        merge_into(spark, path, bad, update=["callsign"])
+    assert [tuple(r) for r in read_history(spark, path).collect()] == [(0, "a", "x")]
+
+
+def test_unfinished_output_is_no_table(spark, tmp_dir):
+    os.makedirs(os.path.join(tmp_dir, "t", "_temporary", "0"))
+    open(os.path.join(tmp_dir, "t", "_temporary", "0", "part-0.parquet"), "w").close()
+    assert not table_exists(spark, os.path.join(tmp_dir, "t"))
