@@ -256,6 +256,9 @@ ORACLES: dict[str, str] = {
     "speed_band": f"{BASE}\nSELECT event_id, speed_kmh, {SPEED_CASE} AS speed_category FROM hx",
     "fact_projection": f"{BASE}\n{fact_select('hx')}",
     "snapshot_dedup": f"WITH {FX}\nSELECT {MAPPED} FROM fx",
+    "landed_vectors": (
+        f"WITH {FX}\nSELECT CASE WHEN event_id % 53 = 0 THEN NULL ELSE snapshot_time END AS time, "
+        "COUNT(*) AS vectors FROM fx GROUP BY 1"),
     "key_dedup": (
         f"{BASE}\nSELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
         "(PARTITION BY snapshot_time, icao24 ORDER BY event_id) AS rn FROM hx) WHERE rn = 1"),
@@ -275,6 +278,7 @@ ORACLES: dict[str, str] = {
     "daily_mart": f"{BASE}\n{daily_select(fact_select('hx'))}",
     "mart_registry": _mart_registry(),
     "end_to_end_country_mart": f"{BASE}\n{COUNTRY_MART}",
+    "fact_from_touched_partitions": fact_select(f"({_upsert_history()})"),
     "process_one_day": _one_day(),
     "incremental_accumulate": _incremental(),
 }

@@ -195,6 +195,23 @@ def snapshot_json_roundtrip(spark, sf_dir):
     return map_slots(explode_states(docs))
 
 
+def landed_vectors(spark, sf_dir):
+    """Vectors per landed snapshot: rows without a time are landed as a
+    snapshot of their own, documents without vectors are not landed."""
+    fixture = _fixture(spark, sf_dir).withColumn(
+        "snapshot_time", F.expr("CASE WHEN event_id % 53 = 0 THEN NULL ELSE snapshot_time END"))
+    docs = _docs(fixture)
+    states = docs.schema["states"].dataType.simpleString()
+    times = fixture.filter("snapshot_time IS NOT NULL").select("snapshot_time").distinct()
+    for later, none in ((1, "NULL"), (2, "array()")):
+        docs = docs.unionByName(times.selectExpr(
+            f"snapshot_time + {later} AS time", "0 AS part", f"CAST({none} AS {states}) AS states"))
+    landing = work_path(spark, "landing")
+    land_snapshots(docs, landing, LOCAL_ZONE)
+    kept = one_copy(read_snapshots(spark, landing).drop(DATE_PARTITION))
+    return kept.groupBy("time").agg(F.sum(F.size("states")).alias("vectors"))
+
+
 def snapshot_dedup(spark, sf_dir):
     """Every snapshot landed, then landed again with other vectors: some
     copies have grown (a marked vector more per vector) and some have shrunk.
@@ -305,6 +322,16 @@ def end_to_end_country_mart(spark, sf_dir):
     return read_mart(spark, marts, "dim_countries")
 
 
+def fact_from_touched_partitions(spark, sf_dir):
+    """Two cycles of merge and marts; the second rewrites the fact table only
+    in the partitions its batch touched. The fact table as stored."""
+    history, marts = work_path(spark, "history"), work_path(spark, "marts")
+    for batch in _batches(spark, sf_dir, materialize=True):
+        touched = merge_into(spark, history, with_history_partition(batch))["touched"]
+        build_mart_tables(spark, history, marts, touched)
+    return read_mart(spark, marts, "fct_flights")
+
+
 def process_one_day(spark, sf_dir):
     """Land every snapshot, then process and load one local day only: the day
     is chosen by partition pruning on the landing and on the processed output."""
@@ -355,6 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "speed_band": speed_band,
     "fact_projection": fact_projection,
     "snapshot_dedup": snapshot_dedup,
+    "landed_vectors": landed_vectors,
     "key_dedup": key_dedup,
     "upsert_composite_key": upsert_composite_key,
     "upsert_small_source": upsert_small_source,
@@ -369,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_mart": daily_mart,
     "mart_registry": mart_registry,
     "end_to_end_country_mart": end_to_end_country_mart,
+    "fact_from_touched_partitions": fact_from_touched_partitions,
     "process_one_day": process_one_day,
     "incremental_accumulate": incremental_accumulate,
 }

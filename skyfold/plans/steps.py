@@ -5,8 +5,9 @@
    written files.
 2. ``load_history``: the processed day → the history table (created on first
    use, else merged by key into the touched partitions only).
-3. ``build_mart_tables``: history → fact and dimension tables (replaced) and
-   the daily summary (merged by day).
+3. ``build_mart_tables``: history → fact table (whole, or the touched
+   partitions), dimension tables (replaced) and the daily summary (merged by
+   day).
 
 State passes between steps only through the folders, so each step can be
 re-run on its own.
@@ -14,18 +15,21 @@ re-run on its own.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from skyfold.functions.scalar import utc_day
 from skyfold.operators.profile import null_profile, row_count, top_k, value_counts
 from skyfold.operators.shape import explode_states, map_slots
-from skyfold.plans.marts import MART_BUILDERS
+from skyfold.plans.marts import MART_BUILDERS, fact_flights
 from skyfold.plans.preset import LOCAL_ZONE, clean
 from skyfold.plans.tables import (
-    merge_into, read_history, replace_table, upsert_table, with_history_partition,
+    HISTORY_PARTITION, merge_into, read_history, replace_table, table_exists, touched_partitions, upsert_table,
+    with_history_partition,
 )
 from skyfold.schema import DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS
 from skyfold.sources.parquet import drop_partition, drop_staging, load_staging, write_partitions
@@ -34,6 +38,7 @@ from skyfold.sources.snapshots import DATE_PARTITION, one_copy, read_snapshots,
 STAGING_VIEW = "history_staging"
 # The daily summary is merged by day; every other mart is replaced whole.
 MERGED_MART = "agg_flights_daily"
+FACT_MART = "fct_flights"
 
 
 def quality_report(rows: DataFrame) -> dict[str, DataFrame]:
@@ -107,21 +112,67 @@ def load_history(spark: SparkSession, processed: str, history: str, day: str | N
     return result
 
 
-def build_mart_tables(spark: SparkSession, history: str, marts: str) -> dict[str, int]:
-    """Run the mart builders in order; returns rows written per mart."""
+def _write_fact(spark: SparkSession, history: str, path: str, touched: list | None) -> tuple[int, list | None]:
+    """Write the fact table, partitioned as the history, or its touched
+    partitions only. Returns the rows written and the days whose summary may
+    differ now (None: all)."""
+    if touched is None or not table_exists(spark, path):
+        fact = with_history_partition(fact_flights(read_history(spark, history)))
+        return replace_table(fact, path, HISTORY_PARTITION), None
+    new = touched_partitions(spark, history, HISTORY_PARTITION, touched)
+    if new is None:
+        return 0, []
+    fact = fact_flights(new)
+    # A merged row leaves its old day, so the old rows' days count too.
+    old = touched_partitions(spark, path, HISTORY_PARTITION, touched)
+    parts = [fact] if old is None else [fact, old]
+    days = set()
+    for part in parts:
+        day = utc_day("ingested_at", part.schema["ingested_at"].dataType.simpleString())
+        days |= {r[0] for r in part.select(day.alias("d")).distinct().collect()}   # days: a short list
+    written = write_partitions(with_history_partition(fact), path, HISTORY_PARTITION)
+    return written, sorted(days - {None})
+
+
+def _on_days(fact: DataFrame, days: list) -> DataFrame:
+    """Rows of some days of ``ingested_at``; the range around them is pushed to the scan."""
+    stamp = fact.schema["ingested_at"].dataType.simpleString()
+    first, last = days[0] - dt.timedelta(days=1), days[-1] + dt.timedelta(days=2)   # any session zone
+    return fact.filter((F.col("ingested_at") >= F.lit(first.isoformat()).cast(stamp))
+                       & (F.col("ingested_at") < F.lit(last.isoformat()).cast(stamp))
+                       & utc_day("ingested_at", stamp).isin(days))
+
+
+def build_mart_tables(spark: SparkSession, history: str, marts: str, touched: list | None = None) -> dict[str, int]:
+    """Run the mart builders in order; returns rows written per mart.
+
+    ``touched`` lists the history partitions changed since the last run (as
+    ``merge_into`` and ``load_history`` report them; None: all, also after a
+    run that stopped between the load and this step). With it the
+    fact table is rewritten in those partitions only and the daily summary
+    computed for the days they hold. The dimensions count distinct values over
+    the whole history, so they read their columns of all of it.
+    """
     base = marts.rstrip("/")
     tables: dict[str, DataFrame] = {"history": read_history(spark, history)}
     written: dict[str, int] = {}
+    days = None
     for name, build in MART_BUILDERS.items():
-        df = build(tables)
         path = f"{base}/{name}"
-        if name == MERGED_MART:
-            written[name] = upsert_table(spark, path, df, DAILY_KEYS, DAILY_MEASURES)["rows_written"]
+        if name == FACT_MART:
+            written[name], days = _write_fact(spark, history, path, touched)
+        elif name == MERGED_MART:
+            if days == []:
+                written[name] = 0
+                continue
+            if days is not None:
+                tables[FACT_MART] = _on_days(tables[FACT_MART], days)
+            written[name] = upsert_table(spark, path, build(tables), DAILY_KEYS, DAILY_MEASURES)["rows_written"]
         else:
-            written[name] = replace_table(df, path)
-        tables[name] = spark.read.parquet(path)
+            written[name] = replace_table(build(tables), path)
+        tables[name] = read_mart(spark, base, name)
     return written
 
 
 def read_mart(spark: SparkSession, marts: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{marts.rstrip('/')}/{name}")
+    return spark.read.parquet(f"{marts.rstrip('/')}/{name}").drop(HISTORY_PARTITION)

@@ -25,7 +25,9 @@ from skyfold.operators.upsert import (
 )
 from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
 from skyfold.session import ensure_checkpoint_dir
-from skyfold.sources.parquet import folder_exists, hadoop_fs, partition_folder, path_exists, write_partitions
+from skyfold.sources.parquet import (
+    folder_exists, hadoop_fs, partition_folder, path_exists, rebalance, write_partitions,
+)
 
 HISTORY_PARTITION = "snapshot_date"
 # Upper bound on source rows for the broadcast merge plan (only the source
@@ -105,7 +107,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
     keys in a later one raise.
 
     Returns ``{"created": bool, "rows_written": n, "partitions": k,
-    "rewritten": r}``: rows written, partitions touched and those rewritten.
+    "rewritten": r, "touched": [...]}``: rows written, number of partitions
+    touched and of those rewritten, values of the touched ones (None: all).
     """
     keys = list(keys)
     if dedup_order is not None:
@@ -114,7 +117,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
         source = unique_source(source, keys, dedup_order).checkpoint(eager=True)
     if not table_exists(spark, path):
         written = write_partitions(source, path, partition_col)
-        return {"created": True, "rows_written": written, "partitions": None, "rewritten": 0}
+        return {"created": True, "rows_written": written, "partitions": None, "rewritten": 0, "touched": None}
     stats = source_stats(source, keys, partition_col)
     if dedup_order is None and stats["max_copies"] > 1:
         raise DuplicateSourceKeyError(
@@ -133,7 +136,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, *,
         written += write_partitions(merged, path, partition_col)
     if len(matched) < len(touched):
         written += write_partitions(source.filter(~in_matched), path, partition_col, append=True)
-    return {"created": False, "rows_written": written, "partitions": len(touched), "rewritten": len(matched)}
+    return {"created": False, "rows_written": written, "partitions": len(touched), "rewritten": len(matched),
+            "touched": touched}
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -154,7 +158,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     return {"created": False, "rows_written": replace_table(merged, path)}
 
 
-def replace_table(df: DataFrame, path: str) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Create or replace a whole table from a query; returns its row count.
 
     The new table is written beside the old one and takes its place by renames
@@ -167,7 +171,10 @@ def replace_table(df: DataFrame, path: str) -> int:
     fs, target = hadoop_fs(spark, path)
     staged, former = hadoop_fs(spark, new)[1], hadoop_fs(spark, old)[1]
     try:
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(new)
+        if partition_by:
+            df = rebalance(df, [partition_by])
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(new)
     except Exception:
         fs.delete(staged, True)
         raise

@@ -68,3 +68,20 @@ def test_day_of_the_landing_is_the_day_of_the_output(spark, tmp_dir):
     assert process_day(spark, empty, proc, "2024-01-01")["rows_written"] == 0
     assert spark.read.parquet(proc).count() == written[1]
     assert process_day(spark, empty, os.path.join(tmp_dir, "fresh"), "2024-01-01")["rows_written"] == 0
+
+
+def test_marts_of_touched_partitions_equal_a_full_build(spark, tmp_dir):
+    from skyfold.plans.fixture import batch_a, batch_b, keyed_history
+    from skyfold.plans.tables import merge_into, with_history_partition
+
+    keyed = keyed_history(events_small(spark)).drop("event_id").checkpoint()
+    history, grown, full = (os.path.join(tmp_dir, d) for d in ("history", "grown", "full"))
+    for batch in (batch_a(keyed), batch_b(keyed)):
+        touched = merge_into(spark, history, with_history_partition(batch))["touched"]
+        written = build_mart_tables(spark, history, grown, touched)
+        build_mart_tables(spark, history, full)
+    for mart in ("fct_flights", "dim_countries", "dim_flight_phases", "agg_flights_daily"):
+        assert _rows(read_mart(spark, grown, mart)) == _rows(read_mart(spark, full, mart)), mart
+    assert 0 < written["fct_flights"] < read_history(spark, history).count()
+    assert build_mart_tables(spark, history, grown, [])["fct_flights"] == 0   # nothing touched: nothing written
+    assert _rows(read_mart(spark, grown, "fct_flights")) == _rows(read_mart(spark, full, "fct_flights"))
