@@ -1,12 +1,14 @@
 """Personal data: fixed patterns as seeds, bootstrapped contexts for the rest.
 
 Base spans (email, ip, card, phone) come from regular expressions over whole
-texts. They are the seeds of a bootstrap: the two words before an
-identifier-like token (one with a digit or an @) are a lexical pattern, and
-patterns and tokens form a graph. A pattern's confidence for a kind is the mean
-confidence of the tokens it precedes; a token's confidence is one for seeds
-and otherwise the noisy-or over its confident patterns. After a few rounds,
-tokens that a confident pattern precedes and no base span touches are added as
+texts. They are the seeds of a bootstrap. An instance is a whole base span, or
+a run of identifier-like tokens (those with a digit or an @) that no base span
+touches, so '0301 234567' is one instance; numbers are compared by their
+digits. The two words before an instance are a lexical pattern, and patterns
+and instances form a graph. A pattern's confidence for a kind is the mean
+confidence of the instances it precedes; an instance's confidence is one for
+seeds and otherwise the noisy-or over its confident patterns. After a few
+rounds, untouched instances that a confident pattern precedes are added as
 spans of that kind.
 
 Everything is DataFrame and SQL functions; texts are read once and only
@@ -34,6 +36,13 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Tokens that may go on after a blank, and tokens that may go on from the one before: the groups of one number.
+GOES_ON = r"^[(+\[]*[0-9][0-9().-]*(?<=[0-9)])$"
+GOES_WITH = r"^\(?[0-9][0-9().-]*\p{Punct}*$"
+#: The longest number of the four kinds has so many digits; the tokens of longer runs stand alone.
+MOST_DIGITS = 19
+SPANS = "CAST(array() AS array<struct<s:int,e:int,m:string>>)"
+TOKENS = "CAST(array() AS array<struct<s:int,e:int,token:string,left:string,near:boolean>>)"
 #: A text without these has no span and no identifier-like token.
 ANY = "[0-9@]"
 
@@ -74,17 +83,16 @@ def _located(text: str, pattern: str, keep: str, entry: str, zero: str) -> Colum
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    """Spans (s, e) of one kind: code points, end exclusive, leftmost and not overlapping.
+    """Spans (s, e, m) of one kind: code points, end exclusive, leftmost and not overlapping; m is their text.
 
     Matches that fail the kind's check (address parts over 255, wrong digit
     count or check digit) are dropped without a retry.
     """
     trigger = {"email": "@", "phone": "+"}.get(kind)
-    empty = "CAST(array() AS array<struct<s:int,e:int>>)"
     name = "_t"
-    found = _located(name, PATTERNS[kind], _valid(kind, "z.m"), "named_struct('s', <start>, 'e', <end>)", empty)
+    found = _located(name, PATTERNS[kind], _valid(kind, "z.m"), "named_struct('s', <start>, 'e', <end>, 'm', z.m)", SPANS)
     may = F.col(name).contains(trigger) if trigger else F.col(name).rlike("[0-9]")
-    return F.when(may, found).otherwise(F.expr(empty))
+    return F.when(may, found).otherwise(F.expr(SPANS))
 
 
 def _context(gap: str) -> str:
@@ -101,36 +109,57 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     some = F.col("_t").rlike(ANY)
-    empty = "CAST(array() AS array<struct<s:int,e:int>>)"
-    none = "CAST(array() AS array<struct<s:int,e:int,token:string,left:string>>)"
     tokens = _located("_t", TOKEN, "true",
-                      "named_struct('s', <start>, 'e', <end>, 'token', z.m, 'left', " + _context("right(z.gap, 200)") + ")",
-                      none)
+                      "named_struct('s', <start>, 'e', <end>, 'token', z.m, 'left', " + _context("right(z.gap, 200)") +
+                      ", 'near', z.gap IN (' ', '\t'))", TOKENS)
     return rows.select(
         "id", F.xxhash64("_t").alias("th"),
-        *(F.when(some, base_spans(F.col("_t"), k)).otherwise(F.expr(empty)).alias(k) for k in KINDS),
-        F.when(some, tokens).otherwise(F.expr(none)).alias("tokens"))
+        *(F.when(some, base_spans(F.col("_t"), k)).otherwise(F.expr(SPANS)).alias(k) for k in KINDS),
+        F.when(some, tokens).otherwise(F.expr(TOKENS)).alias("tokens"))
+
+
+def _value(text: str) -> str:
+    """How an instance is compared: numbers other than addresses by their digits, the rest in lower case, trimmed."""
+    trimmed = f"lower(regexp_replace({text}, '^[^\\\\p{{L}}\\\\p{{N}}+(]+|[^\\\\p{{L}}\\\\p{{N}}]+$', ''))"
+    return (f"CASE WHEN {text} RLIKE '[\\\\p{{L}}@]' OR {trimmed} RLIKE '^[0-9]+([.][0-9]+){{3}}$' THEN {trimmed} "
+            f"ELSE regexp_replace({text}, '[^0-9]', '') END")
+
+
+def instances(scanned: DataFrame) -> DataFrame:
+    """(id, th, s, e, pattern, value, seed_of): the base spans, and the runs of tokens that no base span touches."""
+    spans = "concat(" + ", ".join(f"transform({k}, b -> named_struct('s', b.s, 'e', b.e, 'm', b.m, 'kind', '{k}'))"
+                                  for k in KINDS) + ")"
+    seeds = ("transform(spans, b -> named_struct('s', b.s, 'e', b.e, 'token', b.m, 'left', "
+             "filter(tokens, t -> t.s <= b.s AND b.s < t.e)[0].left, 'seed_of', array(b.kind)))")
+    free = "filter(tokens, t -> NOT exists(spans, b -> b.s < t.e AND b.e > t.s))"
+    # Each token joins the run before it or starts one; runs too long for one number fall back to their tokens.
+    runs = (f"aggregate({free}, CAST(array() AS array<array<struct<s:int,e:int,token:string,left:string,near:boolean>>>), "
+            f"(acc, t) -> CASE WHEN t.near AND try_element_at(try_element_at(acc, -1), -1).e + 1 = t.s "
+            f"AND try_element_at(try_element_at(acc, -1), -1).token RLIKE {_lit(GOES_ON)} AND t.token RLIKE {_lit(GOES_WITH)} "
+            "THEN concat(slice(acc, 1, size(acc) - 1), array(concat(element_at(acc, -1), array(t)))) "
+            "ELSE concat(acc, array(array(t))) END)")
+    entry = "named_struct('s', {0}.s, 'e', {1}.e, 'token', {2}, 'left', {0}.left, 'seed_of', CAST(array() AS array<string>))"
+    joined = "array_join(transform(r, t -> t.token), ' ')"
+    whole = entry.format("r[0]", "element_at(r, -1)", joined)
+    runs = (f"flatten(transform({runs}, r -> CASE WHEN length(regexp_replace({joined}, '[^0-9]', '')) <= {MOST_DIGITS} "
+            f"THEN array({whole}) ELSE transform(r, t -> {entry.format('t', 't', 't.token')}) END))")
+    telling = "x.token LIKE '%@%' OR length(regexp_replace(x.token, '[^0-9]', '')) >= 4"
+    rows = scanned.filter("size(tokens) > 0").select("id", "th", "tokens", F.expr(spans).alias("spans"))
+    rows = rows.select("id", "th", F.explode(F.expr(f"concat({seeds}, filter({runs}, x -> {telling}))")).alias("t"))
+    return rows.select("id", "th", "t.s", "t.e", F.col("t.left").alias("pattern"),
+                       F.expr(_value("t.token")).alias("value"), "t.seed_of")
 
 
 def discover(scanned: DataFrame, min_support: int = 5, min_confidence: float = 0.7, rounds: int = 3) -> DataFrame:
     """(id, th, kind, s, e) of the spans the bootstrap adds to the base spans.
 
     A pattern needs ``min_support`` different seeds of a kind and a confidence
-    of ``min_confidence``; an added token needs four digits or an @ and that
+    of ``min_confidence``; an added instance needs four digits or an @ and that
     confidence too.
     """
-    kinds = ", ".join(f"'{k}', {k}" for k in KINDS)
-    token = scanned.select("id", "th", F.expr(f"map({kinds})").alias("base"), F.explode("tokens").alias("t"))
-    token = token.select(
-        "id", "th", "t.s", "t.e", F.col("t.left").alias("pattern"),
-        F.lower(F.regexp_replace("t.token", r"^[^\p{L}\p{N}+(]+|[^\p{L}\p{N}]+$", "")).alias("value"),
-        F.expr("t.token LIKE '%@%' OR length(regexp_replace(t.token, '[^0-9]', '')) >= 4").alias("telling"),
-        # The kinds whose base spans start in this token, and whether any span touches it.
-        F.expr("filter(map_keys(base), k -> exists(base[k], b -> b.s >= t.s AND b.s < t.e))").alias("seed_of"),
-        F.expr("exists(map_values(base), a -> exists(a, b -> b.s < t.e AND b.e > t.s))").alias("touched"))
-    token = materialise(token.filter("pattern IS NOT NULL AND (telling OR touched)"), "pii_tokens")
-
-    # The graph: each pattern with each different token it precedes, and the kinds the token is a seed of.
+    token = materialise(instances(scanned).filter("pattern IS NOT NULL"), "pii_instances")
+
+    # The graph: each pattern with each different instance it precedes, and the kinds that is a seed of.
     edges = token.groupBy("pattern", "value").agg(
         F.array_distinct(F.flatten(F.collect_set("seed_of"))).alias("seed_of"))
     kind = F.explode(F.array(*(F.lit(k) for k in KINDS))).alias("kind")
@@ -160,7 +189,7 @@ def discover(scanned: DataFrame, min_support: int = 5, min_confidence: float = 0
     good = good.groupBy("pattern", "value").agg(
         F.max(F.struct("confidence", (-rank).alias("r"), "kind")).alias("best")).select(
         "pattern", "value", F.col("best.kind").alias("kind"))
-    return (token.filter("telling AND NOT touched").join(good, ["pattern", "value"])
+    return (token.filter("size(seed_of) = 0").join(good, ["pattern", "value"])
             .select("id", "th", "kind", "s", "e").distinct())
 
 
@@ -178,7 +207,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_su
     added = added.select(F.col("id").alias("aid"), F.col("th").alias("ath"), "added")
     out = scanned.drop("tokens").join(added, F.col("id").eqNullSafe(F.col("aid")) & (F.col("th") == F.col("ath")), "left")
     none = F.expr("CAST(array() AS array<struct<s:int,e:int,kind:string>>)")
-    return out.select("id", "th", *KINDS, F.coalesce("added", none).alias("added"))
+    spans = (F.transform(k, lambda b: F.struct(b["s"].alias("s"), b["e"].alias("e"))).alias(k) for k in KINDS)
+    return out.select("id", "th", *spans, F.coalesce("added", none).alias("added"))
 
 
 def ordered_spans(with_added: bool) -> Column:

@@ -122,6 +122,19 @@ def test_held_out_accuracy(spark):
     assert good.filter("predicted = quality").count() >= 0.85 * good.count() > 0
 
 
+def test_pii_spaced_numbers_are_whole_instances(spark):
+    """Spaced phones of one country code are different seeds; unseen spaced numbers are found and redacted whole."""
+    rows = [(i, f"Please dial desk phone: +1 (017) 555-77{i:02d} today") for i in range(20)]
+    rows += [(100, "the desk phone: 0301 234567 rings"), (101, "the desk phone: (555) 555-0134, at noon"),
+             (102, "the desk phone: " + "1234 " * 6 + "end"), (103, "two desk phone: 1.2.3.4 0301234567")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: [tuple(x) for x in r.added] for r in pii.find(df).collect()}
+    assert got[100] == [(16, 27, "phone")] and got[101] == [(16, 31, "phone")]
+    assert not any(got[i] for i in range(20)) and got[102][:1] == [(16, 20, "phone")]
+    out = {r.doc_id: r.text for r in pii.redact(df, length_col=None).collect()}
+    assert out[100] == "the desk phone: [PHONE] rings" and out[0] == "Please dial desk phone: [PHONE] today"
+
+
 def test_language_edges(spark):
     docs = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "fr"), (4, "x y", None)],
                                  "doc_id int, text string, lang string")
