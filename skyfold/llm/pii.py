@@ -4,8 +4,9 @@ Base spans (email, ip, card, phone) come from regular expressions over whole
 texts. They are the seeds of a bootstrap. An instance is a whole base span, or
 a run of identifier-like tokens (those with a digit or an @) that no base span
 touches, so '0301 234567' is one instance; numbers are compared by their
-digits. The two words before an instance are a lexical pattern, and patterns
-and instances form a graph. A pattern's confidence for a kind is the mean
+digits. The two words before an instance are a lexical pattern (an earlier
+token counts as a word <num> or <mail>, the start of the text as ^), and
+patterns and instances form a graph. A pattern's confidence for a kind is the mean
 confidence of the instances it precedes; an instance's confidence is one for
 seeds and otherwise the noisy-or over its confident patterns. After a few
 rounds, untouched instances that a confident pattern precedes are added as
@@ -43,6 +44,7 @@ GOES_WITH = r"^\(?[0-9][0-9().-]*\p{Punct}*$"
 MOST_DIGITS = 19
 SPANS = "CAST(array() AS array<struct<s:int,e:int,m:string>>)"
 TOKENS = "CAST(array() AS array<struct<s:int,e:int,token:string,left:string,near:boolean>>)"
+FOUND = TOKENS.replace("left:string", "words:array<string>")
 #: A text without these has no span and no identifier-like token.
 ANY = "[0-9@]"
 
@@ -95,10 +97,31 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(may, found).otherwise(F.expr(SPANS))
 
 
-def _context(gap: str) -> str:
-    """The last two words of a gap, lower-cased, without punctuation; null unless there are two."""
-    words = (f"filter(split(lower({gap}), '[^\\\\p{{L}}\\\\p{{N}}]+'), w -> w != '')")
-    return (f"CASE WHEN size({words}) >= 2 THEN array_join(slice({words}, -2, 2), ' ') END")
+def _words(text: str) -> str:
+    return f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}]+'), w -> w != '')"
+
+
+def _last_words(gap: str) -> str:
+    """The last two words of a gap, lower-cased, without punctuation; a long gap is read whole if its end lacks them."""
+    near = _words(f"right({gap}, 200)")
+    # The first word of a cut gap may be a part of one, so there must be a third.
+    words = f"CASE WHEN length({gap}) <= 200 OR size({near}) > 2 THEN {near} ELSE {_words(gap)} END"
+    return f"transform(array({words}), w -> slice(w, greatest(size(w) - 1, 1), 2))[0]"
+
+
+def _contexts(found: str) -> Column:
+    """Tokens with the two words on their left.
+
+    The words run on across earlier tokens, which count as a word <num> or
+    <mail> (alike ones side by side as one); ^ stands for the start of the text.
+    """
+    mark = "CASE WHEN t.token LIKE '%@%' THEN '<mail>' ELSE '<num>' END"
+    after = (f"CASE WHEN size(t.words) = 0 AND acc.w[1] = {mark} THEN acc.w "
+             f"ELSE slice(concat(acc.w, t.words, array({mark})), -2, 2) END")
+    return F.expr(
+        f"aggregate({found}, named_struct('w', array('^', '^'), 'out', {TOKENS}), (acc, t) -> named_struct('w', {after}, "
+        "'out', concat(acc.out, array(named_struct('s', t.s, 'e', t.e, 'token', t.token, "
+        "'left', array_join(slice(concat(acc.w, t.words), -2, 2), ' '), 'near', t.near)))), acc -> acc.out)")
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -110,12 +133,13 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     some = F.col("_t").rlike(ANY)
     tokens = _located("_t", TOKEN, "true",
-                      "named_struct('s', <start>, 'e', <end>, 'token', z.m, 'left', " + _context("right(z.gap, 200)") +
-                      ", 'near', z.gap IN (' ', '\t'))", TOKENS)
-    return rows.select(
+                      "named_struct('s', <start>, 'e', <end>, 'token', z.m, 'words', " + _last_words("z.gap") +
+                      ", 'near', z.gap IN (' ', '\t'))", FOUND)
+    rows = rows.select(
         "id", F.xxhash64("_t").alias("th"),
         *(F.when(some, base_spans(F.col("_t"), k)).otherwise(F.expr(SPANS)).alias(k) for k in KINDS),
-        F.when(some, tokens).otherwise(F.expr(TOKENS)).alias("tokens"))
+        F.when(some, tokens).otherwise(F.expr(FOUND)).alias("found"))
+    return rows.select("id", "th", *KINDS, _contexts("found").alias("tokens"))
 
 
 def _value(text: str) -> str:
@@ -157,7 +181,7 @@ def discover(scanned: DataFrame, min_support: int = 5, min_confidence: float = 0
     of ``min_confidence``; an added instance needs four digits or an @ and that
     confidence too.
     """
-    token = materialise(instances(scanned).filter("pattern IS NOT NULL"), "pii_instances")
+    token = materialise(instances(scanned), "pii_instances")
 
     # The graph: each pattern with each different instance it precedes, and the kinds that is a seed of.
     edges = token.groupBy("pattern", "value").agg(

@@ -135,6 +135,18 @@ def test_pii_spaced_numbers_are_whole_instances(spark):
     assert out[100] == "the desk phone: [PHONE] rings" and out[0] == "Please dial desk phone: [PHONE] today"
 
 
+def test_pii_context_crosses_earlier_identifiers_and_the_start(spark):
+    rows = [(i, f"email: user{i}@site.org phone: +4912345670{i:02d}") for i in range(8)]
+    rows += [(10 + i, f"phone: +4912345680{i:02d}") for i in range(8)]
+    rows += [(20 + i, f"far phone number {'- ' * 150}+4912345690{i:02d}") for i in range(8)]
+    rows += [(100, "email: b@c.org phone: 0301234567"), (101, "phone: 0301234568"), (102, f"one phone number {'- ' * 150}0301234569"),
+             (103, "Phone: 030 1234 560")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: [tuple(x) for x in r.added] for r in pii.find(df).collect()}
+    assert got[100] == [(22, 32, "phone")] and got[101] == [(7, 17, "phone")] and got[103] == [(7, 19, "phone")]
+    assert got[102] == [(317, 327, "phone")] and not any(got[i] for i in range(8))
+
+
 def test_language_edges(spark):
     docs = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "fr"), (4, "x y", None)],
                                  "doc_id int, text string, lang string")
