@@ -19,6 +19,7 @@ shuffled.
 
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,12 +35,18 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
 _CACHE = 300_000
 
-# Letters and digits stay, ASCII letters in lower case; other ASCII characters part words.
-_FOLD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+# ASCII letters and digits stay, other ASCII characters part words.
+_FOLD = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
+_WORD = re.compile(r"[^\W_]+")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8").translate(_FOLD).split() if text else []
+    """Lower-cased runs of letters and digits."""
+    if not text:
+        return []
+    if text.isascii():
+        return text.lower().encode("ascii").translate(_FOLD).split()
+    return " ".join(_WORD.findall(text.lower())).encode("utf-8").split()
 
 
 class _WordHashes(dict):

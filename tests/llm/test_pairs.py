@@ -159,3 +159,15 @@ def test_contaminated_brute_force(spark):
     assert clean.columns == docs.columns
     assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {d for d, _ in want}
     assert dec.contaminated(docs, bench.limit(0)).count() == 0 and dec.drop_contaminated(docs, bench.limit(0)).count() == len(texts)
+
+
+def test_decontamination_parts_words_at_any_punctuation(spark):
+    """A verbatim item between curly quotes, and one whose blanks are no-break spaces, is found with similarity one."""
+    words = [f"wörd{i}" if i % 5 == 0 else f"word{i}" for i in range(15)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    texts = ["he said: \u201c" + " ".join(words) + "\u201d\u2014and left", "\u00a0".join(words), "\u3001".join(words) + "\u3002",
+             "\u2026".join(words).upper(), " ".join(words[:7])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.similarity for r in dec.contaminated(docs, bench).collect()}
+    assert got == {0: 1.0, 1: 1.0, 2: 1.0, 3: 1.0}
+    assert dec.words_of("Ab_c\u2019d 1\u00a02") == [b"ab", b"c", b"d", b"1", b"2"]
