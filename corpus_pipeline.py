@@ -29,8 +29,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = langid.train(docs)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = langid.predict(model, docs)
-    return docs.filter((found["lang_pred"] != langid.UNDETERMINED) & (found["score"] >= MIN_LANGUAGE_SCORE))
+    clear = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    unclear = materialise(langid.identify(model, docs).filter(~clear).select(
+        F.col("doc_id").alias("_lid"), F.col("th").alias("_lth")).distinct(), "unclear_language")
+    return docs.join(unclear, docs["doc_id"].eqNullSafe(F.col("_lid")) & (F.xxhash64(docs["text"]) == F.col("_lth")),
+                     "left_anti")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

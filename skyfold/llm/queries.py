@@ -59,8 +59,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.train(docs.filter(~_held_out("doc_id", 4, 2)))
-    return docs.select("doc_id", _held_out("doc_id", 4, 2).alias("held_out"),
-                       langid.predict(model, docs).alias("p")).select("doc_id", "held_out", "p.*")
+    return langid.identify(model, docs).select(
+        "doc_id", _held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,6 +168,21 @@ def test_classifiers_edges(spark):
     assert f["lexicon_hits"] == math.log1p(2) and f["hidden_hits"] == 0.25 and f["near_second_person"] == 0.5
 
 
+def test_language_model_is_whole_whatever_goes_to_every_task(spark):
+    rows = [(1, "the cat and the dog's sea", "en"), (2, "le chat et le chien d'été", "fr"), (3, "der hund und die katze", "o'x"),
+            (4, None, None), (5, "chienne hunde ßx a the the", None), (None, "12 !", None), (None, "zzz chat q", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = langid.train(docs)
+    want = [whole.predict(t) for _, t, _ in rows]
+    for bounds in ((0, 0), (4, 10), (100, 3), (100_000, 50_000)):
+        model = langid.train(docs, max_words=bounds[0], max_grams=bounds[1])
+        assert model.whole == (bounds[0] == 100_000)
+        got = langid.identify(model, docs).withColumn("none", F.col("doc_id").isNull()).collect()
+        assert len(got) == len(rows)
+        for (i, t, _), (lang, score) in zip(rows, want):
+            assert any(r.doc_id == i and r.lang_pred == lang and r.score == pytest.approx(score) for r in got), (bounds, t)
+
+
 def test_brown_base_score_and_probability(spark):
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(50)]
