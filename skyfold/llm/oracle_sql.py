@@ -69,4 +69,25 @@ n AS (
 SELECT doc_id, source, lang, n_chars, unnest(range(1, n + 1))::INT AS replica FROM n
 """
 
-ORACLES = {"op1_embedding_near_dedup": OP1, "op2_warc_index_merge": OP2, "op9_poisson_mixing": OP9}
+OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, s.vec_id AS negative_id, positive_score,
+  score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+ORACLES = {"op1_embedding_near_dedup": OP1, "op2_warc_index_merge": OP2, "op9_poisson_mixing": OP9,
+           "op12_hard_negatives": OP12}

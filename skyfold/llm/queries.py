@@ -7,8 +7,8 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import (brown_lm, decontamination, embedding_dedup, langid, mixing, pii, quality, simhash_dedup,
-                         toxicity, warc)
+from skyfold.llm import (brown_lm, conversation_repair, decontamination, embedding_dedup, hard_negatives, langid,
+                         mixing, packing, pii, quality, simhash_dedup, toxicity, warc)
 from skyfold.llm.common import fold, read_table, ship_package
 from skyfold.session import work_path
 
@@ -16,6 +16,15 @@ from skyfold.session import work_path
 SOURCE_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
 #: Share of documents the mix holds, in expectation.
 MIX_EPOCHS = 1.0
+#: The vocabulary file op13 tokenises with; every worker reads it.
+TOKENIZER_NAME = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER_NAME) -> str:
+    """Where the public vocabularies of this machine keep the file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _held_out(id_col: str, modulus: int, remainder: int):
@@ -88,6 +97,25 @@ def op10_brown_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    found = conversation_repair.edits(conversation_repair.damage(conversations))
+    return conversation_repair.digest(found, conversations)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenise(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    placed = packing.place(pieces, columns=(F.crc32("ids").alias("ids_crc32"),))
+    return placed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
+                         "sequence_id", "offset")
+
+
 def _shipped(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,4 +128,4 @@ def _shipped(query):
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_embedding_near_dedup, op2_warc_index_merge, op3_pii_bootstrap, op4_simhash_near_dedup,
     op5_quality_classifier, op6_language_id, op7_benchmark_decontamination, op8_toxicity, op9_poisson_mixing,
-    op10_brown_lm_scoring)}
+    op10_brown_lm_scoring, op11_conversation_repair, op12_hard_negatives, op13_best_fit_packing)}
