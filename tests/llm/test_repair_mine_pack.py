@@ -1,5 +1,6 @@
 """op11, op12 and op13 against brute force."""
 
+import functools
 import hashlib
 import random
 import re
@@ -337,18 +338,22 @@ def test_runs_stay_few_for_many_documents():
     assert runs.sequences <= -(-int(lengths.sum()) // 4096) * 1.001
 
 
-def _token_ids(texts):
+@functools.cache
+def _vocabulary():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    return [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    return Tokenizer.from_file(tokenizer_path()), packing.WordIds(tokenizer_path())
+
+
+def _token_ids(texts):
+    return [_vocabulary()[0].encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=40), st.lists(st.sampled_from([" ", "  ", "\n", "\t", " ", "́", "é", "é", "'s", "<|endoftext|>",
                                                       "ΑΣ ", "don't", "3.14", "İ", " ", "日本", "ﬁ", "\x1c"]), max_size=12))
 def test_words_give_the_ids_of_the_whole_text(text, parts):
-    words = packing.WordIds(tokenizer_path())
+    words = _vocabulary()[1]
     for whole in (text, "".join(parts), text.join(parts)):
         assert np.frombuffer(words.of(whole), "<u4").tolist() + [1] == _token_ids([whole])[0]
 
