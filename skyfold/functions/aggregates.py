@@ -32,14 +32,36 @@ def avg_2dp(c: str | Column) -> Column:
     """
     if not isinstance(c, str):
         raise TypeError("avg_2dp takes a column name")
+    return _quotient(*(sql for _, sql in _parts(c)))
+
+
+def _parts(c: str) -> list[tuple[str, str]]:
+    """(name, SQL) of the three partial sums an exact average is made of."""
     # x * 100 lies within rounding error of a whole number, so rint (no
     # BigDecimal, unlike round) gives the same integer.
     cents = f"TRY_CAST(rint({ident(c)} * 100.0D) AS BIGINT)"
-    hi = f"sum(shiftright({cents}, {_SPLIT_BITS}))"
-    lo = f"sum({cents} & {(1 << _SPLIT_BITS) - 1})"
-    n = f"CAST(count({cents}) AS DECIMAL(38,0))"
+    return [(f"{c}__high", f"sum(shiftright({cents}, {_SPLIT_BITS}))"),
+            (f"{c}__low", f"sum({cents} & {(1 << _SPLIT_BITS) - 1})"), (f"{c}__n", f"count({cents})")]
+
+
+def _quotient(hi: str, lo: str, n: str) -> Column:
+    n = f"CAST({n} AS DECIMAL(38,0))"
     total = f"(CAST({hi} AS DECIMAL(38,0)) * {1 << _SPLIT_BITS} + {lo})"
     num, den = f"(abs({total}) * 2 + {n})", f"({n} * 2)"
     quotient = f"CAST(({num} - {num} % {den}) / {den} AS DOUBLE)"
     return F.expr(f"CASE WHEN {n} > 0 THEN (CASE WHEN {total} < 0 THEN -{quotient} "
                   f"ELSE {quotient} END) / 100.0D END")
+
+
+def avg_2dp_state(c: str) -> list[Column]:
+    """The partial sums of ``avg_2dp`` as columns; sums of them are partial sums again."""
+    return [F.expr(sql).alias(name) for name, sql in _parts(c)]
+
+
+def avg_2dp_state_names(c: str) -> list[str]:
+    return [name for name, _ in _parts(c)]
+
+
+def avg_2dp_of_state(c: str) -> Column:
+    """``avg_2dp`` of ``c`` from stored partial sums."""
+    return _quotient(*(f"sum({ident(name)})" for name in avg_2dp_state_names(c)))

@@ -7,16 +7,17 @@ Semantics, per target row and source row on equal, non-null keys:
 * source row without a match (null keys included): inserted whole;
 * target row without a match: kept.
 
-Two plans give the same rows:
+Two plans give the same rows, and each reads the target's rows once:
 
 * ``full_outer``: one shuffle join of target and source with presence flags.
-  General; the target is shuffled once. Rows with a null key (which never
-  match) bypass the join, so many of them cannot pile up in one task.
+  General; the target is shuffled once, or not at all if it is bucketed on the
+  keys. A row with a null key never matches; a hash of its columns as a further
+  join key spreads such rows over all tasks.
 * ``small_source``: used only when the source is checked to have at most
-  ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of key text. The
-  source keys are broadcast, so the target is scanned (twice, with a
-  left-anti and a left-semi join) but never shuffled; the matched part of the
-  target then meets the source in a join that AQE plans from measured sizes.
+  ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of data. The source
+  is broadcast, so the target takes its new values where it lies and is never
+  shuffled; what to insert is found by a second look at the target's key
+  columns only, or from ``matched_keys`` if the caller has looked already.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from skyfold.functions.sqltext import ident
 from skyfold.operators.filters import all_present
 
 
-# Upper bound on the text of the source keys that the broadcast plan ships.
+# Upper bound on the data of the source that the broadcast plan ships.
 BROADCAST_MAX_BYTES = 256 << 20
 
 
@@ -64,29 +65,33 @@ def unique_source(source: DataFrame, keys: Sequence[str],
     return source
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row: 16 bytes per column, and the text of those without a fixed width."""
+    fixed = ("Boolean", "Byte", "Short", "Integer", "Long", "Float", "Double", "Date", "Timestamp", "TimestampNTZ", "Decimal")
+    wide = [f.name for f in df.schema.fields if type(f.dataType).__name__.removesuffix("Type") not in fixed]
+    terms = [f"coalesce(octet_length(CAST({ident(c)} AS STRING)), 0)" for c in wide]
+    return F.expr(" + ".join([f"CAST({16 * len(df.columns)} AS BIGINT)", *terms]))
+
+
 def source_stats(source: DataFrame, keys: Sequence[str], partition_col: str | None = None) -> dict:
     """One job over the source: row count, the largest number of rows sharing
-    one non-null key, the size of the distinct keys as text (an upper bound
-    on what the broadcast plan ships), and (optionally) the distinct values
-    of a partition column that is a function of the key."""
+    one non-null key, the size of its data (what the broadcast plan ships),
+    and (optionally) the distinct values of a partition column that is a
+    function of the key."""
     keys = list(keys)
     group = keys + ([partition_col] if partition_col and partition_col not in keys else [])
-    per_key = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_c"),
+    per_key = source.groupBy(*group).agg(F.count(F.lit(1)).alias("_c"), F.sum(_row_bytes(source)).alias("_b"),
                                          all_present(keys).alias("_keyed"))
-    key_bytes = None
-    for k in keys:
-        term = F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0))
-        key_bytes = term if key_bytes is None else key_bytes + term
     aggs = [F.sum("_c").alias("rows"),
             F.max(F.when(F.col("_keyed"), F.col("_c"))).alias("max_copies"),
-            F.sum(key_bytes).alias("key_bytes")]
+            F.sum("_b").alias("bytes")]
     if partition_col:
         # one value per partition (days): a short list
         aggs += [F.collect_set(partition_col).alias("touched"),
                  F.max(F.col(partition_col).isNull()).alias("null_partition")]
     row = per_key.agg(*aggs).first()
     out = {"rows": int(row["rows"] or 0), "max_copies": int(row["max_copies"] or 0),
-           "key_bytes": int(row["key_bytes"] or 0)}
+           "bytes": int(row["bytes"] or 0)}
     if partition_col:
         out["touched"] = list(row["touched"]) + ([None] if row["null_partition"] else [])
     return out
@@ -99,12 +104,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            broadcast_max_rows: int = 0,
            broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
            source_rows: int | None = None,
-           source_key_bytes: int | None = None) -> DataFrame:
+           source_bytes: int | None = None,
+           matched_keys: DataFrame | None = None,
+           spread_nulls: bool = True) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``; see the module notes.
 
     ``update`` defaults to every non-key column. The result has the target's
-    columns in the target's order. ``source_rows``, when the caller already
-    counted the source, saves the count that decides the plan.
+    columns in the target's order. ``source_rows`` and ``source_bytes``, when the
+    caller already measured the source, save the job that decides the plan;
+    ``matched_keys`` are the distinct keys of the source that the target holds.
+    ``spread_nulls=False`` joins on the keys alone, as a bucketed target needs.
     """
     keys = list(keys)
     columns = target.columns
@@ -117,7 +126,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if dedup_order is not None:
         source = unique_source(source, keys, dedup_order)
     need_check = dedup_order is None and check_unique
-    need_size = broadcast_max_rows > 0 and (source_rows is None or source_key_bytes is None)
+    need_size = broadcast_max_rows > 0 and (source_rows is None or source_bytes is None)
     if need_check or need_size:
         # One job answers both questions: duplicate keys and source size.
         stats = source_stats(source, keys)
@@ -125,56 +134,61 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
             raise DuplicateSourceKeyError(
                 f"source has {stats['max_copies']} rows for one key of {keys}")
         source_rows = stats["rows"] if source_rows is None else source_rows
-        source_key_bytes = stats["key_bytes"] if source_key_bytes is None else source_key_bytes
+        source_bytes = stats["bytes"] if source_bytes is None else source_bytes
     if (broadcast_max_rows > 0 and source_rows <= broadcast_max_rows
-            and source_key_bytes <= broadcast_max_bytes):
-        return _merge_small_source(target, source, keys, keep, columns)
-    return _merge_full_outer(target, source, keys, update, columns)
+            and source_bytes <= broadcast_max_bytes):
+        return _merge_small_source(target, source, keys, update, columns, matched_keys)
+    return _merge_full_outer(target, source, keys, update, columns, spread_nulls)
 
 
 def _merge_full_outer(target: DataFrame, source: DataFrame, keys: list[str],
-                      update: list[str], columns: list[str]) -> DataFrame:
-    # Rows with a null key never match: they bypass the join (a union, no
-    # shuffle) instead of all hashing to one shuffle partition. On Parquet
-    # the null test is pushed to the scan, and row groups without nulls in
-    # the keys are skipped by their statistics.
-    present, absent = all_present(keys), _any_null(keys)
-    t = target.filter(present).withColumn("_in_t", F.lit(True)).alias("t")
-    s = source.filter(present).withColumn("_in_s", F.lit(True)).alias("s")
-    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+                      update: list[str], columns: list[str], spread_nulls: bool) -> DataFrame:
+    spread = []
+    if spread_nulls:
+        # Rows without a key match nothing wherever they go; by their hash they go everywhere.
+        hashable = [f.name for f in target.schema.fields if "map<" not in f.dataType.simpleString()]
+        own = F.expr(f"CASE WHEN {' OR '.join(f'{ident(k)} IS NULL' for k in keys)} "
+                     f"THEN xxhash64({', '.join(map(ident, hashable))}) ELSE 0L END")
+        target, source = target.withColumn("_spread", own), source.withColumn("_spread", own)
+        spread = ["_spread"]
+    t = target.withColumn("_in_t", F.lit(True)).alias("t")
+    s = source.withColumn("_in_s", F.lit(True)).alias("s")
+    cond = [F.col(f"t.{ident(k)}") == F.col(f"s.{ident(k)}") for k in [*keys, *spread]]
     joined = t.join(s, on=cond, how="full_outer")
     in_s = F.col("s._in_s").isNotNull()
     in_t = F.col("t._in_t").isNotNull()
     out = []
     for c in columns:
+        of_t, of_s = F.col(f"t.{ident(c)}"), F.col(f"s.{ident(c)}")
         if c in keys or c in update:
-            out.append(F.when(in_s, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+            out.append(F.when(in_s, of_s).otherwise(of_t).alias(c))
         else:
-            out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-    return (joined.select(*out)
-            .unionByName(target.filter(absent).select(*columns))
-            .unionByName(source.filter(absent).select(*columns)))
-
-
-def _merge_small_source(target: DataFrame, source: DataFrame, keys: list[str],
-                        keep: list[str], columns: list[str]) -> DataFrame:
-    source_keys = F.broadcast(source.select(*keys).filter(all_present(keys)))
-    untouched = target.join(source_keys, on=keys, how="left_anti")
-    matched = (target.join(source_keys, on=keys, how="left_semi")
-                     .select(*keys, *keep, F.lit(True).alias("_in_t")))
-    # No broadcast hint: the matched rows are as many as the source only while
-    # the target keys are unique, which nothing here proves. AQE broadcasts
-    # them when their measured size is small; the target itself is never
-    # shuffled either way (it only meets the broadcast source keys).
-    t = matched.alias("t")
-    s = source.alias("s")
-    cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    in_t = F.col("t._in_t").isNotNull()
-    out = []
-    for c in columns:
-        if c in keep:
-            out.append(F.when(in_t, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c))
-        else:
-            out.append(F.col(f"s.{c}").alias(c))
-    merged = s.join(t, on=cond, how="left").select(*out)
-    return untouched.select(*columns).unionByName(merged)
+            out.append(F.when(in_t, of_t).otherwise(of_s).alias(c))
+    return joined.select(*out)
+
+
+def find_matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                      carry: Sequence[str] = (), broadcast_source: bool = True) -> DataFrame:
+    """The distinct keys (and ``carry`` columns, functions of them) of ``source`` that
+    ``target`` holds; reads those columns of the target only. ``broadcast_source``: the
+    source's keys are known to be few."""
+    wanted = source.select(*keys).filter(all_present(keys))
+    if broadcast_source:
+        wanted = F.broadcast(wanted)
+    return (target.select(*dict.fromkeys([*keys, *carry])).join(wanted, on=list(keys), how="left_semi").distinct())
+
+
+def _merge_small_source(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
+                        columns: list[str], matched_keys: DataFrame | None) -> DataFrame:
+    t = target.alias("t")
+    s = F.broadcast(source.filter(all_present(keys)).withColumn("_in_s", F.lit(True))).alias("s")
+    cond = [F.col(f"t.{ident(k)}") == F.col(f"s.{ident(k)}") for k in keys]
+    in_s = F.col("s._in_s").isNotNull()
+    merged = t.join(s, on=cond, how="left").select(*(
+        F.when(in_s, F.col(f"s.{ident(c)}")).otherwise(F.col(f"t.{ident(c)}")).alias(c) if c in update
+        else F.col(f"t.{ident(c)}").alias(c) for c in columns))
+    if matched_keys is None:
+        matched_keys = find_matched_keys(target, source, keys)
+    # No more keys than the measured source has.
+    new = source.join(F.broadcast(matched_keys.select(*keys)), on=keys, how="left_anti").select(*columns)
+    return merged.unionByName(new)

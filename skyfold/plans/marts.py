@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.functions.aggregates import avg_2dp
+from skyfold.functions.aggregates import avg_2dp, avg_2dp_of_state, avg_2dp_state, avg_2dp_state_names
 from skyfold.functions.scalar import utc_day
 from skyfold.functions.sqltext import string_literal
 from skyfold.plans.preset import DOMESTIC, INTERNATIONAL, flight_type, speed_category
@@ -67,6 +67,57 @@ def daily_summary(fact: DataFrame) -> DataFrame:
                  _avg2("altitude_feet").alias("avg_altitude_feet")))
 
 
+# -- dimensions from per-partition state ----------------------------------------
+#
+# A dimension over the whole history is the sum of what its partitions hold, once
+# distinct values stay apart: per partition and group the counts and exact sums, and
+# per aircraft so that an aircraft seen on several days counts once. When a merge
+# changes some partitions, only their state is computed again; the dimension
+# reads the state, which has a row per aircraft and day and not per report.
+# Groups without a key stay in the state: a partition with rows always has state.
+
+_COUNTRY_SUMS = ("speed_kmh", "altitude_feet")
+_PHASE_SUMS = ("speed_kmh", "altitude_feet", "vertical_rate_ftpm")
+
+
+def country_state(history: DataFrame, partition_col: str) -> DataFrame:
+    return history.groupBy(partition_col, "origin_country", "icao24").agg(
+        F.expr("count(1)").alias("total_flights"),
+        *(part for c in _COUNTRY_SUMS for part in avg_2dp_state(c)),
+        F.expr("count_if(on_ground = FALSE)").alias("flights_airborne"),
+        F.expr("count_if(on_ground = TRUE)").alias("flights_on_ground"))
+
+
+def countries_of_state(state: DataFrame) -> DataFrame:
+    """``dim_countries``, unsorted, from the state of all partitions."""
+    added = ["total_flights", "flights_airborne", "flights_on_ground",
+             *(name for c in _COUNTRY_SUMS for name in avg_2dp_state_names(c))]
+    aircraft = state.filter(F.col("origin_country").isNotNull()).groupBy("origin_country", "icao24").agg(
+        *(F.sum(c).alias(c) for c in added))
+    return aircraft.groupBy("origin_country").agg(
+        F.count("icao24").alias("unique_aircraft"), F.sum("total_flights").alias("total_flights"),
+        avg_2dp_of_state("speed_kmh").alias("avg_speed_kmh"),
+        avg_2dp_of_state("altitude_feet").alias("avg_altitude_feet"),
+        F.sum("flights_airborne").alias("flights_airborne"), F.sum("flights_on_ground").alias("flights_on_ground"))
+
+
+def phase_state(history: DataFrame, partition_col: str) -> DataFrame:
+    return history.groupBy(partition_col, "flight_phase", "flight_category").agg(
+        F.expr("count(1)").alias("total_flights"), *(part for c in _PHASE_SUMS for part in avg_2dp_state(c)))
+
+
+def phases_of_state(state: DataFrame) -> DataFrame:
+    """``dim_flight_phases``, unsorted, from the state of all partitions."""
+    return state.filter(F.col("flight_phase").isNotNull()).groupBy("flight_phase", "flight_category").agg(
+        F.sum("total_flights").alias("total_flights"),
+        avg_2dp_of_state("speed_kmh").alias("avg_speed_kmh"),
+        avg_2dp_of_state("altitude_feet").alias("avg_altitude_feet"),
+        avg_2dp_of_state("vertical_rate_ftpm").alias("avg_vertical_rate_ftpm"))
+
+
+#: Marts kept by state: (state of some partitions, mart from the state of all).
+STATE_MARTS = {"dim_countries": (country_state, countries_of_state), "dim_flight_phases": (phase_state, phases_of_state)}
+
 # Named builders in the order they must run: the daily summary reads the fact.
 MART_BUILDERS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
     "fct_flights": lambda t: fact_flights(t["history"]),

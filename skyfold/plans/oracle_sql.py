@@ -187,6 +187,25 @@ def _upsert_history() -> str:
             "  ON t.snapshot_time = s.snapshot_time AND t.icao24 = s.icao24")
 
 
+def _moved_marts(mart: str) -> str:
+    """A dimension over both batches merged, the second with a quarter of its hours moved."""
+    moved = BATCHES.replace("SELECT * REPLACE (", "SELECT * REPLACE (CASE WHEN (snapshot_time // 3600) % 4 = 0 THEN 'MOVED' "
+                                                  "ELSE origin_country END AS origin_country, ")
+    merged = (f"SELECT {merge_select(HISTORY_COLUMNS, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS)} FROM ta t "
+              "FULL OUTER JOIN tb s ON t.snapshot_time = s.snapshot_time AND t.icao24 = s.icao24")
+    return f"{BASE},\n{moved},\nmx AS ({merged})\n{mart.replace('FROM hx', 'FROM mx')}"
+
+
+def _report() -> str:
+    nulls = "\n".join(f"UNION ALL SELECT 'nulls', '{c}', COUNT(*) - COUNT({c}) FROM hx" for c in HISTORY_COLUMNS)
+    parts = "\n".join(f"UNION ALL SELECT '{part}', {c}, COUNT(*) FROM hx GROUP BY 2" for part, c in (
+        ("phase_distribution", "flight_phase"), ("category_distribution", "flight_category")))
+    top = ("SELECT origin_country, COUNT(*) AS n FROM hx GROUP BY 1 "
+           "ORDER BY n DESC, origin_country NULLS LAST LIMIT 10")
+    return (f"{BASE},\ntop AS ({top})\nSELECT 'rows' AS part, NULL::VARCHAR AS value, COUNT(*) AS n FROM hx\n{nulls}\n{parts}\n"
+            "UNION ALL SELECT 'top10_countries', origin_country, n FROM top")
+
+
 def _upsert_daily() -> str:
     cols = ["flight_date", *DAILY_MEASURES]
     return (f"{BASE},\n{BATCHES},\n"
@@ -264,6 +283,13 @@ ORACLES: dict[str, str] = {
         "(PARTITION BY snapshot_time, icao24 ORDER BY event_id) AS rn FROM hx) WHERE rn = 1"),
     "upsert_composite_key": _upsert_history(),
     "upsert_small_source": _upsert_history(),
+    "table_by_name_first_run_then_upsert": _upsert_history(),
+    "bucketed_merge": _upsert_history(),
+    "replace_by_name": (
+        f"{BASE}\nSELECT origin_country, COUNT(DISTINCT icao24) AS unique_aircraft FROM hx GROUP BY 1"),
+    "expire_by_name": (
+        f"SELECT event_id, ts, user_id, event_type, value, d AS ingest_date FROM ({EVENTS_BY_DAY}) "
+        "WHERE d >= DATE '2024-02-01' - 20"),
     "upsert_daily": _upsert_daily(),
     "row_count": "SELECT COUNT(*) AS row_count FROM lineitem",
     "null_profile": _null_profile(),
@@ -279,6 +305,10 @@ ORACLES: dict[str, str] = {
     "mart_registry": _mart_registry(),
     "end_to_end_country_mart": f"{BASE}\n{COUNTRY_MART}",
     "fact_from_touched_partitions": fact_select(f"({_upsert_history()})"),
+    "country_mart_from_touched_partitions": _moved_marts(COUNTRY_MART),
+    "phase_mart_from_touched_partitions": _moved_marts(PHASE_MART),
+    "quality_report_one_scan": _report(),
+    "boxed_incremental": (_incremental() + " WHERE latitude BETWEEN 10.0 AND 30.0 AND longitude BETWEEN 70.0 AND 90.0"),
     "process_one_day": _one_day(),
     "incremental_accumulate": _incremental(),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from skyfold.functions.labels import bucketize, code_label, equals_label, first_match
 from skyfold.functions.scalar import scale_round, trim_upper
 from skyfold.functions.sqltext import ident
-from skyfold.operators.filters import all_present, require_non_null
+from skyfold.operators.filters import all_present, require_non_null, within_box
 from skyfold.operators.shape import drop_columns, explode_states, map_slots, rename
 from skyfold.schema import HISTORY_COLUMNS
 
@@ -115,11 +115,13 @@ def transform_states(mapped: DataFrame, ingested_at: Column | None = None,
 
 
 def clean(mapped: DataFrame, ingested_at: Column | None = None,
-          carry: tuple[str, ...] = ()) -> DataFrame:
-    """Required-columns filter, then the transform (filter runs before trim)."""
-    return transform_states(require_non_null(mapped, REQUIRED_COLUMNS), ingested_at, carry)
+          carry: tuple[str, ...] = (), box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Required-columns filter (and bounding box, if given), then the transform (filter runs before trim)."""
+    rows = require_non_null(mapped, REQUIRED_COLUMNS)
+    return transform_states(rows if box is None else within_box(rows, box), ingested_at, carry)
 
 
-def snapshot_rows(docs: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def snapshot_rows(docs: DataFrame, ingested_at: Column | None = None,
+                  box: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Snapshot documents → history rows: explode, map slots, filter, transform."""
-    return clean(map_slots(explode_states(docs)), ingested_at)
+    return clean(map_slots(explode_states(docs)), ingested_at, box=box)

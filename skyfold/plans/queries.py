@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.functions.scalar import local_date
+from skyfold.functions.sqltext import literal
 from skyfold.operators.dedup import dedup_by
 from skyfold.operators.filters import require_non_null, within_box
 from skyfold.operators.profile import (
@@ -32,13 +33,13 @@ from skyfold.plans.preset import (
     flight_phase, flight_type, required_present, speed_category,
 )
 from skyfold.plans.tables import (
-    merge_into, read_history, retain_recent, table_exists, upsert_table,
+    expire_partitions, merge_into, read_history, replace_table, retain_recent, table_exists, upsert_table,
     with_history_partition,
 )
 from skyfold.schema import (
     DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS,
 )
-from skyfold.plans.steps import build_mart_tables, load_history, process_day, read_mart
+from skyfold.plans.steps import build_mart_tables, load_history, process_day, quality_report, read_mart
 from skyfold.session import ensure_checkpoint_dir, work_path
 from skyfold.sources.parquet import drop_staging, load_staging, write_partitions
 from skyfold.sources.snapshots import (
@@ -51,6 +52,11 @@ SELECTED_DAY = "2024-01-15"
 RETENTION_AS_OF = "2001-08-01"
 PROCESSING_TIME = "2024-02-01 00:00:00"
 MAX_VECTORS_PER_DOC = 5000
+EXPIRE_AS_OF, EXPIRE_DAYS = "2024-02-01", 20
+# A quarter of the second batch's aircraft report another country.
+MOVED_COUNTRY = "CASE WHEN pmod(snapshot_time / 3600, 4) = 0 THEN 'MOVED' ELSE origin_country END"
+# Narrower than the preset's box, so that rows fall outside.
+NARROW_BOX = (10.0, 30.0, 70.0, 90.0)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -299,6 +305,52 @@ def table_first_run_then_upsert(spark, sf_dir, **merge_settings):
     return read_history(spark, history)
 
 
+def _work_database(spark) -> str:
+    """A database of this run whose tables lie below the checkpoint folder."""
+    name = f"skyfold_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION {literal(work_path(spark, name))}")
+    return name
+
+
+def _merged_by_name(spark, sf_dir, **settings) -> str:
+    a, b = _batches(spark, sf_dir, materialize=True)
+    name = f"{_work_database(spark)}.history"
+    assert not table_exists(spark, name)
+    merge_into(spark, name, with_history_partition(a), **settings)
+    merge_into(spark, name, with_history_partition(b), **settings)
+    return name
+
+
+def table_by_name_first_run_then_upsert(spark, sf_dir):
+    """The same two batches into a table by its catalog name: the first creates
+    it, the second is published as its next version in one step."""
+    return read_history(spark, _merged_by_name(spark, sf_dir)).select(*HISTORY_COLUMNS)
+
+
+def bucketed_merge(spark, sf_dir):
+    """The same by name with buckets on the key and no source small enough to
+    broadcast: bucket joins bucket, only the batch is shuffled."""
+    name = _merged_by_name(spark, sf_dir, buckets=8, broadcast_max_rows=0)
+    return read_history(spark, name).select(*HISTORY_COLUMNS)
+
+
+def replace_by_name(spark, sf_dir):
+    """A table by name replaced whole, the second time from a query on itself."""
+    name = f"{_work_database(spark)}.countries"
+    replace_table(_history(spark, sf_dir).select("origin_country", "icao24"), name)
+    replace_table(spark.table(name).groupBy("origin_country").agg(
+        F.countDistinct("icao24").alias("unique_aircraft")), name)
+    return spark.table(name)
+
+
+def expire_by_name(spark, sf_dir):
+    """Old days leave a table by name as a version without their partitions."""
+    name = f"{_work_database(spark)}.events_by_day"
+    replace_table(spark.read.parquet(_events_by_day(spark, sf_dir)), name, DATE_PARTITION)
+    expire_partitions(spark, name, DATE_PARTITION, EXPIRE_DAYS, EXPIRE_AS_OF)
+    return spark.table(name)
+
+
 def upsert_daily(spark, sf_dir):
     a, b = _batches(spark, sf_dir, materialize=True)
     path = work_path(spark, "agg_flights_daily")
@@ -332,6 +384,50 @@ def fact_from_touched_partitions(spark, sf_dir):
     return read_mart(spark, marts, "fct_flights")
 
 
+def _marts_of_two_cycles(spark, sf_dir, mart: str):
+    """Two cycles of merge and marts by name; rows of the second batch change country, and
+    the marts read the history's touched partitions only."""
+    a, b = _batches(spark, sf_dir, materialize=True)
+    b = b.withColumn("origin_country", F.expr(MOVED_COUNTRY))
+    database = _work_database(spark)
+    for batch in (a, b):
+        touched = merge_into(spark, f"{database}.history", with_history_partition(batch))["touched"]
+        build_mart_tables(spark, f"{database}.history", database, touched)
+    return read_mart(spark, database, mart)
+
+
+def country_mart_from_touched_partitions(spark, sf_dir):
+    return _marts_of_two_cycles(spark, sf_dir, "dim_countries")
+
+
+def phase_mart_from_touched_partitions(spark, sf_dir):
+    return _marts_of_two_cycles(spark, sf_dir, "dim_flight_phases")
+
+
+def quality_report_one_scan(spark, sf_dir):
+    """All parts of the quality report, which share one scan, as (part, value, n)."""
+    report = quality_report(_history(spark, sf_dir).select(*HISTORY_COLUMNS))
+    nulls = report["null_profile"]
+    parts = [report["row_count"].select(F.lit("rows").alias("part"), F.lit(None).cast("string").alias("value"),
+                                        F.col("row_count").alias("n")),
+             nulls.unpivot([], nulls.columns, "value", "n").select(F.lit("nulls").alias("part"), "value", "n")]
+    parts += [df.select(F.lit(name).alias("part"), F.col(df.columns[0]).alias("value"), F.col("count").alias("n"))
+              for name, df in report.items() if name not in ("row_count", "null_profile")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def boxed_incremental(spark, sf_dir):
+    """One incremental run that keeps the vectors of a bounding box only."""
+    fixture = dedup_by(_fixture(spark, sf_dir), HISTORY_KEYS, "event_id")
+    landing, history, checkpoint = (work_path(spark, p) for p in ("landing", "history", "stream-checkpoint"))
+    land_snapshots(_docs(fixture), landing, LOCAL_ZONE)
+    accumulate(spark, landing, history, checkpoint, ingested_at=_processing_time(), box=NARROW_BOX)
+    return read_history(spark, history)
+
+
 def process_one_day(spark, sf_dir):
     """Land every snapshot, then process and load one local day only: the day
     is chosen by partition pruning on the landing and on the processed output."""
@@ -386,6 +482,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_dedup": key_dedup,
     "upsert_composite_key": upsert_composite_key,
     "upsert_small_source": upsert_small_source,
+    "table_by_name_first_run_then_upsert": table_by_name_first_run_then_upsert,
+    "bucketed_merge": bucketed_merge,
+    "replace_by_name": replace_by_name,
+    "expire_by_name": expire_by_name,
     "upsert_daily": upsert_daily,
     "row_count": row_count_query,
     "null_profile": null_profile_query,
@@ -398,6 +498,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_registry": mart_registry,
     "end_to_end_country_mart": end_to_end_country_mart,
     "fact_from_touched_partitions": fact_from_touched_partitions,
+    "country_mart_from_touched_partitions": country_mart_from_touched_partitions,
+    "phase_mart_from_touched_partitions": phase_mart_from_touched_partitions,
+    "quality_report_one_scan": quality_report_one_scan,
+    "boxed_incremental": boxed_incremental,
     "process_one_day": process_one_day,
     "incremental_accumulate": incremental_accumulate,
 }

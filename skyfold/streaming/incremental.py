@@ -32,31 +32,37 @@ MAX_FILES_PER_TRIGGER = 10_000
 def accumulate(spark: SparkSession, landing: str, history: str, checkpoint: str, *,
                ingested_at: Column | None = None, multi_line: bool = False,
                key_order: str | Column | Sequence[str | Column] | None = None,
-               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, dated_folders: bool = False) -> dict:
+               max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, dated_folders: bool = False,
+               box: tuple[float, float, float, float] | None = None) -> dict:
     """Process every landed file not yet seen, then stop (``availableNow``).
 
+    ``history`` is a path or a table name; ``box`` keeps the vectors within a
+    bounding box only.
+
     ``dated_folders`` reads ``<landing>/<yyyy-MM-dd>/`` folders, which a file
     stream does not find below a plain path.
 
     Two rows with one key in a batch stop the run, as a MERGE would, unless
     ``key_order`` gives the columns or expressions that pick one (smallest
     first; ``-F.col("last_contact")`` keeps the newest report).
-    Returns a summary of the run: batches and rows merged.
+    Returns a summary of the run: batches, rows merged and the history
+    partitions touched (None: all, as on a first run).
     """
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     ensure_checkpoint_dir(spark)
     stream = read_documents(reader, f"{landing.rstrip('/')}/*-*-*" if dated_folders else landing, multi_line)
-    stats = {"batches": 0, "rows_merged": 0}
+    stats = {"batches": 0, "rows_merged": 0, "touched": []}
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         docs = one_copy(batch.select(*[f.name for f in RAW_SCHEMA.fields]))
-        rows = with_history_partition(snapshot_rows(docs, ingested_at))
-        # The merge reads its source twice (check job, then the write), so the
-        # parsed batch is written once to the shared checkpoint folder.
-        rows = rows.checkpoint(eager=True)
+        rows = with_history_partition(snapshot_rows(docs, ingested_at, box))
+        # The merge writes its source once to the shared checkpoint folder.
         result = merge_into(batch.sparkSession, history, rows, dedup_order=key_order)
         stats["batches"] += 1
         stats["rows_merged"] += result["rows_written"]
+        known = stats["touched"]
+        stats["touched"] = (None if known is None or result["touched"] is None
+                            else known + [v for v in result["touched"] if v not in known])
 
     query = (stream.writeStream
              .foreachBatch(merge_batch)

@@ -7,8 +7,10 @@ import os
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from skyfold.plans.fixture import batch_a, keyed_history
+from skyfold.operators.upsert import find_matched_keys, upsert
+from skyfold.plans.fixture import batch_a, batch_b, keyed_history
 from skyfold.plans.tables import merge_into, touched_partitions, with_history_partition
+from skyfold.schema import HISTORY_KEYS, HISTORY_UPDATE_COLUMNS
 from tests_support import SF_SMALL, events_small
 
 
@@ -37,13 +39,38 @@ def test_retention_pushed_to_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
 
 
-def test_small_source_merge_never_shuffles_the_target(spark):
-    p = plan(entry.queries()["upsert_small_source"](spark, SF_SMALL))
+def _stored_pair(spark, tmp_dir):
+    """Batches A and B as files, so that a plan shows what it reads of each."""
+    keyed = keyed_history(events_small(spark)).drop("event_id")
+    paths = [os.path.join(tmp_dir, n) for n in ("target", "source")]
+    for batch, path in zip((batch_a(keyed), batch_b(keyed)), paths):
+        batch.write.parquet(path)
+    return [spark.read.parquet(p) for p in paths], paths
+
+
+def _scans(p: str, path: str) -> list[str]:
+    return [line for line in p.splitlines() if "FileScan" in line and path in line]
+
+
+def test_small_source_merge_never_shuffles_the_target(spark, tmp_dir):
+    (a, b), (target, _) = _stored_pair(spark, tmp_dir)
+    p = plan(upsert(a, b, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS, broadcast_max_rows=10_000_000))
     joins = [line for line in p.splitlines() if "Join" in line]
-    # the target meets the size-checked source keys only in broadcast joins
-    assert any("BroadcastHashJoin" in j and "LeftAnti, BuildRight" in j for j in joins)
-    assert any("BroadcastHashJoin" in j and "LeftSemi, BuildRight" in j for j in joins)
-    assert not any("FullOuter" in j for j in joins)
+    # the target takes its new values in a broadcast join; a second look reads its keys only
+    assert any("BroadcastHashJoin" in j and "LeftOuter, BuildRight" in j for j in joins)
+    assert not any("FullOuter" in j or "SortMerge" in j for j in joins)
+    rows, keys = sorted(_scans(p, target), key=len, reverse=True)
+    assert "callsign" in rows and "callsign" not in keys
+    # with the keys known from before, the target is read once
+    known = find_matched_keys(a, b, HISTORY_KEYS).checkpoint()
+    p = plan(upsert(a, b, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS, broadcast_max_rows=10_000_000, matched_keys=known))
+    assert len(_scans(p, target)) == 1
+
+
+def test_general_merge_reads_each_input_once(spark, tmp_dir):
+    (a, b), paths = _stored_pair(spark, tmp_dir)
+    p = plan(upsert(a, b, HISTORY_KEYS, HISTORY_UPDATE_COLUMNS))
+    assert [len(_scans(p, path)) for path in paths] == [1, 1]
 
 
 def test_general_merge_is_one_join(spark):

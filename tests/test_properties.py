@@ -22,9 +22,14 @@ def test_label_counts_add_up(spark):
                  F.count_if(F.col("on_ground") == F.lit(False)).alias("off"),
                  F.count_if(F.col("on_ground").isNull()).alias("unknown")).first()
     assert g.on + g.off + g.unknown == n and g.unknown > 0
+    # The mart leaves out rows without a country, and there are some.
+    known = hist.filter("origin_country IS NOT NULL").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("on_ground") == F.lit(True)).alias("on"),
+        F.count_if(F.col("on_ground") == F.lit(False)).alias("off")).first()
+    assert 0 < known.n < n
     mart = dim_countries(hist).agg(F.sum("total_flights"), F.sum("flights_airborne"),
                                    F.sum("flights_on_ground")).first()
-    assert (mart[0], mart[1], mart[2]) == (n, g.off, g.on)
+    assert (mart[0], mart[1], mart[2]) == (known.n, known.off, known.on)
     types = fact_flights(hist).groupBy("flight_type").count().collect()
     assert sum(r["count"] for r in types) == n
 
