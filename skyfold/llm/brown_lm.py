@@ -1,52 +1,67 @@
 """Language-model scoring with Brown classes.
 
-Exchange clustering assigns the most frequent words to classes so that the
-class bigrams of the corpus are as likely as possible; every other word belongs
-to a class of words with the same ending. A text's probability is the product,
-token by token, of the smoothed transition from the class before and the
-smoothed emission of the word by its class.
-
-Word counts cover the whole training corpus. The most frequent words (a
-bounded table) go to every task; a text's other words are joined to their
-counts by a shuffle, so the vocabulary may grow without bound.
+Exchange clustering puts words into classes so that the class bigrams of the
+corpus are as likely as possible. A text's probability is the product, token by
+token, of the smoothed transition from the class before and the smoothed
+emission of the word by its class.
+
+The clustered vocabulary and the number of classes follow the corpus. All words
+begin in a class by their ending. The most frequent ones (a number that grows
+with the root of the vocabulary) are exchanged in sweeps over their own
+bigrams. Then every other word seen ``min_count`` times or more is exchanged: one
+pass over the corpus gathers the classes of its neighbours, word by word in a
+shuffle, and the word goes to the class that raises the likelihood most. Rarer
+and unseen words take the class that most clustered tokens with their ending have.
+
+Word counts and classes are a distributed table. The most frequent words (a
+bounded part) go to every task; a text's other words are joined to
+the table by a shuffle, and the transitions at their places are added after it.
+What the words' sizes decide is only where they are looked up.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import heaviest, materialise
 
 END = b"\n"  # no word can hold white space
 SMOOTH = 0.5
+#: Texts are read in stretches of about so many bytes.
+STRETCH = 8_000_000
+_SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+_ENDING = 3
 
 
 @dataclass(frozen=True)
 class Settings:
-    """hot_words: words sent to every task; clustered: words exchanged between ``classes``
-    classes; endings: classes of the other words; sweeps: exchange rounds."""
+    """hot_words: words sent to every task; min_count: words seen as often are clustered;
+    sweeps: exchange rounds among the top words; least_top, least_classes: numbers a small
+    corpus has; endings: endings sent to every task."""
 
     hot_words: int = 200_000
-    clustered: int = 2_000
-    classes: int = 48
-    endings: int = 32
+    min_count: int = 5
     sweeps: int = 6
+    least_top: int = 2_000
+    least_classes: int = 48
+    endings: int = 50_000
 
-    @property
-    def all_classes(self) -> int:
-        return self.classes + self.endings + 1
+    def classes_of(self, clustered: int) -> int:
+        """Classes for so many clustered words: they grow with the cube root."""
+        return max(self.least_classes, math.ceil(1.2 * clustered ** (1 / 3)))
 
-    @property
-    def end_class(self) -> int:
-        return self.classes + self.endings
+    def top_of(self, clustered: int) -> int:
+        """Words exchanged in sweeps: they grow with the square root."""
+        return min(self.hot_words, max(self.least_top, int(8 * clustered ** 0.5)))
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -56,8 +71,62 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return words
 
 
-def ending(word: bytes, endings: int) -> int:
-    return crc32(word[-3:]) % endings
+def first_class(word: bytes, classes: int) -> int:
+    """The class a word begins in."""
+    return crc32(word[-_ENDING:]) % classes
+
+
+class _Local(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+@dataclass
+class _Stream:
+    """Tokens of some texts: ``ids`` (numbers into ``words``; the first is the token before them) and,
+    for each token after that, the text it belongs to."""
+
+    words: list[bytes]
+    ids: np.ndarray
+    text: np.ndarray
+
+
+def streams(texts: list[bytes | None]) -> Iterator[_Stream]:
+    """The tokens of all texts in order, an end after each, in streams of bounded size."""
+    local, last = _Local(), END
+    ids, text_of, size, some = [np.array([local[last]])], [], 0, False
+
+    def stream() -> _Stream:
+        return _Stream(list(local), np.concatenate(ids), np.concatenate(text_of))
+
+    for i, text in enumerate(texts):
+        text = text or b""
+        at = 0
+        while True:
+            stop = len(text)
+            if stop - at > STRETCH and (cut := _SPACE.search(text, at + STRETCH)):
+                stop = cut.start()
+            tokens = text[at:stop].lower().split()
+            done = stop == len(text)
+            if done:
+                tokens.append(END)
+            ids.append(np.fromiter(map(local.__getitem__, tokens), dtype=np.int64, count=len(tokens)))
+            text_of.append(np.full(len(tokens), i, dtype=np.int64))
+            last = tokens[-1] if tokens else last
+            size += stop - at
+            some = some or bool(tokens)
+            at = stop
+            if size >= STRETCH and some:
+                yield stream()
+                local = _Local()
+                ids, text_of, size, some = [np.array([local[last]])], [], 0, False
+            if done:
+                break
+    if some:
+        yield stream()
 
 
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
@@ -65,65 +134,47 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            words: Counter = Counter()
-            for text in pdf["t"]:
-                words.update(tokens_of(text))
-            yield pd.DataFrame({"word": list(words), "c": list(words.values())})
+            for s in streams(pdf["t"].tolist()):
+                c = np.bincount(s.ids[1:], minlength=len(s.words))
+                there = np.flatnonzero(c)
+                yield pd.DataFrame({"word": [s.words[i] for i in there], "c": c[there]})
 
     rows = docs.select(F.col(text_col).cast("binary").alias("t"))
     return rows.mapInPandas(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class _Codes(dict):
-    """Hot words to their rank; other words to -1 - ending class."""
-
-    def __init__(self, words: list[bytes], endings: int):
-        super().__init__((w, i) for i, w in enumerate(words))
-        self.endings = endings
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - ending(word, self.endings)
-
+class Lexicon:
+    """Hot words, most frequent first, with counts and (once known) classes; the lookup is built once per worker."""
 
-class _Lexicon:
-    """Hot words, most frequent first; the lookup is built once per worker."""
-
-    def __init__(self, words: list[bytes], counts: np.ndarray, settings: Settings):
-        self.words, self.counts, self.settings = words, counts, settings
-        self._codes: _Codes | None = None
+    def __init__(self, words: list[bytes], counts: np.ndarray, classes: np.ndarray | None = None):
+        self.words, self.counts, self.classes = words, counts, classes
+        self._rank: dict[bytes, int] | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_codes": None}
+        return self.__dict__ | {"_rank": None}
 
-    def codes(self, tokens: list[bytes]) -> np.ndarray:
-        """Rank of each hot token, -1 - ending class of the others; the last token (the end) is not coded."""
-        if self._codes is None:
-            self._codes = _Codes(self.words, self.settings.endings)
-        return np.fromiter(map(self._codes.__getitem__, tokens[:-1]), dtype=np.int64, count=len(tokens) - 1)
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        """The rank of each hot word, -1 of the others (and of the end)."""
+        if self._rank is None:
+            self._rank = {w: i for i, w in enumerate(self.words)}
+        return np.fromiter((self._rank.get(w, -1) for w in words), dtype=np.int64, count=len(words))
 
 
-def count_bigrams(docs: DataFrame, text_col: str, lexicon) -> DataFrame:
-    """(a, b, c): counts of neighbouring symbols; an end precedes every text."""
+def count_bigrams(docs: DataFrame, text_col: str, lexicon, top: int, classes: int) -> DataFrame:
+    """(a, b, c): counts of neighbouring symbols; an end precedes every text.
+
+    Symbols: the ranks of the top words, then the first classes of the others, then the end.
+    """
+    end = top + classes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex = lexicon.value
-        s = lex.settings
-        size = s.clustered + s.endings + 1
-        ending_of = None
         for pdf in batches:
-            if ending_of is None:  # symbols of hot words that are not clustered
-                ending_of = np.array([ending(w, s.endings) for w in lex.words[s.clustered:]], dtype=np.int64)
-            for at in range(0, len(pdf), 1000):
-                streams = [np.array([size - 1])]
-                for text in pdf["t"].iloc[at:at + 1000]:
-                    codes = lex.codes(tokens_of(text))
-                    out = np.where(codes < 0, s.clustered - 1 - codes, codes)
-                    rest = codes >= s.clustered
-                    out[rest] = s.clustered + ending_of[codes[rest] - s.clustered]
-                    streams += [out, np.array([size - 1])]
-                stream = np.concatenate(streams)
-                pair, c = np.unique(stream[:-1] * size + stream[1:], return_counts=True)
-                yield pd.DataFrame({"a": pair // size, "b": pair % size, "c": c})
+            for s in streams(pdf["t"].tolist()):
+                rank = lexicon.value.ranks(s.words)
+                symbol = np.array([r if 0 <= r < top else end if w == END else top + first_class(w, classes)
+                                   for w, r in zip(s.words, rank.tolist())], dtype=np.int64)[s.ids]
+                pair, c = np.unique(symbol[:-1] * (end + 1) + symbol[1:], return_counts=True)
+                yield pd.DataFrame({"a": pair // (end + 1), "b": pair % (end + 1), "c": c})
 
     rows = docs.select(F.col(text_col).cast("binary").alias("t"))
     return rows.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
@@ -139,8 +190,12 @@ def class_matrix(bigrams: DataFrame, class_of: np.ndarray, n: int) -> np.ndarray
         at = np.flatnonzero(m)
         yield pd.DataFrame({"cell": at, "c": m[at]})
 
+    return _summed(bigrams.mapInPandas(run, "cell int, c long"), n)
+
+
+def _summed(cells: DataFrame, n: int) -> np.ndarray:
     out = np.zeros(n * n)
-    for r in bigrams.mapInPandas(run, "cell int, c long").groupBy("cell").agg(F.sum("c").alias("c")).collect():
+    for r in cells.groupBy("cell").agg(F.sum("c").alias("c")).collect():
         out[r["cell"]] = r["c"]
     return out.reshape(n, n)
 
@@ -154,45 +209,57 @@ def likelihood(m: np.ndarray) -> float:
     return float(_phi(m).sum() - _phi(m.sum(axis=1)).sum() - _phi(m.sum(axis=0)).sum())
 
 
-def exchange_gain(m: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, loops: float,
-                  classes: int) -> np.ndarray:
+def exchange_gain(m: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, loops: float, classes: int,
+                  sums: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Change of the likelihood when a word moves from class ``own`` to each class.
 
     right, left: counts of the classes after and before the word, without its
-    ``loops`` repetitions of itself.
+    ``loops`` repetitions of itself. Only the classes that neighbour the word are
+    looked at. ``sums``: those of the rows and columns of ``m``, if known.
     """
-    m = m.copy()
-    m[own, :] -= right
-    m[:, own] -= left
-    m[own, own] -= loops
-    # Its neighbours keep their own counts wherever the word goes.
-    rows, cols = m.sum(axis=1) + left, m.sum(axis=0) + right
+    rows, cols = sums if sums is not None else (m.sum(axis=1), m.sum(axis=0))
+    after, before = np.flatnonzero(right), np.flatnonzero(left)
+    # The matrix without the word, at the columns after it and the rows before it.
+    a, b = m[:, after].copy(), m[before, :].copy()
+    a[own] -= right[after]
+    a[:, after == own] -= left[:, None]
+    a[own, after == own] -= loops
+    b[:, own] -= left[before]
+    b[before == own, :] -= right
+    b[before == own, own] -= loops
     k = np.arange(classes)
-    added = (_phi(m[:classes] + right) - _phi(m[:classes])).sum(axis=1)
-    added += (_phi(m[:, :classes] + left[:, None]) - _phi(m[:, :classes])).sum(axis=0)
-    diag = m[k, k]
+    diag = m[k, k].copy()
+    diag[own] -= right[own] + left[own] + loops
+    # Its neighbours keep their own counts wherever the word goes.
+    rows, cols = rows[k].copy(), cols[k].copy()
+    rows[own] -= right.sum() + loops
+    cols[own] -= left.sum() + loops
+    added = (_phi(a[:classes] + right[after]) - _phi(a[:classes])).sum(axis=1)
+    added += (_phi(b[:, :classes] + left[before, None]) - _phi(b[:, :classes])).sum(axis=0)
     added -= _phi(diag + right[k]) + _phi(diag + left[k]) - 2 * _phi(diag)
     added += _phi(diag + right[k] + left[k] + loops) - _phi(diag)
-    added -= _phi(rows[k] + right.sum() + loops) - _phi(rows[k])
-    added -= _phi(cols[k] + left.sum() + loops) - _phi(cols[k])
+    added -= _phi(rows + right.sum() + loops) - _phi(rows)
+    added -= _phi(cols + left.sum() + loops) - _phi(cols)
     return added - added[own]
 
 
-def exchange_clustering(bigrams: DataFrame, words: int, settings: Settings) -> np.ndarray:
-    """Class of every symbol. Clustered words start in rounds by rank; in each sweep half of
-    them may move to their best class, and a sweep that lowers the likelihood is undone."""
-    s = settings
-    n = s.all_classes
-    class_of = np.concatenate([np.arange(s.clustered) % s.classes, np.arange(s.classes, n)])
+def exchange_top(bigrams: DataFrame, words: int, top: int, classes: int, sweeps: int) -> tuple[np.ndarray, np.ndarray]:
+    """(class of every symbol, class bigram counts). The ``words`` top words start in rounds by rank; in each
+    sweep half of them may move to their best class, and a sweep that lowers the likelihood is undone."""
+    n = classes + 1
+    class_of = np.concatenate([np.arange(top) % classes, np.arange(n)])
+    m = class_matrix(bigrams, class_of, n)
     if not words:
-        return class_of
-    words = min(words, s.clustered)
+        return class_of, m
     # Every bigram from the side of its first and of its second symbol.
     sides = bigrams.select(F.col("a").alias("word"), F.col("b").alias("other"), F.lit(1).alias("after"), "c").union(
         bigrams.select(F.col("b").alias("word"), F.col("a").alias("other"), F.lit(0).alias("after"), "c"))
-    sides = materialise(sides.filter(F.col("word") < words).withColumn("deal", F.col("word") % 64), "bigram_sides")
+    sides = materialise(sides.filter(F.col("word") < words).withColumn("deal", (F.col("word") / 32).cast("int")),
+                        "bigram_sides")
 
     def best_moves(class_of: np.ndarray, m: np.ndarray):
+        sums = m.sum(axis=1), m.sum(axis=0)
+
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             found = []
             for word, part in pdf.groupby("word"):
@@ -201,7 +268,7 @@ def exchange_clustering(bigrams: DataFrame, words: int, settings: Settings) -> n
                 rest = part[~own]
                 vectors = [np.bincount(class_of[x["other"].to_numpy()], x["c"].to_numpy(), n)
                            for x in (rest[rest["after"] == 1], rest[rest["after"] == 0])]
-                gain = exchange_gain(m, int(class_of[word]), *vectors, loops, s.classes)
+                gain = exchange_gain(m, int(class_of[word]), *vectors, loops, classes, sums)
                 best = int(np.argmax(gain))
                 if gain[best] > 1e-6:
                     found.append((word, best, gain[best]))
@@ -209,11 +276,10 @@ def exchange_clustering(bigrams: DataFrame, words: int, settings: Settings) -> n
 
         return run
 
-    m = class_matrix(bigrams, class_of, n)
     score = likelihood(m)
-    for sweep in range(s.sweeps):
+    for sweep in range(sweeps):
         moves = sides.filter(F.col("word") % 2 == sweep % 2).groupBy("deal").applyInPandas(
-            best_moves(class_of, m), "word int, to int, gain double").collect()  # a row per clustered word at most
+            best_moves(class_of, m), "word int, to int, gain double").collect()  # a row per top word at most
         moves.sort(key=lambda r: (-r["gain"], r["word"]))
         while moves:
             tried = class_of.copy()
@@ -224,56 +290,272 @@ def exchange_clustering(bigrams: DataFrame, words: int, settings: Settings) -> n
                 class_of, m, score = tried, tried_m, likelihood(tried_m)
                 break
             moves = moves[:len(moves) // 4]  # moves made at once can undo each other: keep the strongest
-    return class_of
+    return class_of, m
+
+
+def exchange_rest(docs: DataFrame, text_col: str, lexicon, class_of_top: np.ndarray, m: np.ndarray,
+                  classes: int, min_count: int) -> DataFrame:
+    """(word, class) of every word outside the top that occurs ``min_count`` times: its best class, given those of all words now.
+
+    The classes of a word's neighbours meet in a shuffle by word (four bytes an
+    occurrence, packed per stream) and are read as a stream, so no word's
+    occurrences are held at once.
+    """
+    top = len(class_of_top)
+    pair = np.dtype([("before", "<u2"), ("after", "<u2")])
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            held = None
+            for s in streams(pdf["t"].tolist()):
+                # The last token waits for the one after it (at the end of the batch that is the end).
+                rank = lexicon.value.ranks(s.words)
+                of = np.array([class_of_top[r] if 0 <= r < top else classes if w == END else first_class(w, classes)
+                               for w, r in zip(s.words, rank.tolist())], dtype=np.int64)
+                tail = np.array([not 0 <= r < top and w != END for w, r in zip(s.words, rank.tolist())])
+                cls = of[s.ids]
+                if held is not None:        # a word at the very end of the stream before
+                    word, before = held
+                    same = word == s.words[s.ids[1]]
+                    occ = np.array([(before, 0xFFFF if same else cls[1])], dtype=pair)
+                    yield pd.DataFrame({"word": [word], "seen": [occ.tobytes()]})
+                last = s.ids[-1]
+                held = (s.words[last], _neighbour(s.ids, cls, len(cls) - 2, len(cls) - 1)) if tail[last] else None
+                at = np.flatnonzero(tail[s.ids[1:-1]]) + 1
+                if not len(at):
+                    continue
+                occ = np.empty(len(at), dtype=pair)
+                # A word beside itself: marked, so that it moves along.
+                occ["before"] = np.where(s.ids[at - 1] == s.ids[at], 0xFFFF, cls[at - 1])
+                occ["after"] = np.where(s.ids[at + 1] == s.ids[at], 0xFFFF, cls[at + 1])
+                order = np.argsort(s.ids[at], kind="stable")
+                ids, raw = s.ids[at][order], occ[order].tobytes()
+                starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+                ends = [*(4 * starts[1:]).tolist(), len(raw)]
+                yield pd.DataFrame({"word": [s.words[i] for i in ids[starts].tolist()],
+                                    "seen": [raw[a:b] for a, b in zip((4 * starts).tolist(), ends)]})
+
+    sums = m.sum(axis=1), m.sum(axis=0)
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        word, n, right, left, loops = None, 0, None, None, 0
+        found: list[tuple[bytes, int]] = []
+
+        def close():
+            if word is not None and n >= min_count:
+                gain = exchange_gain(m, first_class(word, classes), right, left, loops, classes, sums)
+                found.append((word, int(np.argmax(gain))))
+
+        for pdf in batches:
+            for w, seen in zip(pdf["word"].tolist(), pdf["seen"].tolist()):
+                if w != word:
+                    close()
+                    word, n, loops = w, 0, 0
+                    right, left = np.zeros(classes + 1), np.zeros(classes + 1)
+                occ = np.frombuffer(seen, dtype=pair)
+                n += len(occ)
+                loops += int((occ["after"] == 0xFFFF).sum())
+                right += np.bincount(occ["after"][occ["after"] != 0xFFFF], minlength=classes + 1)
+                left += np.bincount(occ["before"][occ["before"] != 0xFFFF], minlength=classes + 1)
+            yield pd.DataFrame(found, columns=["word", "class"])
+            found.clear()
+        close()
+        yield pd.DataFrame(found, columns=["word", "class"])
+
+    rows = docs.select(F.col(text_col).cast("binary").alias("t"))
+    return rows.mapInPandas(gather, "word binary, seen binary").repartition(F.col("word")).sortWithinPartitions(
+        "word").mapInPandas(best, "word binary, class int")
+
+
+def _neighbour(ids: np.ndarray, cls: np.ndarray, other: int, at: int) -> int:
+    return 0xFFFF if ids[other] == ids[at] else int(cls[other])
+
+
+class _Guess(dict):
+    """Ending -> class of words without one of their own."""
+
+    def __init__(self, of: dict[bytes, int], other: int):
+        super().__init__(of)
+        self.other = other
+
+    def __missing__(self, ending: bytes) -> int:
+        return self.other
+
+
+_PARTS = ("row long, id string, n_tokens long, n_known long, seen double, score double, words array<binary>, times array<long>, "
+          "guess array<int>, pairs binary, cells binary")
+
+
+def _resolved(docs: DataFrame, id_col: str | None, text_col: str, lexicon, guess, table: DataFrame, classes: int,
+              transitions: np.ndarray | None, emission_base: np.ndarray | None) -> DataFrame:
+    """Documents are numbered (``row``), so that equal ones stay apart. One row per stretch of a text: what its hot words give (``seen``: log10 of their counts; ``score``: their
+    transitions and emission bases), and for its other words ``cold``: index, count and class, with the
+    transitions at their places (``pairs``: a class, or -1 - index of a cold word).
+
+    Without ``transitions`` (training) ``cells`` hold the counts of the transitions between hot words.
+    """
+    spark = docs.sparkSession
+    end = classes
+    shared = spark.sparkContext.broadcast((transitions, emission_base))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        between, base = shared.value
+        log_counts = np.log10(lexicon.value.counts + SMOOTH)
+        for pdf in batches:
+            row_of, id_of = pdf["row"].to_numpy(), pdf["id"].tolist()
+            for s in streams(pdf["t"].tolist()):
+                rank = lexicon.value.ranks(s.words)
+                of = np.full(len(s.words), -1, dtype=np.int64)
+                of[rank >= 0] = lexicon.value.classes[rank[rank >= 0]]
+                of = np.where(np.fromiter((w == END for w in s.words), dtype=bool, count=len(s.words)), end, of)
+                ids, cls = s.ids, of[s.ids]
+                x, y = cls[:-1], cls[1:]
+                known = (x >= 0) & (y >= 0)
+                first, texts = int(s.text[0]), int(s.text[-1] - s.text[0]) + 1
+                text = s.text - first
+                cells = b""
+                if between is None:
+                    cell, c = np.unique(x[known] * (classes + 1) + y[known], return_counts=True)
+                    cells = np.stack([cell, c]).astype("<i8").tobytes()
+                    sums = np.zeros(texts)
+                else:
+                    gain = np.zeros(len(y))
+                    gain[known] = between[x[known], y[known]]
+                    gain[y >= 0] -= base[y[y >= 0]]
+                    sums = np.bincount(text, gain, texts)
+                hot = rank[ids[1:]]
+                seen = np.bincount(text, np.where(hot >= 0, log_counts[hot] if len(log_counts) else 0.0, 0.0), texts)
+                n_tokens = np.bincount(text, minlength=texts)
+                n_known = np.bincount(text, hot >= 0, texts).astype(np.int64)
+                starts = np.searchsorted(text, np.arange(texts + 1))
+                out = []
+                for i in range(texts):
+                    a, b = int(starts[i]), int(starts[i + 1])
+                    words, times, guesses, pairs = [], [], [], b""
+                    cold = cls[a:b + 1] < 0
+                    if cold.any():
+                        # The cold words of the text; the token before it is one too if a stretch begins amid a text.
+                        which, place = np.unique(ids[a:b + 1][cold], return_inverse=True)
+                        times = np.bincount(place, minlength=len(which))
+                        times[place[0]] -= int(cold[0])
+                        words = [s.words[j] for j in which.tolist()]
+                        guesses = [guess.value[w[-_ENDING:]] for w in words]
+                        code = cls[a:b + 1].copy()
+                        code[cold] = -1 - place
+                        some = cold[:-1] | cold[1:]
+                        pairs = np.stack([code[:-1][some], code[1:][some]], axis=1).astype("<i4").tobytes()
+                    row = first + i
+                    out.append((int(row_of[row]), id_of[row], int(n_tokens[i]), int(n_known[i]), float(seen[i]), float(sums[i]),
+                                words, times, guesses, pairs, cells if i == 0 else b""))
+                yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in _PARTS.split(", ")])
+
+    # Row and stretch numbers are fixed by being written.
+    named = F.lit(None) if id_col is None else F.col(id_col)
+    rows = docs.select(F.col(text_col).cast("binary").alias("t"), named.cast("string").alias("id"),
+                       F.monotonically_increasing_id().alias("row"))
+    parts = materialise(rows.mapInPandas(run, _PARTS).withColumn("part", F.monotonically_increasing_id()), "lm_parts")
+    cold = parts.select("part", F.posexplode(F.arrays_zip("words", "times", "guess")).alias("at", "w")).select(
+        "part", "at", F.col("w.words").alias("word"), F.col("w.times").alias("times"), F.col("w.guess").alias("guess"))
+    cold = cold.join(table, "word", "left").groupBy("part").agg(F.array_sort(F.collect_list(F.struct(
+        "at", F.col("times").alias("n"), F.coalesce("class", "guess").alias("class"), F.coalesce("c", F.lit(0)).alias("c"))))
+        .alias("cold"))
+    return parts.drop("words", "times", "guess").join(cold, "part", "left")
+
+
+def _cold_classes(cold, pairs: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(classes of the cold words, pairs of classes at their places)."""
+    of = np.array([w["class"] for w in cold], dtype=np.int64)
+    pair = np.frombuffer(pairs, dtype="<i4").reshape(-1, 2).astype(np.int64)
+    return of, np.where(pair < 0, of[-1 - np.minimum(pair, -1)], pair)
+
+
+def _transition_counts(resolved: DataFrame, classes: int) -> np.ndarray:
+    """Class bigram counts of all texts; at most (classes + 1)^2 sums reach the driver."""
+    n = classes + 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = np.zeros(n * n, dtype=np.int64)
+        for pdf in batches:
+            for cells, cold, pairs in zip(pdf["cells"].tolist(), pdf["cold"].tolist(), pdf["pairs"].tolist()):
+                if cells:
+                    cell, c = np.frombuffer(cells, dtype="<i8").reshape(2, -1)
+                    m[cell] += c
+                if cold is not None and len(pairs):
+                    _, pair = _cold_classes(cold, pairs)
+                    np.add.at(m, pair[:, 0] * n + pair[:, 1], 1)
+        at = np.flatnonzero(m)
+        yield pd.DataFrame({"cell": at, "c": m[at]})
+
+    return _summed(resolved.select("cells", "cold", "pairs").mapInPandas(run, "cell int, c long"), n)
 
 
 class BrownModel:
-    """Counts and log probabilities; ``counts`` is the distributed table of all words."""
+    """``table``: every word of the training texts with count and class; log probabilities by class."""
+
+    def __init__(self, settings: Settings, table: DataFrame, train_tokens: int, vocabulary: int, ends: int, lexicon,
+                 guess, classes: int, counts: np.ndarray, emission_base: np.ndarray):
+        self.settings, self.table, self.train_tokens = settings, table, train_tokens
+        self.vocabulary, self.ends, self.lexicon, self.guess = vocabulary, ends, lexicon, guess
+        self.classes, self.counts, self.emission_base = classes, counts, emission_base
+        self.transitions = np.log10((counts + SMOOTH) / (counts.sum(axis=1, keepdims=True) + SMOOTH * (classes + 1)))
 
-    def __init__(self, settings: Settings, counts: DataFrame, train_tokens: int, vocabulary: int, ends: int,
-                 lexicon, classes: np.ndarray, class_of_hot: np.ndarray, transitions: np.ndarray,
-                 emission_base: np.ndarray):
-        self.settings, self.counts, self.train_tokens = settings, counts, train_tokens
-        self.vocabulary, self.ends, self.lexicon = vocabulary, ends, lexicon
-        self.classes, self.class_of_hot = classes, class_of_hot
-        self.transitions, self.emission_base = transitions, emission_base
+
+def _ending() -> Column:
+    return F.expr(f"substring(word, -{_ENDING}, {_ENDING})")
 
 
 def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings()) -> BrownModel:
-    """Learn from all of ``docs`` (null texts are empty; repeated rows count as often as given)."""
-    s = settings
-    sc = docs.sparkSession.sparkContext
+    """Learn from all of ``docs`` (null texts are empty; repeated rows count as often as given; extra columns are ignored)."""
+    s, spark = settings, docs.sparkSession
+    sc = spark.sparkContext
     counts = materialise(count_words(docs, text_col), "word_counts")
-    whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"),
-                       F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("ends")).first()
+    is_end = F.col("word") == F.lit(END)
+    whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(is_end, F.col("c"))).alias("ends"),
+                       F.count_if(~is_end & (F.col("c") >= s.min_count)).alias("clustered")).first()
     total, vocabulary, ends = whole["n"] or 0, whole["v"], whole["ends"] or 0
-    words_only = counts.filter(F.col("word") != F.lit(END))
-    hot = sorted(((bytes(r["word"]), r["c"]) for r in heaviest(words_only, "c", s.hot_words).collect()),
+    classes, top = s.classes_of(whole["clustered"]), s.top_of(whole["clustered"])
+
+    # The top words in sweeps.
+    words_only = counts.filter(~is_end)
+    hot = sorted(((bytes(r["word"]), r["c"]) for r in heaviest(words_only, "c", s.hot_words, "word").collect()),
                  key=lambda x: (-x[1], x[0]))
     words = [w for w, _ in hot]
-    lexicon = sc.broadcast(_Lexicon(words, np.array([c for _, c in hot], dtype=np.int64), s))
-    bigrams = materialise(count_bigrams(docs, text_col, lexicon), "class_bigrams")
-    classes = exchange_clustering(bigrams, len(words), s)
-    m = class_matrix(bigrams, classes, s.all_classes)
-    transitions = np.log10((m + SMOOTH) / (m.sum(axis=1, keepdims=True) + SMOOTH * s.all_classes))
-
-    class_of_hot = np.array([classes[i] if i < s.clustered else s.classes + ending(w, s.endings)
-                             for i, w in enumerate(words)], dtype=np.int64)
-    size, kinds = np.zeros(s.all_classes), np.zeros(s.all_classes)
-    # Sizes of the ending classes cover every counted word; those of the clustered words are known here.
-    by_ending = words_only.groupBy((F.crc32(F.substring("word", -3, 3)) % s.endings).alias("e")).agg(
-        F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect()
-    for r in by_ending:
-        size[s.classes + r["e"]], kinds[s.classes + r["e"]] = r["c"], r["k"]
-    for i, (w, c) in enumerate(hot[:s.clustered]):
-        size[classes[i]] += c
-        kinds[classes[i]] += 1
-        size[s.classes + ending(w, s.endings)] -= c
-        kinds[s.classes + ending(w, s.endings)] -= 1
+    hot_counts = np.array([c for _, c in hot], dtype=np.int64)
+    ranked = sc.broadcast(Lexicon(words, hot_counts))
+    often = int((hot_counts >= s.min_count).sum())
+    top = min(top, often)
+    bigrams = materialise(count_bigrams(docs, text_col, ranked, top, classes), "class_bigrams")
+    class_of, m = exchange_top(bigrams, top, top, classes, s.sweeps)
+    class_of_top = class_of[:top]
+
+    # All other words.
+    moved = exchange_rest(docs, text_col, ranked, class_of_top, m, classes, s.min_count)
+    tops = spark.createDataFrame([(w, int(k)) for w, k in zip(words, class_of_top)], "word binary, class int")
+    clustered = materialise(words_only.join(moved.union(tops), "word", "left"), "word_classes")
+    votes = clustered.filter(F.col("class").isNotNull()).groupBy(_ending().alias("ending"), "class").agg(
+        F.sum("c").alias("c")).groupBy("ending").agg(F.max(F.struct("c", (-F.col("class")).alias("k"))).alias("b")).select(
+        "ending", F.col("b.c").alias("c"), (-F.col("b.k")).alias("class"))
+    endings = heaviest(votes, "c", s.endings, "ending").select("ending", "class").collect()
+    spread = clustered.filter(F.col("class").isNotNull()).groupBy("class").agg(F.count(F.lit(1)).alias("k")).collect()
+    other = min(((-r["k"], r["class"]) for r in spread), default=(0, 0))[1]     # the class of most words
+    guess = sc.broadcast(_Guess({bytes(r["ending"]): r["class"] for r in endings}, other))
+    by_ending = spark.createDataFrame([(bytes(r["ending"]), r["class"]) for r in endings], "ending binary, guess int")
+    table = clustered.withColumn("ending", _ending()).join(F.broadcast(by_ending), "ending", "left").select(
+        "word", "c", F.coalesce("class", "guess", F.lit(other)).alias("class"))
+
+    size, kinds = np.zeros(classes + 1), np.zeros(classes + 1)
+    for r in table.groupBy("class").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("k")).collect():
+        size[r["class"]], kinds[r["class"]] = r["c"], r["k"]
     # log10 of what an emission is divided by; the end is the only token of its class.
     emission_base = np.log10(size + SMOOTH * (kinds + 1))
-    emission_base[s.end_class] = 0.0
-    return BrownModel(s, counts, total, vocabulary, ends, lexicon, classes, class_of_hot, transitions, emission_base)
+    emission_base[classes] = 0.0
+    wanted = F.broadcast(spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word binary, rank int"))
+    hot_classes = np.zeros(len(words), dtype=np.int64)
+    for r in table.join(wanted, "word").select("rank", "class").collect():      # a row per hot word
+        hot_classes[r["rank"]] = r["class"]
+    lexicon = sc.broadcast(Lexicon(words, hot_counts, hot_classes))
+    transitions = _transition_counts(_resolved(docs, None, text_col, lexicon, guess, table, classes, None, None), classes)
+    return BrownModel(s, table, total, vocabulary, ends, lexicon, guess, classes, transitions, emission_base)
 
 
 def score(model: BrownModel, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -282,55 +564,35 @@ def score(model: BrownModel, docs: DataFrame, id_col: str = "doc_id", text_col:
     base_score is the unigram log10 probability, score that of the class
     model; both include the end. Null and empty texts have the end only.
     Repeated rows and null ids come back as they are; extra columns are
-    ignored.
+    ignored; very long texts are read in stretches.
     """
-    s = model.settings
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(
-        (model.class_of_hot, model.transitions, model.emission_base))
-    lexicon, total, vocabulary, ends = model.lexicon, model.train_tokens, model.vocabulary, model.ends
-    base = float(np.log10(total + SMOOTH * (vocabulary + 1)))
+    between, emission_base = model.transitions, model.emission_base
+    resolved = _resolved(docs, id_col, text_col, model.lexicon, model.guess, model.table, model.classes, between, emission_base)
+    shared = docs.sparkSession.sparkContext.broadcast((between, emission_base))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        class_of_hot, transitions, emission_base = shared.value
-        lex = lexicon.value
-        log_counts = np.log10(lex.counts + SMOOTH)
+        between, base = shared.value
         for pdf in batches:
-            out = []
-            for text in pdf["t"]:
-                tokens = tokens_of(text)
-                codes = lex.codes(tokens)
-                cold = codes < 0
-                warm = codes[~cold]
-                cls = np.empty(len(codes) + 2, dtype=np.int64)
-                cls[0] = cls[-1] = s.end_class
-                cls[1:-1][~cold] = class_of_hot[warm]
-                cls[1:-1][cold] = s.classes - 1 - codes[cold]
-                seen = float(log_counts[warm].sum())  # numerators of the hot words
-                model_score = (float(transitions[cls[:-1], cls[1:]].sum()) + seen
-                               - float(emission_base[cls[1:-1]].sum()))
-                base_score = seen + float(np.log10(ends + SMOOTH)) - base * len(tokens)
-                other = Counter([tokens[i] for i in np.flatnonzero(cold).tolist()])
-                out.append((len(tokens), len(warm) + (1 if ends else 0), base_score, model_score,
-                            list(other), list(other.values())))
-            done = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score", "score", "words", "times"])
-            done.insert(0, "id", pdf["id"].astype("Int64").to_numpy())
-            yield done
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
-    parts = rows.mapInPandas(run, "id long, n_tokens long, n_known long, base_score double, score double, "
-                                  "words array<binary>, times array<long>")
-    # The row number is fixed by being written.
-    parts = materialise(parts.withColumn("row", F.monotonically_increasing_id()), "scored_parts")
-    cold = parts.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-        "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    cold = cold.join(model.counts, "word", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("seen"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("known"))
-    none = F.lit(0.0)
-    return (parts.drop("words", "times").join(cold, "row", "left")
-            .select(F.col("id").alias(id_col), "n_tokens",
-                    (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-                    F.lit(total).cast("long").alias("train_tokens"),
-                    (F.col("base_score") + F.coalesce("seen", none)).alias("base_score"),
-                    (F.col("score") + F.coalesce("seen", none)).alias("score")))
+            known, seen, score = (pdf[c].to_numpy().copy() for c in ("n_known", "seen", "score"))
+            for i, (cold, pairs) in enumerate(zip(pdf["cold"].tolist(), pdf["pairs"].tolist())):
+                if cold is None or not len(pairs):
+                    continue
+                of, pair = _cold_classes(cold, pairs)
+                n = np.array([w["n"] for w in cold], dtype=np.float64)
+                c = np.array([w["c"] for w in cold], dtype=np.float64)
+                known[i] += int(n[c > 0].sum())
+                seen[i] += float((n * np.log10(c + SMOOTH)).sum())
+                score[i] += float(between[pair[:, 0], pair[:, 1]].sum() - (n * base[of]).sum())
+            yield pd.DataFrame({"row": pdf["row"], "id": pdf["id"], "n_tokens": pdf["n_tokens"], "n_known": known, "seen": seen,
+                                "score": score})
+
+    figures = resolved.select("row", "id", "n_tokens", "n_known", "seen", "score", "cold", "pairs").mapInPandas(
+        run, "row long, id string, n_tokens long, n_known long, seen double, score double").groupBy("row").agg(
+        F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "seen", "score")))
+    total, ends = model.train_tokens, model.ends
+    base = float(np.log10(total + SMOOTH * (model.vocabulary + 1)))
+    return figures.select(
+        F.col("id").cast("long").alias(id_col), "n_tokens", (F.col("n_known") + F.lit(1 if ends else 0)).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("seen") + F.lit(float(np.log10(ends + SMOOTH))) - F.lit(base) * F.col("n_tokens")).alias("base_score"),
+        (F.col("score") + F.col("seen")).alias("score"))

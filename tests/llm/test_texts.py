@@ -183,25 +183,93 @@ def test_language_model_is_whole_whatever_goes_to_every_task(spark):
             assert any(r.doc_id == i and r.lang_pred == lang and r.score == pytest.approx(score) for r in got), (bounds, t)
 
 
-def test_brown_base_score_and_probability(spark):
+def _brown_expected(model, train_texts, text):
+    """(base score, score) from the table of words and classes and the training texts alone."""
+    table = {bytes(r["word"]): (r["c"], r["class"]) for r in model.table.collect()}
+    k = model.classes
+    default = model.guess.value
+    of = lambda w: k if w == brown_lm.END else table[w][1] if w in table else default[w[-3:]]
+    m = np.zeros((k + 1, k + 1))
+    for x in train_texts:
+        before = k
+        for w in brown_lm.tokens_of(x):
+            m[before, of(w)] += 1
+            before = of(w)
+    assert (m == model.counts).all()
+    size, kinds = np.zeros(k + 1), np.zeros(k + 1)
+    for w, (c, cls) in table.items():
+        if w != brown_lm.END:
+            size[cls] += c
+            kinds[cls] += 1
+    total, before = 0.0, k
+    for w in brown_lm.tokens_of(text):
+        total += math.log10((m[before, of(w)] + .5) / (m[before].sum() + .5 * (k + 1)))
+        if w != brown_lm.END:
+            total += math.log10((table.get(w, (0, 0))[0] + .5) / (size[of(w)] + .5 * (kinds[of(w)] + 1)))
+        before = of(w)
+    return total
+
+
+@pytest.mark.parametrize("stretch", [40, 8_000_000])
+def test_brown_scores_equal_brute_force(spark, monkeypatch, stretch):
+    """Hot, clustered but cold, rare and unseen words; texts in several stretches; ties in the counts."""
+    monkeypatch.setattr(brown_lm, "STRETCH", stretch)
     rng = random.Random(3)
-    vocab = [f"w{i}" for i in range(50)]
-    texts = [" ".join(rng.choices(vocab, weights=range(1, 51), k=rng.randint(0, 60))) for _ in range(60)] + [None, "W1 \t w1", "unseen ÀB"]
-    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, score int")
-    train = docs.filter("doc_id < 50")
-    for s in (brown_lm.Settings(hot_words=20, clustered=10, classes=4, endings=3, sweeps=3), brown_lm.Settings()):
+    vocab = [f"w{i}{'abc'[i % 3]}" for i in range(120)]
+    texts = [" ".join(rng.choices(vocab, weights=range(1, 121), k=rng.randint(0, 90))) for _ in range(80)]
+    texts += [None, "W1b \t w1b", "unseen ÀB", "x x x y", " " * 100 + "w1b" + " " * 100 + "w2c", "tie " * 3]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, score int").repartition(3)
+    train = docs.filter("doc_id < 60 OR doc_id >= 83")
+    fold = [x for i, x in enumerate(texts) if i < 60 or i >= 83]
+    for s in (brown_lm.Settings(hot_words=20, min_count=3, least_top=10, least_classes=4, endings=4, sweeps=3), brown_lm.Settings()):
         model = brown_lm.train(train, settings=s)
-        c = Counter(t for x in texts[:50] for t in brown_lm.tokens_of(x.encode()))
+        c = Counter(t for x in fold for t in brown_lm.tokens_of(x.encode()))
         n, v = sum(c.values()), len(c)
-        for r in brown_lm.score(model, docs).collect():
-            tok = brown_lm.tokens_of((texts[r.doc_id] or "").encode())
+        got = {r.doc_id: r for r in brown_lm.score(model, docs).collect()}
+        assert len(got) == len(texts)
+        for i, text in enumerate(texts):
+            r, tok = got[i], brown_lm.tokens_of((text or "").encode())
             assert r.base_score == pytest.approx(sum(math.log10((c[t] + .5) / (n + .5 * (v + 1))) for t in tok))
-            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tok), sum(c[t] > 0 for t in tok), n) and r.score < 0
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tok), sum(c[t] > 0 for t in tok), n)
+        for i in (0, 1, 61, *range(80, len(texts))):
+            assert got[i].score == pytest.approx(_brown_expected(model, [x.encode() for x in fold], (texts[i] or "").encode()))
         assert np.allclose((10 ** model.transitions).sum(axis=1), 1)
+        if s.hot_words == 20:
+            assert len(model.lexicon.value.words) <= 20 < model.table.filter("c >= 3").count()
     empty = brown_lm.score(brown_lm.train(docs.limit(0)), docs).collect()
     assert len(empty) == len(texts) and all(np.isfinite(r.score) for r in empty)
 
 
+def test_brown_classes_follow_the_corpus(spark):
+    """Words beyond the hot table and the top words still get the class of their kind."""
+    rng = random.Random(1)
+    kinds = [[f"{k}{i}{'xyzq'[i % 4]}" for i in range(150)] for k in "abc"]
+    texts = [" ".join(w for _ in range(rng.randint(5, 40)) for w in (rng.choice(kinds[0]), rng.choice(kinds[1]), rng.choice(kinds[2])))
+             for _ in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    s = brown_lm.Settings(hot_words=100, min_count=5, least_top=60, least_classes=3, sweeps=8, endings=1)
+    model = brown_lm.train(docs, settings=s)
+    by_kind = {}
+    for r in model.table.filter("c >= 5").collect():
+        word = bytes(r["word"]).decode()
+        if word != "\n":
+            by_kind.setdefault(word[0], Counter())[r["class"]] += 1
+    main = {k: c.most_common(1)[0] for k, c in by_kind.items()}
+    assert len({cls for cls, _ in main.values()}) == 3
+    assert all(n > 0.95 * sum(by_kind[k].values()) for k, (_, n) in main.items())
+    assert brown_lm.Settings().classes_of(10 ** 6) < brown_lm.Settings().classes_of(10 ** 9)
+    assert brown_lm.Settings().top_of(10 ** 5) < brown_lm.Settings().top_of(10 ** 8)
+
+
+def test_heaviest_with_many_equal_values(spark):
+    from skyfold.llm.common import heaviest
+
+    df = spark.range(400).select("id", F.lit(7).alias("c")).union(spark.range(1000, 1010).select("id", F.lit(900).alias("c")))
+    assert heaviest(df, "c", 100).count() == 10
+    some = heaviest(df, "c", 100, "id")
+    assert 60 <= some.count() <= 105 and some.filter("c = 900").count() == 10
+
+
 def test_exchange_gain_is_the_change_of_the_likelihood():
     rng = np.random.default_rng(1)
     words, classes = 7, 3
