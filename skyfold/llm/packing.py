@@ -17,7 +17,10 @@ the tasks before; no rows are sorted or gathered for it.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,53 +36,129 @@ from skyfold.llm.common import materialise
 CAPACITY = 4096
 END_ID = 1
 #: Texts are tokenised in stretches of about so many characters, cut at spaces.
-STRETCH = 1_000_000
-_CACHED_WORDS = 300_000
-_CACHED_LENGTH = 48
+STRETCH = 4_000_000
+_CACHED_WORDS = 500_000
+#: Latin letters and all of ASCII (but for the two that special tokens begin with, and the dotted I):
+#: lower case is letter by letter, and nothing is to be composed.
+_SIMPLE = re.compile("[^\u0130\u0250-\U0010ffff<|]*").fullmatch
+#: Marks that end a word; see WordIds.
+_MARKS = ".,;:!?"
 _OUT_BYTES = 8_000_000
 
 _PIECES = "doc_id {id_type}, piece int, start long, length int, ids binary, task int, number long"
 
 
-class WordIds(dict):
-    """Token ids (little-endian uint32) of the stretches of text between spaces.
+class _Known(dict):
+    """A dict of bounded size: when it is full its entries become the old ones, and
+    those asked for again come back."""
 
-    The vocabulary's pre-tokeniser never joins characters across a space and
-    drops the space itself, so a text's ids are those of its words in order.
+    old: dict = {}
+
+    def lacking(self, keys: set[str], bound: int) -> set[str]:
+        """Make room, and give the keys that are not known; the others are there now."""
+        new = [k for k in keys if k not in self]    # a set minus a dict's keys would walk all of the dict
+        if len(self) + len(new) > bound:
+            self.old, new = dict(self), list(keys)
+            self.clear()
+        if not self.old:
+            return set(new)
+        back = {k: self.old[k] for k in new if k in self.old}
+        self.update(back)
+        return {k for k in new if k not in back}
+
+
+class WordIds:
+    """Token ids (little-endian uint32) of texts, word by word.
+
+    The vocabulary's pre-tokeniser never joins characters across white space and
+    drops that, so a text's ids are those of the stretches between
+    spaces in order. Nor does it join a letter or digit and the marks ``.,;:!?``
+    after it, and it lowers case first; so a word not met before
+    is the ids of its lower-cased stem and those of its marks. Known words, a bounded
+    number, stay with the worker.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks already use all cores
         from tokenizers import Tokenizer
 
-        super().__init__()
         tokenizer = Tokenizer.from_file(path)
         self._encode = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self._encode(words, add_special_tokens=False)]
-
-    def of(self, text: str | None) -> bytes:
-        """The ids of a whole text."""
-        out, at, n = [], 0, len(text or "")
-        while at < n:
-            stop = n if n - at <= STRETCH else text.find(" ", at + STRETCH)
-            stop = n if stop < 0 else stop
-            out.append(self._of_stretch(text[at:stop].split(" ")))
-            at = stop + 1
-        return b"".join(out)
-
-    def _of_stretch(self, words: list[str]) -> bytes:
-        if len(self) > _CACHED_WORDS:
-            self.clear()
-        fresh = [w for w in dict.fromkeys(words) if w not in self]
-        long = {w: None for w in fresh if len(w) > _CACHED_LENGTH}
-        self.update(zip(short := [w for w in fresh if w not in long], self.encode(short)))
-        if not long:
-            return b"".join(map(self.__getitem__, words))
-        long = dict(zip(long, self.encode(list(long))))
-        return b"".join(long[w] if w in long else self[w] for w in words)
+        vocabulary = tokenizer.get_vocab()
+        ends = [i for token, i in vocabulary.items() if token.endswith("</w>")]
+        self._ends = None       # which ids end a word, if the vocabulary marks that
+        if ends:
+            self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self._ends[ends] = True
+        self._words, self._stems = _Known(), _Known()
+
+    def _learn(self, words: set[str]) -> None:
+        """Enter words: stem and marks of each, encoding the stems not known."""
+        parts = []
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            if len(stem) < len(word) and not stem[-1:].isalnum():
+                stem = word
+            parts.append((word, stem.lower() if stem.isascii() and stem.isalpha() or _SIMPLE(stem) else stem,
+                          word[len(stem):]))
+        stems = self._stems
+        fresh = stems.lacking({x for _, *pair in parts for x in pair}, _CACHED_WORDS)
+        plain = [stem for stem in fresh if stem.isalpha() and (stem.isascii() or _SIMPLE(stem))] if self._ends is not None else []
+        if plain and (ids := self._encode_together(plain)):
+            stems.update(zip(plain, ids))
+            fresh.difference_update(plain)
+        fresh = list(fresh)
+        for stem, encoded in zip(fresh, self._encode(fresh, add_special_tokens=False)):
+            stems[stem] = array("I", encoded.ids).tobytes()
+        self._words.update((word, stems[stem] + stems[marks] if marks else stems[stem]) for word, stem, marks in parts)
+
+    def _encode_together(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words of letters only, encoded as one text: each ends with the next token that
+        ends a word. None if there are not as many ends as words."""
+        ids = np.array(self._encode([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (np.flatnonzero(self._ends[ids]) + 1) * 4
+        if len(ends) != len(words) or len(ids) * 4 != ends[-1]:
+            return None
+        raw, ends = ids.tobytes(), ends.tolist()
+        return [raw[start:end] for start, end in zip([0, *ends], ends)]
+
+    def of(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each whole text, in order."""
+        group: list[tuple[list[str], bool]] = []     # (words of a stretch, whether it ends its text)
+        chars = 0
+        held: list[bytes] = []
+
+        def ids() -> Iterator[bytes]:
+            new = self._words.lacking(set().union(*(words for words, _ in group)), _CACHED_WORDS)
+            if new:
+                self._learn(new)
+            for words, last in group:
+                held.append(b"".join(map(self._words.__getitem__, words)))
+                if last:
+                    yield b"".join(held)
+                    held.clear()
+
+        for text in texts:
+            text = (text or "").replace("\n", " ")
+            at, n = 0, len(text)
+            while True:
+                stop = n if n - at <= STRETCH else text.find(" ", at + STRETCH)
+                stop = n if stop < 0 else stop
+                group.append((text[at:stop].split(" "), stop == n))
+                chars += stop - at
+                at = stop + 1
+                if chars >= STRETCH:
+                    yield from ids()
+                    group, chars = [], 0
+                if stop == n:
+                    break
+        yield from ids()
+
+
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    """One per worker process."""
+    return WordIds(path)
 
 
 def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -95,7 +174,7 @@ def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
     columns are ignored. The result is a written table.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, task = WordIds(tokenizer), TaskContext.get().partitionId()
+        words, task = word_ids(tokenizer), TaskContext.get().partitionId()
         end, step = int(end_id).to_bytes(4, "little"), 4 * capacity
         seen = np.zeros(capacity + 1, dtype=np.int64)
         rows, held = [], 0
@@ -105,8 +184,8 @@ def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                 {"doc_id": object})
 
         for batch in batches:
-            for doc_id, text in zip(batch["i"].tolist(), batch["t"].tolist()):
-                ids = words.of(text) + end
+            for doc_id, ids in zip(batch["i"].tolist(), words.of(batch["t"].tolist())):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     length = len(part) // 4

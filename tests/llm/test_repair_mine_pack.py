@@ -351,18 +351,21 @@ def _token_ids(texts):
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=40), st.lists(st.sampled_from([" ", "  ", "\n", "\t", " ", "́", "é", "é", "'s", "<|endoftext|>",
-                                                      "ΑΣ ", "don't", "3.14", "İ", " ", "日本", "ﬁ", "\x1c"]), max_size=12))
+                                                      "ΑΣ ", "don't", "3.14", "İ", "Dans,", "A.B.", "ß!", "I,", "<|endoftext|>.", "<|STARTOFTEXT|>x!", "x²,", "Σ;", "½.", " ", "日本", "ﬁ", "\x1c"]), max_size=12))
 def test_words_give_the_ids_of_the_whole_text(text, parts):
     words = _vocabulary()[1]
     for whole in (text, "".join(parts), text.join(parts)):
-        assert np.frombuffer(words.of(whole), "<u4").tolist() + [1] == _token_ids([whole])[0]
+        assert np.frombuffer(next(words.of([whole])), "<u4").tolist() + [1] == _token_ids([whole])[0]
 
 
 def test_long_texts_are_tokenised_in_stretches(monkeypatch):
     monkeypatch.setattr(packing, "STRETCH", 50)
     text = " ".join(f"word{i % 97} " + "x" * (i % 130) for i in range(300))
+    monkeypatch.setattr(packing, "_CACHED_WORDS", 40)
     words = packing.WordIds(tokenizer_path())
-    assert np.frombuffer(words.of(text), "<u4").tolist() + [1] == _token_ids([text])[0]
+    texts = [text, None, "", " ", text[:77], text * 2]
+    got = [np.frombuffer(ids, "<u4").tolist() + [1] for ids in words.of(texts)]
+    assert got == _token_ids(texts)
 
 
 def test_op13_equals_the_tokenizer_and_packs_tightly(spark):

@@ -147,6 +147,77 @@ def test_pii_context_crosses_earlier_identifiers_and_the_start(spark):
     assert got[102] == [(317, 327, "phone")] and not any(got[i] for i in range(8))
 
 
+def test_pii_chained_discovery(spark):
+    """A number found by its context leads to a further context, and every occurrence of an accepted number goes."""
+    rows = [(i, f"the desk phone: +49123456{i:03d} rings") for i in range(40)]
+    rows += [(100 + i, f"the desk phone: 0301 55{i:04d} rings") for i in range(6)]
+    rows += [(200 + i, f"call office line: 0301 55{i:04d} now") for i in range(6)]
+    rows += [(300, "call office line: 0444 987654 now"), (301, "a plain text, 0444 987654 again"), (302, "an order of 1234 nails")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: [tuple(x) for x in r.added] for r in pii.find(df).collect()}
+    assert got[100] == [(16, 27, "phone")] and got[200] == [(18, 29, "phone")]
+    assert got[300] == [(18, 29, "phone")] and got[301] == [(14, 25, "phone")] and got[302] == []
+    out = {r.doc_id: r.text for r in pii.redact(df, length_col=None).collect()}
+    assert out[205] == "call office line: [PHONE] now" and out[301] == "a plain text, [PHONE] again"
+
+
+def _bootstrap_expected(rows, support, least):
+    edges = {(p, v) for p, v, _ in rows}
+    seeds = {(v, k): 1.0 for _, v, k in rows if k}
+    accepted, patterns = dict(seeds), {}
+    while True:
+        new = {}
+        for p in {p for p, _ in edges}:
+            values = [v for q, v in edges if q == p]
+            for k in pii.KINDS:
+                scores = [accepted[v, k] for v in values if (v, k) in accepted]
+                if len(scores) >= support and sum(scores) / len(values) >= least:
+                    new[p, k] = sum(scores) / len(values)
+        doubt = {}
+        for (p, k), c in new.items():
+            for q, v in edges:
+                if q == p:
+                    doubt[v, k] = doubt.get((v, k), 1.0) * max(1e-9, 1 - c)
+        before, accepted = len(accepted), {x: max(seeds.get(x, 0.0), 1 - doubt.get(x, 1.0)) for x in {*seeds, *doubt}}
+        if (len(new), len(accepted)) == (len(patterns), before):
+            return accepted
+        patterns = new
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pii_bootstrap_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [(f"p{rng.randint(0, 12)}", f"v{rng.randint(0, 60)}", rng.choice([None, None, *pii.KINDS[:2]])) for _ in range(150)]
+    df = spark.createDataFrame(rows, "pattern string, value string, seed_of string")
+    got = {(r["value"], r["kind"]): r["score"] for r in pii.bootstrap(df, 3, 0.5).collect()}
+    want = _bootstrap_expected(rows, 3, 0.5)
+    assert set(got) == set(want) and all(got[x] == pytest.approx(want[x]) for x in want)
+
+
+def test_pii_long_texts_take_time_in_proportion(spark):
+    """Numbers only, many to a text: four times the tokens take far less than sixteen times as long."""
+    import time
+
+    took = {}
+    for n in (20_000, 20_000, 80_000):
+        text = "\n".join(f"row {i} mail u{i}@site.org, +491234{i:06d}" if i % 10 == 0 else f"{i * 7919} {i % 977}" for i in range(n // 2))
+        df = spark.createDataFrame([(1, text, len(text))], "doc_id long, text string, n_chars long")
+        start = time.monotonic()
+        out = pii.redact(df).first()
+        took[n] = time.monotonic() - start
+        assert "@" not in out.text and "+49" not in out.text and out.n_chars == len(out.text)
+        assert out.text.count("[EMAIL]") == out.text.count("[PHONE]") == len(range(0, n // 2, 10))
+    assert took[80_000] < 6 * took[20_000], took
+
+
+def test_pii_cuts_over_stretches(spark, monkeypatch):
+    monkeypatch.setattr(pii, "STRETCH", 7)
+    texts = ["😀 mail a.long.name@site.example.org, x@y.zz end 😀😀", "+4912345678901", "é" * 20 + " 10.0.0.1", "none 5", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.redact(df, length_col=None).collect()}
+    assert out == {0: "😀 mail [EMAIL], [EMAIL] end 😀😀", 1: "[PHONE]", 2: "é" * 20 + " [IP]", 3: "none 5", 4: None}
+
+
 def test_language_edges(spark):
     docs = spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "fr"), (4, "x y", None)],
                                  "doc_id int, text string, lang string")
