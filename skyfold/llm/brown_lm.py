@@ -38,6 +38,7 @@ END = b"\n"  # no word can hold white space
 SMOOTH = 0.5
 #: Texts are read in stretches of about so many bytes.
 STRETCH = 8_000_000
+SWEEP_TASKS = 32
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _ENDING = 3
 
@@ -261,24 +262,27 @@ def exchange_top(bigrams: DataFrame, words: int, top: int, classes: int, sweeps:
         sums = m.sum(axis=1), m.sum(axis=0)
 
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            order = np.argsort(pdf["word"].to_numpy(), kind="stable")
+            word, other, after, c = (pdf[x].to_numpy()[order] for x in ("word", "other", "after", "c"))
+            cls, is_after, is_own = class_of[other], after == 1, other == word
+            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])).tolist()
             found = []
-            for word, part in pdf.groupby("word"):
-                own = part["other"] == word
-                loops = float(part.loc[own & (part["after"] == 1), "c"].sum())
-                rest = part[~own]
-                vectors = [np.bincount(class_of[x["other"].to_numpy()], x["c"].to_numpy(), n)
-                           for x in (rest[rest["after"] == 1], rest[rest["after"] == 0])]
-                gain = exchange_gain(m, int(class_of[word]), *vectors, loops, classes, sums)
+            for i, j in zip(starts, [*starts[1:], len(word)]):
+                right, left = is_after[i:j] & ~is_own[i:j], ~is_after[i:j] & ~is_own[i:j]
+                gain = exchange_gain(m, int(class_of[word[i]]), np.bincount(cls[i:j][right], c[i:j][right], n),
+                                     np.bincount(cls[i:j][left], c[i:j][left], n),
+                                     float(c[i:j][is_after[i:j] & is_own[i:j]].sum()), classes, sums)
                 best = int(np.argmax(gain))
                 if gain[best] > 1e-6:
-                    found.append((word, best, gain[best]))
+                    found.append((int(word[i]), best, float(gain[best])))
             return pd.DataFrame(found, columns=["word", "to", "gain"])
 
         return run
 
     score = likelihood(m)
     for sweep in range(sweeps):
-        moves = sides.filter(F.col("word") % 2 == sweep % 2).groupBy("deal").applyInPandas(
+        # A set number of tasks: there is little data and much to compute.
+        moves = sides.filter(F.col("word") % 2 == sweep % 2).repartition(SWEEP_TASKS, "deal").groupBy("deal").applyInPandas(
             best_moves(class_of, m), "word int, to int, gain double").collect()  # a row per top word at most
         moves.sort(key=lambda r: (-r["gain"], r["word"]))
         while moves:

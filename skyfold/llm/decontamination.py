@@ -5,12 +5,14 @@ words as the item has (or the whole document, if that is shorter) is similar
 to it: weighted Jaccard similarity of the five-word shingles, repeats counted,
 of at least 0.8.
 
-Windows of the item's size get SimHash fingerprints from running bit sums.
+A similar window leaves out at most a fifth of the item's shingles, so it
+shares one of any set of more than that: the item's rarest shingles, by the number of items
+that have them, name the windows to look at, and a stem that many items share names
+none. These windows get SimHash fingerprints from running bit sums, only around the shared
+shingles and in slices of bounded size.
 Each fingerprint is cut into radius + 1 blocks; within the radius at least one
-block is equal (there are more blocks than differing bits), so block tables
-find every item within the radius, and the exact similarity decides. A window
-can only be similar if it shares a shingle with the item, so only windows
-around shared shingles are fingerprinted.
+block is equal (there are more blocks than differing bits), so windows that agree
+with the item in a block hold every one within the radius, and the exact similarity decides.
 
 The benchmark is the stated query set: it goes to the tasks in blocks of
 bounded size, one pass over the documents per block. Documents are never
@@ -19,6 +21,7 @@ shuffled.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -34,6 +37,7 @@ RADIUS = 24
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
 _CACHE = 300_000
+_SLICE = 1 << 16
 
 # ASCII letters and digits stay, other ASCII characters part words.
 _FOLD = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
@@ -91,6 +95,25 @@ def window_prints(hashes: np.ndarray, size: int, starts: np.ndarray) -> np.ndarr
     return np.packbits(2 * votes > size, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def window_slices(at: np.ndarray, size: int, last: int) -> Iterator[np.ndarray]:
+    """The starts (0 to ``last``) of the windows of ``size`` that hold one of the places ``at`` (ascending), in
+    slices of neighbouring starts, at most _SLICE of them."""
+    low, high = np.maximum(at - size + 1, 0), np.minimum(at, last)
+    # Ranges that meet become one.
+    fresh = np.concatenate([[True], low[1:] > np.maximum.accumulate(high)[:-1] + 1])
+    first = low[fresh]
+    final = np.maximum.reduceat(high, np.flatnonzero(fresh))
+    for a, b in zip(first.tolist(), final.tolist()):
+        for start in range(a, b + 1, _SLICE):
+            yield np.arange(start, min(b + 1, start + _SLICE))
+
+
+def rare_enough(shingles: int, threshold: float) -> int:
+    """So many of an item's shingles (repeats counted) that a similar window must have one of them."""
+    # |a and b| >= t |a or b| >= t |a|: at least t of the item's shingles are shared.
+    return shingles - math.ceil(threshold * shingles - 1e-9) + 1
+
+
 def similarity(a: Counter, b: Counter) -> float:
     """Weighted Jaccard: sum of the smaller counts over sum of the larger."""
     both = sum(min(n, b[x]) for x, n in a.items() if x in b)
@@ -103,42 +126,46 @@ def shingle_counts(words: list[bytes], k: int) -> Counter:
 
 @dataclass
 class _Sized:
-    """Items of one length: fingerprints, block tables and shingle counts."""
+    """Items of one length: fingerprints and shingle counts."""
 
     length: int
     k: int
     items: list[int] = field(default_factory=list)
     prints: np.ndarray | None = None
-    tables: list[tuple[np.uint64, np.uint64, np.ndarray]] = field(default_factory=list)
     counts: list[Counter] = field(default_factory=list)
 
-    def finish(self, words: list[list[bytes]], radius: int) -> None:
+    def finish(self, words: list[list[bytes]]) -> None:
         at = np.zeros(1, dtype=np.int64)
         per_item = [shingle_hashes(word_hashes(w), self.k) for w in words]
         self.prints = np.array([window_prints(h, len(h), at)[0] for h in per_item], dtype=np.uint64)
         self.counts = [shingle_counts(w, self.k) for w in words]
+
+
+class HammingBlocks:
+    """radius + 1 blocks of a fingerprint; fingerprints within the radius agree in one of them."""
+
+    def __init__(self, radius: int):
         edges = np.linspace(0, 64, min(radius + 1, 64) + 1).round().astype(int)
-        for first, last in zip(edges[:-1], edges[1:]):
-            shift, mask = np.uint64(first), np.uint64((1 << int(last - first)) - 1)
-            table = np.zeros((int(mask) + 1, len(words)), dtype=bool)
-            table[((self.prints >> shift) & mask).astype(np.int64), np.arange(len(words))] = True
-            self.tables.append((shift, mask, table))
-
-    def candidates(self, prints: np.ndarray, only: np.ndarray, radius: int) -> np.ndarray:
-        """(window, item position) rows within the radius, found through equal blocks."""
-        met = np.zeros((len(prints), len(only)), dtype=bool)
-        for shift, mask, table in self.tables:
-            met |= table[((prints >> shift) & mask).astype(np.int64)][:, only]
-        w, i = np.nonzero(met)
-        near = np.bitwise_count(prints[w] ^ self.prints[only[i]]) <= radius
-        return np.stack([w[near], only[i[near]]], axis=1)
+        self.radius = radius
+        self.masks = [np.uint64(((1 << int(b - a)) - 1) << int(a)) for a, b in zip(edges[:-1], edges[1:])]
+
+    def within(self, prints: np.ndarray, one: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+        """(places, distances) of the fingerprints within the radius of ``one``, by agreeing blocks first."""
+        differs = prints ^ one
+        agree = np.zeros(len(prints), dtype=bool)
+        for mask in self.masks:
+            agree |= (differs & mask) == 0
+        at = np.flatnonzero(agree)
+        far = np.bitwise_count(differs[at])
+        near = far <= self.radius
+        return at[near], far[near]
 
 
 class BenchmarkIndex:
     """The items of one block of the benchmark, ready to be searched for in texts."""
 
     def __init__(self, items: list[tuple[int, str]], shingle_words: int, threshold: float, radius: int):
-        self.threshold, self.radius = threshold, radius
+        self.threshold, self.blocks = threshold, HammingBlocks(radius)
         self.ids = [i for i, _ in items]
         self.groups: dict[int, _Sized] = {}
         self.item_place: dict[int, tuple[_Sized, int]] = {}
@@ -153,11 +180,10 @@ class BenchmarkIndex:
             self.item_place[at] = (group, len(group.items))
             group.items.append(at)
             members[len(words)].append(words)
-            for h in set(shingle_hashes(word_hashes(words), k).tolist()):
-                self.postings[k][h].append(at)
-        self.postings = {k: dict(v) for k, v in self.postings.items()}
         for length, group in self.groups.items():
-            group.finish(members[length], radius)
+            group.finish(members[length])
+        self._post(members)
+        self.postings = {k: dict(v) for k, v in self.postings.items()}
         self.seen: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for k, post in self.postings.items():
             table = np.zeros(1 << _TABLE_BITS, dtype=bool)
@@ -165,6 +191,23 @@ class BenchmarkIndex:
             table[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
             self.seen[k] = (table, keys)
 
+    def _post(self, members: dict[int, list[list[bytes]]]) -> None:
+        """Each item under its rarest shingles, as many as a similar window cannot all lack."""
+        hashes = {}
+        spread: dict[int, Counter] = defaultdict(Counter)
+        for length, group in self.groups.items():
+            for at, words in zip(group.items, members[length]):
+                hashes[at] = Counter(shingle_hashes(word_hashes(words), group.k).tolist())
+                spread[group.k].update(hashes[at].keys())
+        for at, counts in hashes.items():
+            k = self.item_place[at][0].k
+            left = rare_enough(sum(counts.values()), self.threshold)
+            for h in sorted(counts, key=lambda h: (spread[k][h], h)):
+                if left <= 0:
+                    break
+                self.postings[k][h].append(at)
+                left -= counts[h]
+
     def search(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item id, similarity, first word, words) of each item found, at its most similar window."""
         words = words_of(text)
@@ -192,40 +235,27 @@ class BenchmarkIndex:
         for p in hits.tolist():
             for item in post[int(h[p])]:
                 at_of[item].append(p)
-        by_group: dict[int, list[int]] = defaultdict(list)
-        for item in at_of:
+        found = []
+        for item in sorted(at_of):
             group, place_in = self.item_place[item]
-            if group.k == k:
-                by_group[group.length].append(item)
-        out = []
-        for length, items in by_group.items():
-            out += self._group(words, h, self.groups[length], items, at_of)
-        return out
-
-    def _group(self, words, h, group: _Sized, items: list[int], at_of) -> list[tuple[int, float, int, int]]:
+            if group.k == k and (hit := self._best(words, h, group, place_in, np.array(at_of[item]))):
+                found.append((self.ids[item], *hit))
+        return found
+
+    def _best(self, words, h, group: _Sized, i: int, at: np.ndarray) -> tuple[float, int, int] | None:
+        """(similarity, first word, words) of the window most similar to one item, of those that hold a shingle at ``at``."""
         size = min(group.length - group.k + 1, len(h))   # shingles per window
-        last = len(h) - size
-        marks = np.zeros(last + 2, dtype=np.int32)
-        at = np.unique(np.concatenate([at_of[i] for i in items]))
-        np.add.at(marks, np.clip(at - size + 1, 0, last), 1)
-        np.add.at(marks, np.minimum(at, last) + 1, -1)
-        starts = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-        prints = window_prints(h, size, starts)
-        only = np.array(sorted(self.item_place[i][1] for i in items))
-        best: dict[int, tuple[float, int]] = {}
-        pairs = group.candidates(prints, only, self.radius)
-        order = np.argsort(np.bitwise_count(prints[pairs[:, 0]] ^ group.prints[pairs[:, 1]]), kind="stable")
-        windows: dict[int, Counter] = {}
-        for w, i in pairs[order].tolist():
-            if best.get(i, (0.0, 0))[0] == 1.0:
-                continue
-            start = int(starts[w])
-            if start not in windows:
-                windows[start] = shingle_counts(words[start:start + size + group.k - 1], group.k)
-            s = similarity(windows[start], group.counts[i])
-            if s >= self.threshold and (s, -start) > (best.get(i, (0.0, 0))[0], -best.get(i, (0.0, 0))[1]):
-                best[i] = (s, start)
-        return [(self.ids[group.items[i]], s, start, size + group.k - 1) for i, (s, start) in sorted(best.items())]
+        best, start_of_best = 0.0, 0
+        for starts in window_slices(at, size, len(h) - size):
+            places, far = self.blocks.within(window_prints(h, size, starts), group.prints[i])
+            for w in places[np.argsort(far, kind="stable")].tolist():
+                start = int(starts[w])
+                s = similarity(shingle_counts(words[start:start + size + group.k - 1], group.k), group.counts[i])
+                if s >= self.threshold and (s, -start) > (best, -start_of_best):
+                    best, start_of_best = s, start
+                if best == 1.0:     # the nearest windows come first, and of these the first
+                    return best, start, size + group.k - 1
+        return (best, start_of_best, size + group.k - 1) if best else None
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:

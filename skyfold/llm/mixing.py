@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.llm.common import cut, packed_row
+from skyfold.llm.common import cut, packed_row, quoted
 
 BROADCAST_SOURCES = 50_000
 SHORT = 16.0  # rates beyond this are drawn as a sum of independent parts
@@ -64,8 +64,10 @@ def mix(docs: DataFrame, weights: dict[str, float], other: float = 1.0, epochs:
 
     The expected number of rows is ``epochs`` times that of ``docs``, dealt to
     sources by weight. A source of weight 0 gives no rows. mix_rank is the
-    hash the shuffle follows; rows of equal id and source draw alike and come
-    as often as they are given; null ids draw alike too. Columns of ``docs``
+    hash by which the rows of a partition are ordered; rows of equal id and source draw alike and come
+    as often as they are given. A row without an id draws by its content and place in the
+    table, so such rows come at the rate too. Rows are dealt to partitions by rank and place, so equal
+    rows do not meet in one. Columns of ``docs``
     named replica or mix_rank are replaced. Negative weights are refused.
     """
     if min([other, epochs, *weights.values()]) < 0:
@@ -73,7 +75,12 @@ def mix(docs: DataFrame, weights: dict[str, float], other: float = 1.0, epochs:
     rates = source_rates(docs, source_col, weights, other, epochs).select(
         F.col("source").alias("rate_source"), "rate")
     kept = [c for c in docs.columns if c not in ("replica", "mix_rank")]
-    rows = docs.select(packed_row(kept, "doc"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+    content = [quoted(f.name) for f in docs.schema.fields if f.name in kept and "map<" not in f.dataType.simpleString()]
+    rows = docs.select(packed_row(kept, "doc"), F.col(id_col).cast("string").alias("id"),
+                       F.col(source_col).alias("source"), F.monotonically_increasing_id().alias("place"),
+                       F.xxhash64(F.lit(seed), *content).alias("content"))
+    own = F.concat_ws("|", F.lit("null"), F.col("content").cast("string"), F.col("place").cast("string"))
+    rows = rows.withColumn("id", F.coalesce("id", own))
     rows = rows.join(rates, rows["source"].eqNullSafe(F.col("rate_source")))
     rows = rows.withColumns({"u": uniform(seed, F.lit("n"), F.col("id")),
                              "parts": F.greatest(F.lit(1), F.ceil(F.col("rate") / SHORT)).cast("int")})
@@ -82,8 +89,8 @@ def mix(docs: DataFrame, weights: dict[str, float], other: float = 1.0, epochs:
     many = F.expr(f"aggregate(sequence(1, parts), 0, (t, j) -> t + {poisson_inverse('part_rate', _part_draw(seed))})")
     n = F.when(F.col("parts") == 1, F.expr(poisson_inverse("part_rate", "u"))).otherwise(many)
     rows = rows.withColumn("n", n).filter("n > 0").withColumn("replica", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    rows = rows.withColumn("mix_rank", F.xxhash64(F.lit(seed), "id", "replica"))
-    rows = rows.repartition("mix_rank").sortWithinPartitions("mix_rank")
+    rows = rows.withColumn("mix_rank", F.xxhash64(F.lit(seed), "id", "content", "replica"))
+    rows = rows.repartition(F.xxhash64("mix_rank", "place")).sortWithinPartitions("mix_rank")
     return rows.select("doc.*", "replica", "mix_rank")
 
 

@@ -156,7 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     grown = GBTClassifier(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2,
                           seed=11, maxBins=64).fit(fit)
     model = ToxicityModel(lexicon, grown, None, base_rate)
-    held = model.raw(featured.filter("NOT fit")).select("raw", "label")
-    model.calibration = IsotonicRegression(featuresCol="raw", labelCol="label",
+    # Rows of one raw score count as one with their mean and number: few trees give few scores, and one may be hot.
+    held = model.raw(featured.filter("NOT fit")).groupBy("raw").agg(
+        F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+    model.calibration = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight",
                                            predictionCol="calibrated").fit(held)
     return model

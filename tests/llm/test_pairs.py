@@ -171,3 +171,64 @@ def test_decontamination_parts_words_at_any_punctuation(spark):
     got = {r.doc_id: r.similarity for r in dec.contaminated(docs, bench).collect()}
     assert got == {0: 1.0, 1: 1.0, 2: 1.0, 3: 1.0}
     assert dec.words_of("Ab_c\u2019d 1\u00a02") == [b"ab", b"c", b"d", b"1", b"2"]
+
+
+def _search_cost(items, text):
+    """(found, seconds, megabytes over the words of the text)."""
+    import time
+    import tracemalloc
+
+    index = dec.BenchmarkIndex(items, 5, 0.8, dec.RADIUS)
+    dec.words_of(text)
+    tracemalloc.start()
+    start = time.monotonic()
+    found = index.search(text)
+    took, peak = time.monotonic() - start, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return found, took, peak / 1e6
+
+
+def test_a_stem_that_all_items_share_costs_little():
+    rng = random.Random(8)
+    stem = "which one of the following statements is the best answer"
+    items = [(i, f"{stem} " + " ".join(f"w{rng.randint(0, 5000)}" for _ in range(20))) for i in range(3000)]
+    text = " ".join(f"{stem} " + " ".join(f"x{rng.randint(0, 5000)}" for _ in range(10)) for _ in range(200))
+    found, took, peak = _search_cost(items, text)
+    assert found == [] and took < 2 and peak < 100, (took, peak)
+    found, took, peak = _search_cost(items, text + " " + items[77][1])
+    assert [f[0] for f in found] == [77] and took < 2 and peak < 100, (took, peak)
+
+
+def test_an_item_at_both_ends_of_a_very_long_text():
+    rng = random.Random(9)
+    item = " ".join(f"q{i}" for i in range(40))
+    words = " ".join(f"n{rng.randint(0, 300_000)}" for _ in range(1_000_000))
+    found, took, peak = _search_cost([(1, item)], f"{item} {words} {item}")
+    assert found == [(1, 1.0, 0, 40)] and peak < 350, (took, peak)    # the words themselves are 200 MB of it
+
+
+def test_window_slices_cover_each_place_once():
+    rng = random.Random(2)
+    for _ in range(200):
+        last, size = rng.randint(0, 60), rng.randint(1, 12)
+        at = np.array(sorted(rng.sample(range(last + size), rng.randint(1, min(6, last + size)))))
+        got = [int(x) for piece in dec.window_slices(at, size, last) for x in piece]
+        assert got == [s for s in range(last + 1) if any(s <= p < s + size for p in at)]
+
+
+def test_recall_of_changed_copies():
+    """Copies with words changed, by their similarity: all of those at the threshold or above are found."""
+    rng = random.Random(6)
+    vocab = [f"v{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.randint(15, 80)))) for i in range(60)]
+    index = dec.BenchmarkIndex(items, 5, 0.8, dec.RADIUS)
+    texts = []
+    for _, item in items:
+        for changes in range(4):
+            words = item.split()
+            for _ in range(changes):
+                words[rng.randrange(len(words))] = "changed"
+            texts.append(" ".join(rng.choices(vocab, k=rng.randint(0, 50)) + words + rng.choices(vocab, k=rng.randint(0, 50))))
+    want = brute_contaminated(texts, items)
+    got = {(d, f[0]): f[1] for d, text in enumerate(texts) for f in index.search(text)}
+    assert got == pytest.approx(want) and sum(0.8 <= s < 1 for s in want.values()) > 30

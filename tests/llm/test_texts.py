@@ -9,6 +9,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from skyfold.llm import brown_lm, langid, mixing, pii, quality, queries, toxicity, warc
@@ -113,6 +114,50 @@ def test_mixing(spark):
         mixing.mix(docs, {"a": -1.0})
 
 
+def test_mixing_without_ids_draws_row_by_row_and_deals_evenly(spark):
+    docs = spark.range(0, 20_000, 1, 4).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit("t").alias("text"))
+    for rows in (docs, docs.withColumn("doc_id", F.lit(7))):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            out = mixing.mix(rows, {}, epochs=2.0)
+            parts = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        if rows is docs:
+            assert abs(sum(parts) - 40_000) < 5 * math.sqrt(40_000)
+        assert len(parts) == 8 and max(parts) < 1.3 * min(parts)
+
+
+def _auc(rows):
+    """Share of pairs (label 1, label 0) whose scores are in order, ties half."""
+    ones, zeros = ([s for s, y in rows if y == k] for k in (1, 0))
+    return sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros) / (len(ones) * len(zeros))
+
+
+def test_toxicity_held_out_order(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    scored = queries.op8_toxicity(spark, sf).filter("held_out").join(labels, "doc_id").filter("toxic IS NOT NULL")
+    rows = [(r.score, r.toxic) for r in scored.select("score", "toxic").collect()]
+    assert sum(y for _, y in rows) >= 3 and _auc(rows) > 0.95
+
+
+def test_toxicity_scores_are_the_calibrated_tree_sums(spark):
+    """Every score from the features, the trees and the calibration by hand."""
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(["you", "idiot", "nice", "day", "HATE", "stupid!"] if i % 2 else ["a", "fine", "day", "nice"], k=12)))
+                                  for i in range(120)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, trees=4, depth=2)
+    trees, weights = model.trees.trees, model.trees.treeWeights
+    xs, ys = model.calibration.boundaries.toArray(), model.calibration.predictions.toArray()
+    for r, d in zip(model.score(docs, "doc_id", "text").orderBy("doc_id").collect(), docs.orderBy("doc_id").collect()):
+        f = toxicity.dense_features(d.text, model.lexicon)
+        margin = sum(w * t.predict(Vectors.dense(f)) for t, w in zip(trees, weights))
+        raw = 1 / (1 + math.exp(-2 * margin))
+        assert r.score == pytest.approx(min(1, max(0, float(np.interp(raw, xs, ys)))), abs=1e-6)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lang = queries.op6_language_id(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").filter("held_out")
