@@ -29,7 +29,7 @@ import re
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace as changed
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,7 @@ from skyfold.sources.parquet import hadoop_fs, rebalance
 
 WRITE_COLUMN = "_write"
 VERSION_PROPERTY = "skyfold.version"
+NOTE_PREFIX = "skyfold.note."
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}")
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _PARTITIONS_PER_STATEMENT = 500
@@ -84,6 +85,8 @@ class NamedTable:
     partition_by: str | None
     buckets: int | None
     bucket_by: tuple[str, ...]
+    #: What writers noted with the version they published (see ``note`` of ``merge_into``).
+    notes: dict[str, str] = field(default_factory=dict)
 
     @property
     def full_name(self) -> str:
@@ -117,20 +120,22 @@ def find(spark: SparkSession, name: str) -> NamedTable | None:
             raise TableNameError(f"{name!r} is a temporary view")
         return None
     kind = spark.catalog.getTable(full).tableType
-    version = None
+    version, notes = None, {}
     stored = full
     if kind == "VIEW":
         properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
         if VERSION_PROPERTY not in properties:
             raise TableNameError(f"{name!r} is a view, not a table")
         version = int(properties[VERSION_PROPERTY])
+        notes = {k.removeprefix(NOTE_PREFIX): v for k, v in properties.items() if k.startswith(NOTE_PREFIX)}
         stored = version_name(database, table, version)
     partitions, buckets, by = _layout(spark, stored)
     partitions = [p for p in partitions if p != WRITE_COLUMN]
     if len(partitions) > 1:
         raise TableNameError(f"{name!r} has several partition columns: {partitions}")
     columns = tuple(c for c in spark.table(full).columns)
-    return NamedTable(database, table, version, columns, partitions[0] if partitions else None, buckets, tuple(by))
+    return NamedTable(database, table, version, columns, partitions[0] if partitions else None, buckets, tuple(by),
+                      notes)
 
 
 def rows_of(spark: SparkSession, table: NamedTable) -> DataFrame:
@@ -199,14 +204,17 @@ def _insert(table: NamedTable, rows: DataFrame, write: str) -> int:
 
 def _switch(spark: SparkSession, table: NamedTable) -> None:
     columns = ", ".join(map(ident, table.columns))
-    spark.sql(f"CREATE OR REPLACE VIEW {table.full_name} TBLPROPERTIES ({literal(VERSION_PROPERTY)} = "
-              f"{literal(str(table.version))}) AS SELECT {columns} FROM {table.stored}")
+    properties = {VERSION_PROPERTY: str(table.version)} | {NOTE_PREFIX + k: v for k, v in table.notes.items()}
+    spark.sql(f"CREATE OR REPLACE VIEW {table.full_name} TBLPROPERTIES ("
+              + ", ".join(f"{literal(k)} = {literal(v)}" for k, v in properties.items())
+              + f") AS SELECT {columns} FROM {table.stored}")
 
 
 def _publish(spark: SparkSession, new: NamedTable, rows: DataFrame | None, kept: list[dict],
              base: NamedTable | None) -> int:
     """Write the next version: ``kept`` folders of ``base`` and ``rows``; returns the rows written."""
     write = uuid.uuid4().hex[:12]
+    new = changed(new, notes=(base.notes if base else {}) | new.notes)
     made = False
     schema = rows if rows is not None else rows_of(spark, base)
     try:
@@ -229,16 +237,16 @@ def _publish(spark: SparkSession, new: NamedTable, rows: DataFrame | None, kept:
 
 
 def _next(spark: SparkSession, database: str, name: str, columns: Sequence[str], partition_by: str | None,
-          buckets: int | None, bucket_by: Sequence[str]) -> NamedTable:
+          buckets: int | None, bucket_by: Sequence[str], note: dict[str, str] | None = None) -> NamedTable:
     version = max(_versions(spark, database, name), default=0) + 1
-    return NamedTable(database, name, version, tuple(columns), partition_by, buckets, tuple(bucket_by))
+    return NamedTable(database, name, version, tuple(columns), partition_by, buckets, tuple(bucket_by), note or {})
 
 
 def replace(df: DataFrame, name: str, partition_by: str | None = None, buckets: int | None = None,
-            bucket_by: Sequence[str] = ()) -> int:
+            bucket_by: Sequence[str] = (), note: dict[str, str] | None = None) -> int:
     """Create or replace a whole table; returns its row count.
 
-    ``df`` may read the table itself. A plain catalog table keeps its layout and is
+    ``df`` may read the table itself. ``note`` is published with the version. A plain catalog table keeps its layout and is
     overwritten by ``insertInto`` (its columns must match by name).
     """
     spark = df.sparkSession
@@ -251,7 +259,7 @@ def replace(df: DataFrame, name: str, partition_by: str | None = None, buckets:
     if base is not None and buckets is None:
         same = set(base.bucket_by) <= set(df.columns)
         buckets, bucket_by = (base.buckets, base.bucket_by) if same else (None, ())
-    new = _next(spark, database, table, df.columns, partition_by, buckets, bucket_by)
+    new = _next(spark, database, table, df.columns, partition_by, buckets, bucket_by, note)
     return _publish(spark, new, _by_bucket(df, new), [], base)
 
 
@@ -281,7 +289,7 @@ def _overwrite_plain(spark: SparkSession, table: NamedTable, df: DataFrame) -> i
 
 
 def change_partitions(spark: SparkSession, table: NamedTable, rewritten: DataFrame | None, matched: list,
-                      added: DataFrame | None) -> int:
+                      added: DataFrame | None, note: dict[str, str] | None = None) -> int:
     """Replace the partitions of the values ``matched`` by ``rewritten`` and add ``added``; one publication.
 
     A plain table takes the two parts one after the other: dynamic partition overwrite, then append.
@@ -290,7 +298,7 @@ def change_partitions(spark: SparkSession, table: NamedTable, rewritten: DataFra
         return _change_plain(spark, table, rewritten, added)
     gone = {None if v is None else str(v) for v in matched}
     kept = [s for s in specs_of(spark, table) if table.partition_by and s[table.partition_by] not in gone]
-    new = _next(spark, table.database, table.name, table.columns, table.partition_by, table.buckets, table.bucket_by)
+    new = _next(spark, table.database, table.name, table.columns, table.partition_by, table.buckets, table.bucket_by, note)
     parts = [p.select(*map(ident, table.columns)) for p in (rewritten, None if added is None else _by_bucket(added, new))
              if p is not None]
     rows = parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0] if parts else None

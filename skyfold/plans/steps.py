@@ -34,7 +34,7 @@ from skyfold.plans.tables import (
 )
 from skyfold.schema import DAILY_KEYS, DAILY_MEASURES, HISTORY_COLUMNS
 from skyfold.session import ensure_checkpoint_dir
-from skyfold.sources.parquet import drop_partition, drop_staging, load_staging, write_partitions
+from skyfold.sources.parquet import drop_partition, drop_staging, load_staging, rebalance, write_partitions
 from skyfold.sources.snapshots import DATE_PARTITION, one_copy, read_snapshots, select_day, snapshot_day
 
 STAGING_VIEW = "history_staging"
@@ -73,14 +73,20 @@ def process_day(spark: SparkSession, landing: str, processed: str, day: str | No
     docs = read_snapshots(spark, landing, multi_line=multi_line, day=day,
                           dated_folders=dated_folders)
     kept, mapped_seen = Observation("documents"), Observation("vectors")
-    docs = (one_copy(docs.drop(DATE_PARTITION))
-            .observe(kept, F.count(F.lit(1)).alias("documents")))
+    # The documents are grouped by output day before they are exploded, so that all that is counted
+    # happens in the tasks that write: Spark counts each of those once, also when
+    # an earlier stage runs again. One day in, the same day out: the landing's day is not computed again.
+    docs = one_copy(docs.drop(DATE_PARTITION))
+    if day is None:
+        docs = rebalance(docs.withColumn(DATE_PARTITION, snapshot_day("time", zone)), [DATE_PARTITION]).drop(DATE_PARTITION)
+    else:
+        docs = docs.hint("rebalance")
+    docs = docs.observe(kept, F.count(F.lit(1)).alias("documents"))
     mapped = (map_slots(explode_states(docs))
               .observe(mapped_seen, F.count(F.lit(1)).alias("vectors")))
-    # One day in, the same day out: the landing's day is not computed again.
     out_day = F.lit(day).cast("date") if day is not None else snapshot_day("snapshot_time", zone)
     rows = clean(mapped, ingested_at, box=box).withColumn(DATE_PARTITION, out_day)
-    written = write_partitions(rows, processed, DATE_PARTITION)
+    written = write_partitions(rows, processed, DATE_PARTITION, dealt=True)
     if day is not None and written == 0:
         drop_partition(spark, processed, DATE_PARTITION, day)   # a day that yields nothing is empty
     stored = spark.read.schema(rows.schema).parquet(processed)

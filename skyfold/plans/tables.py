@@ -147,7 +147,7 @@ def merge_into(spark: SparkSession, table: str, source: DataFrame, *,
                partition_col: str = HISTORY_PARTITION,
                dedup_order: str | Sequence[str] | None = None,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-               stored: bool = False, buckets: int | None = None) -> dict:
+               stored: bool = False, buckets: int | None = None, note: dict[str, str] | None = None) -> dict:
     """Create ``table`` (a path or a name) from ``source`` on first use, else merge into it.
 
     ``source`` must carry ``partition_col`` (see ``with_history_partition``).
@@ -166,7 +166,8 @@ def merge_into(spark: SparkSession, table: str, source: DataFrame, *,
     ``dedup_order`` picks one row of each source key (smallest first), on the
     first run too; without it a first batch is copied as it is, and repeated
     keys in a later one raise. ``buckets``: a table created by name is bucketed
-    and sorted on the keys, and merged without a shuffle of its rows.
+    and sorted on the keys, and merged without a shuffle of its rows. ``note``: names and
+    values published with the new version of a table by name (``named.find(...).notes``), in the same step.
 
     Returns ``{"created": bool, "rows_written": n, "partitions": k,
     "rewritten": r, "touched": [...]}``: rows written, number of partitions
@@ -181,7 +182,7 @@ def merge_into(spark: SparkSession, table: str, source: DataFrame, *,
     by_path = named.is_path(table)
     if not by_path:
         return _merge_by_name(spark, table, source, keys, update, partition_col, dedup_order is not None,
-                              broadcast_max_rows, buckets)
+                              broadcast_max_rows, buckets, note)
     if buckets is not None:
         raise named.TableNameError("only a table by name can be bucketed")
     if not table_exists(spark, table):
@@ -204,10 +205,11 @@ def _merged(rows: int, plan: _Changes) -> dict:
 
 
 def _merge_by_name(spark: SparkSession, name: str, source: DataFrame, keys: list[str], update: Sequence[str],
-                   partition_col: str, unique: bool, broadcast_max_rows: int, buckets: int | None) -> dict:
+                   partition_col: str, unique: bool, broadcast_max_rows: int, buckets: int | None,
+                   note: dict[str, str] | None) -> dict:
     table = named.find(spark, name)
     if table is None:
-        return _created(named.replace(source, name, partition_col, buckets, keys if buckets else ()))
+        return _created(named.replace(source, name, partition_col, buckets, keys if buckets else (), note))
     lacking = [c for c in table.columns if c not in source.columns]
     if lacking:
         raise ValueError(f"source lacks columns {lacking} of {name}")
@@ -216,7 +218,7 @@ def _merge_by_name(spark: SparkSession, name: str, source: DataFrame, keys: list
         rows = named.rows_of(spark, table)
         merged = upsert(rows, source.select(*rows.columns), keys, update, check_unique=not unique,
                         broadcast_max_rows=broadcast_max_rows)
-        return _merged(named.replace(merged, name, table.partition_by), _Changes(None, [], None, [None]))
+        return _merged(named.replace(merged, name, table.partition_by, note=note), _Changes(None, [], None, [None]))
     counts: dict = {}
     if table.version is not None:
         for spec in named.specs_of(spark, table):
@@ -230,7 +232,7 @@ def _merge_by_name(spark: SparkSession, name: str, source: DataFrame, keys: list
 
     bucketed = list(table.bucket_by) == keys
     plan = _changes(source, keys, update, partition_col, unique, broadcast_max_rows, target_of, crowded, bucketed)
-    return _merged(named.change_partitions(spark, table, plan.rewritten, plan.matched, plan.added), plan)
+    return _merged(named.change_partitions(spark, table, plan.rewritten, plan.matched, plan.added, note), plan)
 
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
@@ -331,6 +333,27 @@ def expire_partitions(spark: SparkSession, path: str, partition_col: str, days:
     return sorted(removed)
 
 
+def expire_files(spark: SparkSession, path: str, days: int, as_of: dt.datetime) -> int:
+    """Delete the data files below ``path`` that were last modified more than ``days`` before ``as_of``;
+    returns how many.
+
+    The age rule of an object store, for landings without date folders. Names beginning with ``_`` or ``.`` stay.
+    ``as_of`` without a zone is UTC.
+    """
+    as_of = as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc)
+    cutoff = int((as_of - dt.timedelta(days=days)).timestamp() * 1000)
+    fs, root = hadoop_fs(spark, path)
+    top = fs.resolvePath(root).toString()
+    files, removed = fs.listFiles(root, True), 0
+    while files.hasNext():      # lazily: any number of files
+        status = files.next()
+        below = status.getPath().toString()[len(top):]
+        if status.getModificationTime() < cutoff and not any(p.startswith(("_", ".")) for p in below.split("/")):
+            fs.delete(status.getPath(), False)
+            removed += 1
+    return removed
+
+
 def _expire_by_name(spark: SparkSession, name: str, partition_col: str, cutoff: dt.date) -> list[str]:
     table = named.find(spark, name)
     if table is None:

@@ -93,3 +93,22 @@ def test_merge_reads_touched_partitions_only(spark, tmp_dir):
 def test_transform_is_whole_stage_codegen(spark):
     p = plan(entry.queries()["clean_units"](spark, SF_SMALL))
     assert "*(" in p and "PythonUDF" not in p and "BatchEvalPython" not in p
+
+
+def test_counts_of_a_day_are_taken_in_the_writing_stage(spark, tmp_dir, monkeypatch):
+    """No shuffle lies between the counters and the write, so a stage that runs again counts nothing twice."""
+    from skyfold.plans import steps
+    from skyfold.plans.fixture import flight_fixture, state_vector
+    from skyfold.sources import land_snapshots, pack_snapshots
+
+    fx = flight_fixture(events_small(spark))
+    land_snapshots(pack_snapshots(fx, "snapshot_time", state_vector(fx), "event_id"), os.path.join(tmp_dir, "l"), "UTC")
+    seen = []
+    real = steps.write_partitions
+    monkeypatch.setattr(steps, "write_partitions", lambda df, *a, **k: (seen.append(plan(df)), real(df, *a, **k))[1])
+    for day in (None, "2024-01-05"):
+        out = steps.process_day(spark, os.path.join(tmp_dir, "l"), os.path.join(tmp_dir, "p"), day)
+        assert out["vectors"] - out["rows_lost"] == out["rows_written"] > 0 and out["documents"] > 0
+    for p in seen:
+        assert p.count("CollectMetrics") == 2
+        assert "Exchange" not in p[:p.rindex("CollectMetrics")]
