@@ -39,6 +39,7 @@ SMOOTH = 0.5
 #: Texts are read in stretches of about so many bytes.
 STRETCH = 8_000_000
 SWEEP_TASKS = 32
+_WORDS_AT_ONCE = 2_000
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _ENDING = 3
 
@@ -130,18 +131,34 @@ def streams(texts: list[bytes | None]) -> Iterator[_Stream]:
         yield stream()
 
 
-def count_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """(word binary, c): counts of all tokens of all texts."""
+def stream_table(docs: DataFrame, text_col: str) -> DataFrame:
+    """The streams of all texts as a written table: words, ids (binary int32; the first is the token before the stream)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for s in streams(pdf["t"].tolist()):
-                c = np.bincount(s.ids[1:], minlength=len(s.words))
-                there = np.flatnonzero(c)
-                yield pd.DataFrame({"word": [s.words[i] for i in there], "c": c[there]})
+                yield pd.DataFrame({"words": [s.words], "ids": [s.ids.astype("<i4").tobytes()]})
 
     rows = docs.select(F.col(text_col).cast("binary").alias("t"))
-    return rows.mapInPandas(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return materialise(rows.mapInPandas(run, "words array<binary>, ids binary"), "lm_streams")
+
+
+def _stored(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    for pdf in batches:
+        for words, ids in zip(pdf["words"], pdf["ids"]):
+            yield list(words), np.frombuffer(ids, dtype="<i4").astype(np.int64)
+
+
+def count_words(table: DataFrame) -> DataFrame:
+    """(word binary, c): counts of all tokens of a stream table."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for words, ids in _stored(batches):
+            c = np.bincount(ids[1:], minlength=len(words))
+            there = np.flatnonzero(c)
+            yield pd.DataFrame({"word": [words[i] for i in there], "c": c[there]})
+
+    return table.mapInPandas(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 class Lexicon:
@@ -161,24 +178,22 @@ class Lexicon:
         return np.fromiter((self._rank.get(w, -1) for w in words), dtype=np.int64, count=len(words))
 
 
-def count_bigrams(docs: DataFrame, text_col: str, lexicon, top: int, classes: int) -> DataFrame:
-    """(a, b, c): counts of neighbouring symbols; an end precedes every text.
+def count_bigrams(table: DataFrame, lexicon, top: int, classes: int) -> DataFrame:
+    """(a, b, c): counts of neighbouring symbols in a stream table; an end precedes every text.
 
     Symbols: the ranks of the top words, then the first classes of the others, then the end.
     """
     end = top + classes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for s in streams(pdf["t"].tolist()):
-                rank = lexicon.value.ranks(s.words)
-                symbol = np.array([r if 0 <= r < top else end if w == END else top + first_class(w, classes)
-                                   for w, r in zip(s.words, rank.tolist())], dtype=np.int64)[s.ids]
-                pair, c = np.unique(symbol[:-1] * (end + 1) + symbol[1:], return_counts=True)
-                yield pd.DataFrame({"a": pair // (end + 1), "b": pair % (end + 1), "c": c})
+        for words, ids in _stored(batches):
+            rank = lexicon.value.ranks(words)
+            symbol = np.array([r if 0 <= r < top else end if w == END else top + first_class(w, classes)
+                               for w, r in zip(words, rank.tolist())], dtype=np.int64)[ids]
+            pair, c = np.unique(symbol[:-1] * (end + 1) + symbol[1:], return_counts=True)
+            yield pd.DataFrame({"a": pair // (end + 1), "b": pair % (end + 1), "c": c})
 
-    rows = docs.select(F.col(text_col).cast("binary").alias("t"))
-    return rows.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return table.mapInPandas(run, "a int, b int, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
 
 
 def class_matrix(bigrams: DataFrame, class_of: np.ndarray, n: int) -> np.ndarray:
@@ -244,6 +259,55 @@ def exchange_gain(m: np.ndarray, own: int, right: np.ndarray, left: np.ndarray,
     return added - added[own]
 
 
+def exchange_gains(m: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarray, loops: np.ndarray,
+                   classes: int) -> np.ndarray:
+    """``exchange_gain`` of many words at once: a row per word, in a few steps over whole arrays."""
+    rows, cols = m.sum(axis=1)[:classes], m.sum(axis=0)[:classes]
+    w = np.arange(len(own))
+    own_diag = m[own, own] - right[w, own] - left[w, own] - loops
+    diag = np.broadcast_to(m[np.arange(classes), np.arange(classes)], (len(own), classes)).copy()
+    diag[w, own] = own_diag
+    r, el = right[:, :classes], left[:, :classes]
+    added = _side(m, own, right, left, own_diag, classes) + _side(m.T, own, left, right, own_diag, classes)
+    added -= _phi(diag + r) + _phi(diag + el) - 2 * _phi(diag)
+    added += _phi(diag + r + el + loops[:, None]) - _phi(diag)
+    for sums, counts in ((rows, right), (cols, left)):
+        n = counts.sum(axis=1) + loops
+        without = np.broadcast_to(sums, (len(own), classes)).copy()
+        without[w, own] -= n
+        added -= _phi(without + n[:, None]) - _phi(without)
+    return added - added[w, own][:, None]
+
+
+def _side(m: np.ndarray, own: np.ndarray, right: np.ndarray, left: np.ndarray, own_diag: np.ndarray,
+          classes: int) -> np.ndarray:
+    """[word, class k]: what the word's counts ``right`` add to row k of the matrix without the word."""
+    w = np.arange(len(own))
+    out = np.zeros((len(own), classes))
+    word, col = np.nonzero(right)
+    if len(word):
+        # Rare words have few different counts, so the logarithms are taken once per column and count.
+        n = right[word, col]
+        key, which = np.unique(col * (n.max() + 1) + n, return_inverse=True)
+        cols, counts = (key // (n.max() + 1)).astype(np.int64), key % (n.max() + 1)
+        base = m[:classes, cols].T
+        each = _phi(base + counts[:, None]) - _phi(base)
+        starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        out[word[starts]] = np.add.reduceat(each[which], starts, axis=0)
+    # The column of the word's own class lacks its counts on the other side,
+    at = np.flatnonzero(right[w, own])
+    n = right[at, own[at]][:, None]
+    column = m[:classes, own[at]].T
+    less = column - left[at, :classes]
+    out[at] += _phi(less + n) - _phi(less) - _phi(column + n) + _phi(column)
+    # and the row of its own class lacks them all.
+    row = m[own]
+    back = _phi(row) - _phi(row - right)
+    back[w, own] = _phi(own_diag + right[w, own]) - _phi(own_diag)
+    out[w, own] = back.sum(axis=1)
+    return out
+
+
 def exchange_top(bigrams: DataFrame, words: int, top: int, classes: int, sweeps: int) -> tuple[np.ndarray, np.ndarray]:
     """(class of every symbol, class bigram counts). The ``words`` top words start in rounds by rank; in each
     sweep half of them may move to their best class, and a sweep that lowers the likelihood is undone."""
@@ -259,22 +323,17 @@ def exchange_top(bigrams: DataFrame, words: int, top: int, classes: int, sweeps:
                         "bigram_sides")
 
     def best_moves(class_of: np.ndarray, m: np.ndarray):
-        sums = m.sum(axis=1), m.sum(axis=0)
-
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            order = np.argsort(pdf["word"].to_numpy(), kind="stable")
-            word, other, after, c = (pdf[x].to_numpy()[order] for x in ("word", "other", "after", "c"))
+            word, other, after, c = (pdf[x].to_numpy() for x in ("word", "other", "after", "c"))
             cls, is_after, is_own = class_of[other], after == 1, other == word
-            starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])).tolist()
-            found = []
-            for i, j in zip(starts, [*starts[1:], len(word)]):
-                right, left = is_after[i:j] & ~is_own[i:j], ~is_after[i:j] & ~is_own[i:j]
-                gain = exchange_gain(m, int(class_of[word[i]]), np.bincount(cls[i:j][right], c[i:j][right], n),
-                                     np.bincount(cls[i:j][left], c[i:j][left], n),
-                                     float(c[i:j][is_after[i:j] & is_own[i:j]].sum()), classes, sums)
-                best = int(np.argmax(gain))
-                if gain[best] > 1e-6:
-                    found.append((int(word[i]), best, float(gain[best])))
+            words, place = np.unique(word, return_inverse=True)
+            right, left, loops = np.zeros((len(words), n)), np.zeros((len(words), n)), np.zeros(len(words))
+            np.add.at(right, (place[is_after & ~is_own], cls[is_after & ~is_own]), c[is_after & ~is_own])
+            np.add.at(left, (place[~is_after & ~is_own], cls[~is_after & ~is_own]), c[~is_after & ~is_own])
+            np.add.at(loops, place[is_after & is_own], c[is_after & is_own])
+            gain = exchange_gains(m, class_of[words], right, left, loops, classes)
+            best = gain.argmax(axis=1)
+            found = [(int(words[i]), int(best[i]), float(gain[i, best[i]])) for i in np.flatnonzero(gain.max(axis=1) > 1e-6)]
             return pd.DataFrame(found, columns=["word", "to", "gain"])
 
         return run
@@ -297,82 +356,81 @@ def exchange_top(bigrams: DataFrame, words: int, top: int, classes: int, sweeps:
     return class_of, m
 
 
-def exchange_rest(docs: DataFrame, text_col: str, lexicon, class_of_top: np.ndarray, m: np.ndarray,
-                  classes: int, min_count: int) -> DataFrame:
+def exchange_rest(table: DataFrame, lexicon, class_of_top: np.ndarray, m: np.ndarray, classes: int,
+                  min_count: int) -> DataFrame:
     """(word, class) of every word outside the top that occurs ``min_count`` times: its best class, given those of all words now.
 
     The classes of a word's neighbours meet in a shuffle by word (four bytes an
     occurrence, packed per stream) and are read as a stream, so no word's
     occurrences are held at once.
     """
-    top = len(class_of_top)
-    pair = np.dtype([("before", "<u2"), ("after", "<u2")])
+    top, n = len(class_of_top), classes + 1
+    itself = 0xFFFF         # a word beside itself: the neighbour moves along
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            held = None
-            for s in streams(pdf["t"].tolist()):
-                # The last token waits for the one after it (at the end of the batch that is the end).
-                rank = lexicon.value.ranks(s.words)
-                of = np.array([class_of_top[r] if 0 <= r < top else classes if w == END else first_class(w, classes)
-                               for w, r in zip(s.words, rank.tolist())], dtype=np.int64)
-                tail = np.array([not 0 <= r < top and w != END for w, r in zip(s.words, rank.tolist())])
-                cls = of[s.ids]
-                if held is not None:        # a word at the very end of the stream before
-                    word, before = held
-                    same = word == s.words[s.ids[1]]
-                    occ = np.array([(before, 0xFFFF if same else cls[1])], dtype=pair)
-                    yield pd.DataFrame({"word": [word], "seen": [occ.tobytes()]})
-                last = s.ids[-1]
-                held = (s.words[last], _neighbour(s.ids, cls, len(cls) - 2, len(cls) - 1)) if tail[last] else None
-                at = np.flatnonzero(tail[s.ids[1:-1]]) + 1
-                if not len(at):
-                    continue
-                occ = np.empty(len(at), dtype=pair)
-                # A word beside itself: marked, so that it moves along.
-                occ["before"] = np.where(s.ids[at - 1] == s.ids[at], 0xFFFF, cls[at - 1])
-                occ["after"] = np.where(s.ids[at + 1] == s.ids[at], 0xFFFF, cls[at + 1])
-                order = np.argsort(s.ids[at], kind="stable")
-                ids, raw = s.ids[at][order], occ[order].tobytes()
-                starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-                ends = [*(4 * starts[1:]).tolist(), len(raw)]
-                yield pd.DataFrame({"word": [s.words[i] for i in ids[starts].tolist()],
-                                    "seen": [raw[a:b] for a, b in zip((4 * starts).tolist(), ends)]})
-
-    sums = m.sum(axis=1), m.sum(axis=0)
+        for words, ids in _stored(batches):
+            rank = lexicon.value.ranks(words)
+            of = np.array([class_of_top[r] if 0 <= r < top else classes if w == END else first_class(w, classes)
+                           for w, r in zip(words, rank.tolist())], dtype=np.int64)
+            tail = np.array([not 0 <= r < top and w != END for w, r in zip(words, rank.tolist())])
+            cls, same = of[ids], ids[:-1] == ids[1:]
+            packed = []
+            # The token before the stream has its neighbour on the right here, that on the left is in the stream before.
+            for at, beside in ((ids[1:], np.where(same, itself, cls[:-1])), (ids[:-1], np.where(same, itself, cls[1:]))):
+                chosen = tail[at]
+                order = np.argsort(at[chosen], kind="stable")
+                packed.append((beside[chosen][order].astype("<u2").tobytes(),
+                               np.concatenate([[0], np.cumsum(np.bincount(at[chosen], minlength=len(words)))]) * 2))
+            (before, i), (after, j) = packed
+            there = np.flatnonzero(tail)
+            yield pd.DataFrame({"word": [words[w] for w in there.tolist()],
+                                "before": [before[i[w]:i[w + 1]] for w in there.tolist()],
+                                "after": [after[j[w]:j[w + 1]] for w in there.tolist()]})
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        word, n, right, left, loops = None, 0, None, None, 0
-        found: list[tuple[bytes, int]] = []
-
-        def close():
-            if word is not None and n >= min_count:
-                gain = exchange_gain(m, first_class(word, classes), right, left, loops, classes, sums)
-                found.append((word, int(np.argmax(gain))))
+        word, seen = None, 0
+        right, left, loops = np.zeros(n), np.zeros(n), 0
+        held: list[tuple] = []
+
+        def moves() -> pd.DataFrame:
+            names = [h[0] for h in held]
+            own = np.array([first_class(w, classes) for w in names], dtype=np.int64)
+            r, el = np.array([h[1] for h in held]), np.array([h[2] for h in held])
+            gain = exchange_gains(m, own, r, el, np.array([h[3] for h in held], dtype=np.float64), classes)
+            held.clear()
+            return pd.DataFrame({"word": names, "class": gain.argmax(axis=1)})
+
+        def close() -> None:
+            if word is not None and seen >= min_count:
+                held.append((word, right, left, loops))
 
         for pdf in batches:
-            for w, seen in zip(pdf["word"].tolist(), pdf["seen"].tolist()):
+            for w, before, after in zip(pdf["word"].tolist(), pdf["before"].tolist(), pdf["after"].tolist()):
                 if w != word:
                     close()
-                    word, n, loops = w, 0, 0
-                    right, left = np.zeros(classes + 1), np.zeros(classes + 1)
-                occ = np.frombuffer(seen, dtype=pair)
-                n += len(occ)
-                loops += int((occ["after"] == 0xFFFF).sum())
-                right += np.bincount(occ["after"][occ["after"] != 0xFFFF], minlength=classes + 1)
-                left += np.bincount(occ["before"][occ["before"] != 0xFFFF], minlength=classes + 1)
-            yield pd.DataFrame(found, columns=["word", "class"])
-            found.clear()
+                    word, seen, loops = w, 0, 0
+                    right, left = np.zeros(n), np.zeros(n)
+                    if len(held) >= _WORDS_AT_ONCE:
+                        yield moves()
+                seen += len(before) // 2
+                for counts, raw in ((left, before), (right, after)):
+                    beside = np.frombuffer(raw, dtype="<u2")
+                    if len(beside) > 50:
+                        all_counts = np.bincount(beside, minlength=itself + 1)
+                        counts += all_counts[:n]
+                        loops += int(all_counts[itself]) if counts is right else 0
+                        continue
+                    for cls in beside.tolist():
+                        if cls != itself:
+                            counts[cls] += 1
+                        elif counts is right:
+                            loops += 1
         close()
-        yield pd.DataFrame(found, columns=["word", "class"])
-
-    rows = docs.select(F.col(text_col).cast("binary").alias("t"))
-    return rows.mapInPandas(gather, "word binary, seen binary").repartition(F.col("word")).sortWithinPartitions(
-        "word").mapInPandas(best, "word binary, class int")
+        if held:
+            yield moves()
 
-
-def _neighbour(ids: np.ndarray, cls: np.ndarray, other: int, at: int) -> int:
-    return 0xFFFF if ids[other] == ids[at] else int(cls[other])
+    return table.mapInPandas(gather, "word binary, before binary, after binary").repartition(
+        F.col("word")).sortWithinPartitions("word").mapInPandas(best, "word binary, class int")
 
 
 class _Guess(dict):
@@ -386,111 +444,65 @@ class _Guess(dict):
         return self.other
 
 
-_PARTS = ("row long, id string, n_tokens long, n_known long, seen double, score double, words array<binary>, times array<long>, "
-          "guess array<int>, pairs binary, cells binary")
+_COLD = "words array<binary>, guess array<int>, pairs binary"
 
 
-def _resolved(docs: DataFrame, id_col: str | None, text_col: str, lexicon, guess, table: DataFrame, classes: int,
-              transitions: np.ndarray | None, emission_base: np.ndarray | None) -> DataFrame:
-    """Documents are numbered (``row``), so that equal ones stay apart. One row per stretch of a text: what its hot words give (``seen``: log10 of their counts; ``score``: their
-    transitions and emission bases), and for its other words ``cold``: index, count and class, with the
-    transitions at their places (``pairs``: a class, or -1 - index of a cold word).
+def _classes_in(words: list[bytes], ids: np.ndarray, lexicon: Lexicon, end: int, guess: _Guess):
+    """(rank of every word, class of every token or -1 - index of a cold word, the cold words, their guesses)."""
+    rank = lexicon.ranks(words)
+    of = np.full(len(words), -1, dtype=np.int64)
+    of[rank >= 0] = lexicon.classes[rank[rank >= 0]]
+    of[[i for i, w in enumerate(words) if w == END]] = end
+    code = of[ids]
+    which, place = np.unique(ids[code < 0], return_inverse=True)
+    code[code < 0] = -1 - place
+    cold = [words[i] for i in which.tolist()]
+    return rank, code, cold, [guess[w[-_ENDING:]] for w in cold]
 
-    Without ``transitions`` (training) ``cells`` hold the counts of the transitions between hot words.
-    """
-    spark = docs.sparkSession
-    end = classes
-    shared = spark.sparkContext.broadcast((transitions, emission_base))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        between, base = shared.value
-        log_counts = np.log10(lexicon.value.counts + SMOOTH)
-        for pdf in batches:
-            row_of, id_of = pdf["row"].to_numpy(), pdf["id"].tolist()
-            for s in streams(pdf["t"].tolist()):
-                rank = lexicon.value.ranks(s.words)
-                of = np.full(len(s.words), -1, dtype=np.int64)
-                of[rank >= 0] = lexicon.value.classes[rank[rank >= 0]]
-                of = np.where(np.fromiter((w == END for w in s.words), dtype=bool, count=len(s.words)), end, of)
-                ids, cls = s.ids, of[s.ids]
-                x, y = cls[:-1], cls[1:]
-                known = (x >= 0) & (y >= 0)
-                first, texts = int(s.text[0]), int(s.text[-1] - s.text[0]) + 1
-                text = s.text - first
-                cells = b""
-                if between is None:
-                    cell, c = np.unique(x[known] * (classes + 1) + y[known], return_counts=True)
-                    cells = np.stack([cell, c]).astype("<i8").tobytes()
-                    sums = np.zeros(texts)
-                else:
-                    gain = np.zeros(len(y))
-                    gain[known] = between[x[known], y[known]]
-                    gain[y >= 0] -= base[y[y >= 0]]
-                    sums = np.bincount(text, gain, texts)
-                hot = rank[ids[1:]]
-                seen = np.bincount(text, np.where(hot >= 0, log_counts[hot] if len(log_counts) else 0.0, 0.0), texts)
-                n_tokens = np.bincount(text, minlength=texts)
-                n_known = np.bincount(text, hot >= 0, texts).astype(np.int64)
-                starts = np.searchsorted(text, np.arange(texts + 1))
-                out = []
-                for i in range(texts):
-                    a, b = int(starts[i]), int(starts[i + 1])
-                    words, times, guesses, pairs = [], [], [], b""
-                    cold = cls[a:b + 1] < 0
-                    if cold.any():
-                        # The cold words of the text; the token before it is one too if a stretch begins amid a text.
-                        which, place = np.unique(ids[a:b + 1][cold], return_inverse=True)
-                        times = np.bincount(place, minlength=len(which))
-                        times[place[0]] -= int(cold[0])
-                        words = [s.words[j] for j in which.tolist()]
-                        guesses = [guess.value[w[-_ENDING:]] for w in words]
-                        code = cls[a:b + 1].copy()
-                        code[cold] = -1 - place
-                        some = cold[:-1] | cold[1:]
-                        pairs = np.stack([code[:-1][some], code[1:][some]], axis=1).astype("<i4").tobytes()
-                    row = first + i
-                    out.append((int(row_of[row]), id_of[row], int(n_tokens[i]), int(n_known[i]), float(seen[i]), float(sums[i]),
-                                words, times, guesses, pairs, cells if i == 0 else b""))
-                yield pd.DataFrame(out, columns=[c.split(" ")[0] for c in _PARTS.split(", ")])
-
-    # Row and stretch numbers are fixed by being written.
-    named = F.lit(None) if id_col is None else F.col(id_col)
-    rows = docs.select(F.col(text_col).cast("binary").alias("t"), named.cast("string").alias("id"),
-                       F.monotonically_increasing_id().alias("row"))
-    parts = materialise(rows.mapInPandas(run, _PARTS).withColumn("part", F.monotonically_increasing_id()), "lm_parts")
-    cold = parts.select("part", F.posexplode(F.arrays_zip("words", "times", "guess")).alias("at", "w")).select(
-        "part", "at", F.col("w.words").alias("word"), F.col("w.times").alias("times"), F.col("w.guess").alias("guess"))
+def _with_cold(parts: DataFrame, table: DataFrame) -> DataFrame:
+    """Written parts with ``class`` and ``c``, class and count of their cold words in order: the words are joined to the whole table."""
+    parts = materialise(parts.withColumn("part", F.monotonically_increasing_id()), "lm_parts")    # the number is fixed by being written
+    cold = parts.select("part", F.posexplode(F.arrays_zip("words", "guess")).alias("at", "w")).select(
+        "part", "at", F.col("w.words").alias("word"), F.col("w.guess").alias("guess"))
     cold = cold.join(table, "word", "left").groupBy("part").agg(F.array_sort(F.collect_list(F.struct(
-        "at", F.col("times").alias("n"), F.coalesce("class", "guess").alias("class"), F.coalesce("c", F.lit(0)).alias("c"))))
-        .alias("cold"))
-    return parts.drop("words", "times", "guess").join(cold, "part", "left")
+        "at", F.coalesce("class", "guess").alias("class"), F.coalesce("c", F.lit(0)).alias("c")))).alias("cold"))
+    return parts.drop("words", "guess").join(
+        cold.select("part", F.col("cold.class").alias("class"), F.col("cold.c").alias("c")), "part", "left").drop("part")
 
 
-def _cold_classes(cold, pairs: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(classes of the cold words, pairs of classes at their places)."""
-    of = np.array([w["class"] for w in cold], dtype=np.int64)
+def _pairs_of(pairs: bytes, cold) -> np.ndarray:
+    """Pairs of classes, those of the cold words put in."""
     pair = np.frombuffer(pairs, dtype="<i4").reshape(-1, 2).astype(np.int64)
-    return of, np.where(pair < 0, of[-1 - np.minimum(pair, -1)], pair)
+    return np.where(pair < 0, np.asarray(cold, dtype=np.int64)[-1 - np.minimum(pair, -1)], pair) if len(pair) else pair
 
 
-def _transition_counts(resolved: DataFrame, classes: int) -> np.ndarray:
-    """Class bigram counts of all texts; at most (classes + 1)^2 sums reach the driver."""
+def _transition_counts(streams_of: DataFrame, lexicon, guess, table: DataFrame, classes: int) -> np.ndarray:
+    """Class bigram counts of a stream table; at most (classes + 1)^2 sums reach the driver."""
     n = classes + 1
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for words, ids in _stored(batches):
+            _, code, cold, guesses = _classes_in(words, ids, lexicon.value, classes, guess.value)
+            x, y = code[:-1], code[1:]
+            some = (x < 0) | (y < 0)
+            cell, c = np.unique(x[~some] * n + y[~some], return_counts=True)
+            yield pd.DataFrame({"words": [cold], "guess": [guesses], "pairs": [np.stack([x[some], y[some]], axis=1).astype("<i4").tobytes()],
+                                "cells": [np.stack([cell, c]).astype("<i8").tobytes()]})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = np.zeros(n * n, dtype=np.int64)
         for pdf in batches:
-            for cells, cold, pairs in zip(pdf["cells"].tolist(), pdf["cold"].tolist(), pdf["pairs"].tolist()):
-                if cells:
-                    cell, c = np.frombuffer(cells, dtype="<i8").reshape(2, -1)
-                    m[cell] += c
-                if cold is not None and len(pairs):
-                    _, pair = _cold_classes(cold, pairs)
-                    np.add.at(m, pair[:, 0] * n + pair[:, 1], 1)
+            for cells, pairs, cold in zip(pdf["cells"], pdf["pairs"], pdf["class"]):
+                cell, c = np.frombuffer(cells, dtype="<i8").reshape(2, -1)
+                m[cell] += c
+                pair = _pairs_of(pairs, cold)
+                m += np.bincount(pair[:, 0] * n + pair[:, 1], minlength=n * n)
         at = np.flatnonzero(m)
         yield pd.DataFrame({"cell": at, "c": m[at]})
 
-    return _summed(resolved.select("cells", "cold", "pairs").mapInPandas(run, "cell int, c long"), n)
+    parts = _with_cold(streams_of.mapInPandas(known, _COLD + ", cells binary"), table)
+    return _summed(parts.mapInPandas(count, "cell int, c long"), n)
 
 
 class BrownModel:
@@ -512,7 +524,8 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     """Learn from all of ``docs`` (null texts are empty; repeated rows count as often as given; extra columns are ignored)."""
     s, spark = settings, docs.sparkSession
     sc = spark.sparkContext
-    counts = materialise(count_words(docs, text_col), "word_counts")
+    tokens = stream_table(docs, text_col)
+    counts = materialise(count_words(tokens), "word_counts")
     is_end = F.col("word") == F.lit(END)
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(is_end, F.col("c"))).alias("ends"),
                        F.count_if(~is_end & (F.col("c") >= s.min_count)).alias("clustered")).first()
@@ -528,12 +541,12 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     ranked = sc.broadcast(Lexicon(words, hot_counts))
     often = int((hot_counts >= s.min_count).sum())
     top = min(top, often)
-    bigrams = materialise(count_bigrams(docs, text_col, ranked, top, classes), "class_bigrams")
+    bigrams = materialise(count_bigrams(tokens, ranked, top, classes), "class_bigrams")
     class_of, m = exchange_top(bigrams, top, top, classes, s.sweeps)
     class_of_top = class_of[:top]
 
     # All other words.
-    moved = exchange_rest(docs, text_col, ranked, class_of_top, m, classes, s.min_count)
+    moved = exchange_rest(tokens, ranked, class_of_top, m, classes, s.min_count)
     tops = spark.createDataFrame([(w, int(k)) for w, k in zip(words, class_of_top)], "word binary, class int")
     clustered = materialise(words_only.join(moved.union(tops), "word", "left"), "word_classes")
     votes = clustered.filter(F.col("class").isNotNull()).groupBy(_ending().alias("ending"), "class").agg(
@@ -558,7 +571,7 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     for r in table.join(wanted, "word").select("rank", "class").collect():      # a row per hot word
         hot_classes[r["rank"]] = r["class"]
     lexicon = sc.broadcast(Lexicon(words, hot_counts, hot_classes))
-    transitions = _transition_counts(_resolved(docs, None, text_col, lexicon, guess, table, classes, None, None), classes)
+    transitions = _transition_counts(tokens, lexicon, guess, table, classes)
     return BrownModel(s, table, total, vocabulary, ends, lexicon, guess, classes, transitions, emission_base)
 
 
@@ -570,32 +583,63 @@ def score(model: BrownModel, docs: DataFrame, id_col: str = "doc_id", text_col:
     Repeated rows and null ids come back as they are; extra columns are
     ignored; very long texts are read in stretches.
     """
-    between, emission_base = model.transitions, model.emission_base
-    resolved = _resolved(docs, id_col, text_col, model.lexicon, model.guess, model.table, model.classes, between, emission_base)
-    shared = docs.sparkSession.sparkContext.broadcast((between, emission_base))
+    classes, lexicon, guess = model.classes, model.lexicon, model.guess
+    shared = docs.sparkSession.sparkContext.broadcast((model.transitions, model.emission_base))
+    figures = "row long, id string, n_tokens long, n_known long, seen double, score double"
+    packed = np.dtype([("row", "<i8"), ("n_tokens", "<i8"), ("n_known", "<i8"), ("seen", "<f8"), ("score", "<f8")])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A row per stream: what hot words give to each of its texts, and where the cold ones are."""
         between, base = shared.value
+        log_counts = np.log10(np.append(lexicon.value.counts, 0) + SMOOTH)
         for pdf in batches:
-            known, seen, score = (pdf[c].to_numpy().copy() for c in ("n_known", "seen", "score"))
-            for i, (cold, pairs) in enumerate(zip(pdf["cold"].tolist(), pdf["pairs"].tolist())):
-                if cold is None or not len(pairs):
-                    continue
-                of, pair = _cold_classes(cold, pairs)
-                n = np.array([w["n"] for w in cold], dtype=np.float64)
-                c = np.array([w["c"] for w in cold], dtype=np.float64)
-                known[i] += int(n[c > 0].sum())
-                seen[i] += float((n * np.log10(c + SMOOTH)).sum())
-                score[i] += float(between[pair[:, 0], pair[:, 1]].sum() - (n * base[of]).sum())
-            yield pd.DataFrame({"row": pdf["row"], "id": pdf["id"], "n_tokens": pdf["n_tokens"], "n_known": known, "seen": seen,
-                                "score": score})
-
-    figures = resolved.select("row", "id", "n_tokens", "n_known", "seen", "score", "cold", "pairs").mapInPandas(
-        run, "row long, id string, n_tokens long, n_known long, seen double, score double").groupBy("row").agg(
+            row_of, id_of = pdf["row"].to_numpy(), pdf["id"].tolist()
+            for s in streams(pdf["t"].tolist()):
+                rank, code, cold, guesses = _classes_in(s.words, s.ids, lexicon.value, classes, guess.value)
+                x, y = code[:-1], code[1:]
+                some = (x < 0) | (y < 0)
+                first, n = int(s.text[0]), int(s.text[-1] - s.text[0]) + 1
+                text = s.text - first
+                gain = np.zeros(len(y))
+                gain[~some] = between[x[~some], y[~some]]
+                gain[y >= 0] -= base[y[y >= 0]]
+                known = rank[s.ids[1:]]
+                out = np.zeros(n, dtype=packed)
+                out["row"] = row_of[first:first + n]
+                out["n_tokens"] = np.bincount(text, minlength=n)
+                out["n_known"] = np.bincount(text, known >= 0, n)
+                out["seen"] = np.bincount(text, np.where(known >= 0, log_counts[known], 0.0), n)
+                out["score"] = np.bincount(text, gain, n)
+                yield pd.DataFrame({
+                    "words": [cold], "guess": [guesses], "pairs": [np.stack([x[some], y[some]], axis=1).astype("<i4").tobytes()],
+                    "at": [text[some].astype("<i4").tobytes()],
+                    "tokens": [np.stack([-1 - y[y < 0], text[y < 0]]).astype("<i4").tobytes()],
+                    "texts": [out.tobytes()], "ids": [id_of[first:first + n]]})
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        between, base = shared.value
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                out = np.frombuffer(r.texts, dtype=packed).copy()
+                if len(r.pairs):
+                    of, c = np.asarray(r.cold, dtype=np.int64), np.asarray(r.c, dtype=np.float64)
+                    pair, n = _pairs_of(r.pairs, of), len(out)
+                    word, text = np.frombuffer(r.tokens, dtype="<i4").reshape(2, -1)
+                    out["score"] += np.bincount(np.frombuffer(r.at, dtype="<i4"), between[pair[:, 0], pair[:, 1]], n)
+                    out["score"] -= np.bincount(text, base[of[word]], n)
+                    out["seen"] += np.bincount(text, np.log10(c[word] + SMOOTH), n)
+                    out["n_known"] += np.bincount(text, c[word] > 0, n).astype(np.int64)
+                yield pd.DataFrame({name: out[name] for name in packed.names}).assign(id=list(r.ids))[
+                    [f.split(" ")[0] for f in figures.split(", ")]]
+
+    rows = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).cast("string").alias("id"),
+                       F.monotonically_increasing_id().alias("row"))
+    parts = _with_cold(rows.mapInPandas(hot, _COLD + ", at binary, tokens binary, texts binary, ids array<string>"), model.table)
+    figures_of = parts.withColumnRenamed("class", "cold").mapInPandas(whole, figures).groupBy("row").agg(
         F.max("id").alias("id"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "seen", "score")))
     total, ends = model.train_tokens, model.ends
     base = float(np.log10(total + SMOOTH * (model.vocabulary + 1)))
-    return figures.select(
+    return figures_of.select(
         F.col("id").cast("long").alias(id_col), "n_tokens", (F.col("n_known") + F.lit(1 if ends else 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("seen") + F.lit(float(np.log10(ends + SMOOTH))) - F.lit(base) * F.col("n_tokens")).alias("base_score"),

@@ -408,6 +408,21 @@ def test_exchange_gain_is_the_change_of_the_likelihood():
             assert gain[k] == pytest.approx(brown_lm.likelihood(matrix(moved)) - brown_lm.likelihood(matrix(of)))
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_gains_of_many_words_are_those_of_each(seed):
+    rng = np.random.default_rng(seed)
+    classes, words = 5, 40
+    n = classes + 1
+    own = rng.integers(0, classes, words)
+    right, left = (rng.integers(0, 4, (words, n)) * rng.integers(0, 2, (words, n)) * 1.0 for _ in "ab")
+    right[0], left[1] = 0, 0
+    loops = rng.integers(0, 3, words) * 1.0
+    m = rng.integers(0, 50, (n, n)) + np.add.reduce([right.sum(axis=0)] * 1) + left.sum(axis=0)[:, None] + loops.sum()
+    got = brown_lm.exchange_gains(m, own, right, left, loops, classes)
+    for i in range(words):
+        assert got[i] == pytest.approx(brown_lm.exchange_gain(m, int(own[i]), right[i], left[i], loops[i], classes), abs=1e-6)
+
+
 def test_folds_follow_crc32(spark):
     got = [r[0] for r in spark.range(20).select(queries.fold("id", 5)).collect()]
     assert got == [crc32(str(i).encode()) % 5 for i in range(20)]
