@@ -2,8 +2,7 @@
 whole-stage code generation."""
 
 from skyfold.functions.scalar import (  # noqa: F401
-    epoch_hour, local_date, scale_round, slot, trim_upper, utc_date,
-    utc_date_of_epoch, utc_day,
+    local_date, scale_round, slot, trim_upper, utc_date_of_epoch, utc_day, variant_slot,
 )
 from skyfold.functions.labels import (  # noqa: F401
     bucketize, code_label, equals_label, first_match,

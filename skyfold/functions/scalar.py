@@ -36,6 +36,14 @@ def slot(array: ColumnOrName, position: int, type_name: str = "string") -> Colum
     return value.try_cast(type_name)
 
 
+def variant_slot(array: str, position: int, type_name: str = "string") -> Column:
+    """``slot`` of an array of variants: null past the end, for a JSON null and for what does not convert."""
+    value = f"get({ident(array)}, {position})"
+    if type_name in ("int", "integer", "bigint", "long", "smallint", "tinyint"):
+        return F.expr(f"try_cast(try_variant_get({value}, '$', 'double') AS {type_name})")
+    return F.expr(f"try_variant_get({value}, '$', {literal(type_name)})")
+
+
 def trim_upper(c: ColumnOrName) -> Column:
     """``upper(trim(c))``; trims spaces only."""
     if isinstance(c, str):
@@ -50,18 +58,6 @@ def scale_round(c: ColumnOrName, factor: float, digits: int = 2) -> Column:
     return F.round(_col(c) * F.lit(float(factor)), digits)
 
 
-def epoch_hour(ts: ColumnOrName) -> Column:
-    """Epoch seconds of the start of the hour of a timestamp.
-
-    For ``timestamp_ntz`` the value is read as UTC wall time, whatever the
-    session zone is.
-    """
-    if isinstance(ts, str):
-        return F.expr(f"unix_timestamp({ident(ts)}) - pmod(unix_timestamp({ident(ts)}), 3600)")
-    seconds = F.unix_timestamp(_col(ts))
-    return seconds - F.pmod(seconds, F.lit(3600))
-
-
 def local_date(ts: ColumnOrName, zone: str) -> Column:
     """Calendar day of a UTC ``timestamp_ntz`` in the named zone."""
     if isinstance(ts, str):
@@ -78,12 +74,6 @@ def utc_day(name: str, type_name: str) -> Column:
     return F.expr(f"date_from_unix_date(CAST(floor(unix_seconds({ident(name)}) / 86400) AS INT))")
 
 
-def utc_date(ts: ColumnOrName) -> Column:
-    """Day of a timestamp (``DATE(ts)``) in the session zone; see ``utc_day``
-    for a zone-independent form."""
-    return F.to_date(_col(ts))
-
-
 def utc_date_of_epoch(seconds: ColumnOrName) -> Column:
     """UTC day of epoch seconds, independent of the session zone."""
     if isinstance(seconds, str):

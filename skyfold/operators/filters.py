@@ -33,7 +33,3 @@ def within_box(df: DataFrame, box: tuple[float, float, float, float],
                lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     return df.filter(in_box(lat, lon, box))
 
-
-def key_not_null(df: DataFrame, column: str) -> DataFrame:
-    """Group-key guard used before an aggregate."""
-    return df.filter(F.col(column).isNotNull())

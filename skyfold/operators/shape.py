@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfold.functions.scalar import slot
+from skyfold.functions.scalar import slot, variant_slot
 from skyfold.schema import STATE_SLOTS
 
 
@@ -22,8 +22,9 @@ def explode_states(docs: DataFrame, states: str = "states", time: str = "time",
 
 def map_slots(rows: DataFrame, slots: Sequence[tuple[int, str, str]] = STATE_SLOTS,
               vector: str = "flight", keep: Iterable[str] = ("snapshot_time",)) -> DataFrame:
-    """Positional array to named, typed columns, driven by a slot table."""
-    return rows.select(*keep, *[slot(vector, pos, typ).alias(name) for pos, name, typ in slots])
+    """Positional array (of text, or of variants) to named, typed columns, driven by a slot table."""
+    read = variant_slot if "variant" in rows.schema[vector].dataType.simpleString() else slot
+    return rows.select(*keep, *[read(vector, pos, typ).alias(name) for pos, name, typ in slots])
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -34,7 +35,3 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*columns)
 
-
-def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Select columns in the given order; Catalyst prunes the rest at the scan."""
-    return df.select(*columns)

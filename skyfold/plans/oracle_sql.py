@@ -249,6 +249,7 @@ UNION ALL SELECT 'agg_flights_daily', COUNT(*) FROM
 ORACLES: dict[str, str] = {
     "flagship_country_mart": f"{BASE}\n{COUNTRY_MART}",
     "snapshot_json_roundtrip": f"WITH {FX}\nSELECT {MAPPED} FROM fx",
+    "snapshot_variant_roundtrip": f"WITH {FX}\nSELECT {MAPPED} FROM fx",
     "date_partition_select": (
         "SELECT event_id, ts, user_id, event_type, value, d AS ingest_date FROM "
         f"({EVENTS_BY_DAY}) WHERE d = DATE '{SELECTED_DAY}'"),

@@ -201,6 +201,14 @@ def snapshot_json_roundtrip(spark, sf_dir):
     return map_slots(explode_states(docs))
 
 
+def snapshot_variant_roundtrip(spark, sf_dir):
+    """The same landing read with the elements of a vector as variants."""
+    landing = work_path(spark, "landing")
+    land_snapshots(_docs(_fixture(spark, sf_dir)), landing, LOCAL_ZONE)
+    docs = one_copy(read_snapshots(spark, landing, variant=True).drop(DATE_PARTITION))
+    return map_slots(explode_states(docs))
+
+
 def landed_vectors(spark, sf_dir):
     """Vectors per landed snapshot: rows without a time are landed as a
     snapshot of their own, documents without vectors are not landed."""
@@ -463,6 +471,7 @@ def incremental_accumulate(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_country_mart": flagship_country_mart,
     "snapshot_json_roundtrip": snapshot_json_roundtrip,
+    "snapshot_variant_roundtrip": snapshot_variant_roundtrip,
     "date_partition_select": date_partition_select,
     "parquet_day_overwrite": parquet_day_overwrite,
     "table_first_run_then_upsert": table_first_run_then_upsert,

@@ -22,6 +22,8 @@ RAW_SCHEMA = T.StructType([
 ])
 
 RAW_DDL = "time bigint, part int, copy string, states array<array<string>>"
+# The same with the elements of a vector as they are typed in the document.
+RAW_VARIANT_DDL = RAW_DDL.replace("<array<string>>", "<array<variant>>")
 
 # The slot table of a state vector (position, column, type).
 # Slots 12 (sensors) and 15 are not mapped.

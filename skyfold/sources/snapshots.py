@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.functions.sqltext import ident, literal
-from skyfold.schema import RAW_DDL, RAW_SCHEMA
+from skyfold.schema import RAW_DDL, RAW_VARIANT_DDL
 
 DATE_PARTITION = "ingest_date"
 
 
 def read_snapshots(spark: SparkSession, path: str, *, multi_line: bool = False,
-                   day: str | None = None, dated_folders: bool = False) -> DataFrame:
+                   day: str | None = None, dated_folders: bool = False, variant: bool = False) -> DataFrame:
     """Every document under ``path`` as one row ``(time, part, copy, states[, ingest_date])``.
 
     A document that is no valid JSON for the schema (a broken file, or a
@@ -32,30 +32,33 @@ def read_snapshots(spark: SparkSession, path: str, *, multi_line: bool = False,
     The schema is explicit, so no inference pass reads the files first. With
     ``day`` only that day's folder is listed and read: an ``ingest_date=``
     partition (our landing), or, with ``dated_folders``, a plain
-    ``<path>/<yyyy-MM-dd>/`` folder as other landings write it.
+    ``<path>/<yyyy-MM-dd>/`` folder as other landings write it. ``variant`` keeps the
+    mixed types of a vector's elements (``map_slots`` reads either form).
     """
     if dated_folders:
         if day is None:
             raise ValueError("dated_folders needs a day")
-        return (read_documents(spark.read, f"{path.rstrip('/')}/{day}", multi_line)
+        return (read_documents(spark.read, f"{path.rstrip('/')}/{day}", multi_line, variant)
                 .withColumn(DATE_PARTITION, F.lit(day).cast("date")))
-    docs = read_documents(spark.read, path, multi_line)
+    docs = read_documents(spark.read, path, multi_line, variant)
     if day is not None:
         docs = select_day(docs, day)
     return docs
 
 
-def read_documents(reader, path: str, multi_line: bool) -> DataFrame:
+def read_documents(reader, path: str, multi_line: bool, variant: bool = False) -> DataFrame:
     """Documents of a batch or stream reader, with their copy: one per line, or
     with ``multi_line`` one per file."""
+    schema = RAW_VARIANT_DDL if variant else RAW_DDL
     if not multi_line:
-        return with_copy(reader.schema(RAW_SCHEMA).option("mode", "FAILFAST").json(path))
+        return with_copy(reader.schema(schema).option("mode", "FAILFAST").json(path))
     files = reader.text(path, wholetext=True)
     # A parser stops at the end of the first document. No object follows an
-    # object within a snapshot, so a second document shows in the text.
+    # object within a snapshot, so a second document shows in the text once what strings hold is taken out.
+    bare = F.regexp_replace("value", r'"(?:[^"\\]++|\\.)*+"', '""')
     several = F.raise_error(F.concat(F.lit("several documents in one file: "), F.col("_metadata.file_path")))
-    text = F.when(F.col("value").rlike(r"\}\s*\{"), several).otherwise(F.col("value"))
-    parsed = files.withColumn("_doc", F.from_json(text, RAW_DDL, {"mode": "FAILFAST"}))
+    text = F.when(bare.rlike(r"\}\s*\{"), several).otherwise(F.col("value"))
+    parsed = files.withColumn("_doc", F.from_json(text, schema, {"mode": "FAILFAST"}))
     rest = [c for c in files.columns if c != "value"]   # partition columns
     return with_copy(parsed.filter("trim(value) != ''").select("_doc.*", "_metadata", *rest)).drop("_metadata")
 
@@ -64,7 +67,9 @@ def with_copy(docs: DataFrame) -> DataFrame:
     """Names the copy each document belongs to: its landing run or, for a
     document other tools landed (a whole snapshot), its file and content.
     ``docs`` comes straight from a file source."""
-    own = F.concat_ws(":", F.lit("file"), F.col("_metadata.file_path"), F.xxhash64("states").cast("string"))
+    variant = "variant" in docs.schema["states"].dataType.simpleString()
+    content = F.xxhash64(F.to_json("states") if variant else F.col("states"))     # a variant has no hash
+    own = F.concat_ws(":", F.lit("file"), F.col("_metadata.file_path"), content.cast("string"))
     return docs.withColumn("copy", F.coalesce("copy", own))
 
 

@@ -159,3 +159,25 @@ def test_wrong_mode_fails_the_read(spark, tmp_dir):
         fh.write('{"time": 2,\n "sta')
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
         read_snapshots(spark, pretty, multi_line=True).collect()
+
+
+def test_braces_within_text_are_no_second_document(spark, tmp_dir):
+    odd = "x} {\"y\\\\"
+    _write_docs(tmp_dir, [{"time": 1, "states": [[odd, None, 2.5, True]]}])
+    assert [r.states for r in read_snapshots(spark, tmp_dir, multi_line=True).collect()] == [[[odd, None, "2.5", "true"]]]
+
+
+def test_vectors_as_variants(spark, tmp_dir):
+    """Types as the document has them; text of a number, a number of a kind too wide, nulls and short vectors."""
+    full = ["a1", " C1 ", "Norway", 1772138460, 1772138461.5, 77.125, 21, 9144.0, False, None, "145.25", 0, None, 9450.5, "2107", False, 5.0]
+    short, mixed = ["b2", None, 7], ["c3", True, "x", "no", 1e300, {"a": 1}, [1], "3", "true", 1, 2, 3, 4, 5, 6, 7, "5.0"]
+    _write_docs(tmp_dir, [{"time": 1, "states": [full, short, mixed]}])
+    for multi_line in (True,):
+        docs = read_snapshots(spark, tmp_dir, multi_line=multi_line, variant=True)
+        rows = {r.icao24: r for r in map_slots(explode_states(one_copy(docs))).collect()}
+        a, b, c = (rows[k] for k in ("a1", "b2", "c3"))
+        assert (a.callsign, a.time_position, a.last_contact, a.latitude, a.on_ground, a.velocity, a.true_track, a.squawk, a.category) == (
+            " C1 ", 1772138460.0, 1772138461.5, 21.0, False, None, 145.25, "2107", 5)
+        assert (b.callsign, b.origin_country, b.category) == (None, "7", None)
+        assert (c.time_position, c.last_contact, c.longitude, c.latitude, c.baro_altitude, c.category) == (None, 1e300, None, None, 3.0, 5)
+        assert c.on_ground is True
