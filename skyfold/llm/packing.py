@@ -94,15 +94,17 @@ class WordIds:
 
     def _learn(self, words: set[str]) -> None:
         """Enter words: stem and marks of each, encoding the stems not known."""
-        parts = []
-        for word in words:
+        words, lower, marked = list(words), [], []
+        for i, word in enumerate(words):
             stem = word.rstrip(_MARKS)
-            if len(stem) < len(word) and not stem[-1:].isalnum():
-                stem = word
-            parts.append((word, stem.lower() if stem.isascii() and stem.isalpha() or _SIMPLE(stem) else stem,
-                          word[len(stem):]))
+            if len(stem) < len(word):
+                if stem[-1:].isalnum():
+                    marked.append((i, word[len(stem):]))
+                else:
+                    stem = word
+            lower.append(stem.lower() if stem.isascii() and stem.isalpha() or _SIMPLE(stem) else stem)
         stems = self._stems
-        fresh = stems.lacking({x for _, *pair in parts for x in pair}, _CACHED_WORDS)
+        fresh = stems.lacking({*lower, *(marks for _, marks in marked)}, _CACHED_WORDS)
         plain = [stem for stem in fresh if stem.isalpha() and (stem.isascii() or _SIMPLE(stem))] if self._ends is not None else []
         if plain and (ids := self._encode_together(plain)):
             stems.update(zip(plain, ids))
@@ -110,7 +112,10 @@ class WordIds:
         fresh = list(fresh)
         for stem, encoded in zip(fresh, self._encode(fresh, add_special_tokens=False)):
             stems[stem] = array("I", encoded.ids).tobytes()
-        self._words.update((word, stems[stem] + stems[marks] if marks else stems[stem]) for word, stem, marks in parts)
+        known = self._words
+        known.update(zip(words, map(stems.__getitem__, lower)))
+        for i, marks in marked:
+            known[words[i]] += stems[marks]
 
     def _encode_together(self, words: list[str]) -> list[bytes] | None:
         """Ids of words of letters only, encoded as one text: each ends with the next token that
@@ -184,8 +189,10 @@ def tokenise(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                 {"doc_id": object})
 
         for batch in batches:
-            for doc_id, ids in zip(batch["i"].tolist(), words.of(batch["t"].tolist())):
-                ids += end
+            texts = batch["t"].tolist()
+            of = dict(zip(dict.fromkeys(texts), words.of(list(dict.fromkeys(texts)))))     # copies are tokenised once
+            for doc_id, text in zip(batch["i"].tolist(), texts):
+                ids = of[text] + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     part = ids[at:at + step]
                     length = len(part) // 4
