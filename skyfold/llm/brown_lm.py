@@ -37,7 +37,7 @@ from skyfold.llm.common import heaviest, materialise
 END = b"\n"  # no word can hold white space
 SMOOTH = 0.5
 #: Texts are read in stretches of about so many bytes.
-STRETCH = 8_000_000
+STRETCH = 2_000_000
 SWEEP_TASKS = 32
 _WORDS_AT_ONCE = 2_000
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
@@ -388,46 +388,41 @@ def exchange_rest(table: DataFrame, lexicon, class_of_top: np.ndarray, m: np.nda
                                 "after": [after[j[w]:j[w + 1]] for w in there.tolist()]})
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        word, seen = None, 0
-        right, left, loops = np.zeros(n), np.zeros(n), 0
-        held: list[tuple] = []
-
-        def moves() -> pd.DataFrame:
-            names = [h[0] for h in held]
-            own = np.array([first_class(w, classes) for w in names], dtype=np.int64)
-            r, el = np.array([h[1] for h in held]), np.array([h[2] for h in held])
-            gain = exchange_gains(m, own, r, el, np.array([h[3] for h in held], dtype=np.float64), classes)
-            held.clear()
-            return pd.DataFrame({"word": names, "class": gain.argmax(axis=1)})
-
-        def close() -> None:
-            if word is not None and seen >= min_count:
-                held.append((word, right, left, loops))
+        # The counts of the last word of a batch wait for the next: it may go on there.
+        waiting: tuple[bytes, np.ndarray] | None = None
+
+        def moves(words: list[bytes], counts: np.ndarray) -> Iterator[pd.DataFrame]:
+            """``counts``: [word, side, class]; the last class is the word itself."""
+            often = np.flatnonzero(counts[:, 0].sum(axis=1) >= min_count)
+            for at in range(0, len(often), _WORDS_AT_ONCE):
+                some = often[at:at + _WORDS_AT_ONCE]
+                names = [words[i] for i in some.tolist()]
+                own = np.array([first_class(w, classes) for w in names], dtype=np.int64)
+                left, right = counts[some, 0], counts[some, 1]
+                gain = exchange_gains(m, own, right[:, :n], left[:, :n], right[:, n], classes)
+                yield pd.DataFrame({"word": names, "class": gain.argmax(axis=1)})
 
         for pdf in batches:
-            for w, before, after in zip(pdf["word"].tolist(), pdf["before"].tolist(), pdf["after"].tolist()):
-                if w != word:
-                    close()
-                    word, seen, loops = w, 0, 0
-                    right, left = np.zeros(n), np.zeros(n)
-                    if len(held) >= _WORDS_AT_ONCE:
-                        yield moves()
-                seen += len(before) // 2
-                for counts, raw in ((left, before), (right, after)):
-                    beside = np.frombuffer(raw, dtype="<u2")
-                    if len(beside) > 50:
-                        all_counts = np.bincount(beside, minlength=itself + 1)
-                        counts += all_counts[:n]
-                        loops += int(all_counts[itself]) if counts is right else 0
-                        continue
-                    for cls in beside.tolist():
-                        if cls != itself:
-                            counts[cls] += 1
-                        elif counts is right:
-                            loops += 1
-        close()
-        if held:
-            yield moves()
+            if not len(pdf):
+                continue
+            rows = pdf["word"].tolist()
+            first = np.fromiter((i == 0 or rows[i] != rows[i - 1] for i in range(len(rows))), dtype=bool, count=len(rows))
+            words, place = [rows[i] for i in np.flatnonzero(first).tolist()], np.cumsum(first) - 1
+            counts = np.zeros((len(words), 2, n + 1))
+            for side, name in enumerate(("before", "after")):
+                beside = pdf[name].tolist()
+                raw = np.frombuffer(b"".join(beside), dtype="<u2").astype(np.int64)
+                of = np.repeat(place, np.fromiter(map(len, beside), dtype=np.int64, count=len(beside)) // 2)
+                counts[:, side] = np.bincount(of * (n + 1) + np.minimum(raw, n), minlength=len(words) * (n + 1)).reshape(-1, n + 1)
+            if waiting is not None:
+                if waiting[0] == words[0]:
+                    counts[0] += waiting[1]
+                else:
+                    yield from moves([waiting[0]], waiting[1][None])
+            waiting = words[-1], counts[-1].copy()
+            yield from moves(words[:-1], counts[:-1])
+        if waiting is not None:
+            yield from moves([waiting[0]], waiting[1][None])
 
     return table.mapInPandas(gather, "word binary, before binary, after binary").repartition(
         F.col("word")).sortWithinPartitions("word").mapInPandas(best, "word binary, class int")
