@@ -5,7 +5,6 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from skyfold.llm import decontamination as dec
 from skyfold.llm import embedding_dedup as emb

@@ -6,10 +6,8 @@ import random
 import re
 import zlib
 from bisect import insort
-from itertools import product
 
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
