@@ -19,6 +19,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -198,29 +199,28 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_w
 
     per_entry = materialise(per_entry, "language_entries")
 
-    def best(where: str, limit: int):
-        return heaviest(per_entry.filter(where), "top", limit).select("n", "gram", "by_lang").collect()
-
-    index = {lang: i for i, lang in enumerate(languages)}
+    names = f"array({', '.join(_lit(lang) for lang in languages)})"
     size = np.array([[totals.get((n, lang), (0, 0))[0] for lang in languages] for n in range(max_n + 1)], dtype=float)
     kinds = np.array([max([v for (m, _), (_, v) in totals.items() if m == n], default=0) for n in range(max_n + 1)])
 
-    def scored(entries) -> tuple[dict[str, int], np.ndarray]:
-        rows, c, order = {}, np.zeros((len(entries), len(languages))), np.zeros(len(entries), dtype=int)
-        for i, (n, gram, by_lang) in enumerate(entries):
-            rows[gram], order[i] = i, n
-            for lang, k in by_lang.items():
-                c[i, index[lang]] = k
-        half = 0.5 * kinds[order][:, None]
-        return rows, np.log((c + 0.5) / (size[order] + half))
-
-    words, word_scores = scored(best("n = 0", max_words))
-    grams, gram_scores = scored(best("n > 0", max_grams))
+    def best(where: str, limit: int) -> tuple[dict[str, int], np.ndarray]:
+        # The entries come as Arrow columns: rows of Python and of the JVM would fill the driver.
+        found = heaviest(per_entry.filter(where), "top", limit).select("n", "gram", F.expr(
+            f"transform(map_keys(by_lang), l -> CAST(array_position({names}, l) - 1 AS int))").alias("lang"),
+            F.map_values("by_lang").alias("c")).toArrow().combine_chunks()
+        order, lang, c = (found.column(x).to_numpy() if x == "n" else found.column(x) for x in ("n", "lang", "c"))
+        row = np.repeat(np.arange(len(order)), pc.list_value_length(lang).to_numpy())
+        scores = np.full((len(order), len(languages)), 0.5)
+        scores[row, pc.list_flatten(lang).to_numpy()] += pc.list_flatten(c).to_numpy()
+        scores /= (size + 0.5 * kinds[:, None])[order]
+        return {gram: i for i, gram in enumerate(found.column("gram").to_pylist())}, np.log(scores, out=scores)
+
+    words, word_scores = best("n = 0", max_words)
+    grams, gram_scores = best("n > 0", max_grams)
     floor = math.log(0.5 / max(c for c, _ in totals.values()))
     gram_scores = np.vstack([gram_scores, np.full((1, len(languages)), floor)])
     entries = sum(v for _, v in per_entry.groupBy("n").count().collect())
     of_n = [f"array({', '.join(f'{float(x + 0.5 * kinds[n])!r}D' for x in size[n].tolist())})" for n in range(max_n + 1)]
-    names = f"array({', '.join(_lit(lang) for lang in languages)})"
     table = per_entry.select("n", "gram", F.expr(
         f"zip_with({names}, array({', '.join(of_n)})[n], (l, d) -> ln((coalesce(by_lang[l], 0) + 0.5D) / d))").alias("scores"))
     return LanguageModel(languages, words, word_scores, grams, gram_scores, max_n,

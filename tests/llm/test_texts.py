@@ -326,6 +326,24 @@ def _brown_expected(model, train_texts, text):
     return total
 
 
+def test_language_entries_reach_the_driver_as_columns(spark, monkeypatch):
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join("".join(rng.choices("abcdefgh'é", k=6)) for _ in range(200)), f"l'{i % 3}")
+                                  for i in range(60)], "doc_id long, text string, lang string")
+    frame, rows = type(docs), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: rows.append(collect(self)) or rows[-1])
+    model = langid.train(docs)
+    assert max(map(len, rows)) < 2_000 < len(model.words) + len(model.grams)
+    counts = Counter((r.lang, w) for r in docs.select("lang", "text").toPandas().itertuples() for w in langid.words_of(r.text))
+    kinds = max(len({w for k, w in counts if k == lang}) for lang in model.languages)
+    assert set(model.words) == {w for _, w in counts}
+    for i, lang in enumerate(model.languages):
+        size = sum(c for (k, _), c in counts.items() if k == lang)
+        for word, row in model.words.items():
+            assert model.word_scores[row, i] == pytest.approx(math.log((counts[lang, word] + 0.5) / (size + 0.5 * kinds)))
+
+
 @pytest.mark.parametrize("stretch", [40, 8_000_000])
 def test_brown_scores_equal_brute_force(spark, monkeypatch, stretch):
     """Hot, clustered but cold, rare and unseen words; texts in several stretches; ties in the counts."""
