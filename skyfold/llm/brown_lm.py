@@ -23,13 +23,14 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm.common import heaviest, materialise
@@ -42,6 +43,9 @@ SWEEP_TASKS = 32
 _WORDS_AT_ONCE = 2_000
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _ENDING = 3
+#: A writer's options for rows of about 1 MB: a row group and a page hold a few, since a task reads and writes them whole.
+_LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+               "parquet.block.size": str(4 << 20)}
 
 
 @dataclass(frozen=True)
@@ -96,7 +100,7 @@ class _Stream:
     text: np.ndarray
 
 
-def streams(texts: list[bytes | None]) -> Iterator[_Stream]:
+def streams(texts: Iterable[bytes | None]) -> Iterator[_Stream]:
     """The tokens of all texts in order, an end after each, in streams of bounded size."""
     local, last = _Local(), END
     ids, text_of, size, some = [np.array([local[last]])], [], 0, False
@@ -131,22 +135,33 @@ def streams(texts: list[bytes | None]) -> Iterator[_Stream]:
         yield stream()
 
 
+def _id_type(words: int) -> str:
+    return "<u2" if words <= 1 << 16 else "<u4"
+
+
 def stream_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """The streams of all texts as a written table: words, ids (binary int32; the first is the token before the stream)."""
+    """The streams of all texts as a written table: words (binary, a blank between two), ids (binary numbers of
+    ``_id_type``; the first is the token before the stream).
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for s in streams(pdf["t"].tolist()):
-                yield pd.DataFrame({"words": [s.words], "ids": [s.ids.astype("<i4").tobytes()]})
+    A stream is two flat values, so that only the one at hand is held word by word.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # A text is copied out of its batch only when it is read.
+            for s in streams(t.as_py() for t in batch.column("t")):
+                yield pa.RecordBatch.from_arrays([pa.array([b" ".join(s.words)], pa.binary()), pa.array(
+                    [s.ids.astype(_id_type(len(s.words))).tobytes()], pa.binary())], names=["words", "ids"])
 
     rows = docs.select(F.col(text_col).cast("binary").alias("t"))
-    return materialise(rows.mapInPandas(run, "words array<binary>, ids binary"), "lm_streams")
+    return materialise(rows.mapInArrow(run, "words binary, ids binary"), "lm_streams", **_LARGE_ROWS)
 
 
 def _stored(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
     for pdf in batches:
-        for words, ids in zip(pdf["words"], pdf["ids"]):
-            yield list(words), np.frombuffer(ids, dtype="<i4").astype(np.int64)
+        for joined, ids in zip(pdf["words"], pdf["ids"]):
+            words = joined.split(b" ")
+            yield words, np.frombuffer(ids, dtype=_id_type(len(words))).astype(np.int64)
 
 
 def count_words(table: DataFrame) -> DataFrame:
@@ -457,7 +472,8 @@ def _classes_in(words: list[bytes], ids: np.ndarray, lexicon: Lexicon, end: int,
 
 def _with_cold(parts: DataFrame, table: DataFrame) -> DataFrame:
     """Written parts with ``class`` and ``c``, class and count of their cold words in order: the words are joined to the whole table."""
-    parts = materialise(parts.withColumn("part", F.monotonically_increasing_id()), "lm_parts")    # the number is fixed by being written
+    # The number is fixed by being written.
+    parts = materialise(parts.withColumn("part", F.monotonically_increasing_id()), "lm_parts", **_LARGE_ROWS)
     cold = parts.select("part", F.posexplode(F.arrays_zip("words", "guess")).alias("at", "w")).select(
         "part", "at", F.col("w.words").alias("word"), F.col("w.guess").alias("guess"))
     cold = cold.join(table, "word", "left").groupBy("part").agg(F.array_sort(F.collect_list(F.struct(
@@ -511,6 +527,11 @@ class BrownModel:
         self.transitions = np.log10((counts + SMOOTH) / (counts.sum(axis=1, keepdims=True) + SMOOTH * (classes + 1)))
 
 
+def _table_of(spark: SparkSession, schema: str, keys: list[bytes], numbers) -> DataFrame:
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    return spark.createDataFrame(pa.table([pa.array(keys, pa.binary()), pa.array(numbers, pa.int32())], names=names), schema)
+
+
 def _ending() -> Column:
     return F.expr(f"substring(word, -{_ENDING}, {_ENDING})")
 
@@ -542,7 +563,8 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
 
     # All other words.
     moved = exchange_rest(tokens, ranked, class_of_top, m, classes, s.min_count)
-    tops = spark.createDataFrame([(w, int(k)) for w, k in zip(words, class_of_top)], "word binary, class int")
+    # Small tables are made of Arrow columns: from Python rows they would take a second set of Python workers.
+    tops = _table_of(spark, "word binary, class int", words[:top], class_of_top)
     clustered = materialise(words_only.join(moved.union(tops), "word", "left"), "word_classes")
     votes = clustered.filter(F.col("class").isNotNull()).groupBy(_ending().alias("ending"), "class").agg(
         F.sum("c").alias("c")).groupBy("ending").agg(F.max(F.struct("c", (-F.col("class")).alias("k"))).alias("b")).select(
@@ -551,7 +573,7 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     spread = clustered.filter(F.col("class").isNotNull()).groupBy("class").agg(F.count(F.lit(1)).alias("k")).collect()
     other = min(((-r["k"], r["class"]) for r in spread), default=(0, 0))[1]     # the class of most words
     guess = sc.broadcast(_Guess({bytes(r["ending"]): r["class"] for r in endings}, other))
-    by_ending = spark.createDataFrame([(bytes(r["ending"]), r["class"]) for r in endings], "ending binary, guess int")
+    by_ending = _table_of(spark, "ending binary, guess int", [bytes(r["ending"]) for r in endings], [r["class"] for r in endings])
     table = clustered.withColumn("ending", _ending()).join(F.broadcast(by_ending), "ending", "left").select(
         "word", "c", F.coalesce("class", "guess", F.lit(other)).alias("class"))
 
@@ -561,7 +583,7 @@ def train(docs: DataFrame, text_col: str = "text", settings: Settings = Settings
     # log10 of what an emission is divided by; the end is the only token of its class.
     emission_base = np.log10(size + SMOOTH * (kinds + 1))
     emission_base[classes] = 0.0
-    wanted = F.broadcast(spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word binary, rank int"))
+    wanted = F.broadcast(_table_of(spark, "word binary, rank int", words, range(len(words))))
     hot_classes = np.zeros(len(words), dtype=np.int64)
     for r in table.join(wanted, "word").select("rank", "class").collect():      # a row per hot word
         hot_classes[r["rank"]] = r["class"]

@@ -47,15 +47,15 @@ def packed_row(names: list[str], alias: str) -> Column:
     return F.struct(*map(quoted, names)).alias(alias)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet (with the writer's ``options``) under the shared checkpoint folder and read it back.
 
     Cuts the lineage at a table every executor can read, so a lost executor
     costs only the tasks it was running.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -441,6 +442,24 @@ def test_gains_of_many_words_are_those_of_each(seed):
         assert got[i] == pytest.approx(brown_lm.exchange_gain(m, int(own[i]), right[i], left[i], loops[i], classes), abs=1e-6)
 
 
+def test_streams_are_stored_flat_in_small_row_groups(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10 ** 7)}" for _ in range(n)) for n in (90_000, 70_000, 60_000)] * 6 + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    monkeypatch.setattr(brown_lm, "STRETCH", 600_000)
+    table = brown_lm.stream_table(docs, "text")
+    assert dict(table.dtypes) == {"words": "binary", "ids": "binary"}
+    back, before = Counter(), 0
+    for words, ids in brown_lm._stored(iter([table.toPandas()])):
+        assert len(set(words)) == len(words)
+        back.update(words[i] for i in ids[1:])
+        before += words[ids[0]] == brown_lm.END
+    assert back == Counter(t for x in texts for t in brown_lm.tokens_of((x or "").encode())) and before
+    sizes = [g.total_byte_size for f in table.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")).metadata]
+             for g in map(m.row_group, range(m.num_row_groups))]
+    assert sum(sizes) > 12 << 20 and max(sizes) < 8 << 20
+
+
 def test_folds_follow_crc32(spark):
     got = [r[0] for r in spark.range(20).select(queries.fold("id", 5)).collect()]
     assert got == [crc32(str(i).encode()) % 5 for i in range(20)]
